@@ -5,5 +5,6 @@ from .dates import (  # noqa: F401
     iso_day_of_week, iso_year_of_week, last_day_of_week, parse_date_any, parse_event_ts, parse_month_label,
     previous_monday, unpadded_year_month, year_month,
 )
+from .casts import try_number  # noqa: F401
 from .nulls import concat_ws_strict, greatest_strict  # noqa: F401
 from .text import code, last_path_part, normalise_name, normalise_name_py  # noqa: F401

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
@@ -75,11 +75,15 @@ def table_usage(
     )
     latest = acc.groupBy("fq_table_name").agg(F.max("query_start_time").alias("latest_queried_timestamp"))
 
-    rp = inv.where(F.col("table_schema") == "RP").select("table_name")
-    an = inv.where(F.col("table_schema") == "AN").select("table_name")
-    dup = rp.join(an, "table_name").distinct().withColumn("table_exists_in_both_rp_and_an", F.lit("yes"))
+    # "same name in RP and AN": a window over the inventory (one row per table, so each name holds at most a
+    # handful of rows) instead of a self-join, so the inventory is read once
+    by_name = Window.partitionBy("table_name")
+    in_both = (F.max((F.col("table_schema") == "RP").cast("int")).over(by_name) == 1) & (
+        F.max((F.col("table_schema") == "AN").cast("int")).over(by_name) == 1
+    )
+    inv = inv.withColumn("table_exists_in_both_rp_and_an", F.when(in_both, F.lit("yes")))
 
-    joined = inv.join(latest, "fq_table_name", "left").join(dup, "table_name", "left")
+    joined = inv.join(latest, "fq_table_name", "left")
     day_before = F.date_sub(as_date(as_of), 1).cast("timestamp_ntz")
     changed = greatest_strict(F.col("last_altered"), F.col("created")) > day_before
     final = joined.where(

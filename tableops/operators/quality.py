@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from .ordered import row_number_within
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def duplicate_rows(df: DataFrame, keys: Sequence[str], count_col: str = "dup_count") -> DataFrame:
     """All rows whose key occurs more than once (``qualify count(*) over (partition by keys) > 1``).
 
@@ -44,18 +40,21 @@ def batch_plan(
     size: int,
     order: Sequence[str],
     batch_col: str = "batch",
-    check_null_keys: bool = True,
 ) -> DataFrame:
     """Number rows within each key by ``order`` and cut them into batches of at most ``size`` rows.
 
     ``batch = floor((row_number - 1) / size)``; every batch holds one key only (the store's partition key).
+    A NULL key fails the job (a document store cannot take it), checked inside the plan.
     """
     if size < 1:
         raise ValueError("size must be positive")
-    if check_null_keys:
-        assert_keys_not_null(df, keys)
+    keys = list(keys)
     numbered = row_number_within(df, keys, order, out="_rn")
-    return numbered.withColumn(batch_col, F.floor((F.col("_rn") - 1) / F.lit(size)).cast("long")).drop("_rn")
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    batch = F.when(null_key, F.raise_error(F.lit(f"NULL value in key column(s) {keys}")).cast("long")).otherwise(
+        F.floor((F.col("_rn") - 1) / F.lit(size)).cast("long")
+    )
+    return numbered.withColumn(batch_col, batch).drop("_rn")
 
 
 def batch_counts(plan: DataFrame, keys: Sequence[str], batch_col: str = "batch") -> DataFrame:

@@ -2,8 +2,8 @@
 
 Plain Parquet tables have no UPDATE/MERGE, so each statement shape of the warehouse becomes a join plan:
 full upsert, partial-field merge, UPDATE ... FROM, closing of open validity intervals and a per-group cap.
-Keys must be unique on the source side; by default a duplicate raises (a small action), or a given order
-picks one row per key with a map-side-combined ``max_by`` aggregate (skew-safe).
+Keys must be unique on the source side: by default a duplicate fails the job from inside the plan (no extra
+action), or a given order picks one row per key with a map-side-combined ``max_by`` aggregate (skew-safe).
 """
 
 from __future__ import annotations
@@ -15,13 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordered import lead_within
-from .quality import assert_keys_not_null
-
-
-def _check_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
-    dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(3).collect()
-    if dup:
-        raise ValueError(f"{what} has more than one row for key(s) {[r.asDict() for r in dup]}")
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: bool = True) -> DataFrame:
@@ -32,14 +25,37 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest
     return agg.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
-def _resolve_duplicates(source: DataFrame, keys, on_duplicate: str, order) -> DataFrame:
+GUARD = "_unique_ok"
+
+
+def unique_or_fail(df: DataFrame, keys: Sequence[str], what: str = "source", allow_null_keys: bool = True) -> DataFrame:
+    """One row per key, plus a boolean column ``GUARD`` whose evaluation fails the job for a key held by more
+    than one row (or for a NULL key unless ``allow_null_keys``). Callers must consume ``GUARD``.
+
+    The check is part of the plan, not a separate action: rows are aggregated by key (map-side combined; the
+    key columns are left untouched so the hash partitioning serves the following join).
+    """
+    keys = list(keys)
+    others = [c for c in df.columns if c not in keys]
+    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*others)).alias("_row"))
+    guard = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"{what} has more than one row for a key of {keys}")))
+    if not allow_null_keys:
+        null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        guard = guard.when(null_key, F.raise_error(F.lit(f"{what} has a NULL key in {keys}")))
+    return agg.select(
+        *keys,
+        *[F.col(f"_row.{c}").alias(c) for c in others],
+        F.coalesce(guard.cast("boolean"), F.lit(True)).alias(GUARD),
+    )
+
+
+def _resolve_duplicates(source: DataFrame, keys, on_duplicate: str, order, allow_null_keys: bool = True) -> DataFrame:
     if on_duplicate == "error":
-        _check_unique(source, keys, "source")
-        return source
+        return unique_or_fail(source, keys, allow_null_keys=allow_null_keys)
     if on_duplicate == "first":
         if not order:
             raise ValueError("on_duplicate='first' needs an order")
-        return one_per_key(source, keys, order)
+        return one_per_key(source, keys, order).withColumn(GUARD, F.lit(True))
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 
 
@@ -49,15 +65,17 @@ def upsert(
     keys: Sequence[str],
     on_duplicate: str = "error",
     order: Sequence[str] | None = None,
-    check_null_keys: bool = True,
 ) -> DataFrame:
-    """Full-row upsert: source rows replace target rows with the same key, new keys are inserted."""
+    """Full-row upsert: source rows replace target rows with the same key, new keys are inserted.
+
+    A duplicate or NULL source key fails the job (``on_duplicate='error'``); ``'first'`` keeps the latest
+    row per key by ``order``."""
     keys = list(keys)
-    if check_null_keys:
-        assert_keys_not_null(source, keys)
-    source = _resolve_duplicates(source, keys, on_duplicate, order)
-    kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
+    cols = source.columns
+    src = _resolve_duplicates(source, keys, on_duplicate, order, allow_null_keys=False)
+    kept = target.join(src.select(*keys), keys, "left_anti")
+    checked = src.select(F.when(F.col(GUARD), F.col(cols[0])).alias(cols[0]), *cols[1:])
+    return kept.unionByName(checked, allowMissingColumns=True)
 
 
 def merge_partial(
@@ -73,10 +91,12 @@ def merge_partial(
     keys = list(keys)
     source = _resolve_duplicates(source, keys, on_duplicate, order)
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in target.columns if c not in keys], F.lit(True).alias("_in_t"))
-    s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in source.columns if c not in keys], F.lit(True).alias("_in_s"))
+    s = source.select(
+        *keys, *[F.col(c).alias(f"_s_{c}") for c in source.columns if c not in keys + [GUARD]], F.col(GUARD).alias("_in_s")
+    )
     j = t.join(s, keys, "full_outer")
     cols = list(keys) + [c for c in target.columns if c not in keys]
-    cols += [c for c in source.columns if c not in cols]
+    cols += [c for c in source.columns if c not in cols and c != GUARD]
     out = []
     for c in cols:
         if c in keys:
@@ -111,7 +131,9 @@ def update_from(
     pairs = [(p, p) if isinstance(p, str) else tuple(p) for p in on]
     skeys = [sk for _, sk in pairs]
     source = _resolve_duplicates(source, skeys, on_duplicate, order)
-    src = source.select(*[F.col(c).alias(f"_src_{c}") for c in source.columns]).withColumn("_matched", F.lit(True))
+    src = source.select(
+        *[F.col(c).alias(f"_src_{c}") for c in source.columns if c != GUARD], F.col(GUARD).alias("_matched")
+    )
 
     def s(c: str) -> Column:
         return F.col(f"_src_{c}")

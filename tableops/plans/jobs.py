@@ -36,6 +36,7 @@ from ..functions import (
     parse_event_ts,
     parse_month_label,
     previous_monday,
+    try_number,
     year_month,
 )
 from ..operators import audit, calendar, enrich, quality, reshape, schema, semistructured, upsert
@@ -300,7 +301,8 @@ def q_batched_load(spark, sf_dir, size: int = 100) -> DataFrame:
 
 
 def _k(props: str = "props") -> Column:
-    return semistructured.get_path(F.try_parse_json(F.col(props)), "$.k", "int")
+    """The integer ``k`` of the ``{"k": int}`` event payload (NULL when the payload is not JSON)."""
+    return F.from_json(F.col(props), "k int").getField("k")
 
 
 def q_json_path(spark, sf_dir) -> DataFrame:
@@ -476,7 +478,7 @@ def q_cast_and_math(spark, sf_dir) -> DataFrame:
         F.coalesce(F.when(F.col("l_tax") > 0.0, F.col("l_tax")), F.lit(-1.0)).alias("tax_or_default"),
         F.col("l_quantity").cast("int").alias("qty_int"),
         F.col("l_linenumber").cast("string").alias("line_text"),
-        F.expr("try_cast(l_returnflag AS int)").alias("flag_as_int"),
+        try_number("l_returnflag", "int").alias("flag_as_int"),
         F.col("l_shipdate").cast("date").alias("ship_date"),
     )
 
@@ -570,8 +572,12 @@ ACCESS_OBJECTS_TYPE = "array<struct<objectName:string,objectDomain:string,column
 
 
 def access_log(t: Tables) -> DataFrame:
-    """Access log shaped from events: each event reads two objects (error events none)."""
-    k = _k()
+    """Access log shaped from events: each event reads two objects (error events none).
+
+    The payload is parsed once into ``k``; every object field is then a cheap expression over ``k``.
+    """
+    base = t.events.select("event_id", "event_type", "user_id", "ts", _k().alias("k"))
+    k = F.col("k")
     col = lambda name: F.struct(name.alias("columnName"))
     obj1 = F.struct(
         _obj_name(k).alias("objectName"),
@@ -584,13 +590,13 @@ def access_log(t: Tables) -> DataFrame:
         F.when(F.pmod(k, F.lit(3)) == 0, F.array().cast("array<struct<columnName:string>>")).otherwise(F.array(col(F.lit("C0")))).alias("columns"),
     )
     objects = F.when(F.col("event_type") == "error", F.array().cast(ACCESS_OBJECTS_TYPE)).otherwise(F.array(obj1, obj2))
-    return t.events.select(
+    log = base.select(
         F.col("event_id").cast("string").alias("query_id"),
         F.concat(F.lit("SYS_"), F.upper("event_type")).alias("user_name"),
         F.col("ts").alias("query_start_time"),
         objects.alias("direct_objects_accessed"),
-        objects.alias("base_objects_accessed"),
     )
+    return log.withColumn("base_objects_accessed", F.col("direct_objects_accessed"))
 
 
 def table_inventory(t: Tables) -> DataFrame:
