@@ -326,7 +326,7 @@ def _event_bodies(t: Tables) -> DataFrame:
         )
     )
     body = F.when(F.col("event_type") == "error", F.substring(body, 1, 12)).otherwise(body)
-    return t.events.select("event_id", F.hex(F.encode(body, "UTF-8")).alias("Body"))
+    return t.events.select("event_id", "ts", F.hex(F.encode(body, "UTF-8")).alias("Body"))
 
 
 def q_event_decode(spark, sf_dir) -> DataFrame:
@@ -361,8 +361,9 @@ RECOGNIZED_COUNTRIES = ["NATION_1", "NATION_2", "NATION_3", "NATION_4"]
 FORECAST_YEAR = 2000
 
 
-def forecast_sheet(t: Tables, year: int = FORECAST_YEAR) -> DataFrame:
-    """A wide 'forecast sheet': one row per customer, one ``mmm-yy`` column per month, plus an extra column."""
+def forecast_sheet(t: Tables, year: int = FORECAST_YEAR, how: str = "sum") -> DataFrame:
+    """A wide 'forecast sheet': one row per customer, one ``mmm-yy`` column per month (order value, or order
+    count with ``how='count'``), plus an extra column the job must drop."""
     yy = f"{year % 100:02d}"
     labels = [f"{m}-{yy}" for m in MONTH_LABELS]
     o = t.orders.where(F.year("o_orderdate") == year).withColumn(
@@ -377,15 +378,22 @@ def forecast_sheet(t: Tables, year: int = FORECAST_YEAR) -> DataFrame:
         "label",
         F.col("o_totalprice").cast(MONEY).alias("amount"),
     )
-    wide = j.groupBy("CC", "Name", "Country", "Business unit").pivot("label", labels).agg(F.sum("amount").cast("double"))
+    measure = F.sum("amount") if how == "sum" else F.sum(F.lit(1))
+    wide = j.groupBy("CC", "Name", "Country", "Business unit").pivot("label", labels).agg(measure.cast("double"))
     return wide.withColumn("Comment", F.lit("extra column, dropped by the job"))
 
 
-def forecast_long(wide: DataFrame, metric: str, forecast_file: str, extract_date: dt.date) -> DataFrame:
-    """Sheet -> long facts: rename, keep recognised countries, keep static + month columns, unpivot, parse."""
+def forecast_long(wide: DataFrame, metric, forecast_file, extract_date: dt.date) -> DataFrame:
+    """Sheet -> long facts: rename, keep recognised countries, keep static + month columns, unpivot, parse.
+
+    ``metric`` and ``forecast_file`` are names or columns (e.g. the sheet and workbook of each row).
+    """
+    metric = F.lit(metric) if isinstance(metric, str) else metric
+    forecast_file = F.lit(forecast_file) if isinstance(forecast_file, str) else forecast_file
     df = wide.withColumnsRenamed(FORECAST_RENAME)
     df = df.where(F.col("country_code").isin(RECOGNIZED_COUNTRIES))
-    static = list(FORECAST_RENAME.values())
+    df = df.withColumns({"_metric": metric, "_file": forecast_file})
+    static = list(FORECAST_RENAME.values()) + ["_metric", "_file"]
     df = reshape.select_by(df, static, reshape.MONTH_COLUMN_REGEX)
     long = reshape.unpivot_months(df, static, reshape.MONTH_COLUMN_REGEX, var="period", value="value")
     return long.select(
@@ -396,8 +404,8 @@ def forecast_long(wide: DataFrame, metric: str, forecast_file: str, extract_date
         parse_month_label("period").alias("period"),
         F.col("value").cast("double").alias("value"),
         F.lit(extract_date.isoformat()).alias("extract_date"),
-        normalise_name(F.lit(metric)).alias("metric_name"),
-        F.lit(forecast_file).alias("forecast_file"),
+        normalise_name(F.col("_metric")).alias("metric_name"),
+        F.col("_file").alias("forecast_file"),
     )
 
 

@@ -122,6 +122,24 @@ objs AS (
   FROM ev WHERE event_type <> 'error')"""
 
 
+def _forecast_sql(metric_name: str, measure: str, value_type: str = "DOUBLE") -> str:
+    return f"""
+SELECT CAST(c.o_custkey AS VARCHAR) AS center_id, cu.c_name AS center_name, n.n_name AS country_code,
+  cu.c_mktsegment AS business_unit, '2000-' || lpad(CAST(m.mo AS VARCHAR), 2, '0') AS period,
+  CAST(o.v AS {value_type}) AS value, '2001-08-01' AS extract_date, '{metric_name}' AS metric_name,
+  '200008 forecast' AS forecast_file
+FROM (SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) = 2000) c
+JOIN customer cu ON cu.c_custkey = c.o_custkey JOIN nation n ON n.n_nationkey = cu.c_nationkey
+CROSS JOIN (SELECT * FROM (VALUES {_month_values()}) t(mo, label)) m
+LEFT JOIN (SELECT o_custkey, month(o_orderdate) AS mo, {measure} AS v FROM orders WHERE year(o_orderdate) = 2000 GROUP BY 1, 2) o
+  ON o.o_custkey = c.o_custkey AND o.mo = m.mo
+WHERE n.n_name IN ({", ".join(f"'{c}'" for c in RECOGNIZED_COUNTRIES)})
+"""
+
+
+_SUM_PRICE = "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
+
+
 def _pivot_cols() -> str:
     return ",\n  ".join(f"CAST(sum(CASE WHEN event_type = '{v}' THEN cnt END) AS BIGINT) AS {v}" for v in PIVOT_TYPES)
 
@@ -422,6 +440,73 @@ FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN w ON w.city_
     "schema_evolution": """
 SELECT c_custkey, c_name AS customer_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment,
   CAST(NULL AS VARCHAR) AS training_duration FROM customer
+""",
+    "json_load": _forecast_sql("total_price", "sum(CAST(o_totalprice AS DECIMAL(18,2)))", "DECIMAL(15,5)"),
+    "sheet_forecast": _forecast_sql("total_price", _SUM_PRICE) + " UNION ALL " + _forecast_sql("order_count", "CAST(count(*) AS DOUBLE)"),
+    "event_ingest": """
+SELECT event_id,
+  CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END AS event_timestamp_utc,
+  CASE WHEN event_type = 'error' THEN NULL ELSE CAST(user_id AS VARCHAR) END AS member_id,
+  CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS source,
+  CASE WHEN event_type = 'error' THEN NULL ELSE CAST(event_id AS VARCHAR) END AS deviceid
+FROM events
+""",
+    "unload_reload": """
+SELECT CAST(o_orderdate AS DATE) AS scoring_date, 'SA' || CAST(o_custkey AS VARCHAR) AS pk,
+  CAST(CAST(o_orderkey % 100000 AS DECIMAL(18,5)) / 100000 AS DECIMAL(6,5)) AS prediction_probability,
+  o_orderpriority AS model_name,
+  CASE WHEN year(o_orderdate) = 2001 THEN 'v2' ELSE o_orderstatus END AS model_version,
+  o_orderdate AS scoring_datetime_utc
+FROM orders
+""",
+    "delimited_roundtrip": """
+SELECT CAST(c_nationkey AS VARCHAR) || 'p' || CAST(c_custkey AS VARCHAR) || 'rpt1' AS agreement_code,
+  'SA' || CAST(c_custkey AS VARCHAR) AS member_code, c_mktsegment || ' ÆØÅ' AS person_status,
+  DATE '2001-08-01' + c_nationkey AS end_date, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS price
+FROM customer
+""",
+    "incremental_gzip": """
+SELECT event_id, ts, user_id, event_type FROM events WHERE ts > TIMESTAMP '2024-01-15'
+""",
+    "partial_changed": """
+WITH t AS (SELECT c_custkey AS id, c_nationkey AS centerId, 'active' AS lifecycle_tag, CAST(NULL AS VARCHAR) AS past_segment,
+    c_mktsegment AS segment, 'flat' AS trend, '1995-01-01' AS lifecycle_start_date, '1995-01-01' AS segment_start_date,
+    '1995-01-01' AS changeddate, c_name AS name FROM customer),
+s0 AS (SELECT c_custkey, c_nationkey AS centerId, 'churn_risk' AS lifecycle_tag, c_mktsegment AS past_segment,
+    lower(c_mktsegment) AS segment, CASE WHEN c_acctbal < -500 THEN 'down' ELSE 'stable' END AS trend,
+    '2001-08-01' AS lifecycle_start_date, '2001-08-01' AS segment_start_date, '2001-08-01' AS changeddate, c_acctbal FROM customer),
+s AS (SELECT c_custkey AS id, * EXCLUDE (c_custkey, c_acctbal) FROM s0 WHERE c_acctbal < 0
+      UNION ALL SELECT c_custkey + 1000000 AS id, * EXCLUDE (c_custkey, c_acctbal) FROM s0 WHERE c_acctbal > 9000)
+SELECT coalesce(t.id, s.id) AS id,
+  CASE WHEN t.id IS NOT NULL THEN t.centerId ELSE s.centerId END AS centerId,
+  CASE WHEN s.id IS NOT NULL THEN s.lifecycle_tag ELSE t.lifecycle_tag END AS lifecycle_tag,
+  CASE WHEN s.id IS NOT NULL THEN s.past_segment ELSE t.past_segment END AS past_segment,
+  CASE WHEN s.id IS NOT NULL THEN s.segment ELSE t.segment END AS segment,
+  CASE WHEN s.id IS NOT NULL THEN s.trend ELSE t.trend END AS trend,
+  CASE WHEN s.id IS NOT NULL THEN s.lifecycle_start_date ELSE t.lifecycle_start_date END AS lifecycle_start_date,
+  CASE WHEN s.id IS NOT NULL THEN s.segment_start_date ELSE t.segment_start_date END AS segment_start_date,
+  CASE WHEN s.id IS NOT NULL THEN s.changeddate ELSE t.changeddate END AS changeddate,
+  CASE WHEN t.id IS NOT NULL THEN t.name END AS name
+FROM t FULL OUTER JOIN s ON t.id = s.id
+""",
+    "composite_codes": """
+SELECT o_orderkey, CAST(c_custkey AS VARCHAR) AS contact_code,
+  CAST(c_nationkey AS VARCHAR) || 'p' || CAST(c_custkey AS VARCHAR) AS member_code,
+  CAST(c_nationkey AS VARCHAR) || 'ss' || CAST(o_orderkey AS VARCHAR) AS subscription_id,
+  '1prod' || CAST(o_orderkey % 50 AS VARCHAR) AS product_id,
+  o_orderpriority AS sale_type,
+  'payer' || CAST(o_orderkey AS VARCHAR) || '@example.com' AS otherpayer_email,
+  CAST(c_nationkey AS VARCHAR) AS c_id,
+  CAST(c_nationkey AS VARCHAR) || 'p' || CAST(o_orderkey % 997 AS VARCHAR) AS otherpayer_membercode
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F'
+""",
+    "array_code_lookup": """
+SELECT nk_contact, CAST(idx AS INTEGER) AS idx, code FROM (
+  SELECT 'SA' || CAST(c_custkey AS VARCHAR) AS nk_contact,
+    unnest([CAST(c_nationkey AS VARCHAR) || 'p' || CAST(c_custkey AS VARCHAR), lower(c_mktsegment) || CAST(c_custkey AS VARCHAR),
+            'old' || CAST(c_custkey % 7 AS VARCHAR)]) AS code,
+    unnest([0, 1, 2]) AS idx
+  FROM customer) WHERE starts_with(code, '1p')
 """,
     "incremental_extract": """
 SELECT event_id, ts, user_id, event_type FROM events WHERE ts > TIMESTAMP '2024-01-15'

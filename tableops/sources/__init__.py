@@ -1 +1,8 @@
-"""Readers: file selection, payload and delimited scans, lineage columns, incremental extracts."""
+"""Readers: file selection, payload and delimited scans, lineage columns, incremental extracts, catalog."""
+
+from .catalog import catalog_columns, catalog_tables  # noqa: F401
+from .files import (  # noqa: F401
+    name_matches, read_delimited, read_json_array, read_json_payload, read_matching, read_sheets, typed_fields,
+)
+from .incremental import incremental, next_watermark  # noqa: F401
+from .lineage import with_lineage  # noqa: F401
