@@ -316,3 +316,46 @@ def q_array_code_lookup(spark, sf_dir) -> DataFrame:
     )
     flat = semistructured.flatten(c, "historic_member_code_list", index="idx", value="code")
     return flat.where(F.col("code").startswith("1p")).select("nk_contact", "idx", "code")
+
+
+# --- C7: full keyed load into the document store in checked batches ----------------------------------
+
+# Store batch size (one call per batch, one partition key per batch) and row cap per centre.
+BULK_SIZE = 100
+LIMIT_PER_CENTER = 100_000
+DOC_SCHEMA = "id bigint, centerId int, segment string, lifecycle_tag string, changeddate string"
+
+
+def segment_documents(t: Tables) -> DataFrame:
+    """The view to load: one JSON summary per order, partitioned in the store by the customer's nation."""
+    o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    doc = F.struct(
+        F.col("o_orderkey").alias("id"),
+        F.col("c_nationkey").alias("centerId"),
+        F.col("o_orderpriority").alias("segment"),
+        F.col("o_orderstatus").alias("lifecycle_tag"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("changeddate"),
+    )
+    return o.select(F.to_json(doc).alias("member_segment_summary"), F.col("o_orderdate"))
+
+
+def q_keyed_bulk_load(spark, sf_dir) -> DataFrame:
+    t = _t(spark, sf_dir)
+    docs = segment_documents(t)
+    parsed = docs.select(F.from_json("member_segment_summary", DOC_SCHEMA).alias("d")).select("d.*")
+    capped = upsert.limit_per_group(parsed, ["centerId"], LIMIT_PER_CENTER, [F.col("id").asc()])
+    planned = quality.batch_plan(capped, ["centerId"], BULK_SIZE, ["id"])
+
+    # the store before the load: documents of orders placed before 1998, in an older state
+    before = docs.where(F.col("o_orderdate") < F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz"))
+    store = before.select(F.from_json("member_segment_summary", DOC_SCHEMA).alias("d")).select("d.*")
+    store = store.withColumn("lifecycle_tag", F.lit("stale"))
+
+    loaded = upsert.upsert(store, planned.drop("batch"), ["id"])
+    path = scratch_path(spark, "segment-store")
+    loaded.write.parquet(path)
+    written = spark.read.parquet(path)
+    # every planned batch must be present in full in what was written
+    landed = written.join(planned.select("id", "centerId", "batch"), ["id", "centerId"])
+    quality.reconcile_counts(planned, landed, ["centerId"])
+    return written

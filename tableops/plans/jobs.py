@@ -677,14 +677,19 @@ def weather_documents(t: Tables) -> DataFrame:
 
 
 def q_weather_enrich(spark, sf_dir) -> DataFrame:
-    """Clubs (suppliers) in cities with a forecast, with simplified weather flags."""
+    """Clubs (suppliers) in cities with a forecast, with simplified weather flags, written as a stamped CSV."""
+    from ..session import scratch_path
+    from ..sinks import write_csv_stamped
+
     t = _t(spark, sf_dir)
     w = enrich.weather_flags(semistructured.parse_forecast(weather_documents(t), "response"))
     w = w.select("city_name", "measure_time", "temperature", "clear_sky", F.col("precipitation_flag").alias("precipitation"))
     clubs = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("center_code"), F.col("n_name").alias("city_name")
     )
-    return enrich.enrich(clubs, w, "city_name").select("center_code", "measure_time", "temperature", "clear_sky", "precipitation")
+    out = enrich.enrich(clubs, w, "city_name").select("center_code", "measure_time", "temperature", "clear_sky", "precipitation")
+    path = write_csv_stamped(out, scratch_path(spark, "ClubInfoWeather"), dt.datetime(2024, 1, 1, 12, 0, 0))
+    return spark.read.schema(out.schema).option("header", "true").csv(path)
 
 
 def q_schema_evolution(spark, sf_dir) -> DataFrame:

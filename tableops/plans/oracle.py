@@ -507,6 +507,14 @@ SELECT nk_contact, CAST(idx AS INTEGER) AS idx, code FROM (
             'old' || CAST(c_custkey % 7 AS VARCHAR)]) AS code,
     unnest([0, 1, 2]) AS idx
   FROM customer) WHERE starts_with(code, '1p')
+""",
+    "keyed_bulk_load": """
+WITH docs AS (SELECT o_orderkey AS id, c_nationkey AS centerId, o_orderpriority AS segment, o_orderstatus AS lifecycle_tag,
+    strftime(o_orderdate, '%Y-%m-%d') AS changeddate, o_orderdate FROM orders JOIN customer ON o_custkey = c_custkey),
+src AS (SELECT id, centerId, segment, lifecycle_tag, changeddate FROM docs
+        QUALIFY row_number() OVER (PARTITION BY centerId ORDER BY id) <= 100000),
+store AS (SELECT id, centerId, segment, 'stale' AS lifecycle_tag, changeddate FROM docs WHERE o_orderdate < TIMESTAMP '1998-01-01')
+SELECT * FROM store WHERE id NOT IN (SELECT id FROM src) UNION ALL SELECT * FROM src
 """,
     "incremental_extract": """
 SELECT event_id, ts, user_id, event_type FROM events WHERE ts > TIMESTAMP '2024-01-15'
