@@ -123,15 +123,19 @@ def dense_rank_global(
 ) -> DataFrame:
     """``dense_rank() over (order by order_col [desc])`` over the whole table, computed slice-wise.
 
-    Ranks are assigned to the distinct values (range-partitioned), then joined back on the value; a value shared
-    by many rows is a skewed join key which adaptive execution splits. ``max_out`` adds the highest rank.
+    The distinct values are range-partitioned and sorted within each slice; a value's position in its slice is
+    read from ``monotonically_increasing_id`` (record number in the low 33 bits, partition in the high bits),
+    so no window and no further shuffle is needed. Slice sizes (at most ``n`` rows) give the offsets. Ranks are
+    joined back on the value; a value shared by many rows is a skewed join key, which adaptive execution splits.
+    ``max_out`` adds the highest rank.
     """
     v = F.col(order_col)
-    values = df.select(v.alias("_v")).distinct()
     sort_v = F.col("_v").desc() if descending else F.col("_v").asc()
-    sliced = range_slices(values, [sort_v], n)
-    local = sliced.withColumn("_local", F.row_number().over(Window.partitionBy(SLICE).orderBy(sort_v)))
-    counts = sliced.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_cnt"))
+    values = df.select(v.alias("_v")).distinct()
+    ranged = values.repartitionByRange(_n_slices(df, n), sort_v).sortWithinPartitions(sort_v)
+    record = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    local = cut_lineage(ranged.select("_v", F.spark_partition_id().alias(SLICE), (record + 1).alias("_local")))
+    counts = local.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_cnt"))
     # at most n rows: a single-task window is bounded
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

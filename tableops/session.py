@@ -64,6 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not current:
+            if not (sc.master or "").startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local folder is unsafe on a cluster")
             current = tempfile.mkdtemp(prefix="tableops-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
