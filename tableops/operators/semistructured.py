@@ -43,74 +43,45 @@ def extract(df: DataFrame, payload: str, spec: Mapping[str, tuple[str, str]]) ->
 
 
 def flatten(
-    df: DataFrame, col: str, outer: bool = False, index: str = "index", value: str = "value"
+    df: DataFrame, col: str, outer: bool = False, index: str = "index", value: str = "value", key: str | None = None
 ) -> DataFrame:
-    """Lateral flatten of an array column: one row per element with its 0-based ``index``.
+    """Lateral flatten: one row per element of an array, or per field of an object.
 
-    An empty or NULL array drops the row unless ``outer`` (then index and value are NULL).
+    * array column: ``index`` (0-based) and ``value``;
+    * map column: ``key`` and ``value``;
+    * VARIANT column: a JSON array gives ``index``/``value``, a JSON object gives ``key``/``value`` (``index``
+      NULL), each ``value`` a VARIANT; scalars give no rows.
+
+    An empty or NULL input drops the row unless ``outer`` (then the new columns are NULL). ``key`` names the
+    key column for maps and VARIANTs (default ``"key"``).
     """
+    dtype = df.schema[col].dataType
+    explode = F.explode_outer if outer else F.explode
+    if isinstance(dtype, T.VariantType):
+        key = key or "key"
+        arr = F.try_variant_get(F.col(col), "$", "array<variant>")
+        obj = F.try_variant_get(F.col(col), "$", "map<string,variant>")
+        elems = F.coalesce(
+            F.transform(arr, lambda x, i: F.struct(i.alias(index), F.lit(None).cast("string").alias(key), x.alias(value))),
+            F.transform(
+                F.map_entries(obj),
+                lambda e: F.struct(F.lit(None).cast("int").alias(index), e["key"].alias(key), e["value"].alias(value)),
+            ),
+        )
+        return df.select("*", explode(elems).alias("_e")).select(*df.columns, f"_e.{index}", f"_e.{key}", f"_e.{value}")
+    if isinstance(dtype, T.MapType):
+        key = key or "key"
+        return df.select("*", explode(F.col(col)).alias(key, value))
     fn = F.posexplode_outer if outer else F.posexplode
     return df.select("*", fn(F.col(col)).alias(index, value))
 
 
 # --- nested API responses (weather forecast documents) ---------------------------------------------------
 
-FORECAST_SCHEMA = T.StructType(
-    [
-        T.StructField(
-            "properties",
-            T.StructType(
-                [
-                    T.StructField(
-                        "timeseries",
-                        T.ArrayType(
-                            T.StructType(
-                                [
-                                    T.StructField("time", T.StringType()),
-                                    T.StructField(
-                                        "data",
-                                        T.StructType(
-                                            [
-                                                T.StructField(
-                                                    "instant",
-                                                    T.StructType(
-                                                        [
-                                                            T.StructField(
-                                                                "details",
-                                                                T.StructType(
-                                                                    [
-                                                                        T.StructField("air_temperature", T.DoubleType()),
-                                                                        T.StructField("cloud_area_fraction", T.DoubleType()),
-                                                                    ]
-                                                                ),
-                                                            )
-                                                        ]
-                                                    ),
-                                                ),
-                                                T.StructField(
-                                                    "next_1_hours",
-                                                    T.StructType(
-                                                        [
-                                                            T.StructField(
-                                                                "details",
-                                                                T.StructType(
-                                                                    [T.StructField("precipitation_amount", T.DoubleType())]
-                                                                ),
-                                                            )
-                                                        ]
-                                                    ),
-                                                ),
-                                            ]
-                                        ),
-                                    ),
-                                ]
-                            )
-                        ),
-                    )
-                ]
-            ),
-        )
-    ]
+FORECAST_SCHEMA = (
+    "properties struct<timeseries: array<struct<time: string, data: struct<"
+    "instant: struct<details: struct<air_temperature: double, cloud_area_fraction: double>>, "
+    "next_1_hours: struct<details: struct<precipitation_amount: double>>>>>>"
 )
 
 

@@ -202,13 +202,13 @@ def limit_per_group(
 ) -> DataFrame:
     """At most ``n`` rows per key, the first ``n`` by ``order`` (which should be total).
 
-    Two rounds so a hot key is not ranked in one task: first within (key, salt) -- the salt hashes the row --
-    keeping ``n`` each, then within the key over at most ``salts * n`` survivors. Exact, since the top ``n``
-    of a key are among the top ``n`` of its salt groups.
+    Two rounds so a hot key is not ranked in one task: first within (key, salt) -- the salt hashes the row's
+    scan position, so even identical rows spread -- keeping ``n`` each, then within the key over at most
+    ``salts * n`` survivors. Exact, since the top ``n`` of a key are among the top ``n`` of its salt groups.
     """
     keys = list(keys)
     salts = salts or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)))
     w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
     first = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= n)
     w2 = Window.partitionBy(*keys).orderBy(*order)

@@ -301,6 +301,16 @@ def q_composite_codes(spark, sf_dir) -> DataFrame:
     return codes.where(F.col("otherpayer_membercode").isNotNull() & F.col("otherpayer_membercode").startswith(F.col("c_id")))
 
 
+def q_variant_flatten(spark, sf_dir) -> DataFrame:
+    """Lateral flatten of a VARIANT object: one row per top-level field of each web-sale payload."""
+    t = _t(spark, sf_dir)
+    p = web_sales(t).select("o_orderkey", F.try_parse_json("EVENT_PAYLOAD").alias("v"))
+    flat = semistructured.flatten(p, "v", index="idx", key="field")
+    kind = F.schema_of_variant("value")
+    kind = F.when(kind.startswith("OBJECT"), F.lit("object")).when(kind.startswith("ARRAY"), F.lit("array")).otherwise(F.lit("scalar"))
+    return flat.select("o_orderkey", "field", kind.alias("value_kind"))
+
+
 # --- C20: code lookup in an array column --------------------------------------------------------------
 
 

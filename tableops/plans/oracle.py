@@ -499,6 +499,21 @@ SELECT o_orderkey, CAST(c_custkey AS VARCHAR) AS contact_code,
   CAST(c_nationkey AS VARCHAR) AS c_id,
   CAST(c_nationkey AS VARCHAR) || 'p' || CAST(o_orderkey % 997 AS VARCHAR) AS otherpayer_membercode
 FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F'
+""",
+    "variant_flatten": """
+WITH p AS (
+  SELECT o_orderkey, json_object(
+    'member', json_object('exerpPersonId', CAST(c_custkey AS VARCHAR), 'exerpMemberId', json_object('clubId', c_nationkey, 'id', c_custkey)),
+    'membership', json_object('exerpSubscriptionId', json_object('clubId', c_nationkey, 'id', o_orderkey)),
+    'selections', json_object('exerpProductId', json_object('clubId', 1, 'id', o_orderkey % 50)),
+    'saleType', o_orderpriority,
+    'otherPayer', CASE WHEN o_orderstatus = 'F' THEN json_object('email', 'payer' || CAST(o_orderkey AS VARCHAR) || '@example.com',
+                  'exerpMemberId', json_object('clubId', c_nationkey, 'id', o_orderkey % 997)) END) AS j
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+f AS (SELECT o_orderkey, j, unnest(json_keys(j)) AS field FROM p),
+k AS (SELECT o_orderkey, field, json_type(json_extract(j, '$."' || field || '"')) AS t FROM f)
+SELECT o_orderkey, field, CASE t WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' ELSE 'scalar' END AS value_kind
+FROM k WHERE t <> 'NULL'
 """,
     "array_code_lookup": """
 SELECT nk_contact, CAST(idx AS INTEGER) AS idx, code FROM (

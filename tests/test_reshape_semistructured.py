@@ -92,3 +92,18 @@ def test_evolve(spark):
     assert out.dtypes == [("id", "bigint"), ("label", "string"), ("note", "string")]
     with pytest.raises(ValueError):
         schema.evolve(df, drop=["nope"])
+
+
+def test_flatten_variant_arrays_and_objects(spark):
+    df = spark.createDataFrame(
+        [(1, '{"b": 1, "a": {"x": [1, 2]}}'), (2, '[10, "two"]'), (3, "7"), (4, None), (5, "[]")], "id int, s string"
+    ).withColumn("v", F.try_parse_json("s"))
+    flat = semistructured.flatten(df.select("id", "v"), "v")
+    got = rows(flat.select("id", "index", "key", F.to_json("value").alias("j")))
+    assert got == [(1, None, "a", '{"x":[1,2]}'), (1, None, "b", "1"), (2, 0, None, "10"), (2, 1, None, '"two"')]
+    assert semistructured.flatten(df.select("id", "v"), "v", outer=True).count() == 7
+
+
+def test_flatten_map(spark):
+    df = spark.createDataFrame([(1, {"a": 1, "b": 2})], "id int, m map<string,int>")
+    assert rows(semistructured.flatten(df, "m").select("id", "key", "value")) == [(1, "a", 1), (1, "b", 2)]
