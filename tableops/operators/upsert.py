@@ -68,14 +68,12 @@ def upsert(
 ) -> DataFrame:
     """Full-row upsert: source rows replace target rows with the same key, new keys are inserted.
 
-    A duplicate or NULL source key fails the job (``on_duplicate='error'``); ``'first'`` keeps the latest
-    row per key by ``order``."""
+    One full outer join on the keys (each side read once); a source row wins as a whole, so columns the source
+    lacks become NULL on replaced rows. A duplicate or NULL source key fails the job
+    (``on_duplicate='error'``); ``'first'`` keeps the latest row per key by ``order``."""
     keys = list(keys)
-    cols = source.columns
     src = _resolve_duplicates(source, keys, on_duplicate, order, allow_null_keys=False)
-    kept = target.join(src.select(*keys), keys, "left_anti")
-    checked = src.select(F.when(F.col(GUARD), F.col(cols[0])).alias(cols[0]), *cols[1:])
-    return kept.unionByName(checked, allowMissingColumns=True)
+    return _merge(target, src, keys, [c for c in source.columns if c not in keys], whole_row=True)
 
 
 def merge_partial(
@@ -89,23 +87,23 @@ def merge_partial(
     """Existing key: overwrite only ``fields`` (a NULL in the source overwrites); other target fields survive.
     Missing key: insert the whole source row. Target rows without a source row are unchanged."""
     keys = list(keys)
-    source = _resolve_duplicates(source, keys, on_duplicate, order)
-    t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in target.columns if c not in keys], F.lit(True).alias("_in_t"))
-    s = source.select(
-        *keys, *[F.col(c).alias(f"_s_{c}") for c in source.columns if c not in keys + [GUARD]], F.col(GUARD).alias("_in_s")
-    )
+    src = _resolve_duplicates(source, keys, on_duplicate, order)
+    return _merge(target, src, keys, list(fields), whole_row=False)
+
+
+def _merge(target: DataFrame, src: DataFrame, keys: list[str], fields: list[str], whole_row: bool) -> DataFrame:
+    t_cols = [c for c in target.columns if c not in keys]
+    s_cols = [c for c in src.columns if c not in keys and c != GUARD]
+    t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in t_cols], F.lit(True).alias("_in_t"))
+    s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in s_cols], F.col(GUARD).alias("_in_s"))
     j = t.join(s, keys, "full_outer")
-    cols = list(keys) + [c for c in target.columns if c not in keys]
-    cols += [c for c in source.columns if c not in cols and c != GUARD]
-    out = []
-    for c in cols:
-        if c in keys:
-            out.append(F.col(c))
-            continue
-        tc = F.col(f"_t_{c}") if c in target.columns else F.lit(None)
-        sc = F.col(f"_s_{c}") if c in source.columns else F.lit(None)
-        if c in fields:
-            out.append(F.when(F.col("_in_s"), sc).otherwise(tc).alias(c))
+    in_s = F.coalesce(F.col("_in_s"), F.lit(False))
+    out = [F.col(k) for k in keys]
+    for c in t_cols + [c for c in s_cols if c not in t_cols]:
+        tc = F.col(f"_t_{c}") if c in t_cols else F.lit(None)
+        sc = F.col(f"_s_{c}") if c in s_cols else F.lit(None)
+        if whole_row or c in fields:
+            out.append(F.when(in_s, sc).otherwise(tc).alias(c))
         else:
             out.append(F.when(F.col("_in_t"), tc).otherwise(sc).alias(c))
     return j.select(*out)
