@@ -137,6 +137,18 @@ def weekly_snapshots(anchor: DataFrame, start: str, years: int = 10, out: str =
     return anchor.select("*", F.explode(days).alias(out))
 
 
+def dimension_range(anchor: DataFrame, as_of: str, days: int = 10_000, years_ahead: int = 3, out: str = "nk_date") -> DataFrame:
+    """Dates for a dimension table: the ``days`` days ending at ``as_of``, moved ``years_ahead`` years forward.
+
+    Generated as one gap-free ``sequence`` between the moved end points. Moving each day separately (the
+    warehouse recipe) maps 29 Feb onto 28 Feb, repeating one day and dropping the leap day; the range here has
+    every calendar day exactly once.
+    """
+    end = F.add_months(as_date(as_of), 12 * years_ahead)
+    start = F.add_months(F.date_sub(as_date(as_of), days - 1), 12 * years_ahead)
+    return anchor.select("*", F.explode(F.sequence(start, end)).alias(out))
+
+
 def date_span(df: DataFrame, col: str, out: str = "nk_date") -> DataFrame:
     """Every date from the smallest to the largest value of ``col`` (gap-free)."""
     bounds = df.agg(F.min(as_date(col)).alias("_lo"), F.max(as_date(col)).alias("_hi"))

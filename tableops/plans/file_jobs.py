@@ -118,7 +118,7 @@ def q_unload_reload(spark, sf_dir) -> DataFrame:
     t = _t(spark, sf_dir)
     stage = scratch_path(spark, "scoring")
     scores = scoring_results(t)
-    unload_partition(scores, stage, ["scoring_year"])
+    unload_partition(scores, stage, ["scoring_year"], cluster_by=["PK"])
     # a rerun for one year replaces that partition only
     unload_partition(scores.where(F.col("scoring_year") == 2001).withColumn("MODEL_VERSION", F.lit("v2")), stage, ["scoring_year"])
 

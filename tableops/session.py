@@ -37,6 +37,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TABLEOPS_DRIVER_MEMORY", "16g"))
     )
     for k, v in _SESSION_CONF.items():
@@ -59,7 +60,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Uses the cluster's ``spark.checkpoint.dir`` when set; otherwise (tests, local runs) creates a private one.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- remote sessions have no context handle; the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)

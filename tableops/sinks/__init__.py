@@ -1,3 +1,3 @@
 """Writers: typed append, partition unload, partitioned JSON lines, gzip JSON, stamped CSV."""
 
-from .writers import TEXT_TS_OPTIONS, load_append, unload_partition, write_csv_stamped, write_json_gzip, write_json_parts  # noqa: F401
+from .writers import TEXT_TS_OPTIONS, clustered, load_append, unload_partition, write_csv_stamped, write_json_gzip, write_json_parts  # noqa: F401

@@ -29,10 +29,30 @@ def load_append(df: DataFrame, target: str, columns: Sequence[str] | None = None
         out.write.mode("append").format(fmt).saveAsTable(target)
 
 
+def clustered(df: DataFrame, part_cols: Sequence[str], cluster_by: Sequence[str], n: int | None = None) -> DataFrame:
+    """Range-partition by ``part_cols`` + ``cluster_by`` and sort within tasks.
+
+    Each task then holds a contiguous run of partition values and writes few, large, sorted files (min/max
+    statistics prune well); a partition value holding much of the data is split across tasks by the secondary
+    columns instead of landing in one task, as ``repartition(part_cols)`` would do.
+    """
+    cols = [*part_cols, *cluster_by]
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+
+
 def unload_partition(
-    df: DataFrame, path: str, part_cols: Sequence[str], fmt: str = "parquet", compression: str = "snappy"
+    df: DataFrame,
+    path: str,
+    part_cols: Sequence[str],
+    fmt: str = "parquet",
+    compression: str = "snappy",
+    cluster_by: Sequence[str] | None = None,
 ) -> None:
-    """Write ``df`` partitioned by ``part_cols``, replacing only the partitions present in ``df``."""
+    """Write ``df`` partitioned by ``part_cols``, replacing only the partitions present in ``df``.
+    ``cluster_by`` (secondary columns) clusters the output first, see ``clustered``."""
+    if cluster_by:
+        df = clustered(df, part_cols, cluster_by)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -43,8 +63,16 @@ def unload_partition(
     )
 
 
-def write_json_parts(df: DataFrame, path: str, part_cols: Sequence[str], compression: str | None = None) -> None:
+def write_json_parts(
+    df: DataFrame,
+    path: str,
+    part_cols: Sequence[str],
+    compression: str | None = None,
+    cluster_by: Sequence[str] | None = None,
+) -> None:
     """JSON lines in one folder per ``part_cols`` value combination (e.g. per file and metric)."""
+    if cluster_by:
+        df = clustered(df, part_cols, cluster_by)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**TEXT_TS_OPTIONS)
     w = w.partitionBy(*part_cols)
     if compression:

@@ -101,3 +101,11 @@ def test_strict_null_functions(spark):
     got = df.select(concat_ws_strict(".", "x", "y").alias("c"), greatest_strict("p", "q").alias("g")).collect()
     assert (got[0].c, got[0].g) == ("a.b", 2)
     assert (got[1].c, got[1].g) == (None, None)
+
+
+def test_dimension_range_is_gap_free(spark):
+    anchor = spark.createDataFrame([(dt.date(2026, 12, 1),)], "as_of date")
+    d = [r.nk_date for r in calendar.dimension_range(anchor, "as_of").collect()]
+    assert len(d) == len(set(d)) and max(d) == dt.date(2029, 12, 1)
+    assert (max(d) - min(d)).days + 1 == len(d)
+    assert dt.date(2028, 2, 29) in d

@@ -114,3 +114,13 @@ def test_catalog_columns_and_date_path(spark):
     assert got == [("t_a", "etl_createdatetime")]
     d = spark.createDataFrame([(dt.date(2021, 10, 12),)], "d date").select(date_path("d")).collect()[0][0]
     assert d == "2021/10/12/"
+
+
+def test_clustered_unload_splits_hot_partition(spark, tmp_dir):
+    # one partition value holds 90 % of the rows: clustered output spreads it over several files
+    data = [(2020 if i % 10 else 2021, i) for i in range(2000)]
+    df = spark.createDataFrame(data, "y int, pk int")
+    unload_partition(df, tmp_dir + "/c", ["y"], cluster_by=["pk"])
+    files = [f for f in os.listdir(tmp_dir + "/c/y=2020") if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert spark.read.parquet(tmp_dir + "/c").count() == 2000
