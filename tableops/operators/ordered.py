@@ -113,25 +113,17 @@ def lead_within(
     return joined.withColumn(out, nxt.getField("v")).drop("_next", "_last_key", "_succ", SLICE)
 
 
-def dense_rank_global(
-    df: DataFrame,
-    order_col: str,
-    descending: bool = True,
-    out: str = "rank",
-    max_out: str | None = None,
-    n: int | None = None,
+def ranked_values(
+    df: DataFrame, order_col: str, descending: bool = True, out: str = "rank", max_out: str = "_max", n: int | None = None
 ) -> DataFrame:
-    """``dense_rank() over (order by order_col [desc])`` over the whole table, computed slice-wise.
+    """The distinct values of ``order_col`` (as ``_v``) with their dense rank ``out`` and the highest rank.
 
-    The distinct values are range-partitioned and sorted within each slice; a value's position in its slice is
-    read from ``monotonically_increasing_id`` (record number in the low 33 bits, partition in the high bits),
-    so no window and no further shuffle is needed. Slice sizes (at most ``n`` rows) give the offsets. Ranks are
-    joined back on the value; a value shared by many rows is a skewed join key, which adaptive execution splits.
-    ``max_out`` adds the highest rank.
+    Values are range-partitioned and sorted within each slice; a value's position in its slice is read from
+    ``monotonically_increasing_id`` (record number in the low 33 bits, partition in the high bits), so no window
+    and no further shuffle is needed. Slice sizes (at most ``n`` rows) give the offsets.
     """
-    v = F.col(order_col)
     sort_v = F.col("_v").desc() if descending else F.col("_v").asc()
-    values = df.select(v.alias("_v")).distinct()
+    values = df.select(F.col(order_col).alias("_v")).distinct()
     ranged = values.repartitionByRange(_n_slices(df, n), sort_v).sortWithinPartitions(sort_v)
     record = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
     local = cut_lineage(ranged.select("_v", F.spark_partition_id().alias(SLICE), (record + 1).alias("_local")))
@@ -140,12 +132,27 @@ def dense_rank_global(
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).withColumn("_total", F.sum("_cnt").over(Window.partitionBy(F.lit(0))))
-    ranked = local.join(F.broadcast(offsets.select(SLICE, "_off", "_total")), SLICE).select(
-        "_v", (F.col("_local") + F.col("_off")).cast("int").alias(out), F.col("_total").cast("int").alias("_max")
+    return local.join(F.broadcast(offsets.select(SLICE, "_off", "_total")), SLICE).select(
+        "_v", (F.col("_local") + F.col("_off")).cast("int").alias(out), F.col("_total").cast("int").alias(max_out)
     )
-    result = df.join(ranked, v.eqNullSafe(ranked["_v"]), "inner").drop("_v")
-    if max_out:
-        result = result.withColumnRenamed("_max", max_out)
-    else:
-        result = result.drop("_max")
-    return result
+
+
+def attach_ranks(df: DataFrame, order_col: str, ranked: DataFrame) -> DataFrame:
+    """Join ranked values (from ``ranked_values``) back to the rows; NULL-safe on the value. A value shared by
+    many rows is a skewed join key, which adaptive execution splits."""
+    return df.join(ranked, F.col(order_col).eqNullSafe(ranked["_v"]), "inner").drop("_v")
+
+
+def dense_rank_global(
+    df: DataFrame,
+    order_col: str,
+    descending: bool = True,
+    out: str = "rank",
+    max_out: str | None = None,
+    n: int | None = None,
+) -> DataFrame:
+    """``dense_rank() over (order by order_col [desc])`` over the whole table, computed slice-wise
+    (see ``ranked_values``). ``max_out`` adds the highest rank."""
+    ranked = ranked_values(df, order_col, descending, out, max_out or "_max", n)
+    result = attach_ranks(df, order_col, ranked)
+    return result if max_out else result.drop("_max")

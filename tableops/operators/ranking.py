@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import dense_rank_global
+from .ordered import attach_ranks, ranked_values
 
 
 def top_percent(
@@ -21,9 +21,12 @@ def top_percent(
     """Rows whose dense rank by ``order_col`` is strictly below ``max_rank * pct``.
 
     Ranks are over distinct values, so with few distinct values a small ``pct`` can select nothing; that is the
-    rule, not an accident. Both the rank and the highest rank are returned.
+    rule, not an accident. Both the rank and the highest rank are returned. No step gathers the rows (or the
+    values) into one task: see ``ordered.ranked_values``.
     """
-    ranked = dense_rank_global(df, order_col, descending=descending, out=rank_col, max_out=max_col)
+    ranked = ranked_values(df, order_col, descending=descending, out=rank_col, max_out=max_col)
     # exact decimal product: 1170 * 0.10 must be 117, not 117.00000000000001
     limit = F.col(max_col).cast("decimal(20,0)") * F.lit(Decimal(str(pct)))
-    return ranked.where(F.col(rank_col) < limit)
+    # select among the distinct values first, so the join back carries only the selected ones (a small side
+    # that adaptive execution can broadcast at run time)
+    return attach_ranks(df, order_col, ranked.where(F.col(rank_col) < limit))
