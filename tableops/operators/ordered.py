@@ -7,6 +7,7 @@ locally, and a per-slice summary of at most ``n`` rows (``n`` = number of slices
 broadcast) carries the counts and first rows across slice borders.
 
 The slice assignment comes from sampling, so it is pinned with a reliable checkpoint before it is used twice.
+Inputs the optimizer estimates below ``SLICE_MIN_BYTES`` take the plain window instead (see ``use_slices``).
 """
 
 from __future__ import annotations
@@ -20,6 +21,31 @@ from ..session import cut_lineage
 
 SLICE = "_slice"
 
+# Inputs whose estimated size is at most this many bytes are numbered with a plain window: even if one key
+# held all of it, one task handles it comfortably, and the slice machinery (sampling job, checkpoint write)
+# would cost more than it saves. Override with the session setting ``tableops.slices.minBytes``.
+SLICE_MIN_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (what Spark itself uses to choose broadcasts); None if unknown."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 -- remote sessions expose no plan statistics
+        return None
+
+
+def use_slices(df: DataFrame, n: int | None, method: str = "auto") -> bool:
+    """Slice-wise numbering unless the input is provably small (``method='auto'``); an explicit ``n`` or
+    ``method='slices'`` forces slices, ``method='window'`` forces the plain window."""
+    if method == "slices" or n:
+        return True
+    if method == "window":
+        return False
+    limit = int(df.sparkSession.conf.get("tableops.slices.minBytes", str(SLICE_MIN_BYTES)))
+    size = estimated_bytes(df)
+    return size is None or size > limit
+
 
 def _n_slices(df: DataFrame, n: int | None) -> int:
     if n:
@@ -48,11 +74,19 @@ def _key_struct(keys: Sequence[str]) -> Column:
 
 
 def row_number_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "row_number", n: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    out: str = "row_number",
+    n: int | None = None,
+    method: str = "auto",
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` (ascending, NULLs first); ``order`` must be total
     within a key."""
     keys, order = list(keys), list(order)
+    if not use_slices(df, n, method):
+        w = Window.partitionBy(*keys).orderBy(*_asc(order))
+        return df.withColumn(out, F.row_number().over(w).cast("long"))
     sliced = range_slices(df, _asc(keys) + _asc(order), n)
     local = sliced.withColumn("_local", F.row_number().over(Window.partitionBy(SLICE, *keys).orderBy(*_asc(order))))
 
@@ -87,10 +121,13 @@ def lead_within(
     value: str,
     out: str,
     n: int | None = None,
+    method: str = "auto",
 ) -> DataFrame:
     """``lead(value, 1) over (partition by keys order by order)`` (ascending, NULLs first); ``order`` must be
     total within a key."""
     keys, order = list(keys), list(order)
+    if not use_slices(df, n, method):
+        return df.withColumn(out, F.lead(F.col(value)).over(Window.partitionBy(*keys).orderBy(*_asc(order))))
     sliced = range_slices(df, _asc(keys) + _asc(order), n)
     w_local = Window.partitionBy(SLICE, *keys).orderBy(*_asc(order))
     local = sliced.withColumn("_next", F.lead(F.struct(F.col(value).alias("v"))).over(w_local))
@@ -114,7 +151,13 @@ def lead_within(
 
 
 def ranked_values(
-    df: DataFrame, order_col: str, descending: bool = True, out: str = "rank", max_out: str = "_max", n: int | None = None
+    df: DataFrame,
+    order_col: str,
+    descending: bool = True,
+    out: str = "rank",
+    max_out: str = "_max",
+    n: int | None = None,
+    method: str = "auto",
 ) -> DataFrame:
     """The distinct values of ``order_col`` (as ``_v``) with their dense rank ``out`` and the highest rank.
 
@@ -124,6 +167,10 @@ def ranked_values(
     """
     sort_v = F.col("_v").desc() if descending else F.col("_v").asc()
     values = df.select(F.col(order_col).alias("_v")).distinct()
+    if not use_slices(df, n, method):
+        w = Window.partitionBy(F.lit(0))
+        ranked = values.withColumn(out, F.row_number().over(Window.orderBy(sort_v)).cast("int"))
+        return ranked.withColumn(max_out, F.max(out).over(w))
     ranged = values.repartitionByRange(_n_slices(df, n), sort_v).sortWithinPartitions(sort_v)
     record = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
     local = cut_lineage(ranged.select("_v", F.spark_partition_id().alias(SLICE), (record + 1).alias("_local")))
@@ -150,9 +197,10 @@ def dense_rank_global(
     out: str = "rank",
     max_out: str | None = None,
     n: int | None = None,
+    method: str = "auto",
 ) -> DataFrame:
     """``dense_rank() over (order by order_col [desc])`` over the whole table, computed slice-wise
     (see ``ranked_values``). ``max_out`` adds the highest rank."""
-    ranked = ranked_values(df, order_col, descending, out, max_out or "_max", n)
+    ranked = ranked_values(df, order_col, descending, out, max_out or "_max", n, method)
     result = attach_ranks(df, order_col, ranked)
     return result if max_out else result.drop("_max")

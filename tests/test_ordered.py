@@ -55,3 +55,19 @@ def test_dense_rank_global_ascending_with_nulls(spark):
     got = dense_rank_global(df, "x", descending=False, out="r", n=2)
     exp = df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("x").asc())))
     assert sorted(got.select("id", "r").collect()) == sorted(exp.select("id", "r").collect())
+
+
+def test_small_inputs_take_the_window_and_agree(spark):
+    from tableops.operators.ordered import use_slices
+
+    nation = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
+    assert not use_slices(nation, None)  # a few KB of Parquet: the plain window
+    df = _skewed(spark, n=120)
+    assert use_slices(df, None)  # no size statistics (rows from the driver): the safe choice
+    assert use_slices(nation, 4) and use_slices(nation, None, "slices") and not use_slices(df, None, "window")
+    small = row_number_within(df, ["k"], ["start", "tb"], out="rn", method="window")
+    big = row_number_within(df, ["k"], ["start", "tb"], out="rn", method="slices")
+    assert sorted(small.select("tb", "rn").collect()) == sorted(big.select("tb", "rn").collect())
+    a = dense_rank_global(df, "start", out="r", max_out="m", method="window")
+    b = dense_rank_global(df, "start", out="r", max_out="m", method="slices")
+    assert sorted(a.select("tb", "r", "m").collect()) == sorted(b.select("tb", "r", "m").collect())
