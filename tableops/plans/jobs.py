@@ -229,12 +229,13 @@ def q_update_join(spark, sf_dir) -> DataFrame:
 
 
 def _product_groups(t: Tables) -> DataFrame:
-    """Three-way join with an inequality residual and DISTINCT output (the correction source)."""
-    p, s, n = t.part, t.supplier, t.nation
-    j = p.join(s, (s.s_nationkey == p.p_size) & (p.p_brand != "Brand#1")).join(
-        n, (n.n_nationkey == s.s_nationkey) & (n.n_regionkey != 0)
+    """Correction source: a chain of many-to-one joins (supplier -> nation -> region) with an inequality
+    residual and DISTINCT output, as in the warehouse statement; unique per supplier."""
+    s, n, r = t.supplier, t.nation, t.region
+    j = s.join(n, (n.n_nationkey == s.s_nationkey) & (n.n_name != "NATION_0")).join(
+        r, (r.r_regionkey == n.n_regionkey) & (r.r_regionkey != 0)
     )
-    return j.select("p_partkey", "s_suppkey", "n_name", "p_brand").distinct()
+    return j.select("s_suppkey", "n_name", "r_name").distinct()
 
 
 def q_update_defaulted(spark, sf_dir) -> DataFrame:
@@ -248,8 +249,8 @@ def q_update_defaulted(spark, sf_dir) -> DataFrame:
     return upsert.update_from(
         li,
         _product_groups(t),
-        [("l_partkey", "p_partkey"), ("l_suppkey", "s_suppkey")],
-        {"l_returnflag": ff("n_name"), "l_linestatus": ff("p_brand")},
+        [("l_suppkey", "s_suppkey")],
+        {"l_returnflag": ff("n_name"), "l_linestatus": ff("r_name")},
         where=lambda tc, sc: tc("l_shipdate") >= F.lit(dt.datetime(1999, 1, 1)).cast("timestamp_ntz"),
     )
 
@@ -517,11 +518,14 @@ def q_joins_mix(spark, sf_dir) -> DataFrame:
 
 
 def q_self_join(spark, sf_dir) -> DataFrame:
-    """Names present under both of two types (self-join of one filtered relation, DISTINCT)."""
+    """Names present under both of two types. The warehouse writes a self-join + DISTINCT; here one aggregate
+    per name decides it, so no name's rows are paired with each other."""
     t = _t(spark, sf_dir)
-    a = t.part.where(F.col("p_type") == "ECONOMY").select("p_name")
-    b = t.part.where(F.col("p_type") == "SMALL").select("p_name")
-    return a.join(b, "p_name").distinct().withColumn("in_both", F.lit("yes"))
+    p = t.part.where(F.col("p_type").isin("ECONOMY", "SMALL"))
+    by_name = p.groupBy("p_name").agg(
+        F.max((F.col("p_type") == "ECONOMY").cast("int")).alias("_a"), F.max((F.col("p_type") == "SMALL").cast("int")).alias("_b")
+    )
+    return by_name.where((F.col("_a") == 1) & (F.col("_b") == 1)).select("p_name", F.lit("yes").alias("in_both"))
 
 
 def q_aggs_mix(spark, sf_dir) -> DataFrame:

@@ -235,14 +235,14 @@ SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 """,
     "update_defaulted": """
-WITH pg AS (SELECT DISTINCT p.p_partkey, s.s_suppkey, n.n_name, p.p_brand
-  FROM part p JOIN supplier s ON s.s_nationkey = p.p_size AND p.p_brand <> 'Brand#1'
-  JOIN nation n ON n.n_nationkey = s.s_nationkey AND n.n_regionkey <> 0)
+WITH pg AS (SELECT DISTINCT s.s_suppkey, n.n_name, r.r_name
+  FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey AND n.n_name <> 'NATION_0'
+  JOIN region r ON r.r_regionkey = n.n_regionkey AND r.r_regionkey <> 0)
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
-  CASE WHEN pg.p_partkey IS NOT NULL AND l.l_shipdate >= TIMESTAMP '1999-01-01' THEN coalesce('FF' || pg.n_name, '-1') ELSE l.l_returnflag END AS l_returnflag,
-  CASE WHEN pg.p_partkey IS NOT NULL AND l.l_shipdate >= TIMESTAMP '1999-01-01' THEN coalesce('FF' || pg.p_brand, '-1') ELSE l.l_linestatus END AS l_linestatus,
+  CASE WHEN pg.s_suppkey IS NOT NULL AND l.l_shipdate >= TIMESTAMP '1999-01-01' THEN coalesce('FF' || pg.n_name, '-1') ELSE l.l_returnflag END AS l_returnflag,
+  CASE WHEN pg.s_suppkey IS NOT NULL AND l.l_shipdate >= TIMESTAMP '1999-01-01' THEN coalesce('FF' || pg.r_name, '-1') ELSE l.l_linestatus END AS l_linestatus,
   l.l_shipdate
-FROM lineitem l LEFT JOIN pg ON l.l_partkey = pg.p_partkey AND l.l_suppkey = pg.s_suppkey
+FROM lineitem l LEFT JOIN pg ON l.l_suppkey = pg.s_suppkey
 """,
     "upsert_full": f"""
 WITH {_CUST_TARGET}
