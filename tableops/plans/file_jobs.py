@@ -105,7 +105,7 @@ def scoring_results(t: Tables) -> DataFrame:
     o = t.orders
     return o.select(
         F.unix_micros(F.to_date("o_orderdate").cast("timestamp")).alias("SCORING_DATE"),
-        F.concat(F.lit("SA"), F.col("o_custkey").cast("string")).alias("PK"),
+        F.concat(F.lit("CU"), F.col("o_custkey").cast("string")).alias("PK"),
         ((F.col("o_orderkey") % 100000).cast("decimal(12,0)") / F.lit(100000)).cast("decimal(6,5)").alias("PREDICTION_PROBABILITY"),
         F.col("o_orderpriority").alias("MODEL_NAME"),
         F.col("o_orderstatus").alias("MODEL_VERSION"),
@@ -146,7 +146,7 @@ def q_delimited_roundtrip(spark, sf_dir) -> DataFrame:
         F.col("c_nationkey").cast("string").alias("club"),
         F.col("c_custkey").cast("string").alias("member"),
         F.lit("1").alias("seq"),
-        F.concat(F.lit("SA"), F.col("c_custkey").cast("string")).alias("member_code"),
+        F.concat(F.lit("CU"), F.col("c_custkey").cast("string")).alias("member_code"),
         F.lit("unused").alias("x"),
         F.concat(F.col("c_mktsegment"), F.lit(" ÆØÅ")).alias("status"),
         F.date_add(F.lit(AS_OF), F.col("c_nationkey")).cast("string").alias("end_date"),
@@ -209,6 +209,7 @@ ITEM_SCHEMA = (
     "id bigint, centerId int, lifecycle_tag string, past_segment string, segment string, trend string, "
     "lifecycle_start_date string, segment_start_date string, changeddate string"
 )
+# The seven item fields a changed row overwrites (all others of the stored item survive).
 PARTIAL_FIELDS = ["lifecycle_tag", "past_segment", "segment", "trend", "lifecycle_start_date", "segment_start_date", "changeddate"]
 
 
@@ -266,16 +267,16 @@ def web_sales(t: Tables) -> DataFrame:
         F.col("o_orderstatus") == "F",
         F.struct(
             F.concat(F.lit("payer"), F.col("o_orderkey").cast("string"), F.lit("@example.com")).alias("email"),
-            F.struct(F.col("c_nationkey").alias("clubId"), (F.col("o_orderkey") % 997).alias("id")).alias("exerpMemberId"),
+            F.struct(F.col("c_nationkey").alias("clubId"), (F.col("o_orderkey") % 997).alias("id")).alias("memberId"),
         ),
     )
     body = F.struct(
         F.struct(
-            F.col("c_custkey").cast("string").alias("exerpPersonId"),
-            F.struct(F.col("c_nationkey").alias("clubId"), F.col("c_custkey").alias("id")).alias("exerpMemberId"),
+            F.col("c_custkey").cast("string").alias("personId"),
+            F.struct(F.col("c_nationkey").alias("clubId"), F.col("c_custkey").alias("id")).alias("memberId"),
         ).alias("member"),
-        F.struct(F.struct(F.col("c_nationkey").alias("clubId"), F.col("o_orderkey").alias("id")).alias("exerpSubscriptionId")).alias("membership"),
-        F.struct(F.struct(F.lit(1).alias("clubId"), (F.col("o_orderkey") % 50).alias("id")).alias("exerpProductId")).alias("selections"),
+        F.struct(F.struct(F.col("c_nationkey").alias("clubId"), F.col("o_orderkey").alias("id")).alias("subscriptionId")).alias("membership"),
+        F.struct(F.struct(F.lit(1).alias("clubId"), (F.col("o_orderkey") % 50).alias("id")).alias("productId")).alias("selections"),
         F.col("o_orderpriority").alias("saleType"),
         payer.alias("otherPayer"),
     )
@@ -288,14 +289,14 @@ def q_composite_codes(spark, sf_dir) -> DataFrame:
     g = lambda path: semistructured.get_path("v", path, "string")
     codes = p.select(
         "o_orderkey",
-        g("member.exerpPersonId").alias("contact_code"),
-        code(g("member.exerpMemberId.clubId"), "p", g("member.exerpMemberId.id")).alias("member_code"),
-        code(g("membership.exerpSubscriptionId.clubId"), "ss", g("membership.exerpSubscriptionId.id")).alias("subscription_id"),
-        code(g("selections.exerpProductId.clubId"), "prod", g("selections.exerpProductId.id")).alias("product_id"),
+        g("member.personId").alias("contact_code"),
+        code(g("member.memberId.clubId"), "p", g("member.memberId.id")).alias("member_code"),
+        code(g("membership.subscriptionId.clubId"), "ss", g("membership.subscriptionId.id")).alias("subscription_id"),
+        code(g("selections.productId.clubId"), "prod", g("selections.productId.id")).alias("product_id"),
         g("saleType").alias("sale_type"),
         g("otherPayer.email").alias("otherpayer_email"),
-        g("member.exerpMemberId.clubId").alias("c_id"),
-        code(g("otherPayer.exerpMemberId.clubId"), "p", g("otherPayer.exerpMemberId.id")).alias("otherpayer_membercode"),
+        g("member.memberId.clubId").alias("c_id"),
+        code(g("otherPayer.memberId.clubId"), "p", g("otherPayer.memberId.id")).alias("otherpayer_membercode"),
     )
     # payer search: a filter on the derived alias
     return codes.where(F.col("otherpayer_membercode").isNotNull() & F.col("otherpayer_membercode").startswith(F.col("c_id")))
@@ -317,7 +318,7 @@ def q_variant_flatten(spark, sf_dir) -> DataFrame:
 def q_array_code_lookup(spark, sf_dir) -> DataFrame:
     t = _t(spark, sf_dir)
     c = t.customer.select(
-        F.concat(F.lit("SA"), F.col("c_custkey").cast("string")).alias("nk_contact"),
+        F.concat(F.lit("CU"), F.col("c_custkey").cast("string")).alias("nk_contact"),
         F.array(
             F.concat(F.col("c_nationkey").cast("string"), F.lit("p"), F.col("c_custkey").cast("string")),
             F.concat(F.lower("c_mktsegment"), F.col("c_custkey").cast("string")),

@@ -355,9 +355,11 @@ def q_flatten_array(spark, sf_dir) -> DataFrame:
 
 # --- forecast matrix (C1) ------------------------------------------------------------------------------
 
-# Month labels as they appear in the sheets (Norwegian where they differ from English).
+# Month labels as they appear in the sheets (Norwegian where they differ from English), and the
+# sheet's static column headers with the names they get in the facts.
 MONTH_LABELS = ["jan", "feb", "mar", "apr", "mai", "jun", "jul", "aug", "sep", "okt", "nov", "des"]
 FORECAST_RENAME = {"CC": "center_id", "Name": "center_name", "Country": "country_code", "Business unit": "business_unit"}
+# Countries the report keeps (the benchmark's nations stand in for the four markets).
 RECOGNIZED_COUNTRIES = ["NATION_1", "NATION_2", "NATION_3", "NATION_4"]
 FORECAST_YEAR = 2000
 
@@ -677,7 +679,8 @@ def weather_documents(t: Tables) -> DataFrame:
         ).alias("data"),
     )
     doc = F.to_json(F.struct(F.struct(F.array(step).alias("timeseries")).alias("properties")))
-    return n.where(F.col("n_nationkey") < 20).select(F.col("n_name").alias("city_name"), doc.alias("response"))
+    # forecasts exist for the cities outside region 4 (clubs there get none and drop out of the report)
+    return n.where(F.col("n_regionkey") != 4).select(F.col("n_name").alias("city_name"), doc.alias("response"))
 
 
 def q_weather_enrich(spark, sf_dir) -> DataFrame:

@@ -433,7 +433,7 @@ WHERE lower(meta.table_type) NOT IN ('view', 'materialized view')
 WITH w AS (SELECT n_name AS city_name, '2024-01-01T12:00:00Z' AS measure_time, CAST(n_nationkey - 5 AS DOUBLE) AS temperature,
     CASE WHEN n_nationkey * 5 > 50 THEN 'no' ELSE 'yes' END AS clear_sky,
     CASE WHEN n_nationkey % 4 = 3 THEN NULL WHEN n_nationkey * 0.025 > 0.1 THEN 'yes' ELSE 'no' END AS precipitation
-  FROM nation WHERE n_nationkey < 20)
+  FROM nation WHERE n_regionkey <> 4)
 SELECT s.s_suppkey AS center_code, w.measure_time, w.temperature, w.clear_sky, w.precipitation
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN w ON w.city_name = n.n_name
 """,
@@ -452,7 +452,7 @@ SELECT event_id,
 FROM events
 """,
     "unload_reload": """
-SELECT CAST(o_orderdate AS DATE) AS scoring_date, 'SA' || CAST(o_custkey AS VARCHAR) AS pk,
+SELECT CAST(o_orderdate AS DATE) AS scoring_date, 'CU' || CAST(o_custkey AS VARCHAR) AS pk,
   CAST(CAST(o_orderkey % 100000 AS DECIMAL(18,5)) / 100000 AS DECIMAL(6,5)) AS prediction_probability,
   o_orderpriority AS model_name,
   CASE WHEN year(o_orderdate) = 2001 THEN 'v2' ELSE o_orderstatus END AS model_version,
@@ -461,7 +461,7 @@ FROM orders
 """,
     "delimited_roundtrip": """
 SELECT CAST(c_nationkey AS VARCHAR) || 'p' || CAST(c_custkey AS VARCHAR) || 'rpt1' AS agreement_code,
-  'SA' || CAST(c_custkey AS VARCHAR) AS member_code, c_mktsegment || ' ÆØÅ' AS person_status,
+  'CU' || CAST(c_custkey AS VARCHAR) AS member_code, c_mktsegment || ' ÆØÅ' AS person_status,
   DATE '2001-08-01' + c_nationkey AS end_date, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS price
 FROM customer
 """,
@@ -503,12 +503,12 @@ FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F'
     "variant_flatten": """
 WITH p AS (
   SELECT o_orderkey, json_object(
-    'member', json_object('exerpPersonId', CAST(c_custkey AS VARCHAR), 'exerpMemberId', json_object('clubId', c_nationkey, 'id', c_custkey)),
-    'membership', json_object('exerpSubscriptionId', json_object('clubId', c_nationkey, 'id', o_orderkey)),
-    'selections', json_object('exerpProductId', json_object('clubId', 1, 'id', o_orderkey % 50)),
+    'member', json_object('personId', CAST(c_custkey AS VARCHAR), 'memberId', json_object('clubId', c_nationkey, 'id', c_custkey)),
+    'membership', json_object('subscriptionId', json_object('clubId', c_nationkey, 'id', o_orderkey)),
+    'selections', json_object('productId', json_object('clubId', 1, 'id', o_orderkey % 50)),
     'saleType', o_orderpriority,
     'otherPayer', CASE WHEN o_orderstatus = 'F' THEN json_object('email', 'payer' || CAST(o_orderkey AS VARCHAR) || '@example.com',
-                  'exerpMemberId', json_object('clubId', c_nationkey, 'id', o_orderkey % 997)) END) AS j
+                  'memberId', json_object('clubId', c_nationkey, 'id', o_orderkey % 997)) END) AS j
   FROM orders JOIN customer ON o_custkey = c_custkey),
 f AS (SELECT o_orderkey, j, unnest(json_keys(j)) AS field FROM p),
 k AS (SELECT o_orderkey, field, json_type(json_extract(j, '$."' || field || '"')) AS t FROM f)
@@ -517,7 +517,7 @@ FROM k WHERE t <> 'NULL'
 """,
     "array_code_lookup": """
 SELECT nk_contact, CAST(idx AS INTEGER) AS idx, code FROM (
-  SELECT 'SA' || CAST(c_custkey AS VARCHAR) AS nk_contact,
+  SELECT 'CU' || CAST(c_custkey AS VARCHAR) AS nk_contact,
     unnest([CAST(c_nationkey AS VARCHAR) || 'p' || CAST(c_custkey AS VARCHAR), lower(c_mktsegment) || CAST(c_custkey AS VARCHAR),
             'old' || CAST(c_custkey % 7 AS VARCHAR)]) AS code,
     unnest([0, 1, 2]) AS idx

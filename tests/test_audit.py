@@ -14,11 +14,11 @@ def _access(spark):
         return (name, dom, [(c,) for c in cols])
 
     data = [
-        ("q1", "SYS_PBI", dt.datetime(2024, 1, 30, 10), [o("DM.RP.DIM_A", cols=["NK", "X"]), o("DM.AN.FACT_B", cols=["NK"])]),
-        ("q2", "SYS_PBI", dt.datetime(2024, 1, 30, 11), []),  # empty object array: dropped by the flatten
-        ("q3", "SYS_PBI", dt.datetime(2024, 1, 20, 9), [o("DM.RP.DIM_A", cols=["NK"])]),  # outside 1-day look-back
+        ("q1", "SYS_BI", dt.datetime(2024, 1, 30, 10), [o("DM.RP.DIM_A", cols=["NK", "X"]), o("DM.AN.FACT_B", cols=["NK"])]),
+        ("q2", "SYS_BI", dt.datetime(2024, 1, 30, 11), []),  # empty object array: dropped by the flatten
+        ("q3", "SYS_BI", dt.datetime(2024, 1, 20, 9), [o("DM.RP.DIM_A", cols=["NK"])]),  # outside 1-day look-back
         ("q4", "OTHER", dt.datetime(2024, 1, 30, 12), [o("DM.PL.DIM_C", cols=["NK"])]),  # other user
-        ("q5", "SYS_PBI", dt.datetime(2024, 1, 30, 13), [o("DM.PL.FACT_D", cols=["Y"]), o("DM.RP.DIM_A", "View", ["NK"])]),
+        ("q5", "SYS_BI", dt.datetime(2024, 1, 30, 13), [o("DM.PL.FACT_D", cols=["Y"]), o("DM.RP.DIM_A", "View", ["NK"])]),
     ]
     return spark.createDataFrame(
         data, f"query_id string, user_name string, query_start_time timestamp_ntz, direct_objects_accessed {OBJ}"
@@ -43,7 +43,7 @@ def _inventory(spark):
 
 
 def test_table_usage(spark):
-    got = audit.table_usage(_inventory(spark), _access(spark), AS_OF, ["SYS_PBI"])
+    got = audit.table_usage(_inventory(spark), _access(spark), AS_OF, ["SYS_BI"])
     assert rows(got, "fq_table_name", "updated_or_created_last_day", "queried_last_day", "table_exists_in_both_rp_and_an") == [
         ("DM.AN.DIM_A", "no", "no", "yes"),
         ("DM.AN.FACT_B", "no", "yes", "no"),  # greatest(NULL, created) is NULL -> not 'yes'
@@ -54,13 +54,13 @@ def test_table_usage(spark):
 
 def test_column_usage_one_row_per_column(spark):
     queries = spark.createDataFrame(
-        [("q1", "SYS_PBI", "select a", "SELECT", dt.datetime(2024, 1, 30)), ("q3", "SYS_PBI", "select b", "SELECT", dt.datetime(2024, 1, 20)),
-         ("q5", "SYS_PBI", "insert c", "INSERT", dt.datetime(2024, 1, 30))],
+        [("q1", "SYS_BI", "select a", "SELECT", dt.datetime(2024, 1, 30)), ("q3", "SYS_BI", "select b", "SELECT", dt.datetime(2024, 1, 20)),
+         ("q5", "SYS_BI", "insert c", "INSERT", dt.datetime(2024, 1, 30))],
         "query_id string, user_name string, query_text string, query_type string, end_time timestamp_ntz",
     )
-    got = audit.column_usage(_access(spark), queries, "DM.RP.DIM_A", AS_OF, 30, ["SYS_PBI"])
+    got = audit.column_usage(_access(spark), queries, "DM.RP.DIM_A", AS_OF, 30, ["SYS_BI"])
     assert rows(got, "query_id") == [("q1",), ("q1",), ("q3",)]  # q5 read DIM_A as a View: not counted
-    only_nk = audit.column_usage(_access(spark), queries, "DM.RP.DIM_A", AS_OF, 1, ["SYS_PBI"], columns=["NK"], query_type="SELECT")
+    only_nk = audit.column_usage(_access(spark), queries, "DM.RP.DIM_A", AS_OF, 1, ["SYS_BI"], columns=["NK"], query_type="SELECT")
     assert rows(only_nk, "query_id") == [("q1",)]
 
 
