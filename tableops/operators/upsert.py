@@ -118,6 +118,7 @@ def update_from(
     on_duplicate: str = "error",
     order: Sequence[str] | None = None,
     matched_col: str | None = None,
+    broadcast_max_rows: int | None = 1_000_000,
 ) -> DataFrame:
     """``UPDATE target SET c = expr(source) FROM source WHERE target.k = source.k [AND where]``.
 
@@ -125,9 +126,15 @@ def update_from(
     target column to a source column name or to ``lambda s: <Column over s('col')>``. ``where(t, s)`` adds
     conditions over target ``t('col')`` and source ``s('col')`` columns. Unmatched rows are unchanged; a
     matched NULL overwrites (no ``coalesce``). The row count of ``target`` never changes.
+
+    Corrections are usually few against a large target, but the optimizer's estimate of a joined or
+    aggregated source can be far too high to broadcast. The source is therefore counted with a bounded
+    ``limit(broadcast_max_rows + 1).count()``; when that proves it small it is broadcast and the target is not
+    shuffled at all. ``None`` leaves the choice to Spark.
     """
     pairs = [(p, p) if isinstance(p, str) else tuple(p) for p in on]
     skeys = [sk for _, sk in pairs]
+    small = broadcast_max_rows is not None and source.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
     source = _resolve_duplicates(source, skeys, on_duplicate, order)
     src = source.select(
         *[F.col(c).alias(f"_src_{c}") for c in source.columns if c != GUARD], F.col(GUARD).alias("_matched")
@@ -140,7 +147,7 @@ def update_from(
         return F.col(c)
 
     cond = reduce(lambda a, b: a & b, [target[tk] == src[f"_src_{sk}"] for tk, sk in pairs])
-    joined = target.join(src, cond, "left")
+    joined = target.join(F.broadcast(src) if small else src, cond, "left")
     hit = F.coalesce(F.col("_matched"), F.lit(False))
     if where is not None:
         hit = hit & F.coalesce(where(t, s), F.lit(False))
