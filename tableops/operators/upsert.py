@@ -175,6 +175,10 @@ def close_open_intervals(
     """For keys with more than one open row (``end`` NULL), give each open row that has a successor
     ``end = next start - 1 day``. The successor is taken over *all* rows of the key, closed ones included,
     ordered by ``start`` then ``tiebreak``. Rows of other keys are returned unchanged.
+
+    Open rows are counted per key with a map-side-combined aggregate (joined back on the key), and the
+    successor comes from ``lead_within`` over all rows in one pass, which stays balanced when one key holds a
+    large share of the rows.
     """
     keys = [key] if isinstance(key, str) else list(key)
     ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
@@ -186,20 +190,16 @@ def close_open_intervals(
         .select(*keys, F.lit(True).alias("_multi"))
     )
     flagged = df.join(multi, keys, "left")
-    affected = lead_within(flagged.where(F.col("_multi")), keys, [start] + ties, start, "_next_start")
+    nxt = lead_within(flagged, keys, [start] + ties, start, "_next_start")
     new_end = F.when(
-        F.col(end).isNull() & F.col("_next_start").isNotNull(), F.date_sub(F.to_date(F.col("_next_start")), 1)
-    )
-    end_type = df.schema[end].dataType
-    fixed = affected.withColumn("_new_end", new_end.cast(end_type))
-    if changed_col:
-        fixed = fixed.withColumn(changed_col, F.col("_new_end").isNotNull())
-    fixed = fixed.withColumn(end, F.coalesce(F.col("_new_end"), F.col(end)))
-    rest = flagged.where(F.col("_multi").isNull())
+        F.col("_multi") & F.col(end).isNull() & F.col("_next_start").isNotNull(),
+        F.date_sub(F.to_date(F.col("_next_start")), 1),
+    ).cast(df.schema[end].dataType)
+    out = nxt.withColumn("_new_end", new_end)
+    result = [F.coalesce(F.col("_new_end"), F.col(end)).alias(end) if c == end else F.col(c) for c in df.columns]
     if changed_col:
-        rest = rest.withColumn(changed_col, F.lit(False))
-    cols = df.columns + ([changed_col] if changed_col else [])
-    return fixed.select(*cols).unionByName(rest.select(*cols))
+        result.append(F.col("_new_end").isNotNull().alias(changed_col))
+    return out.select(*result)
 
 
 def limit_per_group(
