@@ -646,6 +646,12 @@ def q_column_usage(spark, sf_dir) -> DataFrame:
     )
 
 
+def q_table_usage_search(spark, sf_dir) -> DataFrame:
+    """Every SELECT of one user in the last 30 days that read a table, one row per accessed column."""
+    t = _t(spark, sf_dir)
+    return audit.column_usage(access_log(t), query_history(t), "DM.RP.DIM_T0", EVENTS_AS_OF, 30, ["SYS_VIEW"], query_type="SELECT")
+
+
 def q_query_search(spark, sf_dir) -> DataFrame:
     t = _t(spark, sf_dir)
     return audit.query_search(query_history(t), "U7", ["SELECT 'keep alive'", "select 1"], "SELECT")

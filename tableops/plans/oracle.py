@@ -384,6 +384,13 @@ FROM lineitem GROUP BY l_returnflag, l_linestatus HAVING count(*) > 100
 """,
     "top_orders": """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey ASC LIMIT 10
+""",
+    "table_usage_search": f"""
+WITH {_QUERY_HISTORY}, {_ACCESS_OBJECTS},
+cols AS (SELECT query_id, object_name AS accessed_table, unnest(cols) AS column_accessed FROM objs
+         WHERE object_name = 'DM.RP.DIM_T0' AND object_domain = 'Table'
+           AND query_start_time >= TIMESTAMP '2024-01-01' AND user_name IN ('SYS_VIEW'))
+SELECT cols.accessed_table, qh.* FROM cols JOIN qh ON cols.query_id = qh.query_id WHERE qh.query_type = 'SELECT'
 """,
     "query_search": f"""
 WITH {_QUERY_HISTORY}
