@@ -54,9 +54,14 @@ def flatten(
 
     An empty or NULL input drops the row unless ``outer`` (then the new columns are NULL). ``key`` names the
     key column for maps and VARIANTs (default ``"key"``).
+
+    The non-outer form is an outer generator followed by a filter on a generated field that is never NULL for a
+    real element. A plain ``explode`` makes the optimizer infer ``size(col) > 0`` and push it below the
+    projections, where it inlines the expression that builds ``col``: an array derived from a parsed payload
+    would then be parsed once per reference in that filter, in the scan stage, instead of once.
     """
     dtype = df.schema[col].dataType
-    explode = F.explode_outer if outer else F.explode
+    explode = F.explode_outer
     if isinstance(dtype, T.VariantType):
         key = key or "key"
         arr = F.try_variant_get(F.col(col), "$", "array<variant>")
@@ -68,12 +73,16 @@ def flatten(
                 lambda e: F.struct(F.lit(None).cast("int").alias(index), e["key"].alias(key), e["value"].alias(value)),
             ),
         )
-        return df.select("*", explode(elems).alias("_e")).select(*df.columns, f"_e.{index}", f"_e.{key}", f"_e.{value}")
+        out = df.select("*", explode(elems).alias("_e"))
+        if not outer:
+            out = out.where(F.col("_e").isNotNull())
+        return out.select(*df.columns, f"_e.{index}", f"_e.{key}", f"_e.{value}")
     if isinstance(dtype, T.MapType):
         key = key or "key"
-        return df.select("*", explode(F.col(col)).alias(key, value))
-    fn = F.posexplode_outer if outer else F.posexplode
-    return df.select("*", fn(F.col(col)).alias(index, value))
+        out = df.select("*", explode(F.col(col)).alias(key, value))
+        return out if outer else out.where(F.col(key).isNotNull())
+    out = df.select("*", F.posexplode_outer(F.col(col)).alias(index, value))
+    return out if outer else out.where(F.col(index).isNotNull())
 
 
 # --- nested API responses (weather forecast documents) ---------------------------------------------------

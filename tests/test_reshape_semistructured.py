@@ -61,6 +61,21 @@ def test_flatten_drops_empty_unless_outer(spark):
     df = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, None)], "id int, arr array<string>")
     assert rows(semistructured.flatten(df, "arr").select("id", "index", "value")) == [(1, 0, "a"), (1, 1, "b")]
     assert semistructured.flatten(df, "arr", outer=True).count() == 4
+    nulls = spark.createDataFrame([(1, ["a", None])], "id int, arr array<string>")
+    assert rows(semistructured.flatten(nulls, "arr").select("id", "index", "value")) == [(1, 0, "a"), (1, 1, None)]
+
+
+def test_flatten_parses_a_derived_array_once(spark):
+    # the array is built from a parsed payload; the drop of empty arrays must not copy that parse into a filter
+    df = spark.createDataFrame([('{"k": 3}',), ('{"k": 4}',), ("bad",)], "props string")
+    k = F.from_json("props", "k int").getField("k")
+    derived = df.select(k.alias("k")).select(
+        F.when(F.col("k").isNull() | (F.col("k") % 2 == 0), F.array()).otherwise(F.array(F.col("k"), F.col("k") + 1)).cast("array<int>").alias("arr")
+    )
+    flat = semistructured.flatten(derived, "arr")
+    assert rows(flat.select("index", "value")) == [(0, 3), (1, 4)]
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1, plan
 
 
 def test_parse_forecast_and_weather_flags(spark):
