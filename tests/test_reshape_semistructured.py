@@ -122,3 +122,13 @@ def test_flatten_variant_arrays_and_objects(spark):
 def test_flatten_map(spark):
     df = spark.createDataFrame([(1, {"a": 1, "b": 2})], "id int, m map<string,int>")
     assert rows(semistructured.flatten(df, "m").select("id", "key", "value")) == [(1, "a", 1), (1, "b", 2)]
+
+
+def test_money_sum_equals_decimal_sum(spark):
+    from tableops.plans.jobs import MONEY, money_sum
+
+    vals = [0.285, 0.125, -0.005, 1e-3, 123456.785, 99999999999.99, -42.42, None, 0.1, 0.2, 7.0]
+    df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(vals)], "g int, x double")
+    got = df.groupBy("g").agg(money_sum("x").alias("a"), F.sum(F.col("x").cast(MONEY)).cast("double").alias("b"))
+    assert all(r.a == r.b for r in got.collect())
+    assert df.where("x IS NULL").agg(money_sum("x").alias("a")).first().a is None
