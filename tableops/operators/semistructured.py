@@ -61,7 +61,6 @@ def flatten(
     would then be parsed once per reference in that filter, in the scan stage, instead of once.
     """
     dtype = df.schema[col].dataType
-    explode = F.explode_outer
     if isinstance(dtype, T.VariantType):
         key = key or "key"
         arr = F.try_variant_get(F.col(col), "$", "array<variant>")
@@ -73,13 +72,13 @@ def flatten(
                 lambda e: F.struct(F.lit(None).cast("int").alias(index), e["key"].alias(key), e["value"].alias(value)),
             ),
         )
-        out = df.select("*", explode(elems).alias("_e"))
+        out = df.select("*", F.explode_outer(elems).alias("_e"))
         if not outer:
             out = out.where(F.col("_e").isNotNull())
         return out.select(*df.columns, f"_e.{index}", f"_e.{key}", f"_e.{value}")
     if isinstance(dtype, T.MapType):
         key = key or "key"
-        out = df.select("*", explode(F.col(col)).alias(key, value))
+        out = df.select("*", F.explode_outer(F.col(col)).alias(key, value))
         return out if outer else out.where(F.col(key).isNotNull())
     out = df.select("*", F.posexplode_outer(F.col(col)).alias(index, value))
     return out if outer else out.where(F.col(index).isNotNull())
