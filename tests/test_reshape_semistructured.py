@@ -117,6 +117,10 @@ def test_flatten_variant_arrays_and_objects(spark):
     got = rows(flat.select("id", "index", "key", F.to_json("value").alias("j")))
     assert got == [(1, None, "a", '{"x":[1,2]}'), (1, None, "b", "1"), (2, 0, None, "10"), (2, 1, None, '"two"')]
     assert semistructured.flatten(df.select("id", "v"), "v", outer=True).count() == 7
+    # input columns named like the generator's own outputs stay intact
+    clash = df.select("id", "v", F.lit("k").alias("key"), F.lit(9).alias("pos"))
+    got = rows(semistructured.flatten(clash, "v", key="field").where("id = 2").select("key", "pos", "index", "field"))
+    assert got == [("k", 9, 0, None), ("k", 9, 1, None)]
 
 
 def test_flatten_map(spark):
