@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, mixing
 from .common import documents
 
 
@@ -13,6 +13,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("rid")
 
 
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document: sizes in words, sources weighted 5, 2, 1, at most three epochs."""
+    return mixing.mix(documents(spark, sf_dir))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)}
 
 ORACLE = {
@@ -23,4 +28,24 @@ ORACLE = {
                doc_id = max(doc_id) OVER w AS kept, s AS text_sha256
         FROM d WINDOW w AS (PARTITION BY s)
     """,
+    "op8_mix_sources": r"""
+        WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                          ('0x' || substr(md5('17:' || doc_id), 1, 8))::BIGINT AS u
+                   FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS size,
+                     CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+              FROM d GROUP BY source),
+        r AS (SELECT *, sum(size) OVER () AS total, coalesce(sum(3 * size) OVER (ORDER BY 3.0 * size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS clamped,
+                     sum(weight) OVER (ORDER BY 3.0 * size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+              FROM s),
+        f AS (SELECT max((total - clamped)::DOUBLE / open_weight::DOUBLE) AS lvl FROM r),
+        t AS (SELECT source, size AS source_size, least((3 * size)::DOUBLE, lvl * weight) AS target FROM s, f),
+        p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
+        c AS (SELECT d.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS wanted,
+                     sum(d.size) OVER (PARTITION BY d.source ORDER BY d.u RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+                     sum(d.size) OVER (PARTITION BY d.source, d.u) AS peers
+              FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+        k AS (SELECT *, (whole + CASE WHEN wanted > 0 AND (upto <= wanted OR (upto - peers / 2.0 <= wanted)) THEN 1 ELSE 0 END)::BIGINT AS copies FROM c)
+        SELECT doc_id, source, size, source_size, target, copies, size * copies AS taken FROM k
+    """,
 }
