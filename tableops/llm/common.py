@@ -58,5 +58,13 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, with underscores in front until no column (in any case) has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, pieces
 from .common import documents
 
 
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, checked against the library, and the text they decode to, as digests."""
+    return pieces.encode_digests(documents(spark, sf_dir), PIECE_MODEL)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts over all documents: one row per document with the id that stays."""
     return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("rid")
