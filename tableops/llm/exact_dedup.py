@@ -27,6 +27,9 @@ from .common import Stage, ascii_lower, text_of
 RUNS, FAN = 64, 4
 
 _RUN = "run int, digest binary, id long, rid long, n long, check long, n_bytes long"
+_ARROW = pa.schema(
+    [("run", pa.int32()), ("digest", pa.binary())] + [(c, pa.int64()) for c in ("id", "rid", "n", "check", "n_bytes")]
+)
 
 
 def digests(docs: DataFrame, text: Column, id_col: str) -> DataFrame:
@@ -55,6 +58,7 @@ def _merge_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         if not batch.num_rows:
             continue
+        batch = pa.RecordBatch.from_arrays(batch.columns, schema=_ARROW)
         if carry is not None:
             batch = pa.concat_batches([carry, batch])
         n = batch.num_rows
