@@ -3,7 +3,7 @@
 Every input partition turns its rows into one sorted run of digests. Runs then meet in binomial rounds: in each
 round ``FAN`` neighbouring runs exchange their parts, so that a task holds the same digest range of all of them,
 merges them in sorted order and keeps, for each digest, the best identifier and the number of rows. After the
-last round one run is left, cut into ``RUNS`` digest ranges. Equal digests meet as early as possible: a text that
+last round one run is left, cut into as many digest ranges as there were runs. Equal digests meet as early as possible: a text that
 makes up a third of all rows is one row per run after the first merge, and no task ever sees more than one
 digest range of ``FAN`` runs. Digests are SHA-256; each level verifies that rows with one digest also agree in
 an independent 64-bit hash and in length, and fails otherwise.
@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, ascii_lower, text_of
+from .common import Stage, ascii_lower, partitions, text_of
 
-#: Sorted runs at the leaves of the merge tree, and how many of them are merged at once (FAN ** 3 == RUNS).
-RUNS, FAN = 64, 4
+#: How many sorted runs are merged at once.
+FAN = 4
 
 _RUN = "run int, digest binary, id long, rid long, n long, check long, n_bytes long"
 _ARROW = pa.schema(
@@ -33,7 +33,8 @@ _ARROW = pa.schema(
 
 
 def digests(docs: DataFrame, text: Column, id_col: str) -> DataFrame:
-    """``id, rid, digest, check, n_bytes`` per row, without the texts; ``rid`` numbers the rows."""
+    """``id, rid, part, digest, check, n_bytes`` per row, without the texts; ``rid`` numbers the rows, ``part`` the
+    partitions they were read in."""
     return docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.monotonically_increasing_id().alias("rid"),
@@ -42,7 +43,7 @@ def digests(docs: DataFrame, text: Column, id_col: str) -> DataFrame:
     ).select(
         "id",
         "rid",
-        F.pmod("part", F.lit(RUNS)).alias("run"),
+        "part",
         F.unhex(F.sha2("t", 256)).alias("digest"),
         F.xxhash64("t").alias("check"),
         F.octet_length("t").cast("long").alias("n_bytes"),
@@ -86,9 +87,16 @@ def _sorted_merge(df: DataFrame) -> DataFrame:
 
 
 def merge_runs(rows: DataFrame) -> DataFrame:
-    """``digest, keep_id, keep_rid, group_size`` per distinct digest from the rows of :func:`digests`."""
-    merged = _sorted_merge(rows.select("run", "digest", "id", "rid", F.lit(1).cast("long").alias("n"), "check", "n_bytes"))
-    runs, ranges = RUNS, 1
+    """``digest, keep_id, keep_rid, group_size`` per distinct digest from the rows of :func:`digests`.
+
+    There are as many runs as shuffle partitions, rounded up to a power of ``FAN``.
+    """
+    runs, ranges = 1, 1
+    while runs < partitions(rows.sparkSession):
+        runs *= FAN
+    tasks = runs
+    run = F.pmod("part", F.lit(runs)).alias("run")
+    merged = _sorted_merge(rows.select(run, "digest", "id", "rid", F.lit(1).cast("long").alias("n"), "check", "n_bytes"))
     while runs > 1:
         runs, ranges = runs // FAN, ranges * FAN
         # the runs of a group exchange: each of the group's tasks takes one digest range of all of them
@@ -96,7 +104,7 @@ def merge_runs(rows: DataFrame) -> DataFrame:
         met = merged.withColumn("run", F.floor(F.col("run") / FAN).cast("int")).withColumn(
             "slot", F.col("run") * ranges + F.floor(lead * ranges / 65536).cast("int")
         )
-        merged = _sorted_merge(met.repartition(RUNS, "slot").drop("slot"))
+        merged = _sorted_merge(met.repartition(tasks, "slot").drop("slot"))
     return merged.select("digest", F.col("id").alias("keep_id"), F.col("rid").alias("keep_rid"), F.col("n").alias("group_size"))
 
 

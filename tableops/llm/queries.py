@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, pieces
+from . import exact_dedup, mixing, pieces, pii, secrets
 from .common import documents
 
 
@@ -17,19 +17,71 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(documents(spark, sf_dir), PIECE_MODEL)
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document, with the owner-specific and the widely copied ones counted."""
+    return secrets.scan(documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts over all documents: one row per document with the id that stays."""
     return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("rid")
 
 
+PSEUDONYM_KEY = "pseudonyms-1"
+
+
+def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal numbers, dates and addresses replaced by format-preserving pseudonyms."""
+    return pii.pseudonymise(documents(spark, sf_dir), PSEUDONYM_KEY)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes each document: sizes in words, sources weighted 5, 2, 1, at most three epochs."""
     return mixing.mix(documents(spark, sf_dir))
 
 
+def _secret_sql() -> str:
+    """The secret scan for DuckDB, from the operator's patterns."""
+    sql = lambda p: p.replace("'", "''")
+    kinds = (
+        ("assign", secrets.ASSIGN, f"regexp_extract(m, '{sql(secrets.ASSIGN)}', 2)", "length(v) >= 6"),
+        ("access", secrets.ACCESS, "m", "length(v) >= 20"),
+        ("hex", secrets.HEX, "m", "true"),
+        ("reuse", secrets.BARE, "m", "regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')"),
+    )
+    spans = " UNION ALL ".join(
+        f"""SELECT doc_id, owner, repo, kind, name, start, start + length(m) AS stop, v FROM (
+                SELECT doc_id, owner, repo, {k} AS kind, '{name}' AS name, m, {value} AS v,
+                       (coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0)
+                        + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS start
+                FROM (SELECT *, unnest(ms) AS m, unnest(range(1, len(ms) + 1)) AS i FROM (
+                    SELECT doc_id, owner, repo, string_split_regex(t, '{sql(pattern)}') AS p,
+                           regexp_extract_all(t, '{sql(pattern)}', 0) AS ms FROM d))) WHERE {test}"""
+        for k, (name, pattern, value, test) in enumerate(kinds)
+    )
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, source AS owner, concat_ws('/', source, lang) AS repo FROM documents),
+        s AS ({spans}),
+        b AS (SELECT *, length(array_to_string(list_distinct(string_split(v, '')), '')) >= {secrets.LIVE_CHARS} AS live FROM s WHERE kind < 3),
+        f AS (SELECT v, count(DISTINCT coalesce(owner, chr(1))) AS owners, bool_or(live) AS live FROM b GROUP BY v),
+        j AS (SELECT s.*, f.owners = 1 AND f.live AS owned, f.owners >= {secrets.WIDE_OWNERS} AS copied FROM s JOIN f USING (v)
+              WHERE s.kind < 3 OR NOT EXISTS (FROM b WHERE b.doc_id = s.doc_id AND b.start < s.stop AND s.start < b.stop)),
+        g AS (SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS a, count(*) FILTER (WHERE kind = 1) AS k, count(*) FILTER (WHERE kind = 2) AS h,
+                     string_agg(concat_ws(':', name, start, stop), ',' ORDER BY start, kind, stop) FILTER (WHERE kind < 3) AS base,
+                     string_agg(concat_ws(':', name, start, stop), ',' ORDER BY start, kind, stop) FILTER (WHERE kind < 3 OR owned) AS spans,
+                     count(*) FILTER (WHERE kind < 3 AND owned) AS n_owned, count(*) FILTER (WHERE kind < 3 AND copied) AS n_copied
+              FROM j GROUP BY doc_id)
+        SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+               coalesce(n_owned, 0) AS n_owned, coalesce(n_copied, 0) AS n_copied
+        FROM d LEFT JOIN g USING (doc_id)
+    """
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)}
 
 ORACLE = {
+    "op2_secret_scan": _secret_sql(),
     "op6_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS s
                    FROM documents)
