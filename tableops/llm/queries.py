@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, pieces, pii, secrets
+from . import exact_dedup, mixing, pieces, pii, repeats, secrets
 from .common import documents
 
 
@@ -40,6 +41,12 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings of 200 bytes that occur elsewhere too."""
+    kept = repeats.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _secret_sql() -> str:
     """The secret scan for DuckDB, from the operator's patterns."""
     sql = lambda p: p.replace("'", "''")
