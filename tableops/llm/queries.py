@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, pieces, pii, repeats, secrets
+from . import exact_dedup, minhash, mixing, pieces, pii, repeats, secrets
 from .common import documents
 
 
@@ -23,6 +23,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups over all documents: one row per document with its group and the id that stays."""
+    return minhash.near_groups(documents(spark, sf_dir)).drop("rid", "k1", "k2")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts over all documents: one row per document with the id that stays."""
     return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("rid")
