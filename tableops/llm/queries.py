@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash, mixing, pieces, pii, repeats, secrets
+from ..session import read_table
+from . import embedding_dedup, exact_dedup, minhash, mixing, pieces, pii, repeats, secrets
 from .common import documents
 
 
@@ -23,6 +24,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links by cosine >= 0.95 between all vectors: how many each has, its component, and the one that stays."""
+    return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups over all documents: one row per document with its group and the id that stays."""
     return minhash.near_groups(documents(spark, sf_dir)).drop("rid", "k1", "k2")
@@ -94,6 +100,17 @@ QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("
 
 ORACLE = {
     "op2_secret_scan": _secret_sql(),
+    "op3_embedding_dedup": """
+        WITH RECURSIVE u AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS s FROM u),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+              WHERE list_dot_product(a.e, b.e) / (a.s * b.s) >= 0.95),
+        r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
+        SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c
+    """,
     "op6_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS s
                    FROM documents)
