@@ -17,6 +17,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and chr(b) != "_"]] = True
 
 
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -65,13 +67,20 @@ class Powers:
 WORD_POWERS = Powers(0x9E3779B97F4A7C15)
 
 
-def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words (runs of other than ASCII white space, A-Z lower-cased), and words per text."""
+def word_hashes(data: np.ndarray, ends: np.ndarray, punctuation: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words (runs of other than ASCII white space, A-Z lower-cased), and words per text.
+
+    ``punctuation``: runs of ASCII punctuation are words of their own.
+    """
     if not len(data):
         return np.zeros(0, _U), np.zeros(len(ends), np.int64)
     inside = ~_SPACE[data]
     first = inside.copy()
-    first[1:] &= ~inside[:-1]
+    if punctuation:
+        kind = _PUNCTUATION[data]
+        first[1:] &= ~inside[:-1] | (kind[1:] != kind[:-1])
+    else:
+        first[1:] &= ~inside[:-1]
     begins = np.concatenate(([0], ends[:-1]))
     begins = begins[begins < len(data)]
     first[begins] = inside[begins]
@@ -87,6 +96,47 @@ def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mixed(h + sizes.astype(_U)), per_text
 
 
+def word_blocks(column: pa.Array, punctuation: bool = False, texts: int = 1 << 16) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, last text, word hashes, words per text) of blocks of a string column, of ``texts`` at most."""
+    data, ends = bytes_of(column)
+    for first, last in text_blocks(ends):
+        for a in range(first, last, texts):
+            b = min(a + texts, last)
+            begin = int(ends[a - 1]) if a else 0
+            words, per_text = word_hashes(data[begin : int(ends[b - 1])], ends[a:b] - begin, punctuation)
+            yield a, b, words, per_text
+
+
+class Index:
+    """Position of 64-bit keys in an array of distinct keys, or -1: open addressing, probed for whole arrays."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.shift = 64 - max(10, int(2 * len(keys)).bit_length())
+        self.table = np.full(1 << (64 - self.shift), -1, np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.table[slot] < 0
+            self.table[slot[free]] = left[free]
+            lost = self.table[slot] != left
+            left, slot = left[lost], (slot[lost] + 1) & (len(self.table) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _U(0x9E3779B97F4A7C15)) >> _U(self.shift)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int32)
+        slot = self._slot(keys)
+        at = self.table[slot]
+        more = np.flatnonzero((at >= 0) & (self.keys[at] != keys))
+        while len(more):
+            slot[more] = (slot[more] + 1) & (len(self.table) - 1)
+            at[more] = self.table[slot[more]]
+            more = more[(at[more] >= 0) & (self.keys[at[more]] != keys[more])]
+        return at
+
+
 def fixed_bitmap(cells: DataFrame, cell: Column, bits: int) -> np.ndarray:
     """The set of ``cell`` values (below ``2 ** bits``) as a bitmap of 2 ** (bits - 3) bytes, whatever their number."""
     one = (cell + 1).cast("long")

@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import bytes_of, fixed_bitmap, in_bitmap, mixed, text_blocks, word_hashes
+from .arrow_text import fixed_bitmap, in_bitmap, mixed, word_blocks
 from .common import Stage, partitions, text_of
 from .graph import components
 
@@ -38,8 +38,6 @@ IDF_BITS, IDF_STRENGTH = 18, 0.5
 BITMAP_BITS = 26
 #: Blocks for comparing members of a bucket with all members
 BLOCK_LEFT, BLOCK_ALL = 256, 1024
-#: Texts in a block share a 64-bit sort key with a 48-bit shingle.
-_TEXTS = 1 << 16
 
 _U = np.uint64
 _S48 = _U((1 << 48) - 1)
@@ -56,7 +54,7 @@ GAMMA, LOG_GAMMA = _low, np.log(_low)
 
 
 def shingles(words: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text index, shingle of 48 bits, count), sorted by text and shingle."""
+    """(text index, shingle of 48 bits, count), sorted by text and shingle, of at most 2 ** 16 texts."""
     text = np.repeat(np.arange(len(per_text)), per_text)
     n = len(words)
     parts = []
@@ -128,23 +126,12 @@ def samples(text: np.ndarray, s: np.ndarray, weight: np.ndarray, n_texts: int) -
     return out
 
 
-def _blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first text, last text, word hashes, words per text) of blocks of a string column."""
-    data, ends = bytes_of(column)
-    for first, last in text_blocks(ends):
-        for a in range(first, last, _TEXTS):
-            b = min(a + _TEXTS, last)
-            begin = int(ends[a - 1]) if a else 0
-            words, per_text = word_hashes(data[begin : int(ends[b - 1])], ends[a:b] - begin)
-            yield a, b, words, per_text
-
-
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     df = np.zeros(1 << IDF_BITS, np.int64)
     n = 0
     for batch in batches:
         n += batch.num_rows
-        for _, _, words, per_text in _blocks(batch.column("text")):
+        for _, _, words, per_text in word_blocks(batch.column("text")):
             _, s, _ = shingles(words, per_text)
             df += np.bincount((s & _U((1 << IDF_BITS) - 1)).astype(np.int64), minlength=1 << IDF_BITS)
     bins = np.flatnonzero(df)
@@ -168,7 +155,7 @@ def _signatures(idf: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = idf.value
         for batch in batches:
-            for a, b, words, per_text in _blocks(batch.column("text")):
+            for a, b, words, per_text in word_blocks(batch.column("text")):
                 text, s, count = shingles(words, per_text)
                 weight = count * table[(s & _U((1 << IDF_BITS) - 1)).astype(np.int64)]
                 bands = samples(text, s, weight, b - a).view(np.int64)
@@ -195,7 +182,7 @@ def _vectors(wanted: Broadcast):
         bitmap = np.frombuffer(wanted.value, np.uint8)
         for batch in batches:
             seen: set[tuple[int, int]] = set()
-            for _, _, words, per_text in _blocks(batch.column("text")):
+            for _, _, words, per_text in word_blocks(batch.column("text")):
                 c1, c2 = classes(words, per_text)
                 hit = in_bitmap(bitmap, c1 & ((1 << BITMAP_BITS) - 1)) & (per_text > 0)
                 keep = np.zeros(len(per_text), bool)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import embedding_dedup, exact_dedup, minhash, mixing, pieces, pii, repeats, secrets
+from . import embedding_dedup, exact_dedup, maxent, minhash, mixing, pieces, pii, quality, repeats, secrets
 from .common import documents
 
 
@@ -29,6 +29,11 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op4_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log importance weight of every document and whether the Gumbel top-k selects it."""
+    return quality.Resampler(documents(spark, sf_dir), read_table(spark, sf_dir, "labels")).judged()
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups over all documents: one row per document with its group and the id that stays."""
     return minhash.near_groups(documents(spark, sf_dir)).drop("rid", "k1", "k2")
@@ -52,6 +57,12 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document under the maximum-entropy model and under smoothed counts, a fifth held out."""
+    docs = documents(spark, sf_dir)
+    return maxent.LanguageModel(docs).score(docs)
+
+
 def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of strings of 200 bytes that occur elsewhere too."""
     kept = repeats.remove_repeats(documents(spark, sf_dir))
