@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, ascii_lower, partitions, text_of
+from .common import Stage, ascii_lower, fresh, partitions, text_of
 
 #: How many sorted runs are merged at once.
 FAN = 4
@@ -143,6 +143,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def key(id_: Column, hexed: Column) -> Column:
         return F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("null")), hexed)
 
-    stays = stage.write(merge_runs(rows).select(key(F.col("keep_id"), F.lower(F.hex("digest"))).alias("_key")), "stays")
-    tagged = docs.withColumn("_key", key(F.col(id_col).cast("long"), F.sha2(text, 256)))
-    return tagged.join(stays, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    name = fresh(docs.columns, "_key")
+    stays = stage.write(merge_runs(rows).select(key(F.col("keep_id"), F.lower(F.hex("digest"))).alias(name)), "stays")
+    tagged = docs.withColumn(name, key(F.col(id_col).cast("long"), F.sha2(text, 256)))
+    return tagged.join(stays, name, "left_semi").dropDuplicates([name]).drop(name)

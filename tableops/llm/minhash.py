@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow_text import fixed_bitmap, in_bitmap, mixed, word_blocks
-from .common import Stage, partitions, text_of
+from .common import Stage, fresh, partitions, text_of
 from .graph import components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -374,7 +374,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text, which are spread evenly."""
     stage = Stage(docs.sparkSession, "near-dedup")
     groups = near_groups(docs, id_col, text_col, similarity, stage)
-    stays = stage.write(groups.where("kept").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")), "stays")
+    k1, k2 = fresh(docs.columns, "_k1"), fresh(docs.columns, "_k2")
+    stays = stage.write(groups.where("kept").select(F.col("k1").alias(k1), F.col("k2").alias(k2)), "stays")
     text = text_of(text_col)
-    keyed = docs.withColumns({"_k1": F.xxhash64(F.lit(1), F.col(id_col), text), "_k2": F.xxhash64(F.lit(2), F.col(id_col), text)})
-    return keyed.join(stays, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2")
+    keyed = docs.withColumns({k1: F.xxhash64(F.lit(1), F.col(id_col), text), k2: F.xxhash64(F.lit(2), F.col(id_col), text)})
+    return keyed.join(stays, [k1, k2], "left_semi").dropDuplicates([k1, k2]).drop(k1, k2)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Stage
+from .common import Stage, fresh, text_of
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -97,8 +97,9 @@ def mix(
     weights: tuple[int, ...] = WEIGHTS,
     max_epochs: int = MAX_EPOCHS,
     seed: int = 17,
+    keep: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """One row per document: ``id_col, source, size, source_size, target, copies, taken``.
+    """One row per document: ``id_col, source, size, source_size, target, copies, taken``, and what ``keep`` names.
 
     ``weights`` go to the sources in code-point order of their names, over and over, null last. The per-source
     table (one row per source, pre-aggregated) is ordered in one sort to deal them out.
@@ -106,10 +107,11 @@ def mix(
     stage = Stage(docs.sparkSession, "mix")
     rows = stage.write(
         docs.select(
-            F.col(id_col),
+            F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
             seeded_hash(F.col(id_col), seed).alias("u"),
+            *[value.alias(name) for name, value in (keep or {}).items()],
         ),
         "rows",
     )
@@ -130,26 +132,27 @@ def mix(
     joined = rows.alias("r").join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")))
     copies = (F.col("whole") + part).cast("long")
     return joined.select(
-        F.col(f"r.{id_col}"),
+        F.col("r.id").alias(id_col),
         F.col("r.source").alias("source"),
         F.col("r.size").alias("size"),
         "source_size",
         "target",
         copies.alias("copies"),
         (F.col("r.size") * copies).alias("taken"),
+        *[F.col(f"r.{name}") for name in keep or ()],
     )
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
     """The rows of ``docs`` as the mix takes them, repeated ones repeatedly, all columns.
 
-    Copies are looked up by id (null ids by their hash of the text), so no source is gathered.
+    Copies are looked up by two hashes of id, source and text, so no source is gathered.
     """
-    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("#"), F.xxhash64(text_col).cast("string")))
-    keyed = docs.withColumn("_key", key)
-    took = mix(keyed, "_key", text_col, source_col, **kw)
-    copies = took.groupBy("_key", "source").agg(F.max("copies").alias("_copies")).where("_copies > 0").withColumnRenamed("source", "_source")
-    joined = keyed.join(copies, (keyed["_key"] == copies["_key"]) & keyed[source_col].eqNullSafe(copies["_source"]))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(
-        *[F.col(c) for c in docs.columns]
-    )
+    k1, k2, copies = (fresh(docs.columns, name) for name in ("_k1", "_k2", "_copies"))
+    row = (F.col(id_col), F.col(source_col), text_of(text_col))
+    hashes = {k1: F.xxhash64(F.lit(1), *row), k2: F.xxhash64(F.lit(2), *row)}
+    took = mix(docs, id_col, text_col, source_col, keep=hashes, **kw)
+    took = took.groupBy(k1, k2).agg(F.max("copies").alias(copies)).where(F.col(copies) > 0)
+    joined = docs.withColumns(hashes).join(took, [k1, k2])
+    repeats = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))
+    return joined.select(*docs.columns, repeats.alias(k1)).drop(k1)

@@ -316,6 +316,12 @@ def blocks(texts: list[str], most: int = BLOCK_CHARS) -> Iterator[slice]:
     yield slice(begin, len(texts))
 
 
+def _checked(v: Vocabulary, text: str, ids: list[int], decoded: str) -> None:
+    """Fails unless the library gives the same ids and the same decoded text."""
+    if v.library.encode(text, add_eos=True) != ids or v.library.decode(ids) != decoded:
+        raise ValueError(f"ids or decoded text differ from the library's: {text[:200]!r}")
+
+
 def _digests(path: str, check: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
@@ -327,8 +333,8 @@ def _digests(path: str, check: bool):
                 for k, ids in enumerate(v.encode(block)):
                     own = [*ids.tolist(), v.end]
                     decoded = v.decode(own)
-                    if check and (v.library.encode(block[k], add_eos=True) != own or v.library.decode(own) != decoded):
-                        raise ValueError(f"ids or decoded text differ from the library's: {block[k][:200]!r}")
+                    if check:
+                        _checked(v, block[k], own, decoded)
                     counts.append(len(own))
                     ids_sha.append(hashlib.sha256(b" ".join(map(v.decimals.__getitem__, own))).hexdigest())
                     text_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
@@ -340,7 +346,7 @@ def _digests(path: str, check: bool):
     return run
 
 
-def _tokens(path: str, text: str, out: str):
+def _tokens(path: str, text: str, out: str, check: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
@@ -348,6 +354,8 @@ def _tokens(path: str, text: str, out: str):
             others = [c for c in batch.schema.names if c != text]
             for part in blocks(texts):
                 ids = [np.append(x, np.int32(v.end)) for x in v.encode(texts[part])]
+                for t, own in zip(texts[part], ids if check else ()):
+                    _checked(v, t, own.tolist(), v.decode(own.tolist()))
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 values = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]), pa.int32())
                 rows = batch.slice(part.start, part.stop - part.start)
@@ -366,11 +374,11 @@ def encode_digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col
     return out.withColumnRenamed("id", id_col)
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", out: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, model: str, text_col: str = "text", out: str = "ids", check: bool = True) -> DataFrame:
     """``docs`` with the ids of the text, end id included, as a column ``out`` (replacing one of that name)."""
     text = fresh(docs.columns, "_text")
     rows = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit("")))
     if out in docs.columns:
         rows, docs = rows.drop(out), docs.drop(out)
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + f", `{out}` array<int>"
-    return rows.mapInArrow(_tokens(model, text, out), schema)
+    return rows.mapInArrow(_tokens(model, text, out, check), schema)
