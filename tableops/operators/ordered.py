@@ -1,18 +1,20 @@
 """Order-dependent numbering that never puts one key (or the whole table) into one task.
 
 ``row_number``/``lead`` over ``partition by key`` and ``dense_rank`` over an unpartitioned window make Spark
-gather each key -- or everything -- into a single task. Here rows are instead range-partitioned by
-``(keys, order)`` into *slices* of similar size (a hot key is spread over many slices), each slice is numbered
-locally, and a per-slice summary of at most ``n`` rows (``n`` = number of slices, a proven bound, so it is
-broadcast) carries the counts and first rows across slice borders.
-
-The slice assignment comes from sampling, so it is pinned with a reliable checkpoint before it is used twice.
-Inputs the optimizer estimates below ``SLICE_MIN_BYTES`` take the plain window instead (see ``use_slices``).
+gather each key -- or everything -- into a single task. Here the total order ``(keys, order)`` is cut into *slices*
+at bounds taken from a small sample of it (``SAMPLES`` rows per slice, chosen by a hash of the sort columns, so the
+same rows every time). Each row finds its slice by comparing itself with the bounds, which are literals: nothing is
+exchanged or written for that, and the slices are the same whenever the plan is evaluated. Rows are then numbered
+by a window over (slice, keys), the only exchange. Keys that reach over a bound are few (at most one per bound); what
+their earlier or later slices hold is summed up in at most two rows per bound and broadcast.
+
+This is the only path, whatever the size of the input.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,168 +22,113 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 SLICE = "_slice"
+#: Sampled rows per slice; slices come out within about a third of the mean.
+SAMPLES = 32
 
-# Inputs whose estimated size is at most this many bytes are numbered with a plain window: even if one key
-# held all of it, one task handles it comfortably, and the slice machinery (sampling job, checkpoint write)
-# would cost more than it saves. Override with the session setting ``tableops.slices.minBytes``.
-SLICE_MIN_BYTES = 64 * 1024 * 1024
 
+def _n_slices(df: DataFrame, n: int | None) -> int:
+    return n or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (what Spark itself uses to choose broadcasts); None if unknown."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 -- remote sessions expose no plan statistics
-        return None
 
+def _asc(order: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc() for c in order]
 
-def use_slices(df: DataFrame, n: int | None, method: str = "auto") -> bool:
-    """Slice-wise numbering unless the input is provably small (``method='auto'``); an explicit ``n`` or
-    ``method='slices'`` forces slices, ``method='window'`` forces the plain window."""
-    if method == "slices" or n:
-        return True
-    if method == "window":
-        return False
-    limit = int(df.sparkSession.conf.get("tableops.slices.minBytes", str(SLICE_MIN_BYTES)))
-    size = estimated_bytes(df)
-    return size is None or size > limit
 
+def slice_bounds(df: DataFrame, cols: Sequence[str], n: int | None = None) -> list[tuple]:
+    """At most ``n - 1`` ascending tuples of ``cols`` that cut ``df`` into slices of similar size."""
+    n = _n_slices(df, n)
+    rows = df.count()
+    share = min(1.0, n * SAMPLES / max(rows, 1))
+    space = 1 << 30
+    picked = df.select(*cols).where(F.pmod(F.xxhash64(*cols), F.lit(space)) < int(share * space))
+    sample = [tuple(r) for r in picked.distinct().orderBy(*_asc(cols)).collect()]
+    return list(dict.fromkeys(sample[len(sample) * i // n] for i in range(1, n) if sample))
 
-def _n_slices(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
+def slice_of(df: DataFrame, cols: Sequence[str], bounds: Sequence[tuple]) -> Column:
+    """The number of bounds that are not above the row, found by halving."""
+    if not bounds:
+        return F.lit(0)
+    types = [df.schema[c].dataType for c in cols]
+    literal = [F.struct(*[F.lit(v).cast(t).alias(f"c{i}") for i, (v, t) in enumerate(zip(b, types))]) for b in bounds]
+    bound, row = F.array(*literal), F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    def halve(low: Column, step: Column) -> Column:
+        return F.when((low + step <= len(bounds)) & (F.get(bound, low + step - 1) <= row), low + step).otherwise(low)
 
+    steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve)
 
-def _asc(order: Sequence[str]) -> list[Column]:
-    return [F.col(c).asc() for c in order]
 
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """``left``'s keys equal ``right``'s copies ``_e_<key>``; null equals null."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_e_{k}"]) for k in keys], F.lit(True))
 
-def range_slices(df: DataFrame, sort_cols: Sequence, n: int | None = None) -> DataFrame:
-    """Range-partition ``df`` by ``sort_cols`` and tag each row with its slice number (checkpointed)."""
-    sliced = df.repartitionByRange(_n_slices(df, n), *[_col(c) for c in sort_cols]).withColumn(
-        SLICE, F.spark_partition_id()
-    )
-    return cut_lineage(sliced)
 
+def _at_bounds(sliced: DataFrame, keys: Sequence[str], bounds: Sequence[tuple]) -> DataFrame:
+    """The rows of ``sliced`` whose key stands at a bound, hence may lie in several slices."""
+    if not keys:
+        return sliced
+    schema = ", ".join(f"`_e_{k}` {sliced.schema[k].dataType.simpleString()}" for k in keys)
+    edges = sliced.sparkSession.createDataFrame(sorted({b[: len(keys)] for b in bounds}, key=str), schema)
+    return sliced.join(F.broadcast(edges), _same(sliced, edges, keys), "left_semi")
 
-def _key_struct(keys: Sequence[str]) -> Column:
-    return F.struct(*[F.col(k) for k in keys])
+
+def _with_summary(local: DataFrame, summary: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``summary`` (at most two rows per bound) attached by slice and key."""
+    renamed = summary.select(F.col(SLICE).alias("_e_slice"), *[F.col(k).alias(f"_e_{k}") for k in keys], value)
+    on = (local[SLICE] == renamed["_e_slice"]) & _same(local, renamed, keys)
+    return local.join(F.broadcast(renamed), on, "left").drop("_e_slice", *[f"_e_{k}" for k in keys])
 
 
 def row_number_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    out: str = "row_number",
-    n: int | None = None,
-    method: str = "auto",
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "row_number", n: int | None = None
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` (ascending, NULLs first); ``order`` must be total
-    within a key."""
+    within a key. Without keys the whole table is numbered."""
     keys, order = list(keys), list(order)
-    if not use_slices(df, n, method):
-        w = Window.partitionBy(*keys).orderBy(*_asc(order))
-        return df.withColumn(out, F.row_number().over(w).cast("long"))
-    sliced = range_slices(df, _asc(keys) + _asc(order), n)
+    cols = [*keys, *order]
+    bounds = slice_bounds(df, cols, n)
+    sliced = df.withColumn(SLICE, slice_of(df, cols, bounds))
     local = sliced.withColumn("_local", F.row_number().over(Window.partitionBy(SLICE, *keys).orderBy(*_asc(order))))
-
-    # per slice: its first key, its last key and how many rows of that last key it holds
-    summary = local.groupBy(SLICE).agg(
-        F.min(_key_struct(keys)).alias("_first_key"),
-        F.max_by(F.struct(_key_struct(keys).alias("k"), F.col("_local").alias("n")), F.struct(*keys, "_local")).alias(
-            "_last"
-        ),
-    )
-    # rows of slice p's first key that sit in earlier slices = sum of n_last(q), q < p, last_key(q) = first_key(p)
-    marks = summary.select(
-        SLICE, F.col("_first_key").alias("_k"), F.lit(0).cast("long").alias("_n"), F.lit(0).alias("_kind")
-    ).unionByName(
-        summary.select(SLICE, F.col("_last.k").alias("_k"), F.col("_last.n").cast("long").alias("_n"), F.lit(1).alias("_kind"))
-    )
-    w = Window.partitionBy("_k").orderBy(SLICE, "_kind").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        marks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-        .where(F.col("_kind") == 0)
-        .select(SLICE, F.col("_k").alias("_first_key"), "_off")
-    )
-    joined = local.join(F.broadcast(offsets), SLICE, "left")
-    number = F.col("_local") + F.when(_key_struct(keys).eqNullSafe(F.col("_first_key")), F.col("_off")).otherwise(F.lit(0))
-    return joined.withColumn(out, number.cast("long")).drop("_local", "_first_key", "_off", SLICE)
+    counts = _at_bounds(sliced, keys, bounds).groupBy(SLICE, *keys).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.sum("_n").over(earlier)).where(F.col("_off").isNotNull())
+    joined = _with_summary(local, offsets, keys, "_off")
+    return joined.withColumn(out, (F.col("_local") + F.coalesce("_off", F.lit(0))).cast("long")).drop("_local", "_off", SLICE)
 
 
 def lead_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    out: str,
-    n: int | None = None,
-    method: str = "auto",
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, n: int | None = None
 ) -> DataFrame:
     """``lead(value, 1) over (partition by keys order by order)`` (ascending, NULLs first); ``order`` must be
     total within a key."""
     keys, order = list(keys), list(order)
-    if not use_slices(df, n, method):
-        return df.withColumn(out, F.lead(F.col(value)).over(Window.partitionBy(*keys).orderBy(*_asc(order))))
-    sliced = range_slices(df, _asc(keys) + _asc(order), n)
-    w_local = Window.partitionBy(SLICE, *keys).orderBy(*_asc(order))
-    local = sliced.withColumn("_next", F.lead(F.struct(F.col(value).alias("v"))).over(w_local))
-
-    # the first row of every slice, then for each slice the first row of the next non-empty slice
-    firsts = sliced.select(SLICE, _key_struct(keys).alias("_k"), F.struct(*order).alias("_o"), F.col(value).alias("_v"))
-    summary = firsts.groupBy(SLICE).agg(
-        F.min_by(F.struct("_k", "_v"), F.struct("_k", "_o")).alias("_first"),
-        F.max(F.col("_k")).alias("_last_key"),
-    )
-    succ = summary.withColumn("_succ", F.lead("_first").over(Window.orderBy(SLICE))).select(
-        SLICE, "_last_key", "_succ"
-    )
-    joined = local.join(F.broadcast(succ), SLICE, "left")
-    carry = F.when(
-        _key_struct(keys).eqNullSafe(F.col("_last_key")) & F.col("_succ._k").eqNullSafe(_key_struct(keys)),
-        F.struct(F.col("_succ._v").alias("v")),
-    )
-    nxt = F.coalesce(F.col("_next"), carry)
-    return joined.withColumn(out, nxt.getField("v")).drop("_next", "_last_key", "_succ", SLICE)
+    cols = [*keys, *order]
+    bounds = slice_bounds(df, cols, n)
+    sliced = df.withColumn(SLICE, slice_of(df, cols, bounds))
+    boxed = F.struct(F.col(value).alias("v"))  # tells a NULL value from no successor
+    local = sliced.withColumn("_next", F.lead(boxed).over(Window.partitionBy(SLICE, *keys).orderBy(*_asc(order))))
+    firsts = _at_bounds(sliced, keys, bounds).groupBy(SLICE, *keys).agg(F.min_by(boxed, F.struct(*order)).alias("_first"))
+    later = Window.partitionBy(*keys).orderBy(SLICE)
+    following = firsts.withColumn("_succ", F.lead("_first").over(later)).where(F.col("_succ").isNotNull())
+    joined = _with_summary(local, following, keys, "_succ")
+    return joined.withColumn(out, F.coalesce("_next", "_succ").getField("v")).drop("_next", "_succ", SLICE)
 
 
 def ranked_values(
-    df: DataFrame,
-    order_col: str,
-    descending: bool = True,
-    out: str = "rank",
-    max_out: str = "_max",
-    n: int | None = None,
-    method: str = "auto",
+    df: DataFrame, order_col: str, descending: bool = True, out: str = "rank", max_out: str = "_max", n: int | None = None
 ) -> DataFrame:
     """The distinct values of ``order_col`` (as ``_v``) with their dense rank ``out`` and the highest rank.
 
-    Values are range-partitioned and sorted within each slice; a value's position in its slice is read from
-    ``monotonically_increasing_id`` (record number in the low 33 bits, partition in the high bits), so no window
-    and no further shuffle is needed. Slice sizes (at most ``n`` rows) give the offsets.
+    The values (pre-aggregated, so a value shared by many rows is one row) are written once and numbered by
+    ``row_number_within``; NULL is the first value ascending and the last descending.
     """
-    sort_v = F.col("_v").desc() if descending else F.col("_v").asc()
-    values = df.select(F.col(order_col).alias("_v")).distinct()
-    if not use_slices(df, n, method):
-        w = Window.partitionBy(F.lit(0))
-        ranked = values.withColumn(out, F.row_number().over(Window.orderBy(sort_v)).cast("int"))
-        return ranked.withColumn(max_out, F.max(out).over(w))
-    ranged = values.repartitionByRange(_n_slices(df, n), sort_v).sortWithinPartitions(sort_v)
-    record = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
-    local = cut_lineage(ranged.select("_v", F.spark_partition_id().alias(SLICE), (record + 1).alias("_local")))
-    counts = local.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_cnt"))
-    # at most n rows: a single-task window is bounded
-    offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_cnt").over(Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).withColumn("_total", F.sum("_cnt").over(Window.partitionBy(F.lit(0))))
-    return local.join(F.broadcast(offsets.select(SLICE, "_off", "_total")), SLICE).select(
-        "_v", (F.col("_local") + F.col("_off")).cast("int").alias(out), F.col("_total").cast("int").alias(max_out)
-    )
+    values = cut_lineage(df.select(F.col(order_col).alias("_v")).distinct())
+    top = values.count()
+    numbered = row_number_within(values, [], ["_v"], "_rn", n)
+    rank = F.lit(top + 1) - F.col("_rn") if descending else F.col("_rn")
+    return numbered.select("_v", rank.cast("int").alias(out), F.lit(top).cast("int").alias(max_out))
 
 
 def attach_ranks(df: DataFrame, order_col: str, ranked: DataFrame) -> DataFrame:
@@ -191,16 +138,9 @@ def attach_ranks(df: DataFrame, order_col: str, ranked: DataFrame) -> DataFrame:
 
 
 def dense_rank_global(
-    df: DataFrame,
-    order_col: str,
-    descending: bool = True,
-    out: str = "rank",
-    max_out: str | None = None,
-    n: int | None = None,
-    method: str = "auto",
+    df: DataFrame, order_col: str, descending: bool = True, out: str = "rank", max_out: str | None = None, n: int | None = None
 ) -> DataFrame:
-    """``dense_rank() over (order by order_col [desc])`` over the whole table, computed slice-wise
-    (see ``ranked_values``). ``max_out`` adds the highest rank."""
-    ranked = ranked_values(df, order_col, descending, out, max_out or "_max", n, method)
-    result = attach_ranks(df, order_col, ranked)
+    """``dense_rank() over (order by order_col [desc])`` over the whole table (see ``ranked_values``).
+    ``max_out`` adds the highest rank."""
+    result = attach_ranks(df, order_col, ranked_values(df, order_col, descending, out, max_out or "_max", n))
     return result if max_out else result.drop("_max")

@@ -7,6 +7,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .ordered import attach_ranks, ranked_values
 
 
@@ -22,8 +23,10 @@ def top_percent(
 
     Ranks are over distinct values, so with few distinct values a small ``pct`` can select nothing; that is the
     rule, not an accident. Both the rank and the highest rank are returned. No step gathers the rows (or the
-    values) into one task: see ``ordered.ranked_values``.
+    values) into one task: see ``ordered.ranked_values``. ``df`` is usually an aggregate; it is computed once and
+    written, as the values and the selected rows are both taken from it.
     """
+    df = cut_lineage(df)
     ranked = ranked_values(df, order_col, descending=descending, out=rank_col, max_out=max_col)
     # exact decimal product: 1170 * 0.10 must be 117, not 117.00000000000001
     limit = F.col(max_col).cast("decimal(20,0)") * F.lit(Decimal(str(pct)))

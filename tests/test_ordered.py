@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tableops.operators.ordered import dense_rank_global, lead_within, row_number_within
+from tableops.operators.ordered import dense_rank_global, lead_within, row_number_within, slice_bounds, slice_of
 
 
 def _skewed(spark, n=400, seed=7):
@@ -57,17 +57,33 @@ def test_dense_rank_global_ascending_with_nulls(spark):
     assert sorted(got.select("id", "r").collect()) == sorted(exp.select("id", "r").collect())
 
 
-def test_small_inputs_take_the_window_and_agree(spark):
-    from tableops.operators.ordered import use_slices
-
-    nation = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
-    assert not use_slices(nation, None)  # a few KB of Parquet: the plain window
-    df = _skewed(spark, n=120)
-    assert use_slices(df, None)  # no size statistics (rows from the driver): the safe choice
-    assert use_slices(nation, 4) and use_slices(nation, None, "slices") and not use_slices(df, None, "window")
-    small = row_number_within(df, ["k"], ["start", "tb"], out="rn", method="window")
-    big = row_number_within(df, ["k"], ["start", "tb"], out="rn", method="slices")
-    assert sorted(small.select("tb", "rn").collect()) == sorted(big.select("tb", "rn").collect())
-    a = dense_rank_global(df, "start", out="r", max_out="m", method="window")
-    b = dense_rank_global(df, "start", out="r", max_out="m", method="slices")
-    assert sorted(a.select("tb", "r", "m").collect()) == sorted(b.select("tb", "r", "m").collect())
+def test_one_key_with_nearly_all_rows(spark):
+    df = spark.range(0, 20_000, 1, 6).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(-1)).cast("int").alias("k"),
+        F.pmod(F.xxhash64("id"), F.lit(1000)).cast("int").alias("start"),
+        F.col("id").cast("int").alias("tb"),
+    )
+    w = Window.partitionBy("k").orderBy("start", "tb")
+    exp = df.select("tb", F.row_number().over(w).cast("long").alias("rn"), F.lead("tb").over(w).alias("nxt"))
+    got = row_number_within(df, ["k"], ["start", "tb"], out="rn", n=12).join(
+        lead_within(df, ["k"], ["start", "tb"], "tb", "nxt", n=12).select("tb", "nxt"), "tb"
+    )
+    assert got.select("tb", "rn", "nxt").exceptAll(exp).count() == 0 and got.count() == 20_000
+
+
+def test_slices_are_balanced_and_the_same_every_time(spark):
+    df = spark.range(0, 300, 1, 3).select(F.explode(F.sequence(F.lit(0), F.lit(199))).alias("x"), "id")  # 60,000 rows
+    bounds = slice_bounds(df, ["x", "id"], 20)
+    assert bounds == slice_bounds(df.repartition(5), ["x", "id"], 20) and 15 <= len(bounds) <= 19
+    sizes = [r["count"] for r in df.groupBy(slice_of(df, ["x", "id"], bounds).alias("s")).count().collect()]
+    assert len(sizes) == len(bounds) + 1 and max(sizes) < 3 * 60_000 / 20
+    plan = row_number_within(df, ["x"], ["id"], n=20)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_numbering_without_keys_and_of_nothing(spark):
+    df = spark.createDataFrame([(3,), (1,), (None,), (2,)], "v int")
+    assert sorted((r.v or 0, r.rn) for r in row_number_within(df, [], ["v"], "rn", n=3).collect()) == [(0, 1), (1, 2), (2, 3), (3, 4)]
+    empty = df.limit(0).withColumn("k", F.lit(1))
+    assert row_number_within(empty, ["k"], ["v"]).count() == 0 and lead_within(empty, ["k"], ["v"], "v", "n").count() == 0
+    assert dense_rank_global(empty, "v").count() == 0
