@@ -2,7 +2,8 @@
 
 ``try_cast`` of text that is not a number raises and catches an exception per row inside the JVM, which is
 orders of magnitude slower than the cast itself. ``try_number`` only attempts the cast when the text looks
-like a number; anything else is NULL straight away. Results equal ``try_cast``.
+like a number (for the binary floating types also ``NaN``, ``Infinity`` and a type suffix); anything else is NULL
+straight away. Results equal ``try_cast``.
 """
 
 from __future__ import annotations
@@ -11,10 +12,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: optional sign, digits with an optional fraction (or a bare fraction), optional exponent.
-NUMERIC_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+NUMERIC_TEXT = r"^[\x00-\x20]*[+-]?(\p{Nd}+\.?\p{Nd}*|\.\p{Nd}+)([eE][+-]?\p{Nd}+)?[\x00-\x20]*$"
+FLOATING_TEXT = r"(?i)^[\x00-\x20]*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?[df]?|nan|inf(inity)?|0x[0-9a-f.p+-]+[df]?)[\x00-\x20]*$"
 
 
 def try_number(c, type_: str) -> Column:
     """``try_cast(c AS type_)`` for text ``c``; non-numeric text gives NULL without an exception."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.when(col.rlike(NUMERIC_TEXT), col.try_cast(type_)).otherwise(F.lit(None).cast(type_))
+    pattern = FLOATING_TEXT if type_.strip().lower() in ("float", "double", "real") else NUMERIC_TEXT
+    return F.when(col.rlike(pattern), col.try_cast(type_)).otherwise(F.lit(None).cast(type_))

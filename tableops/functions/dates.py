@@ -95,11 +95,13 @@ def parse_event_ts(c) -> Column:
 
 
 def parse_month_label(c) -> Column:
-    """``'mai-21'`` / ``'Jan-22'`` -> ``'2021-05'`` / ``'2022-01'``; anything else -> NULL."""
+    """``'mai-21'`` / ``'Jan-99'`` -> ``'2021-05'`` / ``'1999-01'``; anything else -> NULL. Two-digit years from 69 on
+    are of the last century."""
     c = F.lower(_c(c))
     for src, dst in MONTH_LABEL_REPLACEMENTS.items():
         c = F.replace(c, F.lit(src), F.lit(dst))
-    return F.date_format(F.try_to_date(c, MONTH_LABEL_FORMAT), "yyyy-MM")
+    d = F.try_to_date(c, MONTH_LABEL_FORMAT)
+    return F.date_format(F.when(F.year(d) >= 2069, F.add_months(d, -1200)).otherwise(d), "yyyy-MM")
 
 
 def date_or_monday(c, as_of) -> Column:

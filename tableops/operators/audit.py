@@ -22,9 +22,6 @@ from ..functions.dates import as_date
 from ..functions.nulls import concat_ws_strict, greatest_strict
 from .semistructured import flatten
 
-# Fixed value: table families reported on (database DM, schemas RP/AN/PL, dimension and fact tables).
-USAGE_TABLE_PATTERN = r"DM\.(RP|AN|PL)\.(DIM|FACT)_"
-
 
 def _ts(as_of):
     return as_date(as_of).cast("timestamp_ntz")
@@ -55,14 +52,16 @@ def table_usage(
     access: DataFrame,
     as_of,
     users: Sequence[str],
+    pattern: str,
+    pair: tuple[str, str],
+    when_queried: str | None = None,
     objects_col: str = "direct_objects_accessed",
-    pattern: str = USAGE_TABLE_PATTERN,
     lookback_days: int = 1,
 ) -> DataFrame:
-    """Per reported table: size, change dates, whether it changed or was queried by ``users`` in the last
-    ``lookback_days``, and whether a table of the same name exists in both RP and AN.
+    """Per table whose full name matches ``pattern``: size, change dates, whether it changed or was queried by
+    ``users`` in the last ``lookback_days``, and whether a table of the same name exists in both schemas of ``pair``.
 
-    Kept: RP and AN tables, plus PL tables that were queried.
+    Kept: the tables of the two schemas, plus those of the schema ``when_queried`` that were queried.
     """
     fq = concat_ws_strict(".", "table_catalog", "table_schema", "table_name")
     inv = inventory.withColumn("fq_table_name", fq).where(F.regexp_count(F.col("fq_table_name"), F.lit(pattern)) > 0)
@@ -75,20 +74,20 @@ def table_usage(
     )
     latest = acc.groupBy("fq_table_name").agg(F.max("query_start_time").alias("latest_queried_timestamp"))
 
-    # "same name in RP and AN": a window over the inventory (one row per table, so each name holds at most a
+    # "same name in both schemas": a window over the inventory (one row per table, so each name holds at most a
     # handful of rows) instead of a self-join, so the inventory is read once
     by_name = Window.partitionBy("table_name")
-    in_both = (F.max((F.col("table_schema") == "RP").cast("int")).over(by_name) == 1) & (
-        F.max((F.col("table_schema") == "AN").cast("int")).over(by_name) == 1
+    in_both = (F.max((F.col("table_schema") == pair[0]).cast("int")).over(by_name) == 1) & (
+        F.max((F.col("table_schema") == pair[1]).cast("int")).over(by_name) == 1
     )
-    inv = inv.withColumn("table_exists_in_both_rp_and_an", F.when(in_both, F.lit("yes")))
+    inv = inv.withColumn("table_exists_in_both", F.when(in_both, F.lit("yes")))
 
     joined = inv.join(latest, "fq_table_name", "left")
     day_before = F.date_sub(as_date(as_of), 1).cast("timestamp_ntz")
     changed = greatest_strict(F.col("last_altered"), F.col("created")) > day_before
     final = joined.where(
-        F.col("table_schema").isin("RP", "AN")
-        | ((F.col("table_schema") == "PL") & F.col("latest_queried_timestamp").isNotNull())
+        F.col("table_schema").isin(*pair)
+        | (F.col("table_schema").eqNullSafe(when_queried) & F.col("latest_queried_timestamp").isNotNull())
     ).select(
         "fq_table_name",
         F.col("table_catalog").alias("table_database"),
@@ -99,7 +98,7 @@ def table_usage(
         F.to_date("created").alias("created_date"),
         F.when(changed, F.lit("yes")).otherwise(F.lit("no")).alias("updated_or_created_last_day"),
         F.when(F.col("latest_queried_timestamp").isNotNull(), F.lit("yes")).otherwise(F.lit("no")).alias("queried_last_day"),
-        F.coalesce(F.col("table_exists_in_both_rp_and_an"), F.lit("no")).alias("table_exists_in_both_rp_and_an"),
+        F.coalesce(F.col("table_exists_in_both"), F.lit("no")).alias("table_exists_in_both"),
     )
     return final.orderBy("fq_table_name", "table_database", "table_schema", "table_name")
 

@@ -11,25 +11,14 @@ from pyspark.sql import functions as F
 CLOUD_CLEAR_MAX = 50  # cloud_area_fraction above this is not a clear sky
 RAIN_MIN = 0.1  # precipitation above this (mm, next hour) counts as rain
 
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
-
-def enrich(
-    df: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str] | str,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-) -> DataFrame:
+def enrich(df: DataFrame, lookup: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     """Keep rows whose key is in ``lookup`` and attach its columns (inner join; lookup unique per key).
 
-    The lookup is broadcast only after checking it has at most ``broadcast_max_rows`` rows (a bounded
-    ``limit`` count); a larger lookup falls back to a shuffled join that adaptive execution may still turn
-    into a broadcast.
+    Whether the lookup is broadcast is left to Spark, which knows its size in bytes at run time.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    small = lookup.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
-    right = F.broadcast(lookup) if small else lookup
-    return df.join(right, keys, "inner")
+    return df.join(lookup, keys, "inner")
 
 
 def weather_flags(df: DataFrame, cloud: str = "cloud", rain: str = "precipitation") -> DataFrame:

@@ -28,10 +28,13 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], count_col: str = "dup_cou
     return df.join(counts, on, "inner").drop(*[f"_dk_{k}" for k in keys])
 
 
-def assert_keys_not_null(df: DataFrame, keys: Sequence[str]) -> None:
-    cond = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    if df.where(cond).limit(1).count() > 0:
-        raise ValueError(f"NULL value in key column(s) {list(keys)}")
+def require_at_most(df: DataFrame, keys: Sequence[str], n: int) -> None:
+    """Raise when a key has more than ``n`` rows, naming some such keys and how many rows a cap would drop."""
+    over = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > n)
+    found = over.orderBy(F.desc("n_rows")).limit(5).collect()
+    if found:
+        dropped = over.agg(F.sum(F.col("n_rows") - n)).first()[0]
+        raise ValueError(f"a cap of {n} rows per {list(keys)} would drop {dropped} rows, e.g. {[r.asDict() for r in found]}")
 
 
 def batch_plan(

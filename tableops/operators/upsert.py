@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import lead_within
+from .ordered import lead_within, row_number_within
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: bool = True) -> DataFrame:
@@ -25,28 +25,19 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest
     return agg.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
-GUARD = "_unique_ok"
-
-
 def unique_or_fail(df: DataFrame, keys: Sequence[str], what: str = "source", allow_null_keys: bool = True) -> DataFrame:
-    """One row per key, plus a boolean column ``GUARD`` whose evaluation fails the job for a key held by more
-    than one row (or for a NULL key unless ``allow_null_keys``). Callers must consume ``GUARD``.
+    """``df``, failing the job for a key held by more than one row (or for a NULL key unless ``allow_null_keys``).
 
-    The check is part of the plan, not a separate action: rows are aggregated by key (map-side combined; the
-    key columns are left untouched so the hash partitioning serves the following join).
+    The check is part of the plan, not a separate action: rows are counted by a window on the partitioning that the
+    following join needs anyway, and checked by a filter, which no column pruning removes.
     """
     keys = list(keys)
-    others = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*others)).alias("_row"))
-    guard = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"{what} has more than one row for a key of {keys}")))
+    count = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    check = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"{what} has more than one row for a key of {keys}")))
     if not allow_null_keys:
         null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        guard = guard.when(null_key, F.raise_error(F.lit(f"{what} has a NULL key in {keys}")))
-    return agg.select(
-        *keys,
-        *[F.col(f"_row.{c}").alias(c) for c in others],
-        F.coalesce(guard.cast("boolean"), F.lit(True)).alias(GUARD),
-    )
+        check = check.when(null_key, F.raise_error(F.lit(f"{what} has a NULL key in {keys}")))
+    return df.withColumn("_n", count).where(F.coalesce(check.cast("boolean"), F.lit(True))).drop("_n")
 
 
 def _resolve_duplicates(source: DataFrame, keys, on_duplicate: str, order, allow_null_keys: bool = True) -> DataFrame:
@@ -55,7 +46,7 @@ def _resolve_duplicates(source: DataFrame, keys, on_duplicate: str, order, allow
     if on_duplicate == "first":
         if not order:
             raise ValueError("on_duplicate='first' needs an order")
-        return one_per_key(source, keys, order).withColumn(GUARD, F.lit(True))
+        return one_per_key(source, keys, order)
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 
 
@@ -93,9 +84,9 @@ def merge_partial(
 
 def _merge(target: DataFrame, src: DataFrame, keys: list[str], fields: list[str], whole_row: bool) -> DataFrame:
     t_cols = [c for c in target.columns if c not in keys]
-    s_cols = [c for c in src.columns if c not in keys and c != GUARD]
+    s_cols = [c for c in src.columns if c not in keys]
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in t_cols], F.lit(True).alias("_in_t"))
-    s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in s_cols], F.col(GUARD).alias("_in_s"))
+    s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in s_cols], F.lit(True).alias("_in_s"))
     j = t.join(s, keys, "full_outer")
     in_s = F.coalesce(F.col("_in_s"), F.lit(False))
     out = [F.col(k) for k in keys]
@@ -118,7 +109,7 @@ def update_from(
     on_duplicate: str = "error",
     order: Sequence[str] | None = None,
     matched_col: str | None = None,
-    broadcast_max_rows: int | None = 1_000_000,
+    broadcast_source: bool = False,
 ) -> DataFrame:
     """``UPDATE target SET c = expr(source) FROM source WHERE target.k = source.k [AND where]``.
 
@@ -127,17 +118,14 @@ def update_from(
     conditions over target ``t('col')`` and source ``s('col')`` columns. Unmatched rows are unchanged; a
     matched NULL overwrites (no ``coalesce``). The row count of ``target`` never changes.
 
-    Corrections are usually few against a large target, but the optimizer's estimate of a joined or
-    aggregated source can be far too high to broadcast. The source is therefore counted with a bounded
-    ``limit(broadcast_max_rows + 1).count()``; when that proves it small it is broadcast and the target is not
-    shuffled at all. ``None`` leaves the choice to Spark.
+    Adaptive execution broadcasts a source that turns out small at run time. ``broadcast_source`` does so in any
+    case, for a source that the caller knows to be bounded: the target is then not shuffled at all.
     """
     pairs = [(p, p) if isinstance(p, str) else tuple(p) for p in on]
     skeys = [sk for _, sk in pairs]
-    small = broadcast_max_rows is not None and source.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
     source = _resolve_duplicates(source, skeys, on_duplicate, order)
     src = source.select(
-        *[F.col(c).alias(f"_src_{c}") for c in source.columns if c != GUARD], F.col(GUARD).alias("_matched")
+        *[F.col(c).alias(f"_src_{c}") for c in source.columns], F.lit(True).alias("_matched")
     )
 
     def s(c: str) -> Column:
@@ -147,7 +135,7 @@ def update_from(
         return F.col(c)
 
     cond = reduce(lambda a, b: a & b, [target[tk] == src[f"_src_{sk}"] for tk, sk in pairs])
-    joined = target.join(F.broadcast(src) if small else src, cond, "left")
+    joined = target.join(F.broadcast(src) if broadcast_source else src, cond, "left")
     hit = F.coalesce(F.col("_matched"), F.lit(False))
     if where is not None:
         hit = hit & F.coalesce(where(t, s), F.lit(False))
@@ -189,8 +177,7 @@ def close_open_intervals(
         .where(F.col("_open") > 1)
         .select(*keys, F.lit(True).alias("_multi"))
     )
-    flagged = df.join(multi, keys, "left")
-    nxt = lead_within(flagged, keys, [start] + ties, start, "_next_start")
+    nxt = lead_within(df, keys, [start] + ties, start, "_next_start").join(multi, keys, "left")
     new_end = F.when(
         F.col("_multi") & F.col(end).isNull() & F.col("_next_start").isNotNull(),
         F.date_sub(F.to_date(F.col("_next_start")), 1),
@@ -202,19 +189,16 @@ def close_open_intervals(
     return out.select(*result)
 
 
-def limit_per_group(
-    df: DataFrame, keys: Sequence[str], n: int, order: Sequence[Column], salts: int | None = None
-) -> DataFrame:
-    """At most ``n`` rows per key, the first ``n`` by ``order`` (which should be total).
+def limit_per_group(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[str], descending: bool = False) -> DataFrame:
+    """At most ``n`` rows per key: the first ``n`` by ``order`` (total within a key), or the last when ``descending``
+    (NULLs first ascending, last descending).
 
-    Two rounds so a hot key is not ranked in one task: first within (key, salt) -- the salt hashes the row's
-    scan position, so even identical rows spread -- keeping ``n`` each, then within the key over at most
-    ``salts * n`` survivors. Exact, since the top ``n`` of a key are among the top ``n`` of its salt groups.
+    Rows are numbered by ``row_number_within``, so neither a hot key nor a large ``n`` fills one task.
     """
     keys = list(keys)
-    salts = salts or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)))
-    w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    first = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= n)
-    w2 = Window.partitionBy(*keys).orderBy(*order)
-    return first.withColumn("_r2", F.row_number().over(w2)).where(F.col("_r2") <= n).drop("_salt", "_r1", "_r2")
+    numbered = row_number_within(df, keys, order, out="_rn")
+    if not descending:
+        return numbered.where(F.col("_rn") <= n).drop("_rn")
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_size")
+    same = reduce(lambda a, b: a & b, [numbered[k].eqNullSafe(sizes[f"_k_{k}"]) for k in keys])
+    return numbered.join(sizes, same).where(F.col("_rn") > F.col("_size") - n).select(*df.columns)

@@ -8,8 +8,11 @@ folder the cluster names in ``spark.checkpoint.dir``; a private folder is only c
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,38 +61,34 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when set; otherwise (tests, local runs) creates a private one.
+    Uses the cluster's ``spark.checkpoint.dir``. Only a session whose driver and executors are one process (master
+    ``local`` or ``local[..]``: tests, local runs) may leave it unset and gets a private folder.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 -- remote sessions have no context handle; the server owns the setting
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-        if not current:
-            if not (sc.master or "").startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local folder is unsafe on a cluster")
-            current = tempfile.mkdtemp(prefix="tableops-ckpt-")
+        if not re.fullmatch(r"local(\[.*\])?", sc.master or ""):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local folder is unsafe on a cluster")
+        current = tempfile.mkdtemp(prefix="tableops-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
-    return current
+    return sc.getCheckpointDir() or current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder for jobs that write and read back files."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+    """A fresh path below the shared checkpoint folder for jobs that write and read back files; it is removed when
+    the driver's Python ends, as the returned DataFrame still reads from it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    atexit.register(remove_path, spark, path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Removes a folder on any file system Spark can write to; does nothing once the session has been stopped."""
+    sc = spark.sparkContext
+    if sc._jsc is not None:
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -2,7 +2,14 @@
 
 from .catalog import catalog_columns, catalog_tables  # noqa: F401
 from .files import (  # noqa: F401
-    name_matches, read_delimited, read_json_array, read_json_payload, read_matching, read_sheets, typed_fields,
+    name_matches,
+    read_delimited,
+    read_json_array,
+    read_json_payload,
+    read_matching,
+    read_sheets,
+    sheet_layouts,
+    typed_fields,
 )
 from .incremental import incremental, next_watermark  # noqa: F401
 from .lineage import with_lineage  # noqa: F401

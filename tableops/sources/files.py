@@ -7,6 +7,7 @@ listing files (they show up as ``DataFilters`` on the scan), so unmatched files
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,29 +103,39 @@ def read_delimited(
     return df
 
 
-def read_sheets(
-    spark: SparkSession,
-    base: str,
-    fmt: str = "csv",
-    sheet_col: str = "sheet",
-    file_col: str = "workbook",
-    regex: str | None = None,
-    **options,
-) -> DataFrame:
-    """Workbook sheets landed as ``<base>/<workbook>/<sheet>/<files>`` read in **one** scan.
+def sheet_layouts(
+    spark: SparkSession, base: str, sheet_col: str = "sheet", file_col: str = "workbook", regex: str | None = None, **options
+) -> list[DataFrame]:
+    """Workbook sheets landed as ``<base>/<workbook>/<sheet>/<CSV files>``: one DataFrame per distinct header.
 
-    Every sheet of every workbook becomes rows of one DataFrame tagged with ``workbook`` and ``sheet`` (taken
-    from the folder names), instead of one job per sheet. Sheets must share their header layout; CSV values
-    are read as text. ``regex`` selects workbooks by folder name (start-anchored).
+    The folders are chosen first (``regex`` selects workbooks by name, start-anchored), so no other file is opened.
+    Each sheet's header is read from its own files; sheets with the same header, in the same order, are read in one
+    scan. Values are text; every row is tagged with its workbook and sheet.
     """
-    reader = spark.read.format(fmt).option("recursiveFileLookup", "true")
-    if fmt == "csv":
-        reader = reader.option("header", "true")
-    df = reader.options(**options).load(base)
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    df = df.withColumns(
-        {file_col: F.url_decode(F.element_at(parts, -3)), sheet_col: F.url_decode(F.element_at(parts, -2))}
-    )
+    parts = F.split("path", "/")
+    names = {file_col: F.url_decode(F.element_at(parts, -3)), sheet_col: F.url_decode(F.element_at(parts, -2))}
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path").withColumns(names)
     if regex:
-        df = df.where(F.col(file_col).rlike("^(?:" + regex + ")"))
-    return df
+        files = files.where(F.col(file_col).rlike("^(?:" + regex + ")"))
+    folders = files.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")).distinct().orderBy("folder").collect()
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for r in folders:  # one row per sheet
+        header = spark.read.options(**options).option("header", "true").csv(r["folder"]).columns
+        by_header.setdefault(tuple(header), []).append(r["folder"])
+    out = []
+    for header, paths in by_header.items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        df = spark.read.options(**options).option("header", "true").schema(schema).csv(paths)
+        located = F.split(F.col("_metadata.file_path"), "/")
+        out.append(
+            df.withColumns({file_col: F.url_decode(F.element_at(located, -3)), sheet_col: F.url_decode(F.element_at(located, -2))})
+        )
+    return out
+
+
+def read_sheets(spark: SparkSession, base: str, **options) -> DataFrame:
+    """All sheets of :func:`sheet_layouts` matched by column name; a column that a sheet lacks is NULL in its rows."""
+    layouts = sheet_layouts(spark, base, **options)
+    if not layouts:
+        raise ValueError(f"no sheet below {base} matches")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), layouts)

@@ -9,10 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def _rows(spark: SparkSession, sink: str, fmt: str) -> int:
+    """Committed rows of the sink (from the footers when it is Parquet); 0 before its first batch."""
+    try:
+        return spark.read.format(fmt).load(sink).count()
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return 0
+        raise
+
+
 def ingest_new_files(
     spark: SparkSession,
     path: str,
@@ -36,8 +47,9 @@ def ingest_new_files(
     writer = stream.writeStream.format(sink_fmt).option("checkpointLocation", checkpoint).outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    before = _rows(spark, sink, sink_fmt)
     query = writer.trigger(availableNow=True).start(sink)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return int(sum(p.get("numInputRows", 0) for p in query.recentProgress))
+    return _rows(spark, sink, sink_fmt) - before
