@@ -4,28 +4,31 @@ Each job derives its input from the benchmark tables, writes it to a fresh folde
 checkpoint directory (``spark.checkpoint.dir``), and reads it back through the ``sources`` readers, so the
 whole file path of the reference -- landing zone, file selection, payload parsing, lineage, load -- runs on
 data that grows with the tables. Writes are eager; the returned DataFrame reads the written files.
-Lineage columns (paths, row numbers, load times) are computed but not returned, because no other engine
-could reproduce the paths; ``tests/test_sources.py`` checks them.
+Paths cannot be reproduced by another engine, so lineage is returned as what must hold for it: that the row
+numbers of each file run from 1 to its number of rows, and the load time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import code, last_path_part, parse_event_ts
+from ..functions import code, date_path, last_path_part, parse_event_ts
 from ..operators import quality, reshape, semistructured, upsert
 from ..session import Tables, scratch_path
-from ..sinks import TEXT_TS_OPTIONS, load_append, unload_partition, write_json_gzip, write_json_parts
+from ..sinks import TEXT_TS_OPTIONS, clustered, load_append, unload_partition, write_json_gzip, write_json_parts
 from ..sources import (
     incremental,
     next_watermark,
     read_delimited,
+    read_json_array,
     read_json_payload,
     read_matching,
-    read_sheets,
+    sheet_layouts,
     typed_fields,
     with_lineage,
 )
@@ -33,11 +36,12 @@ from ..streaming import ingest_new_files
 from .jobs import AS_OF, INCREMENTAL_PREV, MONEY, _event_bodies, forecast_long, forecast_sheet
 
 LOADED_AT = dt.datetime(2001, 8, 2, 6, 0, 0)
+FIRST_ROUND = dt.datetime(2024, 1, 22)
 
 # Forecast record fields (all text in the landing JSON; value is numeric(15,5) in the table).
 FORECAST_FIELDS = [
-    "center_id", "center_name", "country_code", "business_unit", "period", "extract_date", "metric_name",
-    "forecast_file",
+    "center_id", "center_name", "country_code", "business_unit", "unique_id", "currency", "currency_rate", "account",
+    "club_oh", "forecast_file", "current_fc", "period", "metric_name", "extract_date",
 ]
 
 
@@ -45,6 +49,18 @@ def _t(spark, sf_dir) -> Tables:
     return Tables(spark, sf_dir)
 
 
+def lineage_checked(df: DataFrame) -> DataFrame:
+    """The lineage columns replaced by ``lineage_ok`` (the numbers of the row's file are 1..n without gaps or
+    repeats) and ``loaded_at``."""
+    name, number, time = "etl_metadata_filename", "etl_metadata_file_row_number", "etl_created_timestamp_utc"
+    n = F.count(F.lit(1))
+    per_file = df.groupBy(name).agg(
+        ((F.min(number) == 1) & (F.max(number) == n) & (F.count_distinct(number) == n)).alias("lineage_ok")
+    )
+    out = df.join(per_file, name).withColumn("loaded_at", F.col(time).cast("timestamp_ntz"))
+    return out.drop(name, number, time)
+
+
 # --- C2: forecast JSON lines -> typed table with payload and lineage --------------------------------------
 
 
@@ -53,7 +69,8 @@ def q_json_load(spark, sf_dir) -> DataFrame:
     long = forecast_long(forecast_sheet(t), "Total price", "200008 forecast", AS_OF)
     landing = scratch_path(spark, "forecast-json")
     # one folder per (file, metric); the record keeps both fields, as the landing files do
-    write_json_parts(long.withColumns({"file_part": F.col("forecast_file"), "metric_part": F.col("metric_name")}), landing, ["file_part", "metric_part"])
+    parts = {"file_part": F.col("forecast_file"), "metric_part": F.col("metric_name")}
+    write_json_parts(long.withColumns(parts), landing, list(parts), cluster_by=["center_id"])
 
     raw = read_json_payload(spark, landing, regex=r".*\.json")
     spec = {c: (c, "string") for c in FORECAST_FIELDS}
@@ -62,7 +79,7 @@ def q_json_load(spark, sf_dir) -> DataFrame:
     typed = with_lineage(typed, LOADED_AT)
     table = scratch_path(spark, "forecast-table")
     load_append(typed.drop("payload", "payload_text", "_metadata"), table)
-    return spark.read.parquet(table).select(*FORECAST_FIELDS, "value")
+    return lineage_checked(spark.read.parquet(table)).select(*FORECAST_FIELDS, "value", "lineage_ok", "loaded_at")
 
 
 # --- R1 + C3: event-capture files, each loaded once, decoded into typed columns ---------------------------
@@ -88,7 +105,8 @@ def q_event_ingest(spark, sf_dir) -> DataFrame:
     capture = scratch_path(spark, "event-capture")
     bodies = _event_bodies(t)
     bodies = bodies.withColumns({"y": F.year("ts"), "m": F.month("ts"), "d": F.dayofmonth("ts")}).drop("ts")
-    bodies.write.partitionBy("y", "m", "d").json(capture)  # one folder per capture day
+    days = ["y", "m", "d"]
+    clustered(bodies, days, ["event_id"]).write.partitionBy(*days).json(capture)  # one folder per capture day
 
     sink, ckpt = scratch_path(spark, "event-table"), scratch_path(spark, "event-ckpt")
     ingest_new_files(spark, capture, "event_id bigint, Body string", sink, ckpt, transform=_decode_stream)
@@ -132,8 +150,9 @@ def q_unload_reload(spark, sf_dir) -> DataFrame:
         F.col("SCORING_DATETIME_UTC").cast("timestamp_ntz").alias("scoring_datetime_utc"),
         "etl_metadata_filename",
         "etl_metadata_file_row_number",
+        "etl_created_timestamp_utc",
     )
-    return loaded.drop("etl_metadata_filename", "etl_metadata_file_row_number")
+    return lineage_checked(loaded)
 
 
 # --- S5: semicolon files read by position (non-ASCII text, Latin-1 encoded) -------------------------------
@@ -167,40 +186,57 @@ def q_delimited_roundtrip(spark, sf_dir) -> DataFrame:
 # --- C1 complete: workbook sheets landed as files, selected, validated, unpivoted, written per metric -----
 
 SHEETS = {"Total price": "sum", "Order count": "count"}
+COUNTS_SKIP = 6  # the count sheet has no columns for the first months
 
 
 def q_sheet_forecast(spark, sf_dir) -> DataFrame:
+    """Two sheets whose month columns differ in order and in set, next to a workbook that is no forecast."""
     t = _t(spark, sf_dir)
     base = scratch_path(spark, "workbooks")
     for sheet, how in SHEETS.items():
         wide = forecast_sheet(t, how=how)
+        if how == "count":
+            months = reshape.columns_matching(wide, reshape.MONTH_COLUMN_REGEX)
+            wide = wide.select(*months[:COUNTS_SKIP - 1:-1], *[F.col(f"`{c}`") for c in wide.columns if c not in months])
         wide.write.option("header", "true").csv(f"{base}/200008 forecast/{sheet}")
-    forecast_sheet(t).limit(0).write.option("header", "true").csv(f"{base}/notes/Total price")  # not a forecast
-
-    sheets = read_sheets(spark, base, regex=r"\d{6}.*forecast")
-    quality.require_values(sheets, "sheet", list(SHEETS))
-    month_cols = reshape.columns_matching(sheets, reshape.MONTH_COLUMN_REGEX)
-    sheets = sheets.withColumns({c: F.col(f"`{c}`").cast("double") for c in month_cols}).withColumn(
-        "CC", F.col("CC").cast("long")
-    )
-    long = forecast_long(sheets, F.col("sheet"), F.col("workbook"), AS_OF)
+    notes = t.nation.select(F.col("n_name").alias("Country"), F.lit("7").alias("jan-90"))
+    notes.write.option("header", "true").csv(f"{base}/000 notes/Total price")  # sorts first, other header
+
+    layouts = sheet_layouts(spark, base, regex=r"\d{6}.*forecast")
+    long = []
+    for sheets in layouts:  # one per distinct header: every sheet is unpivoted by its own column names
+        months = reshape.columns_matching(sheets, reshape.MONTH_COLUMN_REGEX)
+        typed = sheets.withColumns({c: F.col(f"`{c}`").cast("double") for c in months}).withColumn("CC", F.col("CC").cast("long"))
+        long.append(forecast_long(typed, F.col("sheet"), F.col("workbook"), AS_OF))
+    facts = reduce(DataFrame.unionByName, long)
+    found = reduce(DataFrame.unionByName, [sheets.select("sheet") for sheets in layouts])
+    quality.require_values(found, "sheet", list(SHEETS))
     out = scratch_path(spark, "forecast-out")
-    write_json_parts(long.withColumns({"file_part": F.col("forecast_file"), "metric_part": F.col("metric_name")}), out, ["file_part", "metric_part"])
-    return spark.read.schema(long.schema).options(**TEXT_TS_OPTIONS).json(out).select(*long.columns)
+    parts = {"file_part": F.col("forecast_file"), "metric_part": F.col("metric_name")}
+    write_json_parts(facts.withColumns(parts), out, list(parts), cluster_by=["center_id"])
+    return spark.read.schema(facts.schema).options(**TEXT_TS_OPTIONS).json(out).select(*facts.columns)
 
 
 # --- C6: incremental extract to a gzip JSON-lines file --------------------------------------------------
 
 
 def q_incremental_gzip(spark, sf_dir) -> DataFrame:
+    """Two rounds: the first extracts what had arrived by ``FIRST_ROUND``, the second what came after the watermark
+    that the first one stored."""
     t = _t(spark, sf_dir)
-    rows = incremental(t.events, "ts", INCREMENTAL_PREV).select("event_id", "ts", "user_id", "event_type")
     path = scratch_path(spark, "extract")
-    write_json_gzip(rows, f"{path}/data")
-    extract = spark.read.schema(rows.schema).options(**TEXT_TS_OPTIONS).json(f"{path}/data")
-    mark = next_watermark(extract, "ts", INCREMENTAL_PREV)
-    mark.write.options(**TEXT_TS_OPTIONS).json(f"{path}/watermark")  # the next run's ``prev``
-    return extract
+    columns = ["event_id", "ts", "user_id", "event_type"]
+    schema = t.events.select(*columns).schema
+    extracts, prev = [], INCREMENTAL_PREV
+    arrived = t.events.where(F.col("ts") <= F.lit(FIRST_ROUND).cast("timestamp_ntz"))
+    for k, table in enumerate((arrived, t.events), 1):
+        write_json_gzip(incremental(table, "ts", prev).select(*columns), f"{path}/data-{k}")
+        extract = spark.read.schema(schema).options(**TEXT_TS_OPTIONS).json(f"{path}/data-{k}")
+        mark = f"{path}/watermark-{k}"
+        next_watermark(extract, "ts", prev).write.options(**TEXT_TS_OPTIONS).json(mark)
+        prev = spark.read.schema("watermark timestamp_ntz").options(**TEXT_TS_OPTIONS).json(mark).first()[0]
+        extracts.append(extract.withColumn("round", F.lit(k)))
+    return reduce(DataFrame.unionByName, extracts)
 
 
 # --- C8: changed rows (flagged) merged field-wise into the document items ------------------------------
@@ -232,7 +268,8 @@ def segment_items(t: Tables) -> DataFrame:
 
 def changed_view(t: Tables) -> DataFrame:
     """The warehouse view: JSON summaries with a To_be_Updated flag (negative balance -> changed; customers
-    with a large balance also get a new item id)."""
+    with a large balance also get a new item id, and those with a middling one moved to another centre: the same id
+    under another partition key is another item)."""
     c = t.customer
     item = F.struct(
         F.col("c_custkey").alias("id"),
@@ -248,39 +285,124 @@ def changed_view(t: Tables) -> DataFrame:
     new_item = item.withField("id", F.col("c_custkey") + 1_000_000)
     changed = c.select(F.to_json(item).alias("member_segment_summary"), (F.col("c_acctbal") < 0).cast("int").alias("To_be_Updated"))
     new = c.where(F.col("c_acctbal") > 9000).select(F.to_json(new_item).alias("member_segment_summary"), F.lit(1).alias("To_be_Updated"))
-    return changed.unionByName(new)
+    moved = item.withField("centerId", (F.col("c_nationkey") + 1).cast("int"))
+    moved = c.where(F.col("c_acctbal").between(5000, 6000)).select(F.to_json(moved).alias("member_segment_summary"), F.lit(1).alias("To_be_Updated"))
+    return changed.unionByName(new).unionByName(moved)
+
+
+# Fixed value: the store's key, partition key first.
+ITEM_KEY = ["centerId", "id"]
 
 
 def q_partial_changed(spark, sf_dir) -> DataFrame:
     t = _t(spark, sf_dir)
     view = changed_view(t).where(F.col("To_be_Updated") == 1)
     parsed = view.select(F.from_json("member_segment_summary", ITEM_SCHEMA).alias("j")).select("j.*")
-    return upsert.merge_partial(segment_items(t), parsed, ["id"], PARTIAL_FIELDS)
+    return upsert.merge_partial(segment_items(t), parsed, ITEM_KEY, PARTIAL_FIELDS)
 
 
 # --- C4 + C21: web-sale payloads, nested codes, payer search --------------------------------------------
 
 
 def web_sales(t: Tables) -> DataFrame:
+    """One sale message per order; ``Body`` is its JSON in hexadecimal, as captured."""
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    s = lambda c: F.col(c).cast("string")
     payer = F.when(
         F.col("o_orderstatus") == "F",
         F.struct(
-            F.concat(F.lit("payer"), F.col("o_orderkey").cast("string"), F.lit("@example.com")).alias("email"),
-            F.struct(F.col("c_nationkey").alias("clubId"), (F.col("o_orderkey") % 997).alias("id")).alias("memberId"),
+            F.concat(F.lit("payer"), s("o_orderkey"), F.lit("@example.com")).alias("email"),
+            F.struct(F.col("c_nationkey").alias("clubId"), (F.col("o_orderkey") % 50).alias("id")).alias("memberId"),
         ),
     )
     body = F.struct(
+        F.struct(F.concat(F.lit("emp"), (F.col("o_orderkey") % 40).cast("string")).alias("externalId")).alias("salesPerson"),
+        F.col("o_orderpriority").alias("saleType"),
         F.struct(
-            F.col("c_custkey").cast("string").alias("personId"),
             F.struct(F.col("c_nationkey").alias("clubId"), F.col("c_custkey").alias("id")).alias("memberId"),
+            s("c_custkey").alias("personId"),
         ).alias("member"),
-        F.struct(F.struct(F.col("c_nationkey").alias("clubId"), F.col("o_orderkey").alias("id")).alias("subscriptionId")).alias("membership"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("R"), s("c_nationkey"))).alias("recruitmentCode"),
+        F.struct(
+            F.round("o_totalprice").cast("long").alias("periodPriceAmountInLocalCurrency"),
+            F.struct(F.col("c_nationkey").alias("clubId"), F.col("o_orderkey").alias("id")).alias("subscriptionId"),
+        ).alias("membership"),
         F.struct(F.struct(F.lit(1).alias("clubId"), (F.col("o_orderkey") % 50).alias("id")).alias("productId")).alias("selections"),
-        F.col("o_orderpriority").alias("saleType"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.lit("SUMMER")).alias("campaignCode"),
+        F.col("c_mktsegment").alias("brand"),
+        F.struct(F.concat(F.lit("N"), s("c_nationkey")).alias("country")).alias("club"),
+        F.lit("web").alias("source"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("createdAt"),
+        F.concat(F.lit("G"), s("o_orderkey")).alias("globalId"),
+        F.struct(F.concat(F.lit("P"), s("o_orderkey")).alias("paymentReference")).alias("payment"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.lit("V1")).alias("voucher"),
+        F.col("c_nationkey").alias("clubSalesClubId"),
         payer.alias("otherPayer"),
     )
-    return o.select("o_orderkey", F.to_json(body).alias("EVENT_PAYLOAD"))
+    text = F.to_json(body)
+    return o.select("o_orderkey", text.alias("EVENT_PAYLOAD"), F.hex(F.encode(text, "UTF-8")).alias("Body"))
+
+
+#: Columns read from a sale message: a path, or the club path, infix and id path of a composite code.
+WEB_SALE_FIELDS = {
+    "salesperson_externalid": "salesPerson.externalId",
+    "sale_type": "saleType",
+    "contact_code": "member.personId",
+    "member_code": ("member.memberId.clubId", "p", "member.memberId.id"),
+    "recruitmentcode": "recruitmentCode",
+    "subscription_id": ("membership.subscriptionId.clubId", "ss", "membership.subscriptionId.id"),
+    "product_id": ("selections.productId.clubId", "prod", "selections.productId.id"),
+    "campaign_code": "campaignCode",
+    "brand": "brand",
+    "country": "club.country",
+    "source": "source",
+    "createddate": "createdAt",
+    "global_id": "globalId",
+    "period_price": "membership.periodPriceAmountInLocalCurrency",
+    "payment_reference": "payment.paymentReference",
+    "voucher": "voucher",
+    "clubsalesclubid": "clubSalesClubId",
+}
+
+
+def web_sale_columns(payload: str) -> dict:
+    read = lambda path: semistructured.get_path(payload, path, "string")
+    return {
+        name: read(path) if isinstance(path, str) else code(read(path[0]), path[1], read(path[2]))
+        for name, path in WEB_SALE_FIELDS.items()
+    }
+
+
+def _web_sale_table(spark, sf_dir) -> DataFrame:
+    """Captured messages decoded, typed, given lineage and appended to a table, which is read back."""
+    capture, table = scratch_path(spark, "sale-capture"), scratch_path(spark, "sale-table")
+    web_sales(_t(spark, sf_dir)).select("o_orderkey", "Body").write.parquet(capture)
+    raw = with_lineage(read_matching(spark, capture, "parquet", r".*\.parquet"), LOADED_AT)
+    decoded = semistructured.decode_events(raw, "Body", hex_text=True)
+    typed = decoded.withColumns(web_sale_columns("payload")).withColumn("event_payload", F.to_json("payload"))
+    lineage = [c for c in raw.columns if c.startswith("etl_")]
+    load_append(typed, table, ["o_orderkey", "event_payload", *WEB_SALE_FIELDS, *lineage])
+    return spark.read.parquet(table)
+
+
+def q_web_sale_load(spark, sf_dir) -> DataFrame:
+    return lineage_checked(_web_sale_table(spark, sf_dir)).drop("event_payload")
+
+
+def q_web_sale_search(spark, sf_dir) -> DataFrame:
+    """Sales of a club's members paid by one other member: a path equality and an equality on the derived code."""
+    p = _web_sale_table(spark, sf_dir).withColumn("v", F.try_parse_json("event_payload"))
+    g = lambda path: semistructured.get_path("v", path, "string")
+    found = p.select(
+        "o_orderkey",
+        g("otherPayer.email").alias("otherpayer_email"),
+        g("otherPayer.memberId.clubId").alias("clubid"),
+        g("otherPayer.memberId.id").alias("id"),
+        code(g("otherPayer.memberId.clubId"), "p", g("otherPayer.memberId.id")).alias("otherpayer_membercode"),
+        g("member.memberId.id").alias("m_id"),
+        g("member.memberId.clubId").alias("c_id"),
+    ).withColumn("membercode", code("c_id", "p", "m_id"))
+    return found.where((F.col("c_id") == "7") & (F.col("otherpayer_membercode") == "7p32"))
 
 
 def q_composite_codes(spark, sf_dir) -> DataFrame:
@@ -309,7 +431,7 @@ def q_variant_flatten(spark, sf_dir) -> DataFrame:
     flat = semistructured.flatten(p, "v", index="idx", key="field")
     kind = F.schema_of_variant("value")
     kind = F.when(kind.startswith("OBJECT"), F.lit("object")).when(kind.startswith("ARRAY"), F.lit("array")).otherwise(F.lit("scalar"))
-    return flat.select("o_orderkey", "field", kind.alias("value_kind"))
+    return flat.select("o_orderkey", F.col("idx").cast("int").alias("idx"), "field", kind.alias("value_kind"), F.to_json("value").alias("value"))
 
 
 # --- C20: code lookup in an array column --------------------------------------------------------------
@@ -331,9 +453,8 @@ def q_array_code_lookup(spark, sf_dir) -> DataFrame:
 
 # --- C7: full keyed load into the document store in checked batches ----------------------------------
 
-# Store batch size (one call per batch, one partition key per batch) and row cap per centre.
+# Fixed value: store batch size (one call per batch, one partition key per batch).
 BULK_SIZE = 100
-LIMIT_PER_CENTER = 100_000
 DOC_SCHEMA = "id bigint, centerId int, segment string, lifecycle_tag string, changeddate string"
 
 
@@ -350,23 +471,76 @@ def segment_documents(t: Tables) -> DataFrame:
     return o.select(F.to_json(doc).alias("member_segment_summary"), F.col("o_orderdate"))
 
 
-def q_keyed_bulk_load(spark, sf_dir) -> DataFrame:
+def q_keyed_bulk_load(spark, sf_dir, limit_per_center: int | None = None) -> DataFrame:
+    """Load all documents in checked batches. ``limit_per_center`` fails the job, before anything is written, when a
+    centre has more rows: a load must not drop rows silently."""
     t = _t(spark, sf_dir)
     docs = segment_documents(t)
     parsed = docs.select(F.from_json("member_segment_summary", DOC_SCHEMA).alias("d")).select("d.*")
-    capped = upsert.limit_per_group(parsed, ["centerId"], LIMIT_PER_CENTER, [F.col("id").asc()])
-    planned = quality.batch_plan(capped, ["centerId"], BULK_SIZE, ["id"])
-
-    # the store before the load: documents of orders placed before 1998, in an older state
+    if limit_per_center is not None:
+        quality.require_at_most(parsed, ["centerId"], limit_per_center)
+    plan_path = scratch_path(spark, "segment-plan")
+    quality.batch_plan(parsed, ["centerId"], BULK_SIZE, ["id"]).write.parquet(plan_path)
+    planned = spark.read.parquet(plan_path)
+
+    # the store before the load: documents of orders placed before 1998 in an older state, some of them also under
+    # the centre that the member has left
     before = docs.where(F.col("o_orderdate") < F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz"))
     store = before.select(F.from_json("member_segment_summary", DOC_SCHEMA).alias("d")).select("d.*")
     store = store.withColumn("lifecycle_tag", F.lit("stale"))
+    left = store.where(F.col("id") % 7 == 0).withColumn("centerId", F.col("centerId") + 100)
+    store = store.unionByName(left)
 
-    loaded = upsert.upsert(store, planned.drop("batch"), ["id"])
+    loaded = upsert.upsert(store, planned.drop("batch"), ITEM_KEY)
     path = scratch_path(spark, "segment-store")
     loaded.write.parquet(path)
     written = spark.read.parquet(path)
     # every planned batch must be present in full in what was written
-    landed = written.join(planned.select("id", "centerId", "batch"), ["id", "centerId"])
+    landed = written.join(planned.select("id", "centerId", "batch"), ITEM_KEY)
     quality.reconcile_counts(planned, landed, ["centerId"])
     return written
+
+
+# --- S4 S9 K9 C25: array files, date folders, insert-select ---------------------------------------------
+
+
+def q_json_array_load(spark, sf_dir) -> DataFrame:
+    """Gzip files holding one JSON array each (customers of a nation in groups), read element by element."""
+    t = _t(spark, sf_dir)
+    element = F.struct("c_custkey", "c_name", F.col("c_acctbal").cast(MONEY).cast("string").alias("balance"))
+    groups = t.customer.groupBy("c_nationkey", F.floor(F.col("c_custkey") / 200).alias("part")).agg(
+        F.to_json(F.collect_list(element)).alias("value")
+    )
+    path = scratch_path(spark, "array-files")
+    groups.select("value").write.option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
+    rows = read_json_array(spark, path, "c_custkey bigint, c_name string, balance string")
+    return rows.select("c_custkey", "c_name", F.col("balance").cast(MONEY).cast("double").alias("balance"))
+
+
+def q_date_path_scan(spark, sf_dir, first: dt.date = dt.date(2024, 1, 10), days: int = 3) -> DataFrame:
+    """Events landed in ``yyyy/MM/dd/`` folders, one day at a time; the folder of the second day is read."""
+    t = _t(spark, sf_dir)
+    base = scratch_path(spark, "event-days")
+    dates = [first + dt.timedelta(days=i) for i in range(days)]
+    paths = spark.createDataFrame([(d,) for d in dates], "d date").select("d", date_path("d").alias("p")).collect()
+    for d, path in paths:
+        at = lambda x: F.lit(dt.datetime.combine(x, dt.time())).cast("timestamp_ntz")
+        day = t.events.where((F.col("ts") >= at(d)) & (F.col("ts") < at(d + dt.timedelta(days=1))))
+        day.write.parquet(f"{base}/{path}")
+    folder = {r["d"]: r["p"] for r in paths}[dates[1]]
+    return read_matching(spark, f"{base}/{folder}", "parquet", r".*\.parquet").select("event_id", "ts", "user_id")
+
+
+def q_insert_select(spark, sf_dir) -> DataFrame:
+    """A table created from the early orders and extended by INSERT .. SELECT with the later ones; columns are matched
+    by position."""
+    t = _t(spark, sf_dir)
+    path, name = scratch_path(spark, "orders-table"), f"tableops_orders_{uuid.uuid4().hex}"
+    early = F.col("o_orderdate") < F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz")
+    columns = ["o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("d")]
+    t.orders.where(early).select(*columns).write.option("path", path).saveAsTable(name)
+    try:
+        load_append(t.orders.where(~early).select(*columns), name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # the files stay where they are
+    return spark.read.parquet(path)

@@ -42,6 +42,7 @@ from ..functions import (
 from ..operators import audit, calendar, enrich, quality, reshape, schema, semistructured, upsert
 from ..operators.ranking import top_percent
 from ..session import Tables
+from ..sources import catalog_columns, catalog_tables
 
 AS_OF = dt.date(2001, 8, 1)  # fixed "today" for the order tables (last order date)
 EVENTS_AS_OF = dt.date(2024, 1, 31)  # fixed "today" for the January 2024 event log
@@ -69,13 +70,19 @@ def _t(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def q_top_percent(spark, sf_dir, pct: float = 0.10) -> DataFrame:
-    """Top spenders of the last 12 months: dense rank by spend, keep rank < max_rank * pct."""
+    """Top spenders of the last 12 months: dense rank by spend, keep rank < max_rank * pct. Tenure counts from the
+    customer's first order of all, so one aggregate over all orders gives both."""
     t = _t(spark, sf_dir)
     since = F.lit(dt.datetime.combine(AS_OF.replace(year=AS_OF.year - 1), dt.time()))
+    recent = F.col("o_orderdate") >= since.cast("timestamp_ntz")
     sales = (
-        t.orders.where(F.col("o_orderdate") >= since.cast("timestamp_ntz"))
-        .groupBy("o_custkey")
-        .agg(money_sum("o_totalprice").alias("total_spent"), F.min("o_orderdate").alias("first_order"))
+        t.orders.groupBy("o_custkey")
+        .agg(
+            money_sum(F.when(recent, F.col("o_totalprice"))).alias("total_spent"),
+            F.min("o_orderdate").alias("first_order"),
+            F.count_if(recent).alias("_recent"),
+        )
+        .where(F.col("_recent") > 0)
     )
     members = t.customer.where(F.col("c_name").startswith("Customer#"))
     joined = sales.join(members, sales.o_custkey == members.c_custkey).join(
@@ -84,7 +91,7 @@ def q_top_percent(spark, sf_dir, pct: float = 0.10) -> DataFrame:
     ranked = top_percent(joined, "total_spent", pct, rank_col="rank", max_col="max_rank")
     return ranked.select(
         F.col("rank").cast("long").alias("rank"),
-        F.substring("c_name", 10, 1 << 20).alias("customer_id"),
+        F.expr("substring(c_name, 10)").alias("customer_id"),
         F.col("c_name").alias("name"),
         F.col("n_name").alias("nation"),
         F.col("c_mktsegment").alias("segment"),
@@ -106,8 +113,19 @@ PIVOT_TYPES = ["click", "view", "purchase"]
 def q_pivot_counts(spark, sf_dir) -> DataFrame:
     """Event counts per user and type, pivoted over a fixed type list (missing -> NULL)."""
     t = _t(spark, sf_dir)
-    raw = t.events.groupBy("user_id", "event_type").agg(F.count("event_id").alias("cnt"))
-    return reshape.pivot_sum(raw, ["user_id"], "event_type", "cnt", PIVOT_TYPES)
+    counted = t.events.select("user_id", "event_type", F.col("event_id").isNotNull().cast("long").alias("cnt"))
+    return reshape.pivot_sum(counted, ["user_id"], "event_type", "cnt", PIVOT_TYPES)
+
+
+PIVOT_PART_TYPES = ["ECONOMY", "SMALL", "PROMO"]
+
+
+def q_pivot_joined(spark, sf_dir) -> DataFrame:
+    """Line items per supplier and part type (looked up in the part dimension), pivoted over a fixed type list."""
+    t = _t(spark, sf_dir)
+    facts = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    counted = facts.select("l_suppkey", "p_type", F.col("l_orderkey").isNotNull().cast("long").alias("cnt"))
+    return reshape.pivot_sum(counted, ["l_suppkey"], "p_type", "cnt", PIVOT_PART_TYPES)
 
 
 # --- date ranges and the date dimension (C14 C15 C16) --------------------------------------------------
@@ -128,54 +146,86 @@ def _with_order_totals(periods: DataFrame, totals: DataFrame, on: Column) -> Dat
     )
 
 
-# The anchor date ("today" of the range) is taken from the per-period aggregate. Column pruning makes that
-# branch read only the date column of orders, so it costs a fraction of the totals' scan.
+# A report over a range starts from its anchor date: an argument, or else one row read ahead. The range is then a
+# filter on the raw date column, which reaches the scan, so only the row groups of the range are read.
 
 
-def q_last_days(spark, sf_dir, n: int = 365) -> DataFrame:
-    """The last ``n`` days up to the latest order day, with that day's order count and revenue."""
-    t = _t(spark, sf_dir)
-    daily = _daily_orders(t)
-    days = calendar.last_days(daily.agg(F.max("d").alias("as_of")), "as_of", n).select("period")
-    return _with_order_totals(days, daily, days.period == daily.d)
+def _anchor(t: Tables, as_of: dt.date | None, first: bool = False) -> dt.date:
+    """``as_of``, or else the latest (``first``: earliest) order day."""
+    if as_of is None:
+        d = t.orders.agg((F.min if first else F.max)("o_orderdate")).first()[0]
+        as_of = d.date() if isinstance(d, dt.datetime) else d
+    return as_of
 
 
-def _period_orders(t: Tables, period: Column) -> DataFrame:
-    d = F.to_date("o_orderdate")
-    return t.orders.groupBy(period.alias("p")).agg(
-        F.count(F.lit(1)).alias("n_orders"),
-        money_sum("o_totalprice").alias("revenue"),
-        F.max(d).alias("_last"),
-        F.min(d).alias("_first"),
+def _orders_between(t: Tables, first: dt.date, last: dt.date) -> DataFrame:
+    """Orders from the day ``first`` to the day ``last``."""
+    at = lambda d: F.lit(dt.datetime.combine(d, dt.time())).cast("timestamp_ntz")
+    return t.orders.where((F.col("o_orderdate") >= at(first)) & (F.col("o_orderdate") < at(last + dt.timedelta(days=1))))
+
+
+def _one(spark, as_of: dt.date) -> DataFrame:
+    return spark.range(1).select(F.lit(as_of).alias("as_of"))
+
+
+def _period_orders(orders: DataFrame, period: Column) -> DataFrame:
+    return orders.groupBy(period.alias("p")).agg(
+        F.count(F.lit(1)).alias("n_orders"), money_sum("o_totalprice").alias("revenue")
     )
 
 
-def q_month_ends(spark, sf_dir, n: int = 36) -> DataFrame:
-    """Month ends of the last ``n`` months up to the latest order day, with that month's orders."""
+def q_last_days(spark, sf_dir, n: int = 365, as_of: dt.date | None = None) -> DataFrame:
+    """The last ``n`` days up to ``as_of`` (default: the latest order day), with that day's order count and revenue."""
+    t = _t(spark, sf_dir)
+    as_of = _anchor(t, as_of)
+    daily = _period_orders(_orders_between(t, as_of - dt.timedelta(days=n - 1), as_of), F.to_date("o_orderdate"))
+    days = calendar.last_days(_one(spark, as_of), "as_of", n).select("period")
+    return _with_order_totals(days, daily, days.period == daily.p)
+
+
+def q_month_ends(spark, sf_dir, n: int = 36, as_of: dt.date | None = None) -> DataFrame:
+    """Month ends of the last ``n`` months up to ``as_of`` (default: the latest order day), with that month's orders."""
     t = _t(spark, sf_dir)
-    monthly = _period_orders(t, F.last_day(F.to_date("o_orderdate")))
-    ends = calendar.month_ends(monthly.agg(F.max("_last").alias("as_of")), "as_of", n).select("period")
-    return _with_order_totals(ends, monthly.drop("_last", "_first"), ends.period == monthly.p)
+    as_of = _anchor(t, as_of)
+    month = as_of.year * 12 + as_of.month - n  # months since year 0, of the earliest month
+    first = dt.date(month // 12, month % 12 + 1, 1)
+    last = (as_of.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+    monthly = _period_orders(_orders_between(t, first, last), F.last_day(F.to_date("o_orderdate")))
+    ends = calendar.month_ends(_one(spark, as_of), "as_of", n).select("period")
+    return _with_order_totals(ends, monthly, ends.period == monthly.p)
 
 
-def q_week_ends(spark, sf_dir, n: int = 52) -> DataFrame:
-    """Week ends (Sundays) of the last ``n`` ISO weeks up to the latest order day, with that week's orders."""
+def q_week_ends(spark, sf_dir, n: int = 52, as_of: dt.date | None = None) -> DataFrame:
+    """Week ends (Sundays) of the last ``n`` ISO weeks up to ``as_of`` (default: the latest order day), with that
+    week's orders."""
     t = _t(spark, sf_dir)
-    weekly = _period_orders(t, last_day_of_week("o_orderdate"))
-    ends = calendar.week_ends(weekly.agg(F.max("_last").alias("as_of")), "as_of", n).select("period")
-    return _with_order_totals(ends, weekly.drop("_last", "_first"), ends.period == weekly.p)
+    as_of = _anchor(t, as_of)
+    sunday = as_of + dt.timedelta(days=7 - as_of.isoweekday())
+    weekly = _period_orders(_orders_between(t, sunday - dt.timedelta(days=7 * n - 1), sunday), last_day_of_week("o_orderdate"))
+    ends = calendar.week_ends(_one(spark, as_of), "as_of", n).select("period")
+    return _with_order_totals(ends, weekly, ends.period == weekly.p)
 
 
-def q_weekly_snapshots(spark, sf_dir, years: int = 10) -> DataFrame:
-    """Mondays over ``years`` years from the first order day, with the orders of each snapshot week."""
+def q_weekly_snapshots(spark, sf_dir, years: int = 10, start: dt.date | None = None) -> DataFrame:
+    """Mondays over ``years`` years from ``start`` (default: the first order day), with the orders of each snapshot
+    week."""
     t = _t(spark, sf_dir)
-    weekly = _period_orders(t, F.trunc(F.to_date("o_orderdate"), "week"))
-    anchor = weekly.agg(F.min("_first").alias("start"))
-    snaps = calendar.weekly_snapshots(anchor, "start", years, out="snapshot_date").select("snapshot_date")
+    start = _anchor(t, start, first=True)
+    stop = start + dt.timedelta(days=366 * years + 7)  # no snapshot week ends later
+    weekly = _period_orders(_orders_between(t, start - dt.timedelta(days=7), stop), F.trunc(F.to_date("o_orderdate"), "week"))
+    snaps = calendar.weekly_snapshots(_one(spark, start), "as_of", years, out="snapshot_date").select("snapshot_date")
     j = snaps.join(weekly, snaps.snapshot_date == weekly.p, "left")
     return j.select("snapshot_date", F.coalesce("n_orders", F.lit(0)).cast("long").alias("n_orders"))
 
 
+def q_dimension_orders(spark, sf_dir, days: int = 10_000, years_ahead: int = 3) -> DataFrame:
+    """The generated range of a date dimension (``days`` days up to ``AS_OF``, moved ahead), with each day's orders."""
+    t = _t(spark, sf_dir)
+    dates = calendar.dimension_range(_one(spark, AS_OF), "as_of", days, years_ahead).select(F.col("nk_date").alias("period"))
+    daily = _daily_orders(t)
+    return _with_order_totals(dates, daily, dates.period == daily.d)
+
+
 def q_date_dimension(spark, sf_dir) -> DataFrame:
     """Gap-free date dimension over the order-date span, relative to ``AS_OF``."""
     t = _t(spark, sf_dir)
@@ -299,7 +349,7 @@ def q_limit_per_group(spark, sf_dir, n: int = 5) -> DataFrame:
     """The ``n`` most recent orders of every customer."""
     t = _t(spark, sf_dir)
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    return upsert.limit_per_group(o, ["o_custkey"], n, [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()])
+    return upsert.limit_per_group(o, ["o_custkey"], n, ["o_orderdate", "o_orderkey"], descending=True)
 
 
 def q_batched_load(spark, sf_dir, size: int = 100) -> DataFrame:
@@ -369,32 +419,55 @@ def q_flatten_array(spark, sf_dir) -> DataFrame:
 # Month labels as they appear in the sheets (Norwegian where they differ from English), and the
 # sheet's static column headers with the names they get in the facts.
 MONTH_LABELS = ["jan", "feb", "mar", "apr", "mai", "jun", "jul", "aug", "sep", "okt", "nov", "des"]
-FORECAST_RENAME = {"CC": "center_id", "Name": "center_name", "Country": "country_code", "Business unit": "business_unit"}
+FORECAST_RENAME = {
+    "CC": "center_id",
+    "Name": "center_name",
+    "Country": "country_code",
+    "Business unit": "business_unit",
+    "UniqeID": "unique_id",
+    "Currency": "currency",
+    "Currency rate": "currency_rate",
+    "Account": "account",
+    "Club/OH": "club_oh",
+    "Current FC": "current_fc",
+}
 # Countries the report keeps (the benchmark's nations stand in for the four markets).
 RECOGNIZED_COUNTRIES = ["NATION_1", "NATION_2", "NATION_3", "NATION_4"]
-FORECAST_YEAR = 2000
 
 
-def forecast_sheet(t: Tables, year: int = FORECAST_YEAR, how: str = "sum") -> DataFrame:
-    """A wide 'forecast sheet': one row per customer, one ``mmm-yy`` column per month (order value, or order
-    count with ``how='count'``), plus an extra column the job must drop."""
-    yy = f"{year % 100:02d}"
-    labels = [f"{m}-{yy}" for m in MONTH_LABELS]
-    o = t.orders.where(F.year("o_orderdate") == year).withColumn(
-        "label", F.concat(F.element_at(F.array(*[F.lit(m) for m in MONTH_LABELS]), F.month("o_orderdate")), F.lit(f"-{yy}"))
+def month_columns(t: Tables) -> list[str]:
+    """The ``mmm-yy`` labels of all months from the first to the last order, in order."""
+    first, last = t.orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    months = range(first.year * 12 + first.month - 1, last.year * 12 + last.month)
+    return [f"{MONTH_LABELS[m % 12]}-{m // 12 % 100:02d}" for m in months]
+
+
+def forecast_sheet(t: Tables, how: str = "sum") -> DataFrame:
+    """A wide 'forecast sheet': one row per customer with orders, the ten static columns, one ``mmm-yy`` column per
+    month (order value, or order count with ``how='count'``), plus an extra column the job must drop."""
+    label = F.concat(
+        F.element_at(F.array(*[F.lit(m) for m in MONTH_LABELS]), F.month("o_orderdate")), F.date_format("o_orderdate", "-yy")
     )
-    c = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    j = o.join(c, o.o_custkey == c.c_custkey).select(
+    amount = (F.col("o_totalprice").cast(MONEY) * 100).cast("bigint") if how == "sum" else F.lit(1).cast("bigint")
+    months = t.orders.select("o_custkey", label.alias("label"), amount.alias("amount"))
+    labels = month_columns(t)
+    wide = months.groupBy("o_custkey").pivot("label", labels).agg(F.sum("amount"))  # too many for conditional sums
+    scale = 100 if how == "sum" else 1
+    c = wide.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return c.select(
         F.col("o_custkey").alias("CC"),
         F.col("c_name").alias("Name"),
         F.col("n_name").alias("Country"),
         F.col("c_mktsegment").alias("Business unit"),
-        "label",
-        F.col("o_totalprice").cast(MONEY).alias("amount"),
+        F.concat(F.lit("U"), F.col("o_custkey").cast("string")).alias("UniqeID"),
+        F.concat(F.lit("C"), F.col("c_nationkey").cast("string")).alias("Currency"),
+        F.concat(F.lit("1."), F.col("c_nationkey").cast("string")).alias("Currency rate"),
+        F.lit("3000").alias("Account"),
+        F.when(F.col("o_custkey") % 10 == 0, F.lit("OH")).otherwise(F.lit("Club")).alias("Club/OH"),
+        F.add_months(F.lit(AS_OF), -F.col("c_nationkey")).alias("Current FC"),
+        *[(F.col(m) / scale).alias(m) for m in labels],
+        F.lit("extra column, dropped by the job").alias("Comment"),
     )
-    measure = money_sum("amount") if how == "sum" else F.sum(F.lit(1))
-    wide = j.groupBy("CC", "Name", "Country", "Business unit").pivot("label", labels).agg(measure.cast("double"))
-    return wide.withColumn("Comment", F.lit("extra column, dropped by the job"))
 
 
 def forecast_long(wide: DataFrame, metric, forecast_file, extract_date: dt.date) -> DataFrame:
@@ -410,11 +483,9 @@ def forecast_long(wide: DataFrame, metric, forecast_file, extract_date: dt.date)
     static = list(FORECAST_RENAME.values()) + ["_metric", "_file"]
     df = reshape.select_by(df, static, reshape.MONTH_COLUMN_REGEX)
     long = reshape.unpivot_months(df, static, reshape.MONTH_COLUMN_REGEX, var="period", value="value")
+    made = {"center_id": F.col("center_id").cast("string"), "current_fc": year_month(F.to_date("current_fc"))}
     return long.select(
-        F.col("center_id").cast("string").alias("center_id"),
-        "center_name",
-        "country_code",
-        "business_unit",
+        *[made.get(c, F.col(c)).alias(c) for c in FORECAST_RENAME.values()],
         parse_month_label("period").alias("period"),
         F.col("value").cast("double").alias("value"),
         F.lit(extract_date.isoformat()).alias("extract_date"),
@@ -588,9 +659,9 @@ def query_history(t: Tables) -> DataFrame:
 
 
 def _obj_name(k: Column) -> Column:
-    schema_ = F.element_at(F.array(F.lit("RP"), F.lit("AN"), F.lit("PL")), F.pmod(k, F.lit(3)) + 1)
-    kind = F.element_at(F.array(F.lit("DIM_"), F.lit("FACT_")), F.pmod(k, F.lit(2)) + 1)
-    return F.concat(F.lit("DM."), schema_, F.lit("."), kind, F.lit("T"), F.pmod(k, F.lit(5)).cast("string"))
+    schema_ = F.element_at(F.array(F.lit("S1"), F.lit("S2"), F.lit("S3")), F.pmod(k, F.lit(3)) + 1)
+    kind = F.element_at(F.array(F.lit("D_"), F.lit("F_")), F.pmod(k, F.lit(2)) + 1)
+    return F.concat(F.lit("DB1."), schema_, F.lit("."), kind, F.lit("T"), F.pmod(k, F.lit(5)).cast("string"))
 
 
 ACCESS_OBJECTS_TYPE = "array<struct<objectName:string,objectDomain:string,columns:array<struct<columnName:string>>>>"
@@ -610,7 +681,7 @@ def access_log(t: Tables) -> DataFrame:
         F.array(col(F.concat(F.lit("C"), F.pmod(k, F.lit(4)).cast("string"))), col(F.concat(F.lit("C"), F.pmod(k, F.lit(6)).cast("string")))).alias("columns"),
     )
     obj2 = F.struct(
-        F.concat(F.lit("DM.ST.STG_T"), F.pmod(k, F.lit(4)).cast("string")).alias("objectName"),
+        F.concat(F.lit("DB1.ST.STG_T"), F.pmod(k, F.lit(4)).cast("string")).alias("objectName"),
         F.when(F.pmod(k, F.lit(2)) == 0, F.lit("Table")).otherwise(F.lit("View")).alias("objectDomain"),
         F.when(F.pmod(k, F.lit(3)) == 0, F.array().cast("array<struct<columnName:string>>")).otherwise(F.array(col(F.lit("C0")))).alias("columns"),
     )
@@ -643,20 +714,22 @@ def table_inventory(t: Tables) -> DataFrame:
 
 def q_table_usage(spark, sf_dir) -> DataFrame:
     t = _t(spark, sf_dir)
-    return audit.table_usage(table_inventory(t), access_log(t), EVENTS_AS_OF, ["SYS_VIEW", "SYS_CLICK"])
+    return audit.table_usage(
+        table_inventory(t), access_log(t), EVENTS_AS_OF, ["SYS_VIEW", "SYS_CLICK"], r"DB1\.(S1|S2|S3)\.(D|F)_", ("S1", "S2"), when_queried="S3"
+    )
 
 
 def q_column_usage(spark, sf_dir) -> DataFrame:
     t = _t(spark, sf_dir)
     return audit.column_usage(
-        access_log(t), query_history(t), "DM.AN.FACT_T1", EVENTS_AS_OF, 30, ["SYS_VIEW", "SYS_CLICK"], columns=["C1", "C3"], query_type="SELECT"
+        access_log(t), query_history(t), "DB1.S2.F_T1", EVENTS_AS_OF, 30, ["SYS_VIEW", "SYS_CLICK"], columns=["C1", "C3"], query_type="SELECT"
     )
 
 
 def q_table_usage_search(spark, sf_dir) -> DataFrame:
     """Every SELECT of one user in the last 30 days that read a table, one row per accessed column."""
     t = _t(spark, sf_dir)
-    return audit.column_usage(access_log(t), query_history(t), "DM.RP.DIM_T0", EVENTS_AS_OF, 30, ["SYS_VIEW"], query_type="SELECT")
+    return audit.column_usage(access_log(t), query_history(t), "DB1.S1.D_T0", EVENTS_AS_OF, 30, ["SYS_VIEW"], query_type="SELECT")
 
 
 def q_query_search(spark, sf_dir) -> DataFrame:
@@ -682,6 +755,28 @@ def q_freshness(spark, sf_dir) -> DataFrame:
     return audit.freshness(tables, meta)
 
 
+FRESHNESS_COLUMNS = ["o_orderdate", "l_shipdate", "ts"]
+
+
+def q_freshness_catalog(spark, sf_dir) -> DataFrame:
+    """Freshness of what the live catalog lists: the timestamp columns are found by name in its metadata, and views
+    are reported as such."""
+    t = _t(spark, sf_dir)
+    prefix = "tableops_live_"
+    for name in ("orders", "lineitem", "events", "nation"):
+        getattr(t, name).createOrReplaceTempView(prefix + name)
+    listed = catalog_tables(spark).where(F.col("table_name").startswith(prefix))
+    names = [r["table_name"] for r in listed.select("table_name").collect()]
+    columns: dict[str, list[str]] = {}
+    for r in catalog_columns(spark, names, FRESHNESS_COLUMNS, exclude=[prefix + "nation"]).collect():
+        columns.setdefault(r["table_name"], []).append(r["column_name"])
+    meta = listed.select("table_name", F.lit("BASE TABLE").alias("table_type"), F.col("table_type").alias("last_altered"))
+    found = audit.freshness({n: (spark.table(n), c) for n, c in columns.items()}, meta)
+    return found.select(
+        F.expr(f"substring(table_name, {len(prefix) + 1})").alias("table_name"), "column_name", "max_ts", F.col("last_altered").alias("table_type")
+    )
+
+
 # --- enrichment (C9) and schema evolution (C24) and incremental extract (S11) --------------------------
 
 

@@ -6,35 +6,29 @@ every output column is aliased and cast to the type the Spark job returns.
 
 from __future__ import annotations
 
-from ..operators.calendar import FIXED_HOLIDAYS, MOVABLE_HOLIDAYS
-from .jobs import MONTH_LABELS, PIVOT_TYPES, RECOGNIZED_COUNTRIES
+from .jobs import MONTH_LABELS, PIVOT_PART_TYPES, PIVOT_TYPES, RECOGNIZED_COUNTRIES
 
 
 def _easter(y: str) -> str:
-    """Easter Sunday of integer year expression ``y`` (anonymous Gregorian algorithm)."""
-    a = f"({y} % 19)"
-    b = f"({y} // 100)"
-    c = f"({y} % 100)"
-    d = f"({b} // 4)"
-    e = f"({b} % 4)"
-    f = f"(({b} + 8) // 25)"
-    g = f"(({b} - {f} + 1) // 3)"
-    h = f"((19 * {a} + {b} - {d} - {g} + 15) % 30)"
-    i = f"({c} // 4)"
-    k = f"({c} % 4)"
-    l_ = f"(((32 + 2 * {e} + 2 * {i} - {h} - {k}) % 7 + 7) % 7)"
-    m = f"(({a} + 11 * {h} + 22 * {l_}) // 451)"
-    t = f"({h} + {l_} - 7 * {m} + 114)"
-    return f"make_date(CAST({y} AS BIGINT), CAST({t} // 31 AS BIGINT), CAST({t} % 31 + 1 AS BIGINT))"
+    """Easter Sunday of integer year expression ``y``, by Gauss's rule with its two exceptions."""
+    a, k = f"({y} % 19)", f"({y} // 100)"
+    m = f"((15 + {k} - {k} // 4 - (8 * {k} + 13) // 25) % 30)"
+    n = f"((4 + {k} - {k} // 4) % 7)"
+    d = f"((19 * {a} + {m}) % 30)"
+    e = f"((2 * ({y} % 4) + 4 * ({y} % 7) + 6 * {d} + {n}) % 7)"
+    early = f"CASE WHEN {e} = 6 AND ({d} = 29 OR ({d} = 28 AND {a} > 10)) THEN 7 ELSE 0 END"
+    return f"(make_date(CAST({y} AS BIGINT), 3, 22) + CAST({d} + {e} - {early} AS INTEGER))"
 
 
 def _holiday(d: str, easter: str) -> str:
-    parts = [f"WHEN {d} = ({easter}) + ({off}) THEN '{label}'" for label, off in MOVABLE_HOLIDAYS]
-    parts += [
-        f"WHEN month({d}) = {m} AND day({d}) = {dd} THEN '{label.replace(chr(39), chr(39) * 2)}'"
-        for label, m, dd in FIXED_HOLIDAYS
-    ]
-    return "CASE " + " ".join(parts) + " END"
+    """Label of a public holiday: days around Easter first, then fixed days."""
+    return f"""CASE {d} - ({easter})
+    WHEN 0 THEN 'Easter Sunday' WHEN 1 THEN 'Easter Monday' WHEN -7 THEN 'Palm Sunday' WHEN -3 THEN 'Maundy Thursday'
+    WHEN -2 THEN 'Good Friday' WHEN 39 THEN 'Ascension Day' WHEN 49 THEN 'Whit Sunday' WHEN 50 THEN 'Whit Monday'
+    ELSE CASE strftime({d}, '%m-%d')
+      WHEN '01-01' THEN 'New Year''s day' WHEN '12-31' THEN 'New Year''s eve' WHEN '05-01' THEN 'Labour day'
+      WHEN '05-17' THEN 'Constitution day' WHEN '12-24' THEN 'Christmas eve' WHEN '12-25' THEN 'Christmas day'
+      WHEN '12-26' THEN 'Boxing day' END END"""
 
 
 _DATE_DIM = f"""
@@ -111,27 +105,31 @@ _QUERY_HISTORY = f"""qh AS (SELECT CAST(event_id AS VARCHAR) AS query_id, 'U' ||
 _ACCESS_OBJECTS = f"""ev AS (SELECT event_id, event_type, ts, {_K} AS k FROM events),
 objs AS (
   SELECT CAST(event_id AS VARCHAR) AS query_id, 'SYS_' || upper(event_type) AS user_name, ts AS query_start_time,
-    'DM.' || ['RP','AN','PL'][k % 3 + 1] || '.' || ['DIM_','FACT_'][k % 2 + 1] || 'T' || CAST(k % 5 AS VARCHAR) AS object_name,
+    'DB1.' || ['S1','S2','S3'][k % 3 + 1] || '.' || ['D_','F_'][k % 2 + 1] || 'T' || CAST(k % 5 AS VARCHAR) AS object_name,
     'Table' AS object_domain, ['C' || CAST(k % 4 AS VARCHAR), 'C' || CAST(k % 6 AS VARCHAR)] AS cols
   FROM ev WHERE event_type <> 'error'
   UNION ALL
   SELECT CAST(event_id AS VARCHAR), 'SYS_' || upper(event_type), ts,
-    'DM.ST.STG_T' || CAST(k % 4 AS VARCHAR),
+    'DB1.ST.STG_T' || CAST(k % 4 AS VARCHAR),
     CASE WHEN k % 2 = 0 THEN 'Table' ELSE 'View' END,
     CASE WHEN k % 3 = 0 THEN CAST([] AS VARCHAR[]) ELSE ['C0'] END
   FROM ev WHERE event_type <> 'error')"""
 
 
-def _forecast_sql(metric_name: str, measure: str, value_type: str = "DOUBLE") -> str:
+def _forecast_sql(metric_name: str, measure: str, value_type: str = "DOUBLE", skip: int = 0) -> str:
+    """Long forecast facts; ``skip`` months at the start have no column in the sheet."""
     return f"""
 SELECT CAST(c.o_custkey AS VARCHAR) AS center_id, cu.c_name AS center_name, n.n_name AS country_code,
-  cu.c_mktsegment AS business_unit, '2000-' || lpad(CAST(m.mo AS VARCHAR), 2, '0') AS period,
+  cu.c_mktsegment AS business_unit, 'U' || c.o_custkey AS unique_id, 'C' || cu.c_nationkey AS currency,
+  '1.' || cu.c_nationkey AS currency_rate, '3000' AS account, CASE WHEN c.o_custkey % 10 = 0 THEN 'OH' ELSE 'Club' END AS club_oh,
+  strftime(DATE '2001-08-01' - to_months(CAST(cu.c_nationkey AS INTEGER)), '%Y-%m') AS current_fc,
+  strftime(m.mo, '%Y-%m') AS period,
   CAST(o.v AS {value_type}) AS value, '2001-08-01' AS extract_date, '{metric_name}' AS metric_name,
   '200008 forecast' AS forecast_file
-FROM (SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) = 2000) c
+FROM (SELECT DISTINCT o_custkey FROM orders) c
 JOIN customer cu ON cu.c_custkey = c.o_custkey JOIN nation n ON n.n_nationkey = cu.c_nationkey
-CROSS JOIN (SELECT * FROM (VALUES {_month_values()}) t(mo, label)) m
-LEFT JOIN (SELECT o_custkey, month(o_orderdate) AS mo, {measure} AS v FROM orders WHERE year(o_orderdate) = 2000 GROUP BY 1, 2) o
+CROSS JOIN (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)) + INTERVAL {skip} MONTH, max(o_orderdate), INTERVAL 1 MONTH)) AS mo FROM orders) m
+LEFT JOIN (SELECT o_custkey, date_trunc('month', o_orderdate) AS mo, {measure} AS v FROM orders GROUP BY 1, 2) o
   ON o.o_custkey = c.o_custkey AND o.mo = m.mo
 WHERE n.n_name IN ({", ".join(f"'{c}'" for c in RECOGNIZED_COUNTRIES)})
 """
@@ -140,23 +138,42 @@ WHERE n.n_name IN ({", ".join(f"'{c}'" for c in RECOGNIZED_COUNTRIES)})
 _SUM_PRICE = "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
 
 
-def _pivot_cols() -> str:
-    return ",\n  ".join(f"CAST(sum(CASE WHEN event_type = '{v}' THEN cnt END) AS BIGINT) AS {v}" for v in PIVOT_TYPES)
+def _pivot_cols(column: str = "event_type", values: list[str] = PIVOT_TYPES) -> str:
+    return ",\n  ".join(f"CAST(sum(CASE WHEN {column} = '{v}' THEN cnt END) AS BIGINT) AS {v}" for v in values)
 
 
-def _month_values() -> str:
-    return ", ".join(f"({i + 1}, '{m}')" for i, m in enumerate(MONTH_LABELS))
-
+# the sale message of an order as JSON, keys of nested objects in order
+_WEB_SALE = """o_orderkey, json_object(
+    'salesPerson', json_object('externalId', 'emp' || (o_orderkey % 40)),
+    'saleType', o_orderpriority,
+    'member', json_object('memberId', json_object('clubId', c_nationkey, 'id', c_custkey), 'personId', CAST(c_custkey AS VARCHAR)),
+    'recruitmentCode', CASE WHEN o_orderkey % 3 = 0 THEN 'R' || c_nationkey END,
+    'membership', json_object('periodPriceAmountInLocalCurrency', CAST(round(o_totalprice) AS BIGINT),
+                              'subscriptionId', json_object('clubId', c_nationkey, 'id', o_orderkey)),
+    'selections', json_object('productId', json_object('clubId', 1, 'id', o_orderkey % 50)),
+    'campaignCode', CASE WHEN o_orderkey % 2 = 0 THEN 'SUMMER' END,
+    'brand', c_mktsegment,
+    'club', json_object('country', 'N' || c_nationkey),
+    'source', 'web',
+    'createdAt', strftime(o_orderdate, '%Y-%m-%d'),
+    'globalId', 'G' || o_orderkey,
+    'payment', json_object('paymentReference', 'P' || o_orderkey),
+    'voucher', CASE WHEN o_orderkey % 11 = 0 THEN 'V1' END,
+    'clubSalesClubId', c_nationkey,
+    'otherPayer', CASE WHEN o_orderstatus = 'F' THEN json_object('email', 'payer' || o_orderkey || '@example.com',
+                  'memberId', json_object('clubId', c_nationkey, 'id', o_orderkey % 50)) END) AS j
+  FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 ORACLE: dict[str, str] = {
     "top_percent": """
-WITH sales AS (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spent,
-    min(o_orderdate) AS first_order FROM orders WHERE o_orderdate >= TIMESTAMP '2000-08-01' GROUP BY o_custkey),
+WITH sales AS (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spent
+    FROM orders WHERE o_orderdate >= TIMESTAMP '2000-08-01' GROUP BY o_custkey),
+firsts AS (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY o_custkey),
 ranking AS (
   SELECT CAST(dense_rank() OVER (ORDER BY total_spent DESC) AS BIGINT) AS rank,
     substr(c.c_name, 10) AS customer_id, c.c_name AS name, n.n_name AS nation, c.c_mktsegment AS segment,
     CAST(2001 - year(first_order) AS INTEGER) AS tenure_years, total_spent
-  FROM sales s JOIN customer c ON s.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  FROM sales s JOIN firsts USING (o_custkey) JOIN customer c ON s.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
   WHERE c.c_name LIKE 'Customer#%'),
 mr AS (SELECT CAST(max(rank) AS BIGINT) AS max_rank FROM ranking)
 SELECT ranking.*, mr.max_rank FROM ranking, mr WHERE rank < max_rank * 0.10
@@ -171,6 +188,18 @@ WITH raw AS (SELECT user_id, event_type, count(event_id) AS cnt FROM events GROU
 SELECT user_id,
   {_pivot_cols()}
 FROM raw GROUP BY user_id
+""",
+    "pivot_joined": f"""
+WITH raw AS (SELECT l_suppkey, p_type, count(l_orderkey) AS cnt FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
+SELECT l_suppkey,
+  {_pivot_cols("p_type", PIVOT_PART_TYPES)}
+FROM raw GROUP BY l_suppkey
+""",
+    "dimension_orders": f"""
+WITH days AS (SELECT CAST(unnest(generate_series(DATE '2001-08-01' - 9999 + INTERVAL 36 MONTH, DATE '2004-08-01', INTERVAL 1 DAY)) AS DATE) AS period),
+{_DAILY}
+SELECT period, CAST(coalesce(n_orders, 0) AS BIGINT) AS n_orders, coalesce(revenue, 0.0) AS revenue
+FROM days LEFT JOIN daily ON daily.d = days.period
 """,
     "last_days": f"""
 WITH a AS (SELECT max(CAST(o_orderdate AS DATE)) AS as_of FROM orders),
@@ -284,18 +313,7 @@ SELECT vec_id, CAST(idx AS INTEGER) AS idx, CAST(v AS DOUBLE) AS value FROM (
   SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS idx, unnest(embedding) AS v FROM embeddings)
 WHERE v > 0.2
 """,
-    "forecast_unpivot": f"""
-WITH o AS (SELECT o_custkey, month(o_orderdate) AS mo, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS v
-           FROM orders WHERE year(o_orderdate) = 2000 GROUP BY 1, 2),
-c AS (SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) = 2000),
-m AS (SELECT * FROM (VALUES {_month_values()}) t(mo, label))
-SELECT CAST(c.o_custkey AS VARCHAR) AS center_id, cu.c_name AS center_name, n.n_name AS country_code,
-  cu.c_mktsegment AS business_unit, '2000-' || lpad(CAST(m.mo AS VARCHAR), 2, '0') AS period, o.v AS value,
-  '2001-08-01' AS extract_date, 'total_price' AS metric_name, '200008 forecast' AS forecast_file
-FROM c JOIN customer cu ON cu.c_custkey = c.o_custkey JOIN nation n ON n.n_nationkey = cu.c_nationkey
-CROSS JOIN m LEFT JOIN o ON o.o_custkey = c.o_custkey AND o.mo = m.mo
-WHERE n.n_name IN ({", ".join(f"'{c}'" for c in RECOGNIZED_COUNTRIES)})
-""",
+    "forecast_unpivot": _forecast_sql("total_price", _SUM_PRICE),
     "date_functions": """
 WITH o AS (SELECT o_orderkey, o_orderstatus, o_orderdate, CAST(o_orderdate AS DATE) AS d FROM orders)
 SELECT o_orderkey, d,
@@ -388,7 +406,7 @@ SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DES
     "table_usage_search": f"""
 WITH {_QUERY_HISTORY}, {_ACCESS_OBJECTS},
 cols AS (SELECT query_id, object_name AS accessed_table, unnest(cols) AS column_accessed FROM objs
-         WHERE object_name = 'DM.RP.DIM_T0' AND object_domain = 'Table'
+         WHERE object_name = 'DB1.S1.D_T0' AND object_domain = 'Table'
            AND query_start_time >= TIMESTAMP '2024-01-01' AND user_name IN ('SYS_VIEW'))
 SELECT cols.accessed_table, qh.* FROM cols JOIN qh ON cols.query_id = qh.query_id WHERE qh.query_type = 'SELECT'
 """,
@@ -400,7 +418,7 @@ ORDER BY end_time DESC
     "column_usage": f"""
 WITH {_QUERY_HISTORY}, {_ACCESS_OBJECTS},
 cols AS (SELECT query_id, object_name AS accessed_table, unnest(cols) AS column_accessed FROM objs
-         WHERE object_name = 'DM.AN.FACT_T1' AND object_domain = 'Table'
+         WHERE object_name = 'DB1.S2.F_T1' AND object_domain = 'Table'
            AND query_start_time >= TIMESTAMP '2024-01-01' AND user_name IN ('SYS_VIEW', 'SYS_CLICK'))
 SELECT cols.accessed_table, qh.* FROM cols JOIN qh ON cols.query_id = qh.query_id
 WHERE column_accessed IN ('C1', 'C3') AND qh.query_type = 'SELECT'
@@ -411,19 +429,19 @@ inv0 AS (SELECT object_name AS fq, count(*) AS row_count, min(query_start_time)
          FROM objs GROUP BY object_name),
 inv AS (SELECT split_part(fq, '.', 1) AS table_catalog, split_part(fq, '.', 2) AS table_schema, split_part(fq, '.', 3) AS table_name,
           row_count, last_altered, created, fq AS fq_table_name FROM inv0
-        WHERE regexp_matches(fq, 'DM\\.(RP|AN|PL)\\.(DIM|FACT)_')),
+        WHERE regexp_matches(fq, 'DB1\\.(S1|S2|S3)\\.(D|F)_')),
 latest AS (SELECT object_name AS fq_table_name, max(query_start_time) AS latest_queried_timestamp FROM objs
            WHERE user_name IN ('SYS_VIEW', 'SYS_CLICK') AND query_start_time >= TIMESTAMP '2024-01-30'
-             AND regexp_matches(object_name, 'DM\\.(RP|AN|PL)\\.(DIM|FACT)_') GROUP BY 1),
-dup AS (SELECT DISTINCT rp.table_name, 'yes' AS table_exists_in_both_rp_and_an FROM inv rp JOIN inv an USING (table_name)
-        WHERE rp.table_schema = 'RP' AND an.table_schema = 'AN')
+             AND regexp_matches(object_name, 'DB1\\.(S1|S2|S3)\\.(D|F)_') GROUP BY 1),
+dup AS (SELECT DISTINCT rp.table_name, 'yes' AS table_exists_in_both FROM inv rp JOIN inv an USING (table_name)
+        WHERE rp.table_schema = 'S1' AND an.table_schema = 'S2')
 SELECT inv.fq_table_name, inv.table_catalog AS table_database, inv.table_schema, inv.table_name, inv.row_count,
   CAST(inv.last_altered AS DATE) AS last_altered_date, CAST(inv.created AS DATE) AS created_date,
   CASE WHEN greatest(inv.last_altered, inv.created) > TIMESTAMP '2024-01-30' THEN 'yes' ELSE 'no' END AS updated_or_created_last_day,
   CASE WHEN latest.latest_queried_timestamp IS NOT NULL THEN 'yes' ELSE 'no' END AS queried_last_day,
-  coalesce(dup.table_exists_in_both_rp_and_an, 'no') AS table_exists_in_both_rp_and_an
+  coalesce(dup.table_exists_in_both, 'no') AS table_exists_in_both
 FROM inv LEFT JOIN latest ON inv.fq_table_name = latest.fq_table_name LEFT JOIN dup ON inv.table_name = dup.table_name
-WHERE inv.table_schema IN ('RP', 'AN') OR (inv.table_schema = 'PL' AND latest.latest_queried_timestamp IS NOT NULL)
+WHERE inv.table_schema IN ('S1', 'S2') OR (inv.table_schema = 'S3' AND latest.latest_queried_timestamp IS NOT NULL)
 ORDER BY 1, 2, 3, 4
 """,
     "freshness": """
@@ -435,6 +453,11 @@ meta AS (SELECT * FROM (VALUES ('orders', 'BASE TABLE', TIMESTAMP '2001-08-02'),
                                ('events', 'VIEW', TIMESTAMP '2024-02-01')) t(table_name, table_type, last_altered))
 SELECT u.table_name, u.column_name, u.max_ts, meta.last_altered FROM u JOIN meta ON u.table_name = meta.table_name
 WHERE lower(meta.table_type) NOT IN ('view', 'materialized view')
+""",
+    "freshness_catalog": """
+SELECT 'orders' AS table_name, 'o_orderdate' AS column_name, max(o_orderdate) AS max_ts, 'VIEW' AS table_type FROM orders
+UNION ALL SELECT 'lineitem', 'l_shipdate', max(l_shipdate), 'VIEW' FROM lineitem
+UNION ALL SELECT 'events', 'ts', max(ts), 'VIEW' FROM events
 """,
     "weather_enrich": """
 WITH w AS (SELECT n_name AS city_name, '2024-01-01T12:00:00Z' AS measure_time, CAST(n_nationkey - 5 AS DOUBLE) AS temperature,
@@ -448,8 +471,11 @@ FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN w ON w.city_
 SELECT c_custkey, c_name AS customer_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment,
   CAST(NULL AS VARCHAR) AS training_duration FROM customer
 """,
-    "json_load": _forecast_sql("total_price", "sum(CAST(o_totalprice AS DECIMAL(18,2)))", "DECIMAL(15,5)"),
-    "sheet_forecast": _forecast_sql("total_price", _SUM_PRICE) + " UNION ALL " + _forecast_sql("order_count", "CAST(count(*) AS DOUBLE)"),
+    "json_load": f"""
+SELECT *, true AS lineage_ok, TIMESTAMP '2001-08-02 06:00:00' AS loaded_at
+FROM ({_forecast_sql("total_price", "sum(CAST(o_totalprice AS DECIMAL(18,2)))", "DECIMAL(15,5)")})
+""",
+    "sheet_forecast": _forecast_sql("total_price", _SUM_PRICE) + " UNION ALL " + _forecast_sql("order_count", "CAST(count(*) AS DOUBLE)", skip=6),
     "event_ingest": """
 SELECT event_id,
   CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END AS event_timestamp_utc,
@@ -463,7 +489,7 @@ SELECT CAST(o_orderdate AS DATE) AS scoring_date, 'CU' || CAST(o_custkey AS VARC
   CAST(CAST(o_orderkey % 100000 AS DECIMAL(18,5)) / 100000 AS DECIMAL(6,5)) AS prediction_probability,
   o_orderpriority AS model_name,
   CASE WHEN year(o_orderdate) = 2001 THEN 'v2' ELSE o_orderstatus END AS model_version,
-  o_orderdate AS scoring_datetime_utc
+  o_orderdate AS scoring_datetime_utc, true AS lineage_ok, TIMESTAMP '2001-08-02 06:00:00' AS loaded_at
 FROM orders
 """,
     "delimited_roundtrip": """
@@ -473,7 +499,8 @@ SELECT CAST(c_nationkey AS VARCHAR) || 'p' || CAST(c_custkey AS VARCHAR) || 'rpt
 FROM customer
 """,
     "incremental_gzip": """
-SELECT event_id, ts, user_id, event_type FROM events WHERE ts > TIMESTAMP '2024-01-15'
+SELECT event_id, ts, user_id, event_type, CASE WHEN ts <= TIMESTAMP '2024-01-22' THEN 1 ELSE 2 END AS round
+FROM events WHERE ts > TIMESTAMP '2024-01-15'
 """,
     "partial_changed": """
 WITH t AS (SELECT c_custkey AS id, c_nationkey AS centerId, 'active' AS lifecycle_tag, CAST(NULL AS VARCHAR) AS past_segment,
@@ -483,7 +510,9 @@ s0 AS (SELECT c_custkey, c_nationkey AS centerId, 'churn_risk' AS lifecycle_tag,
     lower(c_mktsegment) AS segment, CASE WHEN c_acctbal < -500 THEN 'down' ELSE 'stable' END AS trend,
     '2001-08-01' AS lifecycle_start_date, '2001-08-01' AS segment_start_date, '2001-08-01' AS changeddate, c_acctbal FROM customer),
 s AS (SELECT c_custkey AS id, * EXCLUDE (c_custkey, c_acctbal) FROM s0 WHERE c_acctbal < 0
-      UNION ALL SELECT c_custkey + 1000000 AS id, * EXCLUDE (c_custkey, c_acctbal) FROM s0 WHERE c_acctbal > 9000)
+      UNION ALL SELECT c_custkey + 1000000 AS id, * EXCLUDE (c_custkey, c_acctbal) FROM s0 WHERE c_acctbal > 9000
+      UNION ALL SELECT c_custkey AS id, * EXCLUDE (c_custkey, c_acctbal) REPLACE (centerId + 1 AS centerId) FROM s0
+      WHERE c_acctbal BETWEEN 5000 AND 6000)
 SELECT coalesce(t.id, s.id) AS id,
   CASE WHEN t.id IS NOT NULL THEN t.centerId ELSE s.centerId END AS centerId,
   CASE WHEN s.id IS NOT NULL THEN s.lifecycle_tag ELSE t.lifecycle_tag END AS lifecycle_tag,
@@ -494,7 +523,7 @@ SELECT coalesce(t.id, s.id) AS id,
   CASE WHEN s.id IS NOT NULL THEN s.segment_start_date ELSE t.segment_start_date END AS segment_start_date,
   CASE WHEN s.id IS NOT NULL THEN s.changeddate ELSE t.changeddate END AS changeddate,
   CASE WHEN t.id IS NOT NULL THEN t.name END AS name
-FROM t FULL OUTER JOIN s ON t.id = s.id
+FROM t FULL OUTER JOIN s ON t.id = s.id AND t.centerId = s.centerId
 """,
     "composite_codes": """
 SELECT o_orderkey, CAST(c_custkey AS VARCHAR) AS contact_code,
@@ -504,23 +533,42 @@ SELECT o_orderkey, CAST(c_custkey AS VARCHAR) AS contact_code,
   o_orderpriority AS sale_type,
   'payer' || CAST(o_orderkey AS VARCHAR) || '@example.com' AS otherpayer_email,
   CAST(c_nationkey AS VARCHAR) AS c_id,
-  CAST(c_nationkey AS VARCHAR) || 'p' || CAST(o_orderkey % 997 AS VARCHAR) AS otherpayer_membercode
+  CAST(c_nationkey AS VARCHAR) || 'p' || CAST(o_orderkey % 50 AS VARCHAR) AS otherpayer_membercode
 FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F'
 """,
-    "variant_flatten": """
-WITH p AS (
-  SELECT o_orderkey, json_object(
-    'member', json_object('personId', CAST(c_custkey AS VARCHAR), 'memberId', json_object('clubId', c_nationkey, 'id', c_custkey)),
-    'membership', json_object('subscriptionId', json_object('clubId', c_nationkey, 'id', o_orderkey)),
-    'selections', json_object('productId', json_object('clubId', 1, 'id', o_orderkey % 50)),
-    'saleType', o_orderpriority,
-    'otherPayer', CASE WHEN o_orderstatus = 'F' THEN json_object('email', 'payer' || CAST(o_orderkey AS VARCHAR) || '@example.com',
-                  'memberId', json_object('clubId', c_nationkey, 'id', o_orderkey % 997)) END) AS j
-  FROM orders JOIN customer ON o_custkey = c_custkey),
+    "variant_flatten": f"""
+WITH p AS (SELECT {_WEB_SALE}),
 f AS (SELECT o_orderkey, j, unnest(json_keys(j)) AS field FROM p),
-k AS (SELECT o_orderkey, field, json_type(json_extract(j, '$."' || field || '"')) AS t FROM f)
-SELECT o_orderkey, field, CASE t WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' ELSE 'scalar' END AS value_kind
-FROM k WHERE t <> 'NULL'
+k AS (SELECT o_orderkey, field, json_extract(j, '$."' || field || '"') AS v FROM f)
+SELECT o_orderkey, CAST(NULL AS INTEGER) AS idx, field, CAST(v AS VARCHAR) AS value,
+  CASE json_type(v) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' ELSE 'scalar' END AS value_kind
+FROM k WHERE json_type(v) <> 'NULL'
+""",
+    "web_sale_load": """
+SELECT o_orderkey, 'emp' || (o_orderkey % 40) AS salesperson_externalid, o_orderpriority AS sale_type,
+  CAST(c_custkey AS VARCHAR) AS contact_code, c_nationkey || 'p' || c_custkey AS member_code,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'R' || c_nationkey END AS recruitmentcode,
+  c_nationkey || 'ss' || o_orderkey AS subscription_id, '1prod' || (o_orderkey % 50) AS product_id,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'SUMMER' END AS campaign_code, c_mktsegment AS brand, 'N' || c_nationkey AS country,
+  'web' AS source, strftime(o_orderdate, '%Y-%m-%d') AS createddate, 'G' || o_orderkey AS global_id,
+  CAST(CAST(round(o_totalprice) AS BIGINT) AS VARCHAR) AS period_price, 'P' || o_orderkey AS payment_reference,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'V1' END AS voucher, CAST(c_nationkey AS VARCHAR) AS clubsalesclubid,
+  true AS lineage_ok, TIMESTAMP '2001-08-02 06:00:00' AS loaded_at
+FROM orders JOIN customer ON o_custkey = c_custkey
+""",
+    "web_sale_search": """
+SELECT o_orderkey, 'payer' || o_orderkey || '@example.com' AS otherpayer_email, '7' AS clubid, '32' AS id,
+  '7p32' AS otherpayer_membercode, CAST(c_custkey AS VARCHAR) AS m_id, '7' AS c_id, '7p' || c_custkey AS membercode
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND c_nationkey = 7 AND o_orderkey % 50 = 32
+""",
+    "json_array_load": """
+SELECT c_custkey, c_name, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS balance FROM customer
+""",
+    "date_path_scan": """
+SELECT event_id, ts, user_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-11'
+""",
+    "insert_select": """
+SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders
 """,
     "array_code_lookup": """
 SELECT nk_contact, CAST(idx AS INTEGER) AS idx, code FROM (
@@ -531,12 +579,11 @@ SELECT nk_contact, CAST(idx AS INTEGER) AS idx, code FROM (
   FROM customer) WHERE starts_with(code, '1p')
 """,
     "keyed_bulk_load": """
-WITH docs AS (SELECT o_orderkey AS id, c_nationkey AS centerId, o_orderpriority AS segment, o_orderstatus AS lifecycle_tag,
+WITH src AS (SELECT o_orderkey AS id, c_nationkey AS centerId, o_orderpriority AS segment, o_orderstatus AS lifecycle_tag,
     strftime(o_orderdate, '%Y-%m-%d') AS changeddate, o_orderdate FROM orders JOIN customer ON o_custkey = c_custkey),
-src AS (SELECT id, centerId, segment, lifecycle_tag, changeddate FROM docs
-        QUALIFY row_number() OVER (PARTITION BY centerId ORDER BY id) <= 100000),
-store AS (SELECT id, centerId, segment, 'stale' AS lifecycle_tag, changeddate FROM docs WHERE o_orderdate < TIMESTAMP '1998-01-01')
-SELECT * FROM store WHERE id NOT IN (SELECT id FROM src) UNION ALL SELECT * FROM src
+old AS (SELECT id, centerId, segment, 'stale' AS lifecycle_tag, changeddate FROM src WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+store AS (SELECT * FROM old UNION ALL SELECT * REPLACE (centerId + 100 AS centerId) FROM old WHERE id % 7 = 0)
+SELECT * FROM store ANTI JOIN src USING (id, centerId) UNION ALL SELECT * EXCLUDE (o_orderdate) FROM src
 """,
     "incremental_extract": """
 SELECT event_id, ts, user_id, event_type FROM events WHERE ts > TIMESTAMP '2024-01-15'

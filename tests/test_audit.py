@@ -14,11 +14,11 @@ def _access(spark):
         return (name, dom, [(c,) for c in cols])
 
     data = [
-        ("q1", "SYS_BI", dt.datetime(2024, 1, 30, 10), [o("DM.RP.DIM_A", cols=["NK", "X"]), o("DM.AN.FACT_B", cols=["NK"])]),
+        ("q1", "SYS_BI", dt.datetime(2024, 1, 30, 10), [o("DB1.S1.D_A", cols=["NK", "X"]), o("DB1.S2.F_B", cols=["NK"])]),
         ("q2", "SYS_BI", dt.datetime(2024, 1, 30, 11), []),  # empty object array: dropped by the flatten
-        ("q3", "SYS_BI", dt.datetime(2024, 1, 20, 9), [o("DM.RP.DIM_A", cols=["NK"])]),  # outside 1-day look-back
-        ("q4", "OTHER", dt.datetime(2024, 1, 30, 12), [o("DM.PL.DIM_C", cols=["NK"])]),  # other user
-        ("q5", "SYS_BI", dt.datetime(2024, 1, 30, 13), [o("DM.PL.FACT_D", cols=["Y"]), o("DM.RP.DIM_A", "View", ["NK"])]),
+        ("q3", "SYS_BI", dt.datetime(2024, 1, 20, 9), [o("DB1.S1.D_A", cols=["NK"])]),  # outside 1-day look-back
+        ("q4", "OTHER", dt.datetime(2024, 1, 30, 12), [o("DB1.S3.D_C", cols=["NK"])]),  # other user
+        ("q5", "SYS_BI", dt.datetime(2024, 1, 30, 13), [o("DB1.S3.F_D", cols=["Y"]), o("DB1.S1.D_A", "View", ["NK"])]),
     ]
     return spark.createDataFrame(
         data, f"query_id string, user_name string, query_start_time timestamp_ntz, direct_objects_accessed {OBJ}"
@@ -28,12 +28,12 @@ def _access(spark):
 def _inventory(spark):
     ts = dt.datetime
     data = [
-        ("DM", "RP", "DIM_A", "BASE TABLE", 10, ts(2024, 1, 30, 1), ts(2020, 1, 1)),
-        ("DM", "AN", "DIM_A", "BASE TABLE", 11, ts(2024, 1, 1), ts(2020, 1, 1)),
-        ("DM", "AN", "FACT_B", "BASE TABLE", 12, None, ts(2024, 1, 30, 5)),
-        ("DM", "PL", "DIM_C", "BASE TABLE", 13, ts(2024, 1, 1), ts(2020, 1, 1)),
-        ("DM", "PL", "FACT_D", "BASE TABLE", 14, ts(2024, 1, 1), ts(2020, 1, 1)),
-        ("DM", "ST", "DIM_E", "BASE TABLE", 15, ts(2024, 1, 1), ts(2020, 1, 1)),
+        ("DB1", "S1", "D_A", "BASE TABLE", 10, ts(2024, 1, 30, 1), ts(2020, 1, 1)),
+        ("DB1", "S2", "D_A", "BASE TABLE", 11, ts(2024, 1, 1), ts(2020, 1, 1)),
+        ("DB1", "S2", "F_B", "BASE TABLE", 12, None, ts(2024, 1, 30, 5)),
+        ("DB1", "S3", "D_C", "BASE TABLE", 13, ts(2024, 1, 1), ts(2020, 1, 1)),
+        ("DB1", "S3", "F_D", "BASE TABLE", 14, ts(2024, 1, 1), ts(2020, 1, 1)),
+        ("DB1", "ST", "D_E", "BASE TABLE", 15, ts(2024, 1, 1), ts(2020, 1, 1)),
     ]
     return spark.createDataFrame(
         data,
@@ -43,12 +43,12 @@ def _inventory(spark):
 
 
 def test_table_usage(spark):
-    got = audit.table_usage(_inventory(spark), _access(spark), AS_OF, ["SYS_BI"])
-    assert rows(got, "fq_table_name", "updated_or_created_last_day", "queried_last_day", "table_exists_in_both_rp_and_an") == [
-        ("DM.AN.DIM_A", "no", "no", "yes"),
-        ("DM.AN.FACT_B", "no", "yes", "no"),  # greatest(NULL, created) is NULL -> not 'yes'
-        ("DM.PL.FACT_D", "no", "yes", "no"),  # PL kept only when queried; DIM_C was read by another user
-        ("DM.RP.DIM_A", "yes", "yes", "yes"),
+    got = audit.table_usage(_inventory(spark), _access(spark), AS_OF, ["SYS_BI"], pattern=r"DB1\.(S1|S2|S3)\.(D|F)_", pair=("S1", "S2"), when_queried="S3")
+    assert rows(got, "fq_table_name", "updated_or_created_last_day", "queried_last_day", "table_exists_in_both") == [
+        ("DB1.S1.D_A", "yes", "yes", "yes"),
+        ("DB1.S2.D_A", "no", "no", "yes"),
+        ("DB1.S2.F_B", "no", "yes", "no"),  # greatest(NULL, created) is NULL -> not 'yes'
+        ("DB1.S3.F_D", "no", "yes", "no"),  # S3 kept only when queried; D_C was read by another user
     ]
 
 
@@ -58,9 +58,9 @@ def test_column_usage_one_row_per_column(spark):
          ("q5", "SYS_BI", "insert c", "INSERT", dt.datetime(2024, 1, 30))],
         "query_id string, user_name string, query_text string, query_type string, end_time timestamp_ntz",
     )
-    got = audit.column_usage(_access(spark), queries, "DM.RP.DIM_A", AS_OF, 30, ["SYS_BI"])
-    assert rows(got, "query_id") == [("q1",), ("q1",), ("q3",)]  # q5 read DIM_A as a View: not counted
-    only_nk = audit.column_usage(_access(spark), queries, "DM.RP.DIM_A", AS_OF, 1, ["SYS_BI"], columns=["NK"], query_type="SELECT")
+    got = audit.column_usage(_access(spark), queries, "DB1.S1.D_A", AS_OF, 30, ["SYS_BI"])
+    assert rows(got, "query_id") == [("q1",), ("q1",), ("q3",)]  # q5 read D_A as a View: not counted
+    only_nk = audit.column_usage(_access(spark), queries, "DB1.S1.D_A", AS_OF, 1, ["SYS_BI"], columns=["NK"], query_type="SELECT")
     assert rows(only_nk, "query_id") == [("q1",)]
 
 

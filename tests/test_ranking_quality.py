@@ -50,3 +50,17 @@ def test_require_values(spark):
     quality.require_values(df, "sheet", ["NMU"])
     with pytest.raises(ValueError, match="Freeze"):
         quality.require_values(df, "sheet", ["NMU", "Freeze"])
+
+
+def test_a_cap_that_would_drop_rows_is_reported(spark):
+    df = spark.createDataFrame([(1, i) for i in range(9)] + [(2, 0)], "k int, v int")
+    quality.require_at_most(df, ["k"], 9)
+    with pytest.raises(ValueError, match="would drop 7 rows"):
+        quality.require_at_most(df, ["k"], 2)
+
+
+def test_bulk_load_refuses_a_cap_that_fires(spark):
+    from tableops.plans.file_jobs import q_keyed_bulk_load
+
+    with pytest.raises(ValueError, match="would drop"):
+        q_keyed_bulk_load(spark, "/root/testdata/sf0.001", limit_per_center=3)

@@ -37,7 +37,10 @@ def test_pivot_unpivot_roundtrip(spark):
 
 
 def test_forecast_long(spark):
-    got = forecast_long(_wide(spark).withColumnsRenamed({}), "Total price", "f1", dt.date(2024, 1, 1))
+    more = {c: F.lit("x") for c in ("UniqeID", "Currency", "Currency rate", "Account", "Club/OH")}
+    wide = _wide(spark).withColumns({**more, "Current FC": F.lit("2021-07-01")})
+    got = forecast_long(wide, "Total price", "f1", dt.date(2024, 1, 1))
+    assert {(r.unique_id, r.club_oh, r.current_fc) for r in got.collect()} == {("x", "x", "2021-07")}
     assert set(r.country_code for r in got.collect()) == {"NATION_1", "NATION_2"}
     periods = sorted({r.period for r in got.collect()})
     assert periods == ["2021-01", "2021-05", "2021-10", "2021-12"]
@@ -94,11 +97,12 @@ def test_parse_forecast_and_weather_flags(spark):
 
 
 def test_try_number_equals_try_cast(spark):
-    vals = ["1", " 2 ", "-3.5", "1e3", "abc", "", None, "99999999999999999999", ".5"]
+    vals = ["1", " 2 ", "-3.5", "1e3", "abc", "", None, "99999999999999999999", ".5", "5.", "+7", "- 1", "1.5D", "2f", "1L"]
+    vals += ["NaN", "nan", "Infinity", "-inf", "+Infinity", "infinit", "0x1p3", "0x10", "1e", "e5", "\t4\n", "1 2", "1_000", "\u0663"]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
-    for t in ["int", "bigint", "double", "decimal(15,5)"]:
-        got = df.select(try_number("s", t).alias("a"), F.col("s").try_cast(t).alias("b")).collect()
-        assert all(r.a == r.b for r in got), t
+    for t in ["int", "bigint", "double", "float", "decimal(15,5)"]:
+        got = df.select("s", try_number("s", t).cast("string").alias("a"), F.col("s").try_cast(t).cast("string").alias("b")).collect()
+        assert [r for r in got if r.a != r.b] == [], t
 
 
 def test_evolve(spark):

@@ -3,13 +3,14 @@ import gzip
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tableops.functions import date_path
 from tableops.sinks import unload_partition, write_csv_stamped, write_json_parts
 from tableops.sources import (
     catalog_columns, incremental, next_watermark, read_delimited, read_json_array, read_json_payload, read_matching,
-    read_sheets, typed_fields, with_lineage,
+    read_sheets, sheet_layouts, typed_fields, with_lineage,
 )
 from tableops.streaming import ingest_new_files
 from conftest import rows
@@ -70,6 +71,50 @@ def test_read_sheets_one_scan(spark, tmp_dir):
     assert rows(df.select("workbook", "sheet", "CC")) == [("202108 forecast", "Drop", "1"), ("202108 forecast", "NMU", "1")]
 
 
+def test_sheets_are_matched_by_their_own_headers(spark, tmp_dir):
+    base = f"{tmp_dir}/202108 forecast"
+    _write(f"{tmp_dir}/000 notes/A", "p.csv", ["foo,CC", "1,2"])  # sorts first, not selected
+    _write(f"{base}/A", "p.csv", ["CC,jan-21,feb-21", "1,10,20"])
+    _write(f"{base}/B", "p.csv", ["CC,feb-21,jan-21", "2,200,100"])
+    _write(f"{base}/C", "p.csv", ["CC,mar-21", "3,3000"])
+    df = read_sheets(spark, tmp_dir, regex=r"\d{6}.*forecast")
+    got = {r.sheet: r for r in df.collect()}
+    assert set(got) == {"A", "B", "C"}
+    assert (got["A"]["jan-21"], got["A"]["feb-21"], got["B"]["jan-21"], got["B"]["feb-21"]) == ("10", "20", "100", "200")
+    assert got["C"]["mar-21"] == "3000" and got["C"]["jan-21"] is None
+    assert len(sheet_layouts(spark, tmp_dir, regex=r"\d{6}.*forecast")) == 3
+    with pytest.raises(ValueError, match="no sheet"):
+        read_sheets(spark, tmp_dir, regex="nothing")
+
+
+def test_rows_of_text_files_are_numbered_across_blocks(spark, tmp_dir):
+    n = 4000
+    _write(tmp_dir + "/t", "a.json", [json.dumps({"i": i}) for i in range(n)])
+    _write(tmp_dir + "/t", "b.json", [json.dumps({"i": i}) for i in range(7)])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        raw = read_json_payload(spark, tmp_dir + "/t")
+        assert raw.rdd.getNumPartitions() > 3
+        got = with_lineage(raw).selectExpr("int(get_json_object(payload_text, '$.i')) AS i", "etl_metadata_file_row_number AS r").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    assert len(got) == n + 7 and all(r.r == r.i + 1 for r in got)
+
+
+def test_more_batches_than_progress_is_kept_for(spark, tmp_dir):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for i in range(5):
+            _write(tmp_dir + "/in", f"{i}.json", [f'{{"id": {i}}}'])
+        kw = dict(sink=tmp_dir + "/out", checkpoint=tmp_dir + "/ckpt", max_files_per_trigger=1)
+        assert ingest_new_files(spark, tmp_dir + "/in", "id long", transform=lambda d: d.where("id <> 3"), **kw) == 4
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
 def test_unload_partition_dynamic_overwrite(spark, tmp_dir):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "p int, v string")
     unload_partition(df, tmp_dir + "/u", ["p"])

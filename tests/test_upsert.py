@@ -101,7 +101,22 @@ def test_close_open_intervals(spark):
 def test_limit_per_group_hot_key(spark):
     data = [(0, i) for i in range(300)] + [(k, i) for k in range(1, 6) for i in range(3)]
     df = spark.createDataFrame(data, "k int, v int")
-    got = upsert.limit_per_group(df, ["k"], 5, [F.col("v").desc()], salts=7)
-    res = rows(got)
+    res = rows(upsert.limit_per_group(df, ["k"], 5, ["v"], descending=True))
     assert [v for k, v in res if k == 0] == [295, 296, 297, 298, 299]
     assert len([1 for k, _ in res if k == 1]) == 3
+    assert [v for k, v in rows(upsert.limit_per_group(df, ["k"], 5, ["v"])) if k == 0] == [0, 1, 2, 3, 4]
+
+
+def test_duplicate_source_keys_fail_whatever_is_read(spark):
+    t = spark.createDataFrame([(1, "a", 1.0)], "id int, name string, bal double")
+    s = spark.createDataFrame([(7, "x", 1.0), (7, "y", 2.0)], "id int, name string, bal double")
+    for merged in (upsert.upsert(t, s, ["id"]), upsert.merge_partial(t, s, ["id"], ["bal"])):
+        for read in (lambda d: d.count(), lambda d: d.select("id").collect(), lambda d: d.select("name").collect()):
+            with pytest.raises(Exception, match="more than one row"):
+                read(merged)
+
+
+def test_same_id_under_two_partition_keys(spark):
+    t = spark.createDataFrame([(1, 10, "a")], "centre int, id int, v string")
+    s = spark.createDataFrame([(2, 10, "b")], "centre int, id int, v string")
+    assert rows(upsert.upsert(t, s, ["centre", "id"]), "centre", "id", "v") == [(1, 10, "a"), (2, 10, "b")]
