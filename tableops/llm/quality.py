@@ -1,18 +1,20 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, Gumbel top-k.
 
-Words and word pairs are hashed into ``2 ** BITS`` buckets. The raw model counts them over all documents; the target
-model over labelled good documents, smoothed towards the raw one, so that a bucket that the labels say nothing about
-has ratio 1. A document's log weight is the sum of its n-grams' log ratios, the importance weight of the document
-under the two generative models. The ``k`` documents with the largest log weight plus seeded Gumbel noise are a
-sample without replacement by importance; ``k`` is the number of documents that are more likely from the target
-than not, given the share of good labels.
-
-The target model is fitted on at most ``LABELS`` labelled documents, those with the smallest hashed ids; all other
-counts cover all documents. The threshold of the top k is found by histograms over the whole key range, refined
-until exact; documents that tie at it are all taken.
-
-Nulls and ties: a null text is empty and has log weight 0; null ids share one noise value; without labels all
-weights are 0 and everything stays.
+Words and word pairs are hashed into ``2 ** BITS`` buckets. The raw model counts them over all documents; the
+target model over labelled good documents, smoothed towards the raw one by ``PRIOR`` expected counts a bucket. A
+document's log ratio is the sum of its n-grams' log ratios under the two generative models. As the n-grams of a
+document are far from independent, the sum overstates what a long document says: its log weight is the mean over
+its n-grams (and ``SHORT`` more of ratio 1) times ``LENGTH``, what a document of that many n-grams would have.
+The ``k`` documents with the largest log weight plus seeded Gumbel noise are a sample without replacement by
+importance. ``k`` is the number of documents whose log weight is above the value that separates good labels from
+bad ones best, a good document lost counting ``LOSS`` times one kept wrongly.
+
+At most ``LABELS`` labelled documents are used, those with the smallest hashed ids: every other one for the target
+model, the rest to find the separating value. All other counts cover all documents. The threshold of the top k is
+found by histograms over the whole key range, refined until exact; documents that tie at it are all taken.
+
+Nulls and ties: a null text is empty and has log weight 0; null ids share one noise value; without good and bad
+labels everything stays.
 """
 
 from __future__ import annotations
@@ -30,8 +32,9 @@ from .common import Stage, fresh, text_of
 
 BITS = 16
 LABELS = 10_000
-#: Weight of the raw model in the target model, in n-grams
-PRIOR = 1 << 16
+#: Counts added to a bucket's count in the target and to what the raw model expects there
+PRIOR = 20.0
+SHORT, LENGTH, LOSS = 10, 100, 5
 #: Scale of the Gumbel noise, in units of log weight
 TEMPERATURE = 0.25
 SEED = 5
@@ -62,24 +65,38 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (used, raw[used], good[used])], ["bucket", "raw", "good"])
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[np.ndarray, float]:
-    """The log ratio per bucket, and the share of good labels (of all labels)."""
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(
-        F.col(id_col).alias("_label_id"), (F.col(label_col) > 0).alias("good")
-    )
-    seen = known.agg(F.count(F.lit(1)).alias("n"), F.count_if("good").alias("good")).first()
-    # at most LABELS rows, whatever the size of the table
-    sample = known.groupBy("_label_id").agg(F.min("good").alias("good")).orderBy(F.xxhash64("_label_id"), "_label_id").limit(LABELS)
-    texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("text"))
-    joined = texts.join(F.broadcast(sample), F.col("_id") == F.col("_label_id"), "left").select("text", "good")
+def label_sample(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """``_label_id, good, fit``: at most ``LABELS`` rows, whatever the size of the table. An id with several labels is
+    good if all are."""
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+    one = known.groupBy(F.col(id_col).alias("_label_id")).agg(F.min(F.col(label_col) > 0).alias("good"))
+    first = one.orderBy(F.xxhash64("_label_id"), "_label_id").limit(LABELS)
+    return first.withColumn("fit", F.pmod(F.xxhash64(F.lit(1), "_label_id"), F.lit(2)) == 0)
+
+
+def log_ratios(texts: DataFrame, sample: DataFrame) -> np.ndarray:
+    """The log ratio per bucket; ``texts`` has ``id, text``."""
+    fit = sample.where("fit AND good").select("_label_id", "good")
+    joined = texts.join(F.broadcast(fit), F.col("id") == F.col("_label_id"), "left").select("text", "good")
     counts = joined.mapInArrow(_count, "bucket long, raw long, good long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
     table = counts.toArrow()  # at most 2 ** BITS rows
     raw, good = np.zeros(1 << BITS), np.zeros(1 << BITS)
     raw[table.column("bucket").to_numpy()] = table.column("raw").to_numpy()
     good[table.column("bucket").to_numpy()] = table.column("good").to_numpy()
-    p_raw = (raw + 1) / (raw.sum() + len(raw))
-    p_good = (good + PRIOR * p_raw) / (good.sum() + PRIOR)
-    return np.log(p_good / p_raw), (seen["good"] + 1) / (seen["n"] + 2)
+    p_raw = raw / max(raw.sum(), 1)
+    ratio = (good + PRIOR) / (good.sum() * p_raw + PRIOR)
+    return np.log(ratio / max((ratio * p_raw).sum(), 1e-9)) if raw.any() else np.zeros(1 << BITS)
+
+
+def separating_value(good: np.ndarray, bad: np.ndarray) -> float:
+    """The value between neighbouring weights with the least loss when all at or above it are taken."""
+    if not len(good) or not len(bad):
+        return -np.inf
+    cuts = np.unique(np.concatenate((good, bad)))
+    lost = LOSS * np.searchsorted(np.sort(good), cuts)
+    wrong = len(bad) - np.searchsorted(np.sort(bad), cuts)
+    best = int(np.argmin(lost + wrong))
+    return float(cuts[best] + cuts[best - 1]) / 2 if best else float(cuts[0])
 
 
 def _weigh(ratios: Broadcast, text: str, out: str):
@@ -88,7 +105,8 @@ def _weigh(ratios: Broadcast, text: str, out: str):
             weight = np.zeros(batch.num_rows)
             for a, b, words, per_text in word_blocks(batch.column(text), punctuation=True):
                 h, owner = buckets(words, per_text)
-                weight[a:b] = np.bincount(owner, ratios.value[h], b - a)
+                n = np.bincount(owner, minlength=b - a)
+                weight[a:b] = np.bincount(owner, ratios.value[h], b - a) * LENGTH / (n + SHORT)
             others = [c for c in batch.schema.names if c != text]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], pa.array(weight)], [*others, out])
 
@@ -128,12 +146,16 @@ class Resampler:
     ):
         self.docs, self.id_col, self.text_col = docs, id_col, text_col
         self.temperature, self.seed = temperature, seed
-        ratios, share = log_ratios(docs, labels, id_col, text_col, label_col)
-        self.ratios = docs.sparkSession.sparkContext.broadcast(ratios)
         stage = Stage(docs.sparkSession, "quality")
+        sample = stage.write(label_sample(labels, id_col, label_col), "labels")
+        texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+        self.ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(texts, sample))
         self.weights = stage.write(self.weighed(docs.select(F.col(id_col), F.col(text_col)), "log_weight", "key", keep_text=False), "weights")
-        likely = F.col("log_weight") >= float(np.log(0.5 / share))
-        self.threshold = threshold(self.weights, "key", self.weights.where(likely).count())
+        rest = F.broadcast(sample.where("NOT fit"))
+        known = self.weights.join(rest, F.col(id_col) == F.col("_label_id")).groupBy("_label_id", "good").agg(F.min("log_weight").alias("w")).toArrow()
+        good, w = known.column("good").to_numpy(zero_copy_only=False).astype(bool), known.column("w").to_numpy()
+        value = separating_value(w[good], w[~good])
+        self.threshold = threshold(self.weights, "key", self.weights.where(F.col("log_weight") >= value).count())
 
     def weighed(self, docs: DataFrame, weight: str, key: str, keep_text: bool = True) -> DataFrame:
         text = fresh([*docs.columns, weight, key], "_text")
