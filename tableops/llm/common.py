@@ -8,10 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, read_table
-
-#: Hash partitions get about this many bytes of text each when whole texts have to be exchanged.
-TEXT_PARTITION_BYTES = 16 << 20
+from ..session import checkpoint_dir, read_table, remove_path
 
 
 class Stage:
@@ -25,7 +22,7 @@ class Stage:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        atexit.register(self._end)
+        atexit.register(remove_path, spark, self.root)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -33,15 +30,8 @@ class Stage:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(conf).delete(path, True)
-
-    def _end(self) -> None:
-        if self.spark.sparkContext._jsc is not None:  # the session may have been stopped before
-            self.drop("")
+            remove_path(self.spark, f"{self.root}/{name}")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
