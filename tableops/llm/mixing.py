@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordered import row_number_within
 from .common import Stage, fresh, text_of
 
 WEIGHTS = (5, 2, 1)
@@ -101,8 +102,7 @@ def mix(
 ) -> DataFrame:
     """One row per document: ``id_col, source, size, source_size, target, copies, taken``, and what ``keep`` names.
 
-    ``weights`` go to the sources in code-point order of their names, over and over, null last. The per-source
-    table (one row per source, pre-aggregated) is ordered in one sort to deal them out.
+    ``weights`` go to the sources in code-point order of their names, over and over, null last.
     """
     stage = Stage(docs.sparkSession, "mix")
     rows = stage.write(
@@ -115,9 +115,10 @@ def mix(
         ),
         "rows",
     )
-    position = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.get(F.array(*[F.lit(w) for w in weights]), F.pmod(position, F.lit(len(weights))))
-    sizes = stage.write(rows.groupBy("source").agg(F.sum("size").alias("size")).withColumn("weight", weight), "sizes")
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("size")).withColumn("none", F.col("source").isNull())
+    sizes = row_number_within(stage.write(sizes, "per-source"), [], ["none", "source"], out="position")
+    weight = F.get(F.array(*[F.lit(w) for w in weights]), F.pmod(F.col("position") - 1, F.lit(len(weights))).cast("int"))
+    sizes = stage.write(sizes.select("source", "size", weight.alias("weight")), "sizes")
     level = water_fill(sizes, max_epochs)
     target = F.least((F.col("size") * max_epochs).cast("double"), F.lit(level) * F.col("weight"))
     plan = sizes.select("source", F.col("size").alias("source_size"), target.alias("target")).withColumn(
