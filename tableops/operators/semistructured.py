@@ -85,6 +85,7 @@ def flatten(
 
 # --- nested API responses (weather forecast documents) ---------------------------------------------------
 
+# Fixed value: field names of the public weather API's response.
 FORECAST_SCHEMA = (
     "properties struct<timeseries: array<struct<time: string, data: struct<"
     "instant: struct<details: struct<air_temperature: double, cloud_area_fraction: double>>, "

@@ -241,6 +241,7 @@ def q_incremental_gzip(spark, sf_dir) -> DataFrame:
 
 # --- C8: changed rows (flagged) merged field-wise into the document items ------------------------------
 
+# Fixed value: fields of a stored item.
 ITEM_SCHEMA = (
     "id bigint, centerId int, lifecycle_tag string, past_segment string, segment string, trend string, "
     "lifecycle_start_date string, segment_start_date string, changeddate string"
