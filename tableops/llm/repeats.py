@@ -284,6 +284,47 @@ def _extent_batch(rows: list) -> pa.RecordBatch:
 # -- the operator -----------------------------------------------------------------------------------------------
 
 
+def _outermost(marked: Broadcast):
+    """Of each context the first and the last window whose digest is in the bitmap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.frombuffer(marked.value, np.uint8)
+        for batch in batches:
+            out = []
+            for h, c, windows in zip(*[batch.column(x).to_pylist() for x in ("h", "c", "windows")]):
+                cells = np.frombuffer(b"".join(windows), ">u4").reshape(len(windows), -1)[:, 0] & ((1 << BITMAP_BITS) - 1)
+                hit = np.flatnonzero(in_bitmap(bitmap, cells))
+                if len(hit):
+                    out += [(h, c, int(i), windows[i]) for i in {hit[0], hit[-1]}]
+            columns = list(zip(*out)) or [[]] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], ["h", "c", "i", "w"])
+
+    return run
+
+
+def _hot_extents(contexts: DataFrame, stage: Stage, length: int) -> DataFrame:
+    """Extents of contexts of hot anchors, from the digests of their strings.
+
+    Digests that occur twice are counted in one aggregate. Only the outermost of them matter for a context: they
+    are picked through a bitmap and confirmed by a join of two rows a context. Where the bitmap misled, all strings
+    of the context are looked up.
+    """
+    twice = contexts.select("n", F.explode("windows").alias("w")).groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w")
+    twice = stage.write(twice, "twice")
+    cell = F.conv(F.hex(F.substring("w", 1, 4)), 16, 10).cast("long").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    marked = twice.sparkSession.sparkContext.broadcast(fixed_bitmap(twice, cell, BITMAP_BITS).tobytes())
+    outer = contexts.select("h", "c", "windows").mapInArrow(_outermost(marked), "h long, c long, i int, w binary")
+    outer = stage.write(outer.join(contexts.select("h", "c", "low").distinct(), ["h", "c"]).distinct(), "outermost")
+    missed = stage.write(outer.join(twice, "w", "left_anti").select("h", "c").distinct(), "missed")
+    sure = outer.join(missed, ["h", "c"], "left_anti").select("h", "c", "low", "i")
+    again = contexts.join(missed, ["h", "c"], "left_semi").select("h", "c", "low", F.posexplode("windows").alias("i", "w"))
+    found = sure.unionByName(again.join(twice, "w").select("h", "c", "low", "i"))
+    return found.groupBy("h", "c").agg(
+        F.max(F.col("low") - F.col("i")).alias("left"), (F.lit(length) - F.min(F.col("low") - F.col("i"))).alias("right")
+    )
+
+
 def repeated_spans(docs: DataFrame, stage: Stage, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """``k1, k2, begin, end``: covered byte ranges per text; ``docs`` has ``k1, k2, text``."""
     spark = docs.sparkSession
@@ -310,13 +351,7 @@ def repeated_spans(docs: DataFrame, stage: Stage, length: int = LENGTH, gram: in
     contexts = rows.where("context IS NOT NULL").select("h", "c", "low", "context")
     scanned = contexts.repartition(partitions(spark), "h").sortWithinPartitions("h").mapInArrow(_tree_scan(length), _EXTENT)
 
-    windows = rows.where("windows IS NOT NULL").select("h", "c", "low", "n", F.posexplode("windows").alias("i", "w"))
-    twice = windows.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w")
-    by_digest = (
-        windows.join(twice, "w")
-        .groupBy("h", "c")
-        .agg(F.max(F.col("low") - F.col("i")).alias("left"), (F.lit(length) - F.min(F.col("low") - F.col("i"))).alias("right"))
-    )
+    by_digest = _hot_extents(rows.where("windows IS NOT NULL").select("h", "c", "low", "windows", "n"), stage, length)
     whole = F.lit(None).cast("int")
     covered = stage.write(
         classes.where("n > 1").select("h", "c", whole.alias("left"), whole.alias("right")).unionByName(scanned).unionByName(by_digest),
