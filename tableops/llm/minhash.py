@@ -261,23 +261,36 @@ def _incidence(sets: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
 
 
 def _compare_blocks(idf: Broadcast, similarity: float):
-    """Links between the left and all members of each block; rows come sorted by block."""
+    """A spanning forest of the links between the left and all members of each block; rows come sorted by block."""
 
-    def links(group: dict[bool, dict[int, np.ndarray]]) -> set[tuple[int, int]]:
+    def links(group: dict[bool, dict[int, np.ndarray]]) -> list[tuple[int, int]]:
         left, every = group[True], group[False]
         if not left or not every:
-            return set()
+            return []
         ids_a, ids_b = list(left), list(every)
-        found = similar_pairs(list(left.values()), list(every.values()), idf.value, similarity)
-        return {(min(ids_a[i], ids_b[j]), max(ids_a[i], ids_b[j])) for i, j in found if ids_a[i] != ids_b[j]}
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = parent[up]
+                x = parent[x]
+            return x
+
+        forest = []
+        for i, j in similar_pairs(list(left.values()), list(every.values()), idf.value, similarity):
+            a, b = root(ids_a[i]), root(ids_b[j])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                forest.append((ids_a[i], ids_b[j]))
+        return forest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, group = None, {True: {}, False: {}}
         for batch in batches:
-            out: set[tuple[int, int]] = set()
+            out: list[tuple[int, int]] = []
             for block, is_left, cid, v in zip(*[batch.column(c).to_pylist() for c in ("block", "is_left", "cid", "v")]):
                 if block != current:
-                    out |= links(group)
+                    out += links(group)
                     current, group = block, {True: {}, False: {}}
                 group[is_left][cid] = _features(v)
             yield _pairs(out)
@@ -286,7 +299,7 @@ def _compare_blocks(idf: Broadcast, similarity: float):
     return run
 
 
-def _pairs(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
+def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
