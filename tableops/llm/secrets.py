@@ -147,7 +147,8 @@ def scan(
         "k1", "k2", F.pmod("k1", F.lit(SALTS)).alias("salt"), F.explode(F.concat("base", outside)).alias("s")
     )
     salted = values.withColumn("salt", F.explode(F.array(*[F.lit(k).cast("long") for k in range(SALTS)])))
-    judged = spans.withColumn("h", F.col("s.h")).join(salted, ["h", "salt"])
+    # the table of values grows with the corpus and is smaller on disk than in memory: never broadcast
+    judged = spans.withColumn("h", F.col("s.h")).join(salted.hint("merge"), ["h", "salt"])
     base = F.col("s.kind") < KINDS.index("reuse")
     per_doc = (
         judged.where(base | F.col("owned"))
