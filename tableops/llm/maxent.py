@@ -38,7 +38,7 @@ CLASSES, SLOTS = 32, 32
 CLASS_ROWS, SLOT_ROWS = (1 << 13, 1 << 14, 1 << 13), (1 << 13, 1 << 13)
 #: Tokens whose counts are broadcast (16 MB); the counts of the others are joined.
 HEAD = 1 << 20
-ROUNDS, STEP, BATCH = 2, 0.05, 8192
+ROUNDS, STEP, BATCH = 2, 0.2, 8192
 #: Weights travel in pieces of this many numbers.
 PIECE = 1 << 14
 
@@ -147,7 +147,7 @@ class Model:
         return out, slot < 0
 
     def learn(self, tokens: np.ndarray, before: np.ndarray, skip: np.ndarray, squares: list[np.ndarray]) -> None:
-        """Gradient updates on batches of tokens, with step sizes by each weight's squared gradients so far."""
+        """Gradient updates on batches of tokens, with step sizes by each row's squared gradients so far."""
         kind, slot = self.targets(tokens)
         for k in range(0, len(tokens), BATCH):
             part = slice(k, k + BATCH)
@@ -170,8 +170,9 @@ class Model:
         first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         total = np.add.reduceat(g[order], first, axis=0)
         rows = ordered[first]
-        squares[table][rows] += total * total
-        self.parts[table][rows] -= STEP * total / np.sqrt(squares[table][rows] + 1)
+        squares[table][rows] += np.einsum("ij,ij->i", total, total)
+        total *= (STEP / np.sqrt(squares[table][rows] + 1))[:, None]
+        self.parts[table][rows] -= total
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +193,7 @@ def _train(state: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, flat = state.value
         model = Model(words, flat.copy())
-        squares = [np.zeros_like(p) for p in model.parts]
+        squares = [np.zeros(len(p), np.float32) for p in model.parts]
         seen = 0
         for batch in batches:
             for _, _, words_, per_text in word_blocks(batch.column("text")):
@@ -309,7 +310,7 @@ class LanguageModel:
             part = training.where(F.pmod(F.xxhash64("id"), F.lit(ROUNDS)) == r).select("text")
             state = spark.sparkContext.broadcast((words, model.flat))
             pieces = part.mapInArrow(_train(state), _PIECES).repartition(partitions(spark), "piece").sortWithinPartitions("piece", "tokens")
-            for row in pieces.mapInArrow(_add_pieces, _PIECES).toLocalIterator():  # one piece each: the size of the weights
+            for row in pieces.mapInArrow(_add_pieces, _PIECES).collect():  # together the size of the weights, 6 MB
                 at = row["piece"] * PIECE
                 change = np.frombuffer(row["w"], np.float32) / np.float32(row["tokens"])
                 model.flat[at : at + len(change)] += change

@@ -147,7 +147,7 @@ def test_learning_raises_the_likelihood():
     model = maxent.Model.start(words, np.bincount(chain, minlength=40), 1.0)
     first = model.log10(seen, before, skip)[0].mean()
     for _ in range(3):
-        model.learn(seen, before, skip, [np.zeros_like(p) for p in model.parts])
+        model.learn(seen, before, skip, [np.zeros(len(p), np.float32) for p in model.parts])
     assert model.log10(seen, before, skip)[0].mean() > first + 0.1
 
 
