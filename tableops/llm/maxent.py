@@ -1,18 +1,23 @@
 """Language-model scores from a hashed maximum-entropy model with class-factored softmax.
 
 A text's tokens are its words and one end token. The ``CLASSES * SLOTS`` most frequent training tokens are dealt to
-``CLASSES`` classes; all other tokens, seen or not, form one more. The probability of a token is that of its class
-given the context times that of the token given class and context. The first factor is a softmax over classes with
-features for the last word, the last two words together and the word before the last (a skip feature); the second
-a softmax over the class's slots with the last word and the skip word, each with the class. Features are hashed
-into tables of fixed size. Within the class of the other tokens, a token has its smoothed share of the counts, so
-the probabilities of all tokens add up to 1.
+``CLASSES`` classes; all others form one more, the tail, with the class of the unseen tokens, those without a count, as
+a part of fixed share, so that it is likelier where rare tokens are. The
+probability of a token is that of its class given the context times that of the token given class and context. The
+first factor is a softmax over classes with features for the last word, the last two words together and the word
+before the last (a skip feature); the second a softmax over the class's slots with the last word and the skip word,
+each with the class. The tail is a tree of hashed classes: the leading bits of a token's hash name its cell, of which
+there are at least as many as training tokens, and are cut into levels of at most ``LEVEL_BITS``. On each level a
+softmax over the children of a node starts from their exact shares of the counts and has the last word and the skip
+word, each with the node, as features. Tokens that meet in a cell have their smoothed share of its counts, so the
+probabilities of all tokens add up to 1. Features are hashed into tables that grow with the root of the number of
+training tokens.
 
 Training counts the tokens of all training documents exactly. The weights start as the unigram model; in each of
 ``ROUNDS`` rounds the partitions make gradient updates on their part of that round's training documents and the
 updates are averaged by the number of tokens; every training document is used in one round. Scoring is one pass
-in numpy batches with the weights and the counts of the ``HEAD`` most frequent tokens broadcast, both of fixed
-size; the counts of the rarer tokens are joined.
+in numpy batches with the weights, the masses of the cells (four bytes a cell) and the counts of the ``HEAD`` most
+frequent tokens broadcast; the counts of the rarer tokens are joined.
 
 Nulls and ties: a null text is empty and consists of the end token; a null id counts as the empty string when the
 training part is chosen; repeated rows count repeatedly; without training tokens every token has the same
@@ -35,10 +40,13 @@ from .common import Stage, partitions, text_of
 
 CLASSES, SLOTS = 32, 32
 #: Rows of the hashed feature tables: last word, last two words, skip word; and with the class, last and skip word
-CLASS_ROWS, SLOT_ROWS = (1 << 13, 1 << 14, 1 << 13), (1 << 13, 1 << 13)
+#: up to 2 ** 26 training tokens, then these times a power of two; a table of the tail, two features, has TAIL_ROWS
+CLASS_ROWS, SLOT_ROWS, TAIL_ROWS = (1 << 13, 1 << 14, 1 << 13), (1 << 13, 1 << 13), 1 << 14
+#: The tail's tree has at most 2 ** LEVEL_BITS children a node.
+LEVEL_BITS = 5
 #: Tokens whose counts are broadcast (16 MB); the counts of the others are joined.
 HEAD = 1 << 20
-ROUNDS, STEP, BATCH = 2, 0.2, 8192
+ROUNDS, STEP, TAIL_STEP, BATCH = 2, 0.2, 0.4, 8192
 #: Weights travel in pieces of this many numbers.
 PIECE = 1 << 14
 
@@ -64,45 +72,89 @@ def _with_ends(words: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.
     return tokens, before, skip, text
 
 
-def _features(before: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, ...]:
+def _features(before: np.ndarray, skip: np.ndarray, grow: int = 1) -> tuple[np.ndarray, ...]:
     """Rows of the class table."""
-    a, b, c = CLASS_ROWS
+    a, b, c = (rows * grow for rows in CLASS_ROWS)
     one = mixed(before + _U(11)) % _U(a)
     two = mixed(before * _U(0x9E3779B97F4A7C15) + skip + _U(12)) % _U(b) + _U(a)
     gap = mixed(skip + _U(13)) % _U(c) + _U(a + b)
     return one.astype(np.int64), two.astype(np.int64), gap.astype(np.int64)
 
 
-def _slot_features(before: np.ndarray, skip: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, ...]:
-    a, b = SLOT_ROWS
+def _slot_features(before: np.ndarray, skip: np.ndarray, kind: np.ndarray, grow: int = 1) -> tuple[np.ndarray, ...]:
+    a, b = (rows * grow for rows in SLOT_ROWS)
     spread = kind.astype(_U) * _U(0xC2B2AE3D27D4EB4F)
     return (mixed(before + spread) % _U(a)).astype(np.int64), (mixed(skip + spread + _U(14)) % _U(b) + _U(a)).astype(np.int64)
 
 
+def _tail_features(before: np.ndarray, skip: np.ndarray, node: np.ndarray, grow: int) -> tuple[np.ndarray, ...]:
+    rows = _U(TAIL_ROWS * grow)
+    spread = (node.astype(_U) + _U(1)) * _U(0xC2B2AE3D27D4EB4F)
+    return (mixed(before + spread + _U(15)) % rows).astype(np.int64), (mixed(skip + spread + _U(16)) % rows).astype(np.int64)
+
+
+def growth(n: int) -> int:
+    """The factor of the feature tables for ``n`` training tokens: a power of two that follows the root of ``n``."""
+    return 1 << max(0, math.ceil(math.log2(max(n, 1)) / 2) - 13)
+
+
+def tail_bits(v: int) -> int:
+    """Bits of the cells for ``v`` training tokens: at least one cell a token; none when all tokens have slots."""
+    return max(int(v - 1).bit_length(), 1) if v > CLASSES * SLOTS else 0
+
+
+def cells_of(tokens: np.ndarray, bits: int) -> np.ndarray:
+    return (tokens >> _U(64 - bits)).astype(np.int64)
+
+
 class Model:
-    """Weights as one flat array of float32: class table, class biases, slot table, slot biases."""
+    """Weights as one flat array of float32: class table, class biases, slot table, slot biases, tables of the tail.
 
-    SHAPES = ((sum(CLASS_ROWS), CLASSES + 1), (CLASSES + 1,), (sum(SLOT_ROWS), SLOTS), (CLASSES, SLOTS))
+    ``masses``: smoothed counts of the tail's cells, 2 ** bits of them or none; ``grow``: factor of the table rows.
+    """
 
-    def __init__(self, words: np.ndarray, flat: np.ndarray):
-        self.words, self.index, self.flat = words, Index(words), flat
+    def __init__(self, words: np.ndarray, flat: np.ndarray, masses: np.ndarray | None = None, grow: int = 1):
+        self.words, self.index, self.flat, self.grow = words, Index(words), flat, grow
+        self.masses = np.zeros(0, np.float32) if masses is None else masses
+        self.bits = len(self.masses).bit_length() - 1 if len(self.masses) else 0
         self.parts, at = [], 0
-        for shape in self.SHAPES:
+        for shape in self.shapes(self.bits, grow):
             size = math.prod(shape)
             self.parts.append(flat[at : at + size].reshape(shape))
             at += size
+        mass = self.masses.sum(dtype=np.float64)
+        #: log10 of the shares of the unseen and of the counted tokens among those without slots
+        self.unseen, self.counted = (math.log10(0.5 / (mass + 0.5)), math.log10(max(mass, 0.5) / (mass + 0.5))) if self.bits else (0.0, 0.0)
+        #: per level of the tail: (bits below it, log masses of each node's children)
+        self.levels, below = [], self.bits
+        for b in self.level_bits(self.bits):
+            below -= b
+            sums = self.masses.reshape(-1, 1 << below).sum(1, dtype=np.float64) if below else self.masses
+            self.levels.append((below, np.log(np.maximum(sums, 1e-20)).astype(np.float32).reshape(-1, 1 << b)))
+
+    @staticmethod
+    def level_bits(bits: int) -> list[int]:
+        n = -(-bits // LEVEL_BITS)
+        return [bits // n + (k < bits % n) for k in range(n)]
 
     @classmethod
-    def start(cls, words: np.ndarray, counts: np.ndarray, other: float) -> Model:
-        """The unigram model: biases are log shares; a slot without a word has none."""
-        flat = np.zeros(sum(math.prod(s) for s in cls.SHAPES), np.float32)
-        model = cls(words, flat)
+    def shapes(cls, bits: int, grow: int) -> list[tuple[int, ...]]:
+        fixed = [(sum(CLASS_ROWS) * grow, CLASSES + 1), (CLASSES + 1,), (sum(SLOT_ROWS) * grow, SLOTS), (CLASSES, SLOTS)]
+        return fixed + [(TAIL_ROWS * grow, 1 << b) for b in cls.level_bits(bits)]
+
+    @classmethod
+    def start(cls, words: np.ndarray, counts: np.ndarray, other: float, masses: np.ndarray | None = None, grow: int = 1) -> Model:
+        """The unigram model: biases are log shares; a slot without a word has none. ``other``: of unseen tokens."""
+        bits = 0 if masses is None else max(len(masses).bit_length() - 1, 0)
+        flat = np.zeros(sum(math.prod(s) for s in cls.shapes(bits, grow)), np.float32)
+        model = cls(words, flat, masses, grow)
         share = np.full((CLASSES, SLOTS), 0.0)
         k = np.arange(len(words))
         share[k % CLASSES, k // CLASSES] = counts + 0.5
+        rest = other + model.masses.sum(dtype=np.float64)
         with np.errstate(divide="ignore"):
             model.parts[3][:] = np.maximum(np.log(share) - np.log(np.maximum(share.sum(1, keepdims=True), 1e-9)), -60)
-            model.parts[1][:] = np.maximum(np.log(np.append(share.sum(1), other)), -60)
+            model.parts[1][:] = np.maximum(np.log(np.append(share.sum(1), rest)), -60)
         model.parts[1][:] -= np.log(np.exp(model.parts[1].astype(np.float64)).sum())
         return model
 
@@ -126,52 +178,93 @@ class Model:
         return self._softmax(z)
 
     def slot_probabilities(self, features: tuple, kind: np.ndarray) -> np.ndarray:
-        w, bias = self.parts[2:]
+        w, bias = self.parts[2:4]
         z = w[features[0]] + bias[kind]
         for f in features[1:]:
             z += w[f]
         return self._softmax(z)
 
+    def tail_probabilities(self, level: int, features: tuple, node: np.ndarray) -> np.ndarray:
+        w = self.parts[4 + level]
+        z = self.levels[level][1][node]
+        for f in features:
+            z += w[f]
+        return self._softmax(z)
+
+    def tail_steps(self, tokens: np.ndarray, before: np.ndarray, skip: np.ndarray) -> Iterator[tuple]:
+        """Per level of the tail: (level, its features, the child on the way to each token, probabilities)."""
+        cells = cells_of(tokens, self.bits)
+        for level, (below, logs) in enumerate(self.levels):
+            path = cells >> below
+            node, child = path // logs.shape[1], path % logs.shape[1]
+            features = _tail_features(before, skip, node, self.grow)
+            yield level, features, child, self.tail_probabilities(level, features, node)
+
     def log10(self, tokens: np.ndarray, before: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log10 of class and slot probability, whether the token is one of the others)."""
+        """(log10 of class and slot probability, whether the token is one without a slot, taken for unseen)."""
+        out, _, other = self.chains(tokens, before, skip)
+        return out, other
+
+    def chains(self, tokens: np.ndarray, before: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(log10 probability if a token without a slot is unseen, the same if it has a count, up to the smoothed
+        count itself, whether it has no slot)."""
         out = np.empty(len(tokens))
         kind, slot = self.targets(tokens)
+        seen = np.zeros(len(tokens))
         for k in range(0, len(tokens), BATCH):
             part = slice(k, k + BATCH)
-            p = self.class_probabilities(_features(before[part], skip[part]))
+            p = self.class_probabilities(_features(before[part], skip[part], self.grow))
             out[part] = np.log10(p[np.arange(len(p)), kind[part]])
             own = np.flatnonzero(slot[part] >= 0) + k
             if len(own):
-                q = self.slot_probabilities(_slot_features(before[own], skip[own], kind[own]), kind[own])
+                q = self.slot_probabilities(_slot_features(before[own], skip[own], kind[own], self.grow), kind[own])
                 out[own] += np.log10(q[np.arange(len(q)), slot[own]])
-        return out, slot < 0
+            rest = np.flatnonzero(slot[part] < 0) + k
+            if len(rest) and self.bits:
+                log = out[rest] + self.counted - np.log10(np.maximum(self.masses[cells_of(tokens[rest], self.bits)], 0.5))
+                for _, _, child, q in self.tail_steps(tokens[rest], before[rest], skip[rest]):
+                    log += np.log10(np.maximum(q[np.arange(len(q)), child], 1e-30))
+                seen[rest] = log
+                out[rest] += self.unseen
+        return out, seen, slot < 0
 
     def learn(self, tokens: np.ndarray, before: np.ndarray, skip: np.ndarray, squares: list[np.ndarray]) -> None:
-        """Gradient updates on batches of tokens, with step sizes by each row's squared gradients so far."""
+        """Gradient updates on batches of tokens, with step sizes by each row's squared gradients so far.
+
+        With a tail, every token is one with a count.
+        """
         kind, slot = self.targets(tokens)
         for k in range(0, len(tokens), BATCH):
             part = slice(k, k + BATCH)
-            features = _features(before[part], skip[part])
+            features = _features(before[part], skip[part], self.grow)
             g = self.class_probabilities(features)
             g[np.arange(len(g)), kind[part]] -= 1
             for f in features:
                 self._update(0, f, g, squares)
             own = np.flatnonzero(slot[part] >= 0) + k
             if len(own):
-                features = _slot_features(before[own], skip[own], kind[own])
+                features = _slot_features(before[own], skip[own], kind[own], self.grow)
                 g = self.slot_probabilities(features, kind[own])
                 g[np.arange(len(g)), slot[own]] -= 1
                 for f in features:
                     self._update(2, f, g, squares)
+            rest = np.flatnonzero(slot[part] < 0) + k
+            if len(rest) and self.bits:
+                for level, features, child, g in self.tail_steps(tokens[rest], before[rest], skip[rest]):
+                    g[np.arange(len(g)), child] -= 1
+                    for f in features:
+                        self._update(4 + level, f, g, squares)
 
     def _update(self, table: int, rows: np.ndarray, g: np.ndarray, squares: list[np.ndarray]) -> None:
         order = np.argsort(rows.astype(np.uint16), kind="stable")
+        if len(self.parts[table]) > 1 << 16:  # then by the higher bits
+            order = order[np.argsort((rows[order] >> 16).astype(np.uint16), kind="stable")]
         ordered = rows[order]
         first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         total = np.add.reduceat(g[order], first, axis=0)
         rows = ordered[first]
         squares[table][rows] += np.einsum("ij,ij->i", total, total)
-        total *= (STEP / np.sqrt(squares[table][rows] + 1))[:, None]
+        total *= ((STEP if table < 4 else TAIL_STEP) / np.sqrt(squares[table][rows] + 1))[:, None]
         self.parts[table][rows] -= total
 
 
@@ -188,11 +281,11 @@ _PIECES = "piece int, tokens long, w binary"
 
 
 def _train(state: Broadcast):
-    """One partition's updates: the change of the weights times its number of tokens, in pieces."""
+    """One partition's updates: the change of the weights, in pieces of half precision, and its number of tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, flat = state.value
-        model = Model(words, flat.copy())
+        words, flat, masses, grow = state.value
+        model = Model(words, flat.copy(), masses, grow)
         squares = [np.zeros(len(p), np.float32) for p in model.parts]
         seen = 0
         for batch in batches:
@@ -201,9 +294,8 @@ def _train(state: Broadcast):
                 model.learn(tokens, before, skip, squares)
                 seen += len(tokens)
         if seen:
-            change = (model.flat - flat) * np.float32(seen)
-            for k in range(0, len(change), PIECE):
-                piece = change[k : k + PIECE].tobytes()
+            for k in range(0, len(flat), PIECE):
+                piece = (model.flat[k : k + PIECE] - flat[k : k + PIECE]).astype(np.float16).tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k // PIECE], pa.int32()), pa.array([seen], pa.int64()), pa.array([piece], pa.binary())], ["piece", "tokens", "w"]
                 )
@@ -212,7 +304,7 @@ def _train(state: Broadcast):
 
 
 def _add_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds up the pieces of all partitions; rows come sorted by piece."""
+    """Adds up the pieces of all partitions, each times its number of tokens; rows come sorted by piece."""
     current, total, seen = None, None, 0
 
     def done() -> pa.RecordBatch:
@@ -223,7 +315,7 @@ def _add_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for piece, tokens, w in zip(*[batch.column(c).to_pylist() for c in ("piece", "tokens", "w")]):
-            w = np.frombuffer(w, np.float32).astype(np.float64)
+            w = np.frombuffer(w, np.float16).astype(np.float64) * tokens
             if piece != current:
                 if current is not None:
                     yield done()
@@ -234,18 +326,18 @@ def _add_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-_SCORED = "id {kind}, k long, n_tokens long, n_known long, base double, model double, h long, tf long"
+_SCORED = "id {kind}, k long, n_tokens long, n_known long, base double, model double, h long, tf long, seen double, unseen double"
 
 
-def _score(state: Broadcast, known: float, rest: float):
-    """Per text one row with what the broadcast counts give; for its rarer tokens rows ``k, h, tf``.
+def _score(state: Broadcast, known: float):
+    """Per text one row with what the broadcast counts give; for its rarer tokens rows ``k, h, tf, seen, unseen``.
 
-    ``known``: log10 of the counts' total; ``rest``: log10 of the total in the class of the others.
+    ``known``: log10 of the counts' total; ``seen``, ``unseen``: the model's part if the token has a count or not.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, flat, head, counts = state.value
-        model, index = Model(words, flat), Index(head)
+        words, flat, masses, grow, head, counts = state.value
+        model, index = Model(words, flat, masses, grow), Index(head)
         logs = np.log10(counts + 0.5)
         for batch in batches:
             for a, b, words_, per_text in word_blocks(batch.column("text")):
@@ -254,34 +346,43 @@ def _score(state: Broadcast, known: float, rest: float):
                 at = index.find(tokens)
                 in_head = at >= 0
                 log_count = np.where(in_head, logs[at] if len(logs) else 0.0, 0.0)
-                chain, other = model.log10(tokens, before, skip)
+                chain, tail, other = model.chains(tokens, before, skip)
                 add = lambda x: np.bincount(text, x, size)  # noqa: B023, E731
                 base = add(log_count - known)
-                score = add(chain + np.where(other, log_count - rest, 0.0))
+                score = add(np.where(in_head, np.where(other, tail + log_count, chain), 0.0))
                 own = [batch.column(c).slice(a, size) for c in ("id", "k")]
-                yield _scored(*own, np.bincount(text, minlength=size), add(in_head).astype(np.int64), base, score, None, None)
+                yield _scored(
+                    own[0], own[1], np.bincount(text, minlength=size), add(in_head).astype(np.int64), base, score,
+                    None, None, None, None,
+                )
                 rare = np.flatnonzero(~in_head)
-                pairs, tf = _distinct_pairs(text[rare], tokens[rare])
+                pairs, tf, seen, unseen = _distinct_pairs(text[rare], tokens[rare], tail[rare], chain[rare])
                 keys = own[1].to_numpy(zero_copy_only=False)[pairs[0]]
-                yield _scored(None, pa.array(keys, pa.int64()), None, None, None, None, pairs[1].view(np.int64), tf, own[0].type)
+                yield _scored(
+                    None, pa.array(keys, pa.int64()), None, None, None, None, pairs[1].view(np.int64), tf, seen, unseen, own[0].type
+                )
 
     return run
 
 
-def _distinct_pairs(text: np.ndarray, tokens: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+def _distinct_pairs(text: np.ndarray, tokens: np.ndarray, *sums: np.ndarray) -> tuple:
+    """Distinct (text, token), how often each occurs, and ``sums`` added up."""
     order = np.lexsort((tokens, text))
     text, tokens = text[order], tokens[order]
     if not len(text):
-        return (text, tokens), np.zeros(0, np.int64)
+        return (text, tokens), np.zeros(0, np.int64), *sums
     first = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (tokens[1:] != tokens[:-1]))))
-    return (text[first], tokens[first]), np.diff(np.append(first, len(text)))
+    added = [np.add.reduceat(x[order], first) for x in sums]
+    return (text[first], tokens[first]), np.diff(np.append(first, len(text))), *added
 
 
-def _scored(id_, k, n_tokens, n_known, base, model, h, tf, id_type=None) -> pa.RecordBatch:
+def _scored(id_, k, n_tokens, n_known, base, model, h, tf, seen, unseen, id_type=None) -> pa.RecordBatch:
     n = len(k)
-    columns = [(id_, id_type), (k, pa.int64()), (n_tokens, pa.int64()), (n_known, pa.int64()), (base, pa.float64()), (model, pa.float64()), (h, pa.int64()), (tf, pa.int64())]
+    names = ["id", "k", "n_tokens", "n_known", "base", "model", "h", "tf", "seen", "unseen"]
+    types = [id_type, *[pa.int64()] * 3, *[pa.float64()] * 2, *[pa.int64()] * 2, *[pa.float64()] * 2]
+    columns = zip((id_, k, n_tokens, n_known, base, model, h, tf, seen, unseen), types)
     arrays = [pa.nulls(n, t) if x is None else x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in columns]
-    return pa.RecordBatch.from_arrays(arrays, ["id", "k", "n_tokens", "n_known", "base", "model", "h", "tf"])
+    return pa.RecordBatch.from_arrays(arrays, names)
 
 
 def held_out(id_col: Column) -> Column:
@@ -304,21 +405,32 @@ class LanguageModel:
 
         top = self.counts.orderBy(F.desc("c"), "h").limit(CLASSES * SLOTS).toArrow()
         words, c = top.column("h").to_numpy().view(_U), top.column("c").to_numpy()
-        self.rest = self.total - float((c + 0.5).sum())
-        model = Model.start(words, c, self.rest)
+        self.word_counts, self.grow, self.masses = c, growth(self.n), self.tail_masses(words, c)
+        model = Model.start(words, c, 0.5, self.masses, self.grow)
         for r in range(ROUNDS):
             part = training.where(F.pmod(F.xxhash64("id"), F.lit(ROUNDS)) == r).select("text")
-            state = spark.sparkContext.broadcast((words, model.flat))
+            state = spark.sparkContext.broadcast((words, model.flat, self.masses, self.grow))
             pieces = part.mapInArrow(_train(state), _PIECES).repartition(partitions(spark), "piece").sortWithinPartitions("piece", "tokens")
-            for row in pieces.mapInArrow(_add_pieces, _PIECES).collect():  # together the size of the weights, 6 MB
+            for row in pieces.mapInArrow(_add_pieces, _PIECES).collect():  # together the size of the weights
                 at = row["piece"] * PIECE
                 change = np.frombuffer(row["w"], np.float32) / np.float32(row["tokens"])
                 model.flat[at : at + len(change)] += change
             state.destroy()
         self.words, self.flat = words, model.flat
 
+    def tail_masses(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Smoothed counts of the tail's cells: those of all tokens in a cell without the ones that have slots."""
+        bits = tail_bits(self.v)
+        out = np.zeros(1 << bits if bits else 0)
+        if bits:
+            cell = F.shiftrightunsigned("h", 64 - bits)
+            sums = self.counts.groupBy(cell.alias("cell")).agg(F.sum(F.col("c") + 0.5).alias("m")).toArrow()
+            out[sums.column("cell").to_numpy()] = sums.column("m").to_numpy()
+            np.subtract.at(out, cells_of(words, bits), counts + 0.5)
+        return out.astype(np.float32)
+
     def head(self) -> tuple[np.ndarray, np.ndarray]:
-        """The most frequent tokens: all with a count above a bound that leaves at most ``HEAD``."""
+        """The tokens with slots and the most frequent: all with a count above a bound that leaves at most ``HEAD``."""
         step = F.floor(F.log2(F.col("c").cast("double")) * 8)
         sizes = sorted(self.counts.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
         bound, n = math.inf, 0
@@ -327,31 +439,32 @@ class LanguageModel:
                 break
             bound, n = s, n + size
         table = self.counts.where(step >= bound).toArrow() if n else self.counts.limit(0).toArrow()
-        return table.column("h").to_numpy().view(_U).copy(), table.column("c").to_numpy().copy()
+        h, c = table.column("h").to_numpy().view(_U), table.column("c").to_numpy()
+        more = ~np.isin(self.words, h)
+        return np.append(h, self.words[more]), np.append(c, self.word_counts[more])
 
     def score(self, docs: DataFrame) -> DataFrame:
         """One row per row: id, ``held_out, n_tokens, n_known, train_tokens, base_score, score``."""
         spark = docs.sparkSession
         head, head_counts = self.head()
-        state = spark.sparkContext.broadcast((self.words, self.flat, head, head_counts))
-        known, rest = math.log10(self.total), math.log10(max(self.rest, 0.5))
+        state = spark.sparkContext.broadcast((self.words, self.flat, self.masses, self.grow, head, head_counts))
         rows = docs.select(F.col(self.id_col).alias("id"), F.monotonically_increasing_id().alias("k"), text_of(self.text_col).alias("text"))
         schema = _SCORED.format(kind=dict(rows.dtypes)["id"])
-        scored = self.stage.write(rows.mapInArrow(_score(state, known, rest), schema), "scored")
-        # a token that is not in the head is not one of the model's words: its smoothed count enters both scores alike
-        rare = scored.where("h IS NOT NULL").select("k", "h", "tf").join(self.counts, "h", "left")
+        scored = self.stage.write(rows.mapInArrow(_score(state, math.log10(self.total)), schema), "scored")
+        # a token that is not in the head has no slot: it is one of the tail if it has a count, otherwise unseen
+        rare = scored.where("h IS NOT NULL").select("k", "h", "tf", "seen", "unseen").join(self.counts, "h", "left")
         rare = rare.groupBy("k").agg(
             F.sum(F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("logs"),
             F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(F.lit(0))).alias("rare_known"),
+            F.sum(F.when(F.col("c").isNotNull(), F.col("seen") + F.col("tf") * F.log10(F.col("c") + 0.5)).otherwise(F.col("unseen"))).alias("rare_model"),
         )
-        per_text = scored.where("h IS NULL").drop("h", "tf").join(rare, "k", "left")
-        logs = F.coalesce("logs", F.lit(0.0))
+        per_text = scored.where("h IS NULL").drop("h", "tf", "seen", "unseen").join(rare, "k", "left")
         return per_text.select(
             F.col("id").alias(self.id_col),
             held_out(F.col("id")).alias("held_out"),
             "n_tokens",
             (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
             F.lit(self.n).cast("long").alias("train_tokens"),
-            (F.col("base") + logs).alias("base_score"),
-            (F.col("model") + logs).alias("score"),
+            (F.col("base") + F.coalesce("logs", F.lit(0.0))).alias("base_score"),
+            (F.col("model") + F.coalesce("rare_model", F.lit(0.0))).alias("score"),
         )

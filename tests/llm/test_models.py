@@ -151,6 +151,36 @@ def test_learning_raises_the_likelihood():
     assert model.log10(seen, before, skip)[0].mean() > first + 0.1
 
 
+def test_every_counted_token_has_its_own_score():
+    rng = np.random.default_rng(7)
+    v = 3000
+    words = maxent.mixed(np.arange(1, v + 1, dtype=np.uint64))
+    counts = np.append(np.full(maxent.CLASSES * maxent.SLOTS, 50), np.full(v - maxent.CLASSES * maxent.SLOTS, 9))
+    top, bits = maxent.CLASSES * maxent.SLOTS, maxent.tail_bits(v)
+    masses = np.zeros(1 << bits, np.float32)
+    np.add.at(masses, maxent.cells_of(words[top:], bits), counts[top:] + 0.5)
+    model = maxent.Model.start(words[:top], counts[:top], 0.5, masses)
+    unseen = maxent.mixed(np.array([10**6], np.uint64))
+    assert 1 << bits >= v and maxent.growth(1 << 30) == 4 and maxent.tail_bits(10**7) == 24  # sized from N and V
+
+    def probabilities(last):
+        before = np.full(v + 1, words[last])
+        chain, tail, other = model.chains(np.append(words, unseen), before, before)
+        return 10 ** np.where(other & (np.arange(v + 1) < v), tail + np.log10(np.append(counts, 0) + 0.5), chain)
+
+    assert probabilities(0)[:v] == pytest.approx((counts + 0.5) / (counts.sum() + 0.5 * (v + 1)), rel=1e-3)
+    # two tokens of the tail, equally frequent, each after a word of its own
+    after = {0: 2000, 1: 2500}
+    last = rng.integers(0, 2, 20_000)
+    seen, before = words[np.where(last == 0, 2000, 2500)], words[last]
+    for _ in range(3):
+        model.learn(seen, before, before, [np.zeros(len(p), np.float32) for p in model.parts])
+    for k, w in after.items():
+        p = probabilities(k)
+        assert p.sum() == pytest.approx(1, abs=1e-3)
+        assert p[w] > 10 * p[after[1 - k]]
+
+
 def test_contexts_do_not_cross_texts():
     words = np.array([11, 12, 13, 14], np.uint64)
     got = maxent._with_ends(words, np.array([2, 0, 1, 1]))
