@@ -19,18 +19,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+_YEAR, _MONTH, _DAY = "(?:1[89]|2[01])[0-9]{2}", "(?:0[1-9]|1[0-2])", "(?:0[1-9]|[12][0-9]|3[01])"
+#: year first with - or /, day first with a dot, either first with - or /
+_DATES = "|".join(
+    [f"{_YEAR}{x}{_MONTH}{x}{_DAY}" for x in "-/"] + [f"{_DAY}[.]{_MONTH}[.]{_YEAR}"]
+    + [f"(?:{_MONTH}{x}{_DAY}|{_DAY}{x}{_MONTH}){x}{_YEAR}" for x in "-/"]
+)
+_DIGIT = r"(?:[ .-]?\(?[0-9](?:\)(?=[ .-]?[0-9]))?)"
+#: +1 and ten digits; + and another country code, 8 to 15 digits in all; without a code by the number plan
+_PHONES = (
+    rf"\+1{_DIGIT}{{10}}|\+[2-9]{_DIGIT}{{7,14}}"
+    r"|\([2-9][0-9]{2}\)[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}|[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4}"
+)
+#: Country codes of one and two digits; the others have three.
+_CODE = "^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})"
 #: kind -> pattern, tried in this order at each place
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "date": r"(?<![0-9/.-])(?:1[89]|2[01])[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9/-])",
-    "phone": r"(?<![0-9+])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])",
+    "date": rf"(?<![0-9/.-])(?:{_DATES})(?![0-9/-])",
+    "phone": rf"(?<![0-9+])(?:{_PHONES})(?![0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: Dates from 1800-01-01 to 2199-12-31 are 400 Gregorian years: 27 * 5411 days.
-FIRST_DAY, DATE_RADIX = "1800-01-01", (27, 5411)
+#: 88497 = 9 * 9833 of them are after the 12th of their month.
+FIRST_DAY, DATE_RADIX, LATE_RADIX = "1800-01-01", (27, 5411), (9, 9833)
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
@@ -38,10 +53,11 @@ _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVW
 def _kind(m: Column) -> Column:
     """The kind whose pattern matches at the start of ``m`` first; null when it fails validation."""
     octets = F.transform(F.split(m, r"\."), lambda o: o.cast("int"))
-    day = F.try_to_timestamp(m, F.lit("yyyy-MM-dd")).cast("date")
+    iso = _iso(m)
+    day = F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date")
     valid = {
         "email": F.lit(True),
-        "date": F.coalesce(F.date_format(day, "yyyy-MM-dd") == m, F.lit(False)),
+        "date": F.coalesce(F.date_format(day, "yyyy-MM-dd") == iso, F.lit(False)),
         "phone": F.lit(True),
         "ssn": F.lit(True),
         "ip": F.forall(octets, lambda o: o <= 255),
@@ -49,7 +65,7 @@ def _kind(m: Column) -> Column:
     }
     shape = {
         "email": m.contains("@"),
-        "date": m.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+        "date": m.rlike(f"^(?:{_DATES})$"),
         "phone": m.rlike("^(?:" + KINDS["phone"] + ")$"),
         "ssn": m.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"),
         "ip": m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"),
@@ -61,6 +77,31 @@ def _kind(m: Column) -> Column:
     return out
 
 
+def _part(m: Column, a: int, n: int) -> Column:
+    return F.substr(m, F.lit(a), F.lit(n))
+
+
+def _day_first(m: Column) -> Column:
+    """Whether a date with the year last has its day first: with dots, or where the first number is no month."""
+    return (_part(m, 3, 1) == ".") | (_part(m, 1, 2) > "12")
+
+
+def _iso(m: Column) -> Column:
+    """A date of any layout as yyyy-MM-dd."""
+    last = F.when(_day_first(m), F.concat_ws("-", _part(m, 7, 4), _part(m, 4, 2), _part(m, 1, 2))).otherwise(
+        F.concat_ws("-", _part(m, 7, 4), _part(m, 1, 2), _part(m, 4, 2))
+    )
+    return F.when(m.rlike("^[0-9]{4}"), F.concat_ws("-", _part(m, 1, 4), _part(m, 6, 2), _part(m, 9, 2))).otherwise(last)
+
+
+def _like(m: Column, day: Column) -> Column:
+    """The date ``day`` in the layout of ``m``."""
+    y, mo, d = (F.date_format(day, x) for x in ("yyyy", "MM", "dd"))
+    early, late = _part(m, 3, 1), _part(m, 5, 1)
+    last = F.when(_day_first(m), F.concat(d, early, mo, early, y)).otherwise(F.concat(mo, early, d, early, y))
+    return F.when(m.rlike("^[0-9]{4}"), F.concat(y, late, mo, late, d)).otherwise(last)
+
+
 def _digits(m: Column) -> Column:
     return F.transform(F.split(F.regexp_replace(m, "[^0-9]", ""), ""), lambda c: c.cast("int"))
 
@@ -78,8 +119,17 @@ def luhn_digit(digits: Column, whole: bool) -> Column:
     return F.pmod(total, F.lit(10)) if whole else F.pmod(-total, F.lit(10))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def feistel(values: Column, radix: Column, key: str, tweak: Column, undo: bool = False) -> Column:
     """The keyed permutation of an array of digits; ``radix`` gives the base of each. Halves alternate."""
+    return _let(F.struct(values.alias("v"), radix.alias("r")), lambda x: _feistel(x["v"], x["r"], key, tweak, undo))
+
+
+def _feistel(values: Column, radix: Column, key: str, tweak: Column, undo: bool) -> Column:
     half = F.floor(F.size(values) / 2).cast("int")
 
     def turn(v: Column, k: Column) -> Column:
@@ -100,12 +150,12 @@ def feistel(values: Column, radix: Column, key: str, tweak: Column, undo: bool =
 def _spelled(m: Column, part: Column, key: str, tweak: str, low: Column | None = None, undo: bool = False) -> Column:
     """``m`` with the characters of its substring ``part`` (from the end on) permuted class by class.
 
-    ``low(i)`` marks places whose digit is at least 2, as in a number plan.
+    ``low(i)`` marks places where a digit of at least 2, as in a number plan, stays one and a smaller one stays small.
     """
     chars = F.filter(F.split(part, ""), lambda c: c != "")
 
     def entry(c: Column, i: Column) -> Column:
-        base = F.when(low(i), F.lit("23456789")).otherwise(F.lit(_DIGITS)) if low else F.lit(_DIGITS)
+        base = F.when(low(i), F.when(c.isin("0", "1"), F.lit("01")).otherwise(F.lit("23456789"))).otherwise(F.lit(_DIGITS)) if low else F.lit(_DIGITS)
         alphabet = (
             F.when(c.rlike("[0-9]"), base).when(c.rlike("[a-z]"), F.lit(_LOWER)).when(c.rlike("[A-Z]"), F.lit(_UPPER)).otherwise(c)
         )
@@ -131,15 +181,50 @@ def _fill(m: Column, digits: Column) -> Column:
     return F.when(F.length(text) == F.length(digits), F.array_join(numbered, "")).otherwise(m)
 
 
+def _late(m: Column) -> Column:
+    """Whether only a day after the 12th tells that the day comes first: it has to stay one."""
+    return ~m.rlike("^[0-9]{4}") & (_part(m, 3, 1) != ".") & (_part(m, 1, 2) > "12")
+
+
+def _moved_day(day: Column, key: str, undo: bool, late: Column) -> Column:
+    """The date at the permuted place among all days, or, where ``late``, among those after the 12th of a month."""
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def moved(at: Column, radix: tuple[int, int], tweak: str) -> Column:
+        a, b = radix
+        pair = _let(at, lambda x: F.array(F.floor(x / b).cast("int"), F.pmod(x, F.lit(b))))
+        return _let(feistel(pair, F.array(F.lit(a), F.lit(b)), key, F.lit(tweak), undo), lambda out: out[0] * b + out[1])
+
+    def of_place(place: Column) -> Column:
+        # the last month that has no more late days before it than the place says; about the average
+        before = lambda n: F.datediff(F.add_months(first, n), first) - 12 * n
+        near = F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda x: F.floor(place * 4800 / (LATE_RADIX[0] * LATE_RADIX[1])).cast("int") + x)
+        month = F.array_max(F.filter(near, lambda n: (n >= 0) & (n < 4800) & (before(n) <= place)))
+        return _let(month, lambda n: F.date_add(F.add_months(first, n), 12 + place - before(n)))
+
+    def of_day(d: Column) -> Column:
+        months = (F.year(d) - F.lit(int(FIRST_DAY[:4]))) * 12 + F.month(d) - 1
+        return F.when(late, _let(moved(F.datediff(d, first) - 12 * (months + 1), LATE_RADIX, "late"), of_place)).otherwise(
+            F.date_add(first, moved(F.datediff(d, first), DATE_RADIX, "date"))
+        )
+
+    return _let(day, of_day)
+
+
 def pseudonym(m: Column, key: str, undo: bool = False) -> Column:
     """The pseudonym of one validated value; other values as they are."""
     kind = _kind(m)
     local = F.substring_index(m, "@", 1)
     email = F.concat(_spelled(m, local, key, "email", undo=undo), F.substr(m, F.length(local) + 1, F.length(m)))
 
-    national = F.regexp_replace(m, r"^\+1|[^0-9]", "")
-    phone_digits = _spelled(m, national, key, "phone", low=lambda i: (i == 0) | (i == 3), undo=undo)
-    phone = F.when(m.startswith("+1"), _fill(m, F.concat(F.lit("1"), phone_digits))).otherwise(_fill(m, phone_digits))
+    written = F.regexp_replace(m, "[^0-9]", "")
+    code = F.when(m.startswith("+"), F.regexp_extract(written, _CODE, 0)).otherwise(F.lit(""))
+    national = F.substr(written, F.length(code) + 1, F.length(written))
+    planned = ~m.startswith("+") | (code == "1")
+    phone_digits = _let(
+        national, lambda n: _spelled(m, n, key, "phone", low=lambda i: planned & ((i == 0) | (i == 3)), undo=undo)
+    )
+    phone = _let(F.concat(code, phone_digits), lambda d: _fill(m, d))
 
     digits = _digits(m)
     ten = F.transform(digits, lambda _: F.lit(10))
@@ -161,18 +246,18 @@ def pseudonym(m: Column, key: str, undo: bool = False) -> Column:
         ".", *[x.cast("string") for h in (ip_moved[0], ip_moved[1]) for x in (F.floor(h / 256).cast("int"), F.pmod(h, F.lit(256)))]
     )
 
-    a, b = DATE_RADIX
-    day = F.datediff(F.try_to_timestamp(m, F.lit("yyyy-MM-dd")).cast("date"), F.lit(FIRST_DAY).cast("date"))
-    date_moved = feistel(
-        F.array(F.floor(day / b).cast("int"), F.pmod(day, F.lit(b))), F.array(F.lit(a), F.lit(b)), key, F.lit("date"), undo
-    )
-    date = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), date_moved[0] * b + date_moved[1]), "yyyy-MM-dd")
+    day = F.try_to_timestamp(_iso(m), F.lit("yyyy-MM-dd")).cast("date")
+    date = _let(_moved_day(day, key, undo, _late(m)), lambda d: _like(m, d))
 
     made = {"email": email, "date": date, "phone": phone, "ssn": ssn, "ip": ip, "card": card}
-    out = m
-    for name in reversed(KINDS):
-        out = F.when(kind == name, made[name]).otherwise(out)
-    return out
+
+    def chosen(name: Column) -> Column:
+        out = m
+        for k in reversed(KINDS):
+            out = F.when(name == k, made[k]).otherwise(out)
+        return out
+
+    return _let(kind, chosen)
 
 
 def _count(array: str, value: str) -> Column:

@@ -89,6 +89,30 @@ def test_pseudonyms_are_linked_valid_and_reversible(spark):
     assert got[2].text != {r.doc_id: r for r in pii.pseudonymise(docs, "other").collect()}[2].text
 
 
+PHONES_AND_DATES = [
+    "+1 (017) 555-7713", "+1 (262) 155-7240", "+44 20 7946 0958", "+442079460958", "+353 1 234 5678", "+12625557240", "(262)5557240",
+    "03/14/1984", "14/03/1984", "31/12/1999", "14.03.1984", "1984/03/14", "14-03-1984", "03-14-1984", "29.02.2024",
+]
+
+
+def test_phones_of_any_digits_and_other_date_layouts(spark):
+    rows = [(i, f"before {v} after {v}.") for i, v in enumerate(PHONES_AND_DATES)] + [(100, "x 30.02.1999 31/04/1999 y")]
+    rows += [(200 + i, f"{13 + i % 16:02d}/{1 + i % 12:02d}/{1800 + i % 400}") for i in range(400)] + [(700, "1984-03-14 14.03.1984 03/14/1984")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = pii.pseudonymise(docs, "key")
+    got = {r.doc_id: r for r in out.collect()}
+    for i, v in enumerate(PHONES_AND_DATES):
+        a, b = re.fullmatch("before (.*) after (.*)[.]", got[i].text).groups()
+        assert a == b != v and re.sub("[0-9]", "0", a) == re.sub("[0-9]", "0", v)
+        assert (got[i].n_phone, got[i].n_date) == ((2, 0) if i < 7 else (0, 2))
+    assert got[2].text.startswith("before +44 ") and got[4].text.startswith("before +353 ")
+    assert got[100].text == rows[len(PHONES_AND_DATES)][1]  # not in the calendar
+    iso, dotted, slashed = got[700].text.split()  # one date in three layouts has one pseudonym
+    assert iso.split("-") == dotted.split(".")[::-1] == [slashed[6:], slashed[:2], slashed[3:5]]
+    back = {r.doc_id: r.text for r in pii.pseudonymise(out.select("doc_id", "text"), "key", undo=True).collect()}
+    assert back == dict(rows)
+
+
 def test_pseudonyms_do_not_collide(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", "format_string('%03d-%02d-%04d', 1 + id % 5, 1 + id % 90, 1 + id) AS text")
     out = pii.pseudonymise(docs, "key")
