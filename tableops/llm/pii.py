@@ -10,7 +10,9 @@ The Feistel network works on arrays of digits of mixed radix: in each of ``ROUND
 hash of the other half added, digit by digit, modulo each digit's radix.
 
 Nulls and ties: a null text stays null with counts 0; matches do not overlap, the leftmost one counts and at one
-place the first kind listed in ``KINDS``; values that fail validation stay as they are.
+place the first kind listed in ``KINDS``; values that fail validation stay as they are. Of a run of digits in groups,
+any sequence of whole groups may be the card. A pseudonym next to other groups can pass Luhn together with them by
+chance (one in ten a sequence of 13 to 19 digits); such a run is not undone.
 """
 
 from __future__ import annotations
@@ -40,8 +42,9 @@ KINDS = {
     "phone": rf"(?<![0-9+])(?:{_PHONES})(?![0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
+#: a whole run of groups of digits, up to one that begins a value of another kind
+KINDS["card"] = rf"(?<![0-9])[0-9](?:(?:[ -](?!{KINDS['date']}|{KINDS['phone']}|{KINDS['ssn']}))?[0-9]){{12,}}+(?![0-9])"
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: Dates from 1800-01-01 to 2199-12-31 are 400 Gregorian years: 27 * 5411 days.
 #: 88497 = 9 * 9833 of them are after the 12th of their month.
@@ -51,7 +54,10 @@ _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVW
 
 
 def _kind(m: Column) -> Column:
-    """The kind whose pattern matches at the start of ``m`` first; null when it fails validation."""
+    """The kind whose pattern matches at the start of ``m`` first; null when it fails validation.
+
+    A run of digits is a ``card`` here; which of its groups make up cards is for ``_runs`` to say.
+    """
     octets = F.transform(F.split(m, r"\."), lambda o: o.cast("int"))
     iso = _iso(m)
     day = F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date")
@@ -61,7 +67,7 @@ def _kind(m: Column) -> Column:
         "phone": F.lit(True),
         "ssn": F.lit(True),
         "ip": F.forall(octets, lambda o: o <= 255),
-        "card": luhn_digit(_digits(m), True) == 0,
+        "card": F.lit(True),
     }
     shape = {
         "email": m.contains("@"),
@@ -211,6 +217,41 @@ def _moved_day(day: Column, key: str, undo: bool, late: Column) -> Column:
     return _let(day, of_day)
 
 
+def _runs(m: Column) -> Column:
+    """The groups of a run of digits as ``array<struct<t, card>>``: from left to right the longest sequence of whole
+    groups with 13 to 19 digits that passes Luhn is a card; groups keep the separator after them."""
+    groups = F.split(m, "(?<=[ -])")
+    none = F.array().cast("array<struct<t:string,card:boolean>>")
+
+    def runs(g: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            def run(j: Column) -> Column:
+                return F.struct(j.alias("j"), F.array_join(F.slice(g, i + 1, j - i + 1), "").alias("t"))
+
+            ends = F.transform(F.sequence(F.least(i + 18, F.size(g) - 1), i, F.lit(-1)), run)
+            sized = F.filter(ends, lambda r: F.length(F.regexp_replace(r["t"], "[^0-9]", "")).between(13, 19))
+            valid = F.get(F.filter(sized, lambda r: luhn_digit(_digits(r["t"]), True) == 0), F.lit(0))
+            found = _let(
+                valid,
+                lambda r: F.struct(
+                    F.coalesce(r["j"], i).cast("int").alias("upto"),
+                    F.concat(acc["out"], F.array(F.struct(F.coalesce(r["t"], F.get(g, i)).alias("t"), r["t"].isNotNull().alias("card")))).alias("out"),
+                ),
+            )
+            return F.when(i <= acc["upto"], acc).otherwise(found)
+
+        start = F.struct(F.lit(-1).alias("upto"), none.alias("out"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(g) - 1), start, step, lambda a: a["out"])
+
+    return _let(groups, runs)
+
+
+def _kinds(m: Column) -> Column:
+    """The kinds of the values in one match: one or none, but as many cards as a run of digits holds."""
+    cards = F.transform(F.filter(_runs(m), lambda r: r["card"]), lambda _: F.lit("card"))
+    return _let(_kind(m), lambda k: F.when(k == "card", cards).otherwise(F.array(k)))
+
+
 def pseudonym(m: Column, key: str, undo: bool = False) -> Column:
     """The pseudonym of one validated value; other values as they are."""
     kind = _kind(m)
@@ -226,11 +267,14 @@ def pseudonym(m: Column, key: str, undo: bool = False) -> Column:
     )
     phone = _let(F.concat(code, phone_digits), lambda d: _fill(m, d))
 
-    digits = _digits(m)
-    ten = F.transform(digits, lambda _: F.lit(10))
-    payload = F.slice(digits, 1, F.size(digits) - 1)
-    moved = feistel(payload, ten, key, F.lit("card"), undo)
-    card = _fill(m, F.array_join(F.concat(moved, F.array(luhn_digit(moved, False))).cast("array<string>"), ""))
+    def card_of(t: Column) -> Column:
+        digits = _digits(t)
+        ten = F.transform(digits, lambda _: F.lit(10))
+        payload = F.slice(digits, 1, F.size(digits) - 1)
+        moved = feistel(payload, ten, key, F.lit("card"), undo)
+        return _let(moved, lambda x: _fill(t, F.array_join(F.concat(x, F.array(luhn_digit(x, False))).cast("array<string>"), "")))
+
+    card = F.array_join(F.transform(_runs(m), lambda r: F.when(r["card"], card_of(r["t"])).otherwise(r["t"])), "")
 
     # the area and group numbers have gaps: permute the serial 1..9999 and the group 1..99, leave the area
     ssn_values = F.array(F.substr(m, F.lit(5), F.lit(2)).cast("int") - 1, F.substr(m, F.lit(8), F.lit(4)).cast("int") - 1)
@@ -273,7 +317,7 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
         F.when(text.rlike(PATTERN), F.split(text, PATTERN, -1)).alias("pieces"),
         F.when(text.rlike(PATTERN), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).alias("found"),
     )
-    named = parts.withColumn("kinds", F.transform("found", _kind)).withColumn(
+    named = parts.withColumn("kinds", F.flatten(F.transform("found", _kinds))).withColumn(
         "made", F.transform("found", lambda m: pseudonym(m, key, undo))
     )
     whole = F.array_join(F.flatten(F.transform(F.arrays_zip("pieces", "made"), lambda x: F.array(x["pieces"], F.coalesce(x["made"], F.lit(""))))), "")

@@ -113,6 +113,23 @@ def test_phones_of_any_digits_and_other_date_layouts(spark):
     assert back == dict(rows)
 
 
+CARD = "4111 1111 1111 1111"
+RUNS = [f"{CARD} 12/26", f"{CARD} 123", f"7 {CARD.replace(' ', '')}", f"123456 {CARD}", f"12 {CARD} 4387513035237269", f"{CARD} 262-555-7240"]
+
+
+def test_cards_next_to_other_numbers(spark):
+    rows = [(i, f"x {v} y") for i, v in enumerate([CARD, *RUNS])] + [(100, "x 4111 1111 1111 1112 12 y")]
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    made = got[0].text[2:-2]
+    digits = lambda t: re.sub("[^0-9]", "", t)
+    for i, v in enumerate(RUNS, 1):
+        assert digits(CARD) not in digits(got[i].text) and digits(made) in digits(got[i].text)  # the same card, linked
+        assert re.sub("[0-9]", "0", got[i].text) == re.sub("[0-9]", "0", rows[i][1])
+        assert got[i].n_card == (2 if i == 5 else 1) and got[i].n_phone == (i == 6)
+    assert got[2].text.endswith(" 123 y") and got[4].text.startswith("x 123456 ") and got[1].text.endswith(" 12/26 y")
+    assert got[100].text == rows[-1][1] and got[100].n_card == 0
+
+
 def test_pseudonyms_do_not_collide(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", "format_string('%03d-%02d-%04d', 1 + id % 5, 1 + id % 90, 1 + id) AS text")
     out = pii.pseudonymise(docs, "key")
