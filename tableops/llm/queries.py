@@ -21,7 +21,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document, with the owner-specific and the widely copied ones counted."""
-    return secrets.scan(documents(spark, sf_dir))
+    return secrets.scan(documents(spark, sf_dir)).drop("span_owners", "span_repos")
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Secret scan with corpus-wide ownership frequency, in DataFrame functions only.
 
 Base patterns give candidate spans. Every candidate's value is hashed, and the hashes are counted over the corpus
-by distinct repositories and owners: a value that many owners have is a widely copied example, one that a single
-owner has is owner-specific, and live-looking if its characters vary enough. The counts also add spans: a bare
+by distinct repositories and owners: a value that many owners or many repositories have is a widely copied example,
+one that a single owner has in few repositories is owner-specific, and live-looking if its characters vary enough. The counts also add spans: a bare
 token whose value was found as an owner-specific live-looking secret elsewhere is a span of kind ``reuse``.
 
 A value found in a third of all documents is pre-aggregated per (value, owner, repository) before it is exchanged,
@@ -34,6 +34,8 @@ KINDS = ("assign", "access", "hex", "reuse")
 
 #: A value with this many distinct owners is a widely copied example.
 WIDE_OWNERS = 3
+#: So is one in this many distinct repositories, of one owner or more.
+WIDE_REPOS = 3
 #: A live-looking value has at least this many different characters.
 LIVE_CHARS = 6
 SALTS = 8
@@ -88,10 +90,11 @@ def _of_kind(kind: int):
 def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None, owner: Column | None = None
 ) -> DataFrame:
-    """One row per row: ``id_col, n_assign, n_access, n_hex, base_sha256, spans, n_owned, n_copied``.
+    """One row per row: ``id_col, n_assign, n_access, n_hex, base_sha256, spans, n_owned, n_copied, span_owners, span_repos``.
 
     ``n_owned``: base spans whose value is owner-specific and live-looking; ``n_copied``: base spans whose value has
-    ``WIDE_OWNERS`` owners or more.
+    ``WIDE_OWNERS`` owners or ``WIDE_REPOS`` repositories or more; ``span_owners``, ``span_repos``: in the order of
+    ``spans``, how many distinct owners and repositories have the value.
     """
     owner = F.col("source") if owner is None else owner
     repo = F.concat_ws("/", F.col("source"), F.col("lang")) if repo is None else repo
@@ -131,8 +134,8 @@ def scan(
     values = stage.write(
         values.select(
             "h",
-            ((F.col("owners") == 1) & F.col("live")).alias("owned"),
-            (F.col("owners") >= WIDE_OWNERS).alias("copied"),
+            ((F.col("owners") == 1) & (F.col("repos") < WIDE_REPOS) & F.col("live")).alias("owned"),
+            ((F.col("owners") >= WIDE_OWNERS) | (F.col("repos") >= WIDE_REPOS)).alias("copied"),
             "owners",
             "repos",
         ),
@@ -153,10 +156,11 @@ def scan(
     per_doc = (
         judged.where(base | F.col("owned"))
         .groupBy("k1", "k2")
-        .agg(F.collect_set(F.struct("s.start", "s.kind", "s.stop", "owned", "copied")).alias("spans"))
+        .agg(F.collect_set(F.struct("s.start", "s.kind", "s.stop", "owned", "copied", "owners", "repos")).alias("spans"))
     )
     joined = rows.join(per_doc, ["k1", "k2"], "left")
-    spans = F.coalesce("spans", F.array().cast("array<struct<start:bigint,kind:int,stop:bigint,owned:boolean,copied:boolean>>"))
+    span = "struct<start:bigint,kind:int,stop:bigint,owned:boolean,copied:boolean,owners:bigint,repos:bigint>"
+    spans = F.coalesce("spans", F.array().cast(f"array<{span}>"))
     count = lambda col, test: F.size(F.filter(col, test)).cast("long")
     return joined.select(
         F.col("id").alias(id_col),
@@ -165,4 +169,5 @@ def scan(
         _joined(F.array_sort(spans)).alias("spans"),
         count(spans, lambda s: s["owned"] & (s["kind"] < 3)).alias("n_owned"),
         count(spans, lambda s: s["copied"] & (s["kind"] < 3)).alias("n_copied"),
+        *[F.transform(F.array_sort(spans), lambda s: s[c]).alias(f"span_{c}") for c in ("owners", "repos")],  # noqa: B023
     )

@@ -56,6 +56,16 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert (got[2].n_copied, got[3].n_copied, got[4].n_copied) == (2, 1, 1) and got[2].n_owned == 0
 
 
+def test_many_repositories_of_one_owner_are_copies(spark):
+    wide, few = "Zx81Qw7vBn55Kd02", "Lm40Rt9uCd73Jf16"
+    rows = [(i, f"password: {wide}", "a", f"l{i}") for i in range(6)] + [(10, f"bare {wide} and {few}", "a", "l1")]
+    rows += [(20, f"password: {few}", "a", "l0"), (21, f"password: {few}", "a", "l1")]
+    got = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()}
+    assert all((got[i].n_owned, got[i].n_copied, got[i].span_owners, got[i].span_repos) == (0, 1, [1], [6]) for i in range(6))
+    assert (got[20].n_owned, got[20].n_copied, got[20].span_owners, got[20].span_repos) == (1, 0, [1], [2])
+    assert got[10].spans == "reuse:26:42"  # the value in few repositories only
+
+
 VALUES = [
     "+1 (262) 555-7240", "262-555-7240", "4387513035237269", "4111 1111 1111 1111", "iknkn.07@mail4.example.com", "13.216.148.142",
     "1999-02-28", "2024-02-29", "123-45-6789",
