@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tableops.operators import audit
-from conftest import rows
+from helpers import rows
 
 OBJ = "array<struct<objectName:string,objectDomain:string,columns:array<struct<columnName:string>>>>"
 AS_OF = dt.date(2024, 1, 31)

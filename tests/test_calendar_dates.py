@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tableops.functions import dates as D
 from tableops.functions.nulls import concat_ws_strict, greatest_strict
 from tableops.operators import calendar
-from conftest import rows
+from helpers import rows
 
 
 def test_easter_matches_independent_algorithm(spark):

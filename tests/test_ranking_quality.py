@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tableops.operators import quality
 from tableops.operators.ranking import top_percent
-from conftest import rows
+from helpers import rows
 
 
 def test_top_percent_strict_and_ties(spark):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tableops.functions.casts import try_number
 from tableops.operators import enrich, reshape, schema, semistructured
 from tableops.plans.jobs import forecast_long
-from conftest import rows
+from helpers import rows
 import datetime as dt
 
 

@@ -13,7 +13,7 @@ from tableops.sources import (
     read_sheets, sheet_layouts, typed_fields, with_lineage,
 )
 from tableops.streaming import ingest_new_files
-from conftest import rows
+from helpers import rows
 
 
 def _write(path, name, lines, enc="utf-8"):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableops.operators import upsert
-from conftest import rows
+from helpers import rows
 
 SCHEMA = "id int, name string, seg string, bal double"
 
