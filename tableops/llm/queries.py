@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import embedding_dedup, exact_dedup, maxent, minhash, mixing, pieces, pii, quality, repeats, secrets
+from . import centroids, embedding_dedup, exact_dedup, maxent, minhash, mixing, pieces, pii, quality, repeats, secrets
 from .common import documents
 
 
@@ -69,6 +69,38 @@ def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest of 16 centroids for every usable vector after three exact rounds, with the inertia."""
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
+def _centroid_sql(k: int = centroids.K, rounds: int = centroids.ROUNDS) -> str:
+    """The clustering for DuckDB: one pair of tables a round."""
+    parts = [
+        """e AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE len(embedding) = 64),
+        v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(x, lambda y: floor(64 * y)::BIGINT) AS v FROM e
+              WHERE len(list_filter(x, lambda y: y IS NULL OR NOT isfinite(y))) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v AS c FROM
+              (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, 'null')) AS h, v FROM v ORDER BY h, v LIMIT {k}))""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS MATERIALIZED (SELECT r, min(struct_pack(d := d, k := k)) AS m FROM (
+              SELECT r, k, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM v, c{r}) GROUP BY r)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""s{r} AS (SELECT k, j, sum(x)::BIGINT AS s, count(*) AS n FROM (
+              SELECT m.k AS k, unnest(v) AS x, unnest(range(64)) AS j FROM a{r} JOIN v USING (r)) GROUP BY k, j),
+            m{r} AS (SELECT k, list(CASE WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END ORDER BY j) AS c FROM s{r} GROUP BY k),
+            c{r + 1} AS MATERIALIZED (SELECT k, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (k))"""
+            )
+    return f"""WITH {", ".join(parts)}
+        SELECT vec_id, m.k::INTEGER AS cluster, m.d AS distance, sum(m.d) OVER (PARTITION BY m.k)::BIGINT AS cluster_inertia,
+               sum(m.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN v USING (r) JOIN c{rounds} ON c{rounds}.k = m.k"""
+
+
 def _secret_sql() -> str:
     """The secret scan for DuckDB, from the operator's patterns."""
     sql = lambda p: p.replace("'", "''")
@@ -111,6 +143,7 @@ QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("
 
 ORACLE = {
     "op2_secret_scan": _secret_sql(),
+    "op12_centroids": _centroid_sql(),
     "op3_embedding_dedup": """
         WITH RECURSIVE u AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
             WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
