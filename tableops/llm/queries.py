@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import centroids, embedding_dedup, exact_dedup, maxent, minhash, mixing, pieces, pii, quality, repeats, secrets
+from . import centroids, embedding_dedup, exact_dedup, maxent, minhash, mixing, pieces, pii, quality, repair, repeats, secrets
 from .common import documents
 
 
@@ -74,6 +74,77 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and the digest of the repaired text of every conversation, after planted damage."""
+    rows = repair.damaged(read_table(spark, sf_dir, "conversations"))
+    return repair.report(repair.repair_blocks(rows, live=F.col("live"), tie=F.col("tie")))
+
+
+def _repair_sql() -> str:
+    """The repair for DuckDB: edit strings carried whole through a recursive query, one row of a conversation a step."""
+    ways = []
+    for state in repair.STATES:
+        at, before = state, ""
+        for inserts in range(3):
+            cost, letters = repair.INSERT * inserts, "I" * inserts
+            ways.append((state, letters + "D", cost + repair.DELETE, -1, at, before, "", False))
+            for c in range(3):
+                if (at, c) in repair.KEEP:
+                    ways.append((state, letters + "K", cost, c, repair.KEEP[at, c], before, "", True))
+            ways.append((state, letters + "R", cost + repair.REROLE, -1, repair.NEXT[at], before, repair.FITTING[at], True))
+            before += repair.FITTING[at] + ":|"
+            at = repair.NEXT[at]
+    tails = []
+    for state, inserts in repair.TAIL.items():
+        at, lines = state, ""
+        for _ in range(inserts):
+            lines, at = lines + repair.FITTING[at] + ":|", repair.NEXT[at]
+        tails.append((state, "I" * inserts, repair.INSERT * inserts, lines))
+    values = lambda rows: ", ".join(str(r) for r in rows)
+    white = r"\x20\x09-\x0D"
+    return rf"""
+        WITH RECURSIVE
+        w(state, letters, cost, cls, nxt, lines, role, stays) AS (VALUES {values(ways)}),
+        z(state, letters, cost, lines) AS (VALUES {values(tails)}),
+        raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS r, coalesce(text, ' ') AS t, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c,
+                xor(4294967295, list_reduce([ascii(x)::BIGINT FOR x IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')],
+                    lambda h, b: list_reduce(range(0, 8), lambda g, i: CASE WHEN g & 1 = 1 THEN xor(g >> 1, 3988292384) ELSE g >> 1 END, xor(h, b)),
+                    4294967295)) % 20 AS f FROM conversations),
+        d AS (SELECT c, turn, CASE f WHEN 4 THEN 'user' ELSE r END AS role, sha256(r || ':' || t) AS tie,
+                CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(t, '[.!?]', '', 'g') ELSE t END AS text,
+                unnest(range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM raw),
+        o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, tie, copy) AS i,
+                coalesce(CASE substr(role, 1, 1) WHEN 's' THEN 0 WHEN 'u' THEN 1 WHEN 'a' THEN 2 END, 3) AS cls,
+                NOT regexp_matches(text, '[^{white}]') AS blank, regexp_matches(text, '[.!?][{white}]*$') AS whole FROM d),
+        q AS (SELECT *, NOT blank AND row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS dup FROM o),
+        s AS MATERIALIZED (SELECT *, NOT blank AND NOT dup AND NOT whole AS cut, lag(cls) OVER (PARTITION BY c ORDER BY i) AS prev FROM q),
+        p(c, i, m) AS (
+            SELECT DISTINCT c, 0::BIGINT, struct_pack(state := 0, cost := 0, audit := '', lines := '') FROM raw
+            UNION ALL
+            SELECT c, i, unnest([struct_pack(state := state, cost := b.cost, audit := b.audit, lines := b.lines)]) FROM (
+                SELECT s.c, s.i, w.nxt AS state, min(struct_pack(
+                    cost := p.m.cost + w.cost + CASE WHEN s.cut AND w.stays THEN {repair.CUT} ELSE 0 END,
+                    audit := p.m.audit || w.letters,
+                    lines := p.m.lines || replace(w.lines, '|', chr(10))
+                             || CASE WHEN w.stays THEN CASE w.role WHEN '' THEN s.role ELSE w.role END || ':' || s.text || chr(10) ELSE '' END)) AS b
+                FROM p JOIN s ON s.c = p.c AND s.i = p.i + 1
+                JOIN w ON w.state = p.m.state AND (w.cls = -1 OR w.cls = s.cls) AND NOT (w.stays AND (s.blank OR s.dup))
+                GROUP BY s.c, s.i, w.nxt)),
+        n AS (SELECT c, max(i) AS i FROM p GROUP BY c),
+        e AS (SELECT p.c, min(struct_pack(cost := p.m.cost + z.cost, audit := p.m.audit || z.letters,
+                     lines := p.m.lines || replace(z.lines, '|', chr(10)))) AS b
+              FROM p JOIN n USING (c, i) JOIN z ON z.state = p.m.state GROUP BY p.c),
+        g AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+                     count(*) FILTER (WHERE dup) AS duplicate, count(*) FILTER (WHERE cut) AS truncated,
+                     count(*) FILTER (WHERE prev IS NOT NULL AND (prev, cls) NOT IN ((0, 1), (1, 2), (2, 1))) AS illegal FROM s GROUP BY c)
+        SELECT any_value(conv_id) AS conv_id, coalesce(any_value(gaps), 0)::BIGINT AS gaps, coalesce(any_value(blank), 0) AS blank,
+               coalesce(any_value(duplicate), 0) AS duplicate, coalesce(any_value(truncated), 0) AS truncated,
+               coalesce(any_value(illegal), 0) AS illegal, any_value(b.cost)::BIGINT AS cost, any_value(b.audit) AS audit,
+               sha256(any_value(CASE b.lines WHEN '' THEN '' ELSE left(b.lines, length(b.lines) - 1) END)) AS repaired_sha256
+        FROM raw JOIN e USING (c) LEFT JOIN g USING (c) GROUP BY c
+    """
+
+
 def _centroid_sql(k: int = centroids.K, rounds: int = centroids.ROUNDS) -> str:
     """The clustering for DuckDB: one pair of tables a round."""
     parts = [
@@ -144,6 +215,7 @@ QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("
 ORACLE = {
     "op2_secret_scan": _secret_sql(),
     "op12_centroids": _centroid_sql(),
+    "op13_repair": _repair_sql(),
     "op3_embedding_dedup": """
         WITH RECURSIVE u AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
             WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
