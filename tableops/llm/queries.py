@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import centroids, embedding_dedup, exact_dedup, maxent, minhash, mixing, pieces, pii, quality, repair, repeats, secrets
-from .common import documents
+from . import centroids, embedding_dedup, exact_dedup, maxent, minhash, mixing, pieces, pii, quality, repair, repeats, secrets, warczip
+from .common import Stage, documents
 
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -69,6 +69,26 @@ def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record into ZIP packages and read back by ranges: its payload and record type."""
+    stage = Stage(spark, "warc")
+    packages = warczip.write_packages(warczip.page_records(read_table(spark, sf_dir, "pages"), stage), stage)
+    return warczip.page_report(warczip.read_packages(packages, payloads=False))
+
+
+def _warc_sql() -> str:
+    """Payloads, types and references for DuckDB; base32 is spelled out in groups of 20 bits."""
+    letter = lambda g, k: f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {5 * g + 1}, 5))::BIGINT >> {15 - 5 * k}) & 31)::INTEGER, 1)"
+    base32 = " || ".join(letter(g, k) for g in range(8) for k in range(4))
+    return f"""
+        WITH p AS (SELECT page_id, url, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+        r AS (SELECT *, row_number() OVER w AS k, first_value(page_id) OVER w AS best FROM p
+              WINDOW w AS (PARTITION BY t ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST))
+        SELECT page_id, strlen(t)::BIGINT AS payload_bytes, {base32} AS payload_digest,
+               CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN best END AS refers_to FROM r
+    """
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest of 16 centroids for every usable vector after three exact rounds, with the inertia."""
     return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
@@ -214,6 +234,7 @@ QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("
 
 ORACLE = {
     "op2_secret_scan": _secret_sql(),
+    "op11_warc_zip": _warc_sql(),
     "op12_centroids": _centroid_sql(),
     "op13_repair": _repair_sql(),
     "op3_embedding_dedup": """
