@@ -264,24 +264,28 @@ def _pack(schema: pa.Schema):
         rows: list[tuple] = []
         current, opened, size, any_row = None, True, 0, False
 
-        def close() -> pa.RecordBatch:
+        def close() -> tuple:
             live = [r for r in rows if r[1]]
             codes = bytes(_code(r[3], r[4]) for r in live)
             digests = [None if c & BLANK else _digest(r[3], r[4]) for c, r in zip(codes, live)]
-            line = (current, block, opened, [r[2] for r in live], [r[3] for r in live], [r[4] for r in live], codes, digests)
-            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(line, schema)], schema=schema)
+            return current, block, opened, [r[2] for r in live], [r[3] for r in live], [r[4] for r in live], codes, digests
 
+        lines, held = [], 0
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("conv", "live", "turn", "role", "text")]
             for row in zip(*columns):
                 if any_row and (row[0] != current or len(rows) >= BLOCK or size >= BLOCK_BYTES):
-                    yield close()
+                    lines.append(close())
+                    held += size
                     block, opened, rows, size = block + 1, row[0] == current, [], 0
+                    if held >= BLOCK_BYTES:
+                        yield _batch(lines, schema)
+                        lines, held = [], 0
                 current, any_row = row[0], True
                 rows.append(row)
                 size += len(row[4]) * 2 + 64
         if any_row:
-            yield close()
+            yield _batch([*lines, close()], schema)
 
     return run
 
@@ -417,9 +421,15 @@ def repaired(roles: list[str], texts: list[str], audit: str, state: int) -> Iter
 def _apply(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out, held = [], 0
             for conv, block, roles, texts, audit, state, *figures in zip(*[c.to_pylist() for c in batch.columns]):
                 rows = list(repaired(roles, texts, audit, state))
-                yield _batch([(conv, block, audit, [r[1] for r in rows], [r[2] for r in rows], *figures)], schema)
+                out.append((conv, block, audit, [r[1] for r in rows], [r[2] for r in rows], *figures))
+                held += sum(len(r[2]) for r in rows) + 256
+                if held >= BLOCK_BYTES:
+                    yield _batch(out, schema)
+                    out, held = [], 0
+            yield _batch(out, schema)
 
     return run
 
@@ -497,7 +507,8 @@ def repair_blocks(rows: DataFrame, live: Column | None = None, tie: Column | Non
     seen = blocks.select("conv", "block", F.posexplode("digests").alias("pos", "digest")).where("digest IS NOT NULL")
     seen = seen.groupBy("conv", "digest").agg(F.min(F.col("block") * BLOCK + F.col("pos")).alias("at"))
     firsts = seen.groupBy(F.expr(f"at div {BLOCK}").alias("block")).agg(F.collect_list((F.col("at") % BLOCK).cast("int")).alias("firsts"))
-    marked = blocks.select("conv", "block", "open", "turns", "codes").join(firsts, "block", "left")
+    marked = blocks.select("conv", "block", "open", "turns", "codes")
+    marked = marked.repartition(n, "block").join(firsts, "block", "left")  # few bytes, much work: stays in n tasks
     summaries = mapped(marked, _solve, f"{kind}, block long, part long, {SUMMARY}, audits array<string>", "summaries")
 
     fold = summaries.select("conv", "part", "block", *Summary._fields).repartition(n, "conv", "part")
