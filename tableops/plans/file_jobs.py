@@ -27,6 +27,7 @@ from ..sources import (
     read_delimited,
     read_json_array,
     read_json_payload,
+    read_large_json_array,
     read_matching,
     sheet_layouts,
     typed_fields,
@@ -518,6 +519,27 @@ def q_json_array_load(spark, sf_dir) -> DataFrame:
     return rows.select("c_custkey", "c_name", F.col("balance").cast(MONEY).cast("double").alias("balance"))
 
 
+def q_json_array_split(spark, sf_dir, file_rows: int = 50_000, range_bytes: int = 256 << 10) -> DataFrame:
+    """Orders landed as large uncompressed array files, whose remarks hold brackets, quotes and backslashes, read in
+    byte ranges. Files hold about ``file_rows`` orders each, so their number grows with the table."""
+    t = _t(spark, sf_dir)
+    n_files = t.orders.count() // file_rows + 1
+    remark = F.concat(F.lit('{"a, [b]\\'), F.col("o_orderpriority"), F.lit('\\\\"}, {'))
+    element = F.to_json(F.struct("o_orderkey", "o_custkey", remark.alias("remark")))
+    file = F.pmod(F.xxhash64("o_orderkey"), F.lit(n_files)).cast("int")
+    rows = t.orders.select(file.alias("file"), "o_orderkey", element.alias("value"))
+    first = rows.groupBy("file").agg(F.min("o_orderkey").alias("first"))
+    rows = rows.join(F.broadcast(first), "file")  # one row a file
+    comma = F.when(F.col("o_orderkey") == F.col("first"), "[").otherwise(",")
+    lines = rows.select("file", "o_orderkey", F.concat(comma, "value").alias("value"))
+    ends = first.select("file", F.lit(None).cast("bigint").alias("o_orderkey"), F.lit("]").alias("value"))
+    path = scratch_path(spark, "large-arrays")
+    landed = lines.unionByName(ends).repartition(n_files, "file")
+    landed = landed.sortWithinPartitions("file", F.col("o_orderkey").asc_nulls_last()).select("file", "value")
+    landed.write.partitionBy("file").text(path)
+    return read_large_json_array(spark, path, "o_orderkey bigint, o_custkey bigint, remark string", range_bytes)
+
+
 def q_date_path_scan(spark, sf_dir, first: dt.date = dt.date(2024, 1, 10), days: int = 3) -> DataFrame:
     """Events landed in ``yyyy/MM/dd/`` folders, one day at a time; the folder of the second day is read."""
     t = _t(spark, sf_dir)

@@ -563,6 +563,9 @@ FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND
 """,
     "json_array_load": """
 SELECT c_custkey, c_name, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS balance FROM customer
+""",
+    "json_array_split": r"""
+SELECT o_orderkey, o_custkey, '{"a, [b]\' || o_orderpriority || '\\"}, {' AS remark FROM orders
 """,
     "date_path_scan": """
 SELECT event_id, ts, user_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-11'

@@ -12,4 +12,5 @@ from .files import (  # noqa: F401
     typed_fields,
 )
 from .incremental import incremental, next_watermark  # noqa: F401
+from .json_split import read_large_json_array  # noqa: F401
 from .lineage import with_lineage  # noqa: F401
