@@ -20,7 +20,15 @@ from pyspark.sql import functions as F
 from ..functions import code, date_path, last_path_part, parse_event_ts
 from ..operators import quality, reshape, semistructured, upsert
 from ..session import Tables, scratch_path
-from ..sinks import TEXT_TS_OPTIONS, clustered, load_append, unload_partition, write_json_gzip, write_json_parts
+from ..sinks import (
+    TEXT_TS_OPTIONS,
+    clustered,
+    load_append,
+    merge_partitions,
+    unload_partition,
+    write_json_gzip,
+    write_json_parts,
+)
 from ..sources import (
     incremental,
     next_watermark,
@@ -33,7 +41,7 @@ from ..sources import (
     typed_fields,
     with_lineage,
 )
-from ..streaming import ingest_new_files
+from ..streaming import ingest_new_files, upsert_new_files
 from .jobs import AS_OF, INCREMENTAL_PREV, MONEY, _event_bodies, forecast_long, forecast_sheet
 
 LOADED_AT = dt.datetime(2001, 8, 2, 6, 0, 0)
@@ -303,6 +311,48 @@ def q_partial_changed(spark, sf_dir) -> DataFrame:
     return upsert.merge_partial(segment_items(t), parsed, ITEM_KEY, PARTIAL_FIELDS)
 
 
+def q_partition_merge(spark, sf_dir) -> DataFrame:
+    """Changed items of some centres merged into a store with a folder a centre: only these folders are written anew.
+    ``file_kept`` tells the rows that still lie in a file of the store before the merge."""
+    t = _t(spark, sf_dir)
+    path = scratch_path(spark, "item-store")
+    items = segment_items(t).drop("name")
+    clustered(items, ["centerId"], ["id"]).write.partitionBy("centerId").parquet(path)
+    kind = {"centerId": "int"}
+    before = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file")).distinct()
+    listed = scratch_path(spark, "item-files")
+    before.write.parquet(listed)
+
+    view = changed_view(t).where(F.col("To_be_Updated") == 1)
+    parsed = view.select(F.from_json("member_segment_summary", ITEM_SCHEMA).alias("j")).select("j.*")
+    merge_partitions(spark, path, parsed.where(F.col("centerId") % 5 == 2), ITEM_KEY, ["centerId"])
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"))
+    old = spark.read.parquet(listed).withColumn("file_kept", F.lit(True))
+    return rows.join(old, "file", "left").select(
+        *[F.col(c).cast(kind[c]).alias(c) if c in kind else F.col(c) for c in items.columns],
+        F.coalesce("file_kept", F.lit(False)).alias("file_kept"),
+    )
+
+
+def q_streaming_upsert(spark, sf_dir) -> DataFrame:
+    """The latest event of every user, kept by a stream that merges landed files in several batches; files land out of
+    order, so late events meet newer rows. A second run finds nothing to merge."""
+    t = _t(spark, sf_dir)
+    landing = scratch_path(spark, "user-events")
+    rows = t.events.select(
+        F.pmod("user_id", F.lit(16)).cast("int").alias("shard"), "user_id", "ts", "event_id", "event_type"
+    )
+    rows.repartition(6, F.xxhash64("event_id")).write.options(**TEXT_TS_OPTIONS).json(landing)
+    schema = "shard int, user_id bigint, ts timestamp_ntz, event_id bigint, event_type string"
+    target, checkpoint = scratch_path(spark, "user-state"), scratch_path(spark, "user-state-ckpt")
+    key = {"keys": ["shard", "user_id"], "part_cols": ["shard"], "newest": ["ts", "event_id"]}
+    for again in (False, True):
+        n = upsert_new_files(spark, landing, schema, target, checkpoint, max_files_per_trigger=2, **key, **TEXT_TS_OPTIONS)
+        if again and n:
+            raise RuntimeError(f"second run merged {n} batches; files must be merged once")
+    return spark.read.schema(schema).parquet(target).select(*rows.columns)
+
+
 # --- C4 + C21: web-sale payloads, nested codes, payer search --------------------------------------------
 
 

@@ -524,6 +524,24 @@ SELECT coalesce(t.id, s.id) AS id,
   CASE WHEN s.id IS NOT NULL THEN s.changeddate ELSE t.changeddate END AS changeddate,
   CASE WHEN t.id IS NOT NULL THEN t.name END AS name
 FROM t FULL OUTER JOIN s ON t.id = s.id AND t.centerId = s.centerId
+""",
+    "partition_merge": """
+WITH t AS (SELECT c_custkey AS id, c_nationkey AS centerId, 'active' AS lifecycle_tag, CAST(NULL AS VARCHAR) AS past_segment,
+    c_mktsegment AS segment, 'flat' AS trend, '1995-01-01' AS lifecycle_start_date, '1995-01-01' AS segment_start_date,
+    '1995-01-01' AS changeddate FROM customer),
+s0 AS (SELECT c_custkey, c_nationkey AS centerId, 'churn_risk' AS lifecycle_tag, c_mktsegment AS past_segment,
+    lower(c_mktsegment) AS segment, CASE WHEN c_acctbal < -500 THEN 'down' ELSE 'stable' END AS trend,
+    '2001-08-01' AS lifecycle_start_date, '2001-08-01' AS segment_start_date, '2001-08-01' AS changeddate, c_acctbal FROM customer),
+s AS (SELECT * FROM (SELECT c_custkey AS id, * EXCLUDE (c_custkey, c_acctbal) FROM s0 WHERE c_acctbal < 0
+      UNION ALL SELECT c_custkey + 1000000 AS id, * EXCLUDE (c_custkey, c_acctbal) FROM s0 WHERE c_acctbal > 9000
+      UNION ALL SELECT c_custkey AS id, * EXCLUDE (c_custkey, c_acctbal) REPLACE (centerId + 1 AS centerId) FROM s0
+      WHERE c_acctbal BETWEEN 5000 AND 6000) WHERE centerId % 5 = 2),
+m AS (SELECT * FROM s UNION ALL SELECT * FROM t ANTI JOIN s USING (id, centerId))
+SELECT *, centerId NOT IN (SELECT centerId FROM s) AS file_kept FROM m
+""",
+    "streaming_upsert": """
+SELECT CAST(user_id % 16 AS INTEGER) AS shard, user_id, ts, event_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """,
     "composite_codes": """
 SELECT o_orderkey, CAST(c_custkey AS VARCHAR) AS contact_code,
