@@ -26,6 +26,7 @@ from ..sinks import (
     load_append,
     merge_partitions,
     unload_partition,
+    write_batches,
     write_json_gzip,
     write_json_parts,
 )
@@ -553,6 +554,18 @@ def q_keyed_bulk_load(spark, sf_dir, limit_per_center: int | None = None) -> Dat
     return written
 
 
+def q_batch_commit(spark, sf_dir) -> DataFrame:
+    """All documents in batches of one centre, each a call of the store; the load commits when the counts of all calls
+    agree with the plan. A load that dies leaves nothing, so only the committed one is read."""
+    t = _t(spark, sf_dir)
+    docs = segment_documents(t).select(F.from_json("member_segment_summary", DOC_SCHEMA).alias("d")).select("d.*")
+    plan = scratch_path(spark, "batch-plan")
+    quality.batch_plan(docs, ["centerId"], BULK_SIZE, ["id"]).write.parquet(plan)
+    path = scratch_path(spark, "batch-store")
+    write_batches(spark.read.parquet(plan), path, ["centerId"], "first")
+    return spark.read.parquet(path).drop("load")
+
+
 # --- S4 S9 K9 C25: array files, date folders, insert-select ---------------------------------------------
 
 

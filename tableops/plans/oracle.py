@@ -524,6 +524,12 @@ SELECT coalesce(t.id, s.id) AS id,
   CASE WHEN s.id IS NOT NULL THEN s.changeddate ELSE t.changeddate END AS changeddate,
   CASE WHEN t.id IS NOT NULL THEN t.name END AS name
 FROM t FULL OUTER JOIN s ON t.id = s.id AND t.centerId = s.centerId
+""",
+    "batch_commit": """
+SELECT o_orderkey AS id, c_nationkey AS centerId, o_orderpriority AS segment, o_orderstatus AS lifecycle_tag,
+  strftime(o_orderdate, '%Y-%m-%d') AS changeddate,
+  (row_number() OVER (PARTITION BY c_nationkey ORDER BY o_orderkey) - 1) // 100 AS batch
+FROM orders JOIN customer ON o_custkey = c_custkey
 """,
     "partition_merge": """
 WITH t AS (SELECT c_custkey AS id, c_nationkey AS centerId, 'active' AS lifecycle_tag, CAST(NULL AS VARCHAR) AS past_segment,
