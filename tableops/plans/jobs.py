@@ -737,9 +737,8 @@ def q_query_search(spark, sf_dir) -> DataFrame:
     return audit.query_search(query_history(t), "U7", ["SELECT 'keep alive'", "select 1"], "SELECT")
 
 
-def q_freshness(spark, sf_dir) -> DataFrame:
-    t = _t(spark, sf_dir)
-    meta = spark.createDataFrame(
+def _freshness_meta(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
         [
             ("orders", "BASE TABLE", dt.datetime(2001, 8, 2)),
             ("lineitem", "BASE TABLE", dt.datetime(2001, 8, 2)),
@@ -747,12 +746,23 @@ def q_freshness(spark, sf_dir) -> DataFrame:
         ],
         "table_name string, table_type string, last_altered timestamp_ntz",
     )
+
+
+def q_freshness(spark, sf_dir) -> DataFrame:
+    t = _t(spark, sf_dir)
     tables = {
         "orders": (t.orders, ["o_orderdate"]),
         "lineitem": (t.lineitem, ["l_shipdate"]),
         "events": (t.events, ["ts"]),
     }
-    return audit.freshness(tables, meta)
+    return audit.freshness(tables, _freshness_meta(spark))
+
+
+def q_freshness_footers(spark, sf_dir) -> DataFrame:
+    """The same report from the tables' footers."""
+    columns = {"orders": ["o_orderdate"], "lineitem": ["l_shipdate"], "events": ["ts"]}
+    tables = {name: (f"{sf_dir.rstrip('/')}/{name}.parquet", cols) for name, cols in columns.items()}
+    return audit.freshness_by_footers(spark, tables, _freshness_meta(spark))
 
 
 FRESHNESS_COLUMNS = ["o_orderdate", "l_shipdate", "ts"]

@@ -530,6 +530,12 @@ SELECT o_orderkey AS id, c_nationkey AS centerId, o_orderpriority AS segment, o_
   strftime(o_orderdate, '%Y-%m-%d') AS changeddate,
   (row_number() OVER (PARTITION BY c_nationkey ORDER BY o_orderkey) - 1) // 100 AS batch
 FROM orders JOIN customer ON o_custkey = c_custkey
+""",
+    "freshness_footers": """
+SELECT 'orders' AS table_name, 'o_orderdate' AS column_name, CAST(max(o_orderdate) AS TIMESTAMP) AS max_ts,
+  TIMESTAMP '2001-08-02' AS last_altered, count(*) AS n_rows FROM orders
+UNION ALL
+SELECT 'lineitem', 'l_shipdate', CAST(max(l_shipdate) AS TIMESTAMP), TIMESTAMP '2001-08-02', count(*) FROM lineitem
 """,
     "partition_merge": """
 WITH t AS (SELECT c_custkey AS id, c_nationkey AS centerId, 'active' AS lifecycle_tag, CAST(NULL AS VARCHAR) AS past_segment,
