@@ -1,19 +1,19 @@
-"""Order-dependent numbering that never puts one key (or the whole table) into one task.
+"""Order-dependent numbering and running aggregates that never put one key (or the whole table) into one task.
 
-``row_number``/``lead`` over ``partition by key`` and ``dense_rank`` over an unpartitioned window make Spark
-gather each key -- or everything -- into a single task. Here the total order ``(keys, order)`` is cut into *slices*
-at bounds taken from a small sample of it (``SAMPLES`` rows per slice, chosen by a hash of the sort columns, so the
-same rows every time). Each row finds its slice by comparing itself with the bounds, which are literals: nothing is
-exchanged or written for that, and the slices are the same whenever the plan is evaluated. Rows are then numbered
-by a window over (slice, keys), the only exchange. Keys that reach over a bound are few (at most one per bound); what
-their earlier or later slices hold is summed up in at most two rows per bound and broadcast.
+``row_number``/``lead``/running sums over ``partition by key`` and ``dense_rank`` over an unpartitioned window make
+Spark gather each key -- or everything -- into a single task. Here the total order ``(keys, order)`` is cut into
+*slices* at bounds taken from a small sample of it (the ``SAMPLES`` rows per slice with the smallest hashes of their
+sort columns, so the same rows every time, found in one pass). Each row finds its slice by comparing itself with the
+bounds: nothing is exchanged or written for that, and the slices are the same whenever the plan is evaluated. Rows are
+then numbered or summed by a window over (slice, keys), the only exchange. Keys that reach over a bound are few (at most
+one per bound); what their other slices hold is summed up in at most two rows per bound and broadcast.
 
 This is the only path, whatever the size of the input.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +24,8 @@ from ..session import cut_lineage
 SLICE = "_slice"
 #: Sampled rows per slice; slices come out within about a third of the mean.
 SAMPLES = 32
+#: Bounds that are compared as a tree of expressions.
+TREE = 255
 
 
 def _n_slices(df: DataFrame, n: int | None) -> int:
@@ -35,23 +37,36 @@ def _asc(order: Sequence[str]) -> list[Column]:
 
 
 def slice_bounds(df: DataFrame, cols: Sequence[str], n: int | None = None) -> list[tuple]:
-    """At most ``n - 1`` ascending tuples of ``cols`` that cut ``df`` into slices of similar size."""
+    """At most ``n - 1`` ascending tuples of ``cols`` that cut ``df`` into slices of similar size.
+
+    Sampled rows are sorted where the sample is gathered (``n * SAMPLES`` rows); only the bounds reach the driver."""
     n = _n_slices(df, n)
-    rows = df.count()
-    share = min(1.0, n * SAMPLES / max(rows, 1))
-    space = 1 << 30
-    picked = df.select(*cols).where(F.pmod(F.xxhash64(*cols), F.lit(space)) < int(share * space))
-    sample = [tuple(r) for r in picked.distinct().orderBy(*_asc(cols)).collect()]
-    return list(dict.fromkeys(sample[len(sample) * i // n] for i in range(1, n) if sample))
+    picked = df.select(*cols).orderBy(F.xxhash64(*cols)).limit(n * SAMPLES)
+    place = F.row_number().over(Window.orderBy(*_asc(cols))) - 1
+    placed = picked.withColumns({"_i": place, "_m": F.count(F.lit(1)).over(Window.partitionBy())})
+    part = F.floor(F.col("_i") * n / F.col("_m"))
+    firsts = placed.where((F.col("_i") > 0) & (part != F.floor((F.col("_i") - 1) * n / F.col("_m"))))
+    return list(dict.fromkeys(tuple(r) for r in firsts.orderBy("_i").select(*cols).collect()))
 
 
-def slice_of(df: DataFrame, cols: Sequence[str], bounds: Sequence[tuple]) -> Column:
-    """The number of bounds that are not above the row, found by halving."""
+def slice_of(df: DataFrame, cols: Sequence[str], bounds: Sequence[tuple], tree: int = TREE) -> Column:
+    """The number of bounds that are not above the row, found by halving: a tree of comparisons, which Spark compiles,
+    for up to ``tree`` bounds, a search in a literal array beyond that."""
     if not bounds:
         return F.lit(0)
     types = [df.schema[c].dataType for c in cols]
     literal = [F.struct(*[F.lit(v).cast(t).alias(f"c{i}") for i, (v, t) in enumerate(zip(b, types))]) for b in bounds]
-    bound, row = F.array(*literal), F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def branch(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(literal[middle] <= row, branch(middle + 1, high)).otherwise(branch(low, middle))
+
+    if len(bounds) <= tree:
+        return branch(0, len(bounds))
+    bound = F.array(*literal)
 
     def halve(low: Column, step: Column) -> Column:
         return F.when((low + step <= len(bounds)) & (F.get(bound, low + step - 1) <= row), low + step).otherwise(low)
@@ -82,20 +97,77 @@ def _with_summary(local: DataFrame, summary: DataFrame, keys: Sequence[str], val
 
 
 def row_number_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "row_number", n: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    out: str = "row_number",
+    n: int | None = None,
+    descending: bool = False,
+    at_most: int | None = None,
 ) -> DataFrame:
-    """``row_number() over (partition by keys order by order)`` (ascending, NULLs first); ``order`` must be total
-    within a key. Without keys the whole table is numbered."""
+    """``row_number() over (partition by keys order by order)`` (ascending, NULLs first; ``descending``: the other way
+    round); ``order`` must be total within a key. Without keys the whole table is numbered. ``at_most`` keeps the rows
+    numbered up to it; most others go before the borders are looked at."""
     keys, order = list(keys), list(order)
     cols = [*keys, *order]
     bounds = slice_bounds(df, cols, n)
     sliced = df.withColumn(SLICE, slice_of(df, cols, bounds))
-    local = sliced.withColumn("_local", F.row_number().over(Window.partitionBy(SLICE, *keys).orderBy(*_asc(order))))
+    by = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    local = sliced.withColumn("_local", F.row_number().over(Window.partitionBy(SLICE, *keys).orderBy(*by)))
+    if at_most is not None:
+        local = local.where(F.col("_local") <= at_most)
     counts = _at_bounds(sliced, keys, bounds).groupBy(SLICE, *keys).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col(SLICE).desc() if descending else F.col(SLICE).asc()
+    earlier = Window.partitionBy(*keys).orderBy(before).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.sum("_n").over(earlier)).where(F.col("_off").isNotNull())
     joined = _with_summary(local, offsets, keys, "_off")
-    return joined.withColumn(out, (F.col("_local") + F.coalesce("_off", F.lit(0))).cast("long")).drop("_local", "_off", SLICE)
+    numbered = joined.withColumn(out, (F.col("_local") + F.coalesce("_off", F.lit(0))).cast("long")).drop("_local", "_off", SLICE)
+    return numbered if at_most is None else numbered.where(F.col(out) <= at_most)
+
+
+#: Running aggregates: what a slice's rows give, and how a carry from earlier slices joins in.
+_RUNNING = {
+    "sum": (F.sum, lambda carry, here: F.when(carry.isNull(), here).when(here.isNull(), carry).otherwise(carry + here)),
+    "count": (F.count, lambda carry, here: F.coalesce(carry, F.lit(0)) + here),
+    "min": (F.min, F.least),
+    "max": (F.max, F.greatest),
+    "last": (lambda c: F.last(c, ignorenulls=True), lambda carry, here: F.coalesce(here, carry)),
+}
+
+
+def running_within(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], aggregates: Mapping[str, tuple[str, str]], n: int | None = None
+) -> DataFrame:
+    """Running aggregates over ``rows between unbounded preceding and current row`` of ``partition by keys order by
+    order`` (ascending, NULLs first); without keys, of the whole table.
+
+    ``aggregates`` maps a new column to ``(function, column)`` with function sum, count, min, max or last (the last value
+    that is not NULL). ``order`` must be total within a key. Sums join slices associatively, so sums of doubles may
+    differ from a sequential sum in the last digits; sum integers or decimals where that matters.
+    """
+    unknown = sorted({f for f, _ in aggregates.values()} - set(_RUNNING))
+    if unknown:
+        raise ValueError(f"unknown running aggregate {unknown}; there are {sorted(_RUNNING)}")
+    keys, order = list(keys), list(order)
+    cols = [*keys, *order]
+    bounds = slice_bounds(df, cols, n)
+    sliced = df.withColumn(SLICE, slice_of(df, cols, bounds))
+    upto = Window.partitionBy(SLICE, *keys).orderBy(*_asc(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = sliced.withColumns({f"_l_{out}": _RUNNING[f][0](F.col(c)).over(upto) for out, (f, c) in aggregates.items()})
+
+    def total(f: str, c: str) -> Column:
+        if f != "last":
+            return _RUNNING[f][0](F.col(c))
+        return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order)))
+
+    totals = _at_bounds(sliced, keys, bounds).groupBy(SLICE, *keys).agg(*[total(f, c).alias(f"_t_{o}") for o, (f, c) in aggregates.items()])
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    merge = {"count": F.sum}  # counts of slices add up
+    carry = F.struct(*[merge.get(f, _RUNNING[f][0])(F.col(f"_t_{o}")).over(earlier).alias(o) for o, (f, _) in aggregates.items()])
+    carries = totals.withColumn("_carry", carry).select(SLICE, *keys, "_carry")
+    joined = _with_summary(local, carries, keys, "_carry")
+    done = {out: _RUNNING[f][1](F.col("_carry").getField(out), F.col(f"_l_{out}")) for out, (f, _) in aggregates.items()}
+    return joined.withColumns(done).drop(SLICE, "_carry", *[f"_l_{out}" for out in aggregates])
 
 
 def lead_within(

@@ -195,10 +195,4 @@ def limit_per_group(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[
 
     Rows are numbered by ``row_number_within``, so neither a hot key nor a large ``n`` fills one task.
     """
-    keys = list(keys)
-    numbered = row_number_within(df, keys, order, out="_rn")
-    if not descending:
-        return numbered.where(F.col("_rn") <= n).drop("_rn")
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_size")
-    same = reduce(lambda a, b: a & b, [numbered[k].eqNullSafe(sizes[f"_k_{k}"]) for k in keys])
-    return numbered.join(sizes, same).where(F.col("_rn") > F.col("_size") - n).select(*df.columns)
+    return row_number_within(df, keys, order, out="_rn", descending=descending, at_most=n).drop("_rn")

@@ -39,7 +39,7 @@ from ..functions import (
     try_number,
     year_month,
 )
-from ..operators import audit, calendar, enrich, quality, reshape, schema, semistructured, upsert
+from ..operators import audit, calendar, enrich, ordered, quality, reshape, schema, semistructured, upsert
 from ..operators.ranking import top_percent
 from ..session import Tables
 from ..sources import catalog_columns, catalog_tables
@@ -352,6 +352,28 @@ def q_limit_per_group(spark, sf_dir, n: int = 5) -> DataFrame:
     return upsert.limit_per_group(o, ["o_custkey"], n, ["o_orderdate", "o_orderkey"], descending=True)
 
 
+def q_running_totals(spark, sf_dir) -> DataFrame:
+    """Every order with what had been sold up to it: number and value of orders, the largest one, the customer of the
+    last finished one, over all orders by date; and the customer's own value so far."""
+    t = _t(spark, sf_dir)
+    o = t.orders.select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderdate",
+        (F.col("o_totalprice").cast(MONEY) * 100).cast("bigint").alias("cents"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_custkey")).alias("finished_by"),
+    )
+    by_date = ["o_orderdate", "o_orderkey"]
+    overall = {
+        "orders_so_far": ("count", "o_orderkey"),
+        "cents_so_far": ("sum", "cents"),
+        "largest_so_far": ("max", "cents"),
+        "last_finished_by": ("last", "finished_by"),
+    }
+    rows = ordered.running_within(o, [], by_date, overall)
+    return ordered.running_within(rows, ["o_custkey"], by_date, {"customer_cents_so_far": ("sum", "cents")}).drop("finished_by")
+
+
 def q_batched_load(spark, sf_dir, size: int = 100) -> DataFrame:
     """Batch plan for a keyed bulk load: batches of at most ``size`` orders per priority (partition key)."""
     t = _t(spark, sf_dir)

@@ -536,6 +536,15 @@ SELECT 'orders' AS table_name, 'o_orderdate' AS column_name, CAST(max(o_orderdat
   TIMESTAMP '2001-08-02' AS last_altered, count(*) AS n_rows FROM orders
 UNION ALL
 SELECT 'lineitem', 'l_shipdate', CAST(max(l_shipdate) AS TIMESTAMP), TIMESTAMP '2001-08-02', count(*) FROM lineitem
+""",
+    "running_totals": """
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderdate, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS cents,
+  CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS finished_by FROM orders)
+SELECT * EXCLUDE (finished_by), count(*) OVER w AS orders_so_far, CAST(sum(cents) OVER w AS BIGINT) AS cents_so_far,
+  max(cents) OVER w AS largest_so_far, last_value(finished_by IGNORE NULLS) OVER w AS last_finished_by,
+  CAST(sum(cents) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+    AS customer_cents_so_far
+FROM o WINDOW w AS (ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """,
     "partition_merge": """
 WITH t AS (SELECT c_custkey AS id, c_nationkey AS centerId, 'active' AS lifecycle_tag, CAST(NULL AS VARCHAR) AS past_segment,

@@ -2,10 +2,12 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tableops.operators.ordered import dense_rank_global, lead_within, row_number_within, slice_bounds, slice_of
+from tableops.operators.ordered import dense_rank_global, lead_within, row_number_within, running_within, slice_bounds, slice_of
 
 
 def _skewed(spark, n=400, seed=7):
@@ -87,3 +89,53 @@ def test_numbering_without_keys_and_of_nothing(spark):
     empty = df.limit(0).withColumn("k", F.lit(1))
     assert row_number_within(empty, ["k"], ["v"]).count() == 0 and lead_within(empty, ["k"], ["v"], "v", "n").count() == 0
     assert dense_rank_global(empty, "v").count() == 0
+
+
+def test_descending_numbers_and_caps_match_window(spark):
+    df = _skewed(spark).withColumn("start", F.when(F.col("tb") % 9 != 0, F.col("start")))
+    w = Window.partitionBy("k").orderBy(F.col("start").desc(), F.col("tb").desc())
+    exp = df.withColumn("rn", F.row_number().over(w))
+    got = row_number_within(df, ["k"], ["start", "tb"], out="rn", n=7, descending=True)
+    assert sorted(got.select("tb", "rn").collect()) == sorted(exp.select("tb", "rn").collect())
+    for cap in (1, 60, 1000):
+        got = row_number_within(df, ["k"], ["start", "tb"], out="rn", n=7, descending=True, at_most=cap)
+        assert sorted(got.select("tb", "rn").collect()) == sorted(exp.where(F.col("rn") <= cap).select("tb", "rn").collect())
+
+
+def test_running_within_matches_window(spark):
+    """One key holds two thirds of the rows, so it lies in most slices; also the whole table as one key."""
+    df = _skewed(spark).withColumns({"m": F.when(F.col("tb") % 4 == 0, F.col("tb") - 200), "d": (F.col("start") / 7).cast("decimal(12,3)")})
+    df = df.withColumn("k", F.when(F.col("k") != 5, F.col("k")))  # a NULL key too
+    aggregates = {"s": ("sum", "m"), "n": ("count", "m"), "lo": ("min", "m"), "hi": ("max", "d"), "l": ("last", "m"), "sd": ("sum", "d")}
+    fn = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}
+    for keys in (["k"], []):
+        w = Window.partitionBy(*keys).orderBy("start", "tb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        exp = df.select("tb", *[fn[f](c).over(w).alias(o) for o, (f, c) in aggregates.items()])
+        got = running_within(df, keys, ["start", "tb"], aggregates, n=9).select("tb", *aggregates)
+        assert sorted(map(str, got.collect())) == sorted(map(str, exp.collect()))
+
+
+def test_no_task_of_a_running_aggregate_holds_a_key(spark):
+    df = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("tb"))
+    bounds = slice_bounds(df, ["k", "tb"], 8)
+    sizes = df.groupBy(slice_of(df, ["k", "tb"], bounds).alias("s")).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 4000 / 8 * 2
+
+
+def test_running_within_names_unknown_functions(spark):
+    with pytest.raises(ValueError, match="avg"):
+        running_within(spark.range(3), [], ["id"], {"x": ("avg", "id")})
+
+
+def test_both_ways_to_find_a_slice_agree(spark):
+    df = _skewed(spark)
+    bounds = slice_bounds(df, ["k", "start", "tb"], 40)
+    both = df.select(slice_of(df, ["k", "start", "tb"], bounds).alias("a"), slice_of(df, ["k", "start", "tb"], bounds, tree=0).alias("b"))
+    assert both.where("a <> b").count() == 0 and both.select("a").distinct().count() == len(bounds) + 1
+
+
+def test_empty_table(spark):
+    df = _skewed(spark).where("k > 99")
+    assert slice_bounds(df, ["k", "tb"], 5) == []
+    assert running_within(df, ["k"], ["tb"], {"s": ("sum", "tb")}).count() == 0
+    assert row_number_within(df, ["k"], ["tb"], at_most=2).count() == 0
