@@ -41,12 +41,17 @@ def slice_bounds(df: DataFrame, cols: Sequence[str], n: int | None = None) -> li
 
     Sampled rows are sorted where the sample is gathered (``n * SAMPLES`` rows); only the bounds reach the driver."""
     n = _n_slices(df, n)
-    picked = df.select(*cols).orderBy(F.xxhash64(*cols)).limit(n * SAMPLES)
-    place = F.row_number().over(Window.orderBy(*_asc(cols))) - 1
-    placed = picked.withColumns({"_i": place, "_m": F.count(F.lit(1)).over(Window.partitionBy())})
-    part = F.floor(F.col("_i") * n / F.col("_m"))
-    firsts = placed.where((F.col("_i") > 0) & (part != F.floor((F.col("_i") - 1) * n / F.col("_m"))))
-    return list(dict.fromkeys(tuple(r) for r in firsts.orderBy("_i").select(*cols).collect()))
+    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    picked = df.select(row.alias("r"), F.xxhash64(*cols).alias("h")).orderBy("h").limit(n * SAMPLES)
+    sample = picked.agg(F.sort_array(F.collect_list("r")).alias("s"), F.count(F.lit(1)).alias("m"))
+    at = F.filter(F.transform(F.sequence(F.lit(1), F.lit(max(n - 1, 1))), lambda i: F.expr("m") * i / n), lambda x: x >= 1)
+    bounds = sample.select(F.transform(at, lambda x: F.get("s", F.floor(x).cast("int"))).alias("b")).first()["b"]
+    return list(dict.fromkeys(tuple(b) for b in bounds)) if n > 1 else []
+
+
+def _literals(df: DataFrame, cols: Sequence[str], rows: Sequence[tuple]) -> list[Column]:
+    types = [f.dataType.simpleString() for f in df.select(*cols).schema]
+    return [F.struct(*[F.lit(v).cast(t).alias(f"c{i}") for i, (v, t) in enumerate(zip(r, types))]) for r in rows]
 
 
 def slice_of(df: DataFrame, cols: Sequence[str], bounds: Sequence[tuple], tree: int = TREE) -> Column:
@@ -54,8 +59,7 @@ def slice_of(df: DataFrame, cols: Sequence[str], bounds: Sequence[tuple], tree:
     for up to ``tree`` bounds, a search in a literal array beyond that."""
     if not bounds:
         return F.lit(0)
-    types = [df.schema[c].dataType for c in cols]
-    literal = [F.struct(*[F.lit(v).cast(t).alias(f"c{i}") for i, (v, t) in enumerate(zip(b, types))]) for b in bounds]
+    literal = _literals(df, cols, bounds)
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
 
     def branch(low: int, high: int) -> Column:
@@ -81,12 +85,15 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def _at_bounds(sliced: DataFrame, keys: Sequence[str], bounds: Sequence[tuple]) -> DataFrame:
-    """The rows of ``sliced`` whose key stands at a bound, hence may lie in several slices."""
+    """The rows of ``sliced`` whose key stands at their slice's lower or upper bound, hence may lie in several slices."""
     if not keys:
         return sliced
-    schema = ", ".join(f"`_e_{k}` {sliced.schema[k].dataType.simpleString()}" for k in keys)
-    edges = sliced.sparkSession.createDataFrame(sorted({b[: len(keys)] for b in bounds}, key=str), schema)
-    return sliced.join(F.broadcast(edges), _same(sliced, edges, keys), "left_semi")
+    if not bounds:
+        return sliced.where("false")
+    edges = F.array(*_literals(sliced, keys, [b[: len(keys)] for b in bounds]))
+    row = F.struct(*[F.col(k).alias(f"c{i}") for i, k in enumerate(keys)])
+    # a slice without such a bound compares with null, which no row's struct is
+    return sliced.where(row.eqNullSafe(F.get(edges, F.col(SLICE) - 1)) | row.eqNullSafe(F.get(edges, F.col(SLICE))))
 
 
 def _with_summary(local: DataFrame, summary: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
