@@ -31,9 +31,12 @@ from ..sinks import (
     write_json_parts,
 )
 from ..sources import (
+    ExtractLog,
+    extract_new,
     incremental,
     next_watermark,
     read_delimited,
+    read_generations,
     read_json_array,
     read_json_payload,
     read_large_json_array,
@@ -249,6 +252,41 @@ def q_incremental_gzip(spark, sf_dir) -> DataFrame:
     return reduce(DataFrame.unionByName, extracts)
 
 
+def q_tie_safe_extract(spark, sf_dir) -> DataFrame:
+    """Three extracts of events whose times are cut to the hour. Half of an hour's rows arrive only after an extract has
+    taken the others and made this hour its watermark; every row comes once."""
+    t = _t(spark, sf_dir)
+    events = t.events.select("event_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "user_id", "event_type")
+    log = ExtractLog(spark, scratch_path(spark, "tie-safe"))
+    for mark in (dt.datetime(2024, 1, 10, 7), dt.datetime(2024, 1, 20, 13), None):
+        at = F.lit(mark).cast("timestamp_ntz")
+        arrived = (F.col("hour") < at) | ((F.col("hour") == at) & (F.col("event_id") % 2 == 0))
+        extract_new(events.where(arrived) if mark else events, log, "hour", ["event_id"])
+    if extract_new(events, log, "hour", ["event_id"]) is not None:
+        raise RuntimeError("an extract found rows though nothing has arrived")
+    return log.read(events.schema)
+
+
+def q_schema_generations(spark, sf_dir) -> DataFrame:
+    """Orders in files of three schema generations, read in one call: the customer key widens from int to bigint to
+    text, the price to a larger decimal, and a priority appears."""
+    t = _t(spark, sf_dir)
+    path = scratch_path(spark, "generations")
+    o, year = t.orders, F.year("o_orderdate")
+    price = lambda kind: F.col("o_totalprice").cast(MONEY).cast(kind).alias("price")
+    day = F.to_date("o_orderdate")
+    first = o.where(year < 1996).select("o_orderkey", F.col("o_custkey").cast("int").alias("customer"), price("decimal(9,2)"), day.alias("day"))
+    second = o.where(year.between(1996, 1998)).select(
+        "o_orderkey", F.col("o_custkey").cast("bigint").alias("customer"), price("decimal(14,4)"), day.alias("day"), "o_orderpriority"
+    )
+    third = o.where(year > 1998).select(
+        "o_orderkey", F.concat(F.lit("C"), "o_custkey").alias("customer"), price("decimal(11,1)"), F.col("o_orderdate").alias("day"), "o_orderpriority"
+    )
+    for k, part in enumerate((first, second, third)):
+        part.write.parquet(f"{path}/{k}")
+    return read_generations(spark, path)
+
+
 # --- C8: changed rows (flagged) merged field-wise into the document items ------------------------------
 
 # Fixed value: fields of a stored item.

@@ -545,6 +545,22 @@ SELECT * EXCLUDE (finished_by), count(*) OVER w AS orders_so_far, CAST(sum(cents
   CAST(sum(cents) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
     AS customer_cents_so_far
 FROM o WINDOW w AS (ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+""",
+    "tie_safe_extract": """
+WITH e AS (SELECT event_id, date_trunc('hour', ts) AS hour, user_id, event_type FROM events)
+SELECT *, CAST(CASE
+    WHEN hour < TIMESTAMP '2024-01-10 07:00:00' OR (hour = TIMESTAMP '2024-01-10 07:00:00' AND event_id % 2 = 0) THEN 1
+    WHEN hour < TIMESTAMP '2024-01-20 13:00:00' OR (hour = TIMESTAMP '2024-01-20 13:00:00' AND event_id % 2 = 0) THEN 2
+    ELSE 3 END AS INTEGER) AS extract
+FROM e
+""",
+    "schema_generations": """
+SELECT o_orderkey, CASE WHEN year(o_orderdate) > 1998 THEN 'C' ELSE '' END || o_custkey AS customer,
+  CAST(CASE WHEN year(o_orderdate) > 1998 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(11,1))
+       ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DECIMAL(14,4)) AS price,
+  CASE WHEN year(o_orderdate) > 1998 THEN CAST(o_orderdate AS TIMESTAMP) ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS day,
+  CASE WHEN year(o_orderdate) >= 1996 THEN o_orderpriority END AS o_orderpriority
+FROM orders
 """,
     "partition_merge": """
 WITH t AS (SELECT c_custkey AS id, c_nationkey AS centerId, 'active' AS lifecycle_tag, CAST(NULL AS VARCHAR) AS past_segment,
