@@ -35,6 +35,7 @@ from ..sources import (
     extract_new,
     incremental,
     next_watermark,
+    read_capture,
     read_delimited,
     read_generations,
     read_json_array,
@@ -44,6 +45,7 @@ from ..sources import (
     sheet_layouts,
     typed_fields,
     with_lineage,
+    write_capture,
 )
 from ..streaming import ingest_new_files, upsert_new_files
 from .jobs import AS_OF, INCREMENTAL_PREV, MONEY, _event_bodies, forecast_long, forecast_sheet
@@ -129,6 +131,31 @@ def q_event_ingest(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(sink).drop("etl_created_timestamp_utc")
 
 
+def q_event_capture(spark, sf_dir, range_bytes: int = 64 << 10) -> DataFrame:
+    """Events landed as Avro capture files and read in runs of blocks; half of the files are compressed."""
+    t = _t(spark, sf_dir)
+    bodies = _event_bodies(t).select(
+        F.col("event_id").alias("sequence_number"),
+        (F.col("event_id") * 96).cast("string").alias("offset"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("enqueued_at"),
+        F.unhex("Body").alias("body"),
+    )
+    capture = scratch_path(spark, "event-containers")
+    write_capture(bodies.where("sequence_number % 2 = 0").repartition(2), f"{capture}/0", "deflate")
+    write_capture(bodies.where("sequence_number % 2 = 1").repartition(2), f"{capture}/1", "null")
+    events = semistructured.decode_events(read_capture(spark, capture, range_bytes), "body")
+    fields = {"utc": ("UtcTime", "string"), "member_id": ("Member", "string"), "source": ("Source", "string"), "path": ("Path", "string")}
+    return semistructured.extract(events, "payload", fields).select(
+        F.col("sequence_number").alias("event_id"),
+        "offset",
+        F.col("enqueued_at").cast("timestamp_ntz").alias("enqueued_at"),
+        parse_event_ts("utc").alias("event_timestamp_utc"),
+        "member_id",
+        "source",
+        last_path_part("path").alias("deviceid"),
+    )
+
+
 # --- C5: scoring input unload (partition overwrite) and scoring output load ------------------------------
 
 

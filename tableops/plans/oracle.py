@@ -561,6 +561,14 @@ SELECT o_orderkey, CASE WHEN year(o_orderdate) > 1998 THEN 'C' ELSE '' END || o_
   CASE WHEN year(o_orderdate) > 1998 THEN CAST(o_orderdate AS TIMESTAMP) ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS day,
   CASE WHEN year(o_orderdate) >= 1996 THEN o_orderpriority END AS o_orderpriority
 FROM orders
+""",
+    "event_capture": """
+SELECT event_id, CAST(event_id * 96 AS VARCHAR) AS "offset", ts AS enqueued_at,
+  CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END AS event_timestamp_utc,
+  CASE WHEN event_type = 'error' THEN NULL ELSE CAST(user_id AS VARCHAR) END AS member_id,
+  CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS source,
+  CASE WHEN event_type = 'error' THEN NULL ELSE CAST(event_id AS VARCHAR) END AS deviceid
+FROM events
 """,
     "partition_merge": """
 WITH t AS (SELECT c_custkey AS id, c_nationkey AS centerId, 'active' AS lifecycle_tag, CAST(NULL AS VARCHAR) AS past_segment,

@@ -1,5 +1,6 @@
 """Readers: file selection, payload and delimited scans, lineage columns, incremental extracts, catalog."""
 
+from .capture import read_capture, write_capture  # noqa: F401
 from .catalog import catalog_columns, catalog_tables  # noqa: F401
 from .extract_log import ExtractLog, extract_new  # noqa: F401
 from .files import (  # noqa: F401
