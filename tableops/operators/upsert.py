@@ -109,7 +109,6 @@ def update_from(
     on_duplicate: str = "error",
     order: Sequence[str] | None = None,
     matched_col: str | None = None,
-    broadcast_source: bool = False,
 ) -> DataFrame:
     """``UPDATE target SET c = expr(source) FROM source WHERE target.k = source.k [AND where]``.
 
@@ -118,8 +117,7 @@ def update_from(
     conditions over target ``t('col')`` and source ``s('col')`` columns. Unmatched rows are unchanged; a
     matched NULL overwrites (no ``coalesce``). The row count of ``target`` never changes.
 
-    Adaptive execution broadcasts a source that turns out small at run time. ``broadcast_source`` does so in any
-    case, for a source that the caller knows to be bounded: the target is then not shuffled at all.
+    Adaptive execution broadcasts a source that turns out small at run time; nothing is broadcast on a caller's word.
     """
     pairs = [(p, p) if isinstance(p, str) else tuple(p) for p in on]
     skeys = [sk for _, sk in pairs]
@@ -135,7 +133,7 @@ def update_from(
         return F.col(c)
 
     cond = reduce(lambda a, b: a & b, [target[tk] == src[f"_src_{sk}"] for tk, sk in pairs])
-    joined = target.join(F.broadcast(src) if broadcast_source else src, cond, "left")
+    joined = target.join(src, cond, "left")
     hit = F.coalesce(F.col("_matched"), F.lit(False))
     if where is not None:
         hit = hit & F.coalesce(where(t, s), F.lit(False))

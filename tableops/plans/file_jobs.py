@@ -27,6 +27,7 @@ from ..sinks import (
     merge_partitions,
     unload_partition,
     write_batches,
+    write_date_folders,
     write_json_gzip,
     write_json_parts,
 )
@@ -668,17 +669,13 @@ def q_json_array_split(spark, sf_dir, file_rows: int = 50_000, range_bytes: int
     return read_large_json_array(spark, path, "o_orderkey bigint, o_custkey bigint, remark string", range_bytes)
 
 
-def q_date_path_scan(spark, sf_dir, first: dt.date = dt.date(2024, 1, 10), days: int = 3) -> DataFrame:
-    """Events landed in ``yyyy/MM/dd/`` folders, one day at a time; the folder of the second day is read."""
+def q_date_path_scan(spark, sf_dir, day: dt.date = dt.date(2024, 1, 11)) -> DataFrame:
+    """All events landed in ``yyyy/MM/dd/`` folders by one write; the folder of one day is read."""
     t = _t(spark, sf_dir)
     base = scratch_path(spark, "event-days")
-    dates = [first + dt.timedelta(days=i) for i in range(days)]
-    paths = spark.createDataFrame([(d,) for d in dates], "d date").select("d", date_path("d").alias("p")).collect()
-    for d, path in paths:
-        at = lambda x: F.lit(dt.datetime.combine(x, dt.time())).cast("timestamp_ntz")
-        day = t.events.where((F.col("ts") >= at(d)) & (F.col("ts") < at(d + dt.timedelta(days=1))))
-        day.write.parquet(f"{base}/{path}")
-    folder = {r["d"]: r["p"] for r in paths}[dates[1]]
+    events = t.events.withColumn("day", F.to_date("ts"))
+    write_date_folders(clustered(events, ["day"], ["event_id"]), base, "day")
+    folder = spark.range(1).select(date_path(F.lit(day))).first()[0]
     return read_matching(spark, f"{base}/{folder}", "parquet", r".*\.parquet").select("event_id", "ts", "user_id")
 
 

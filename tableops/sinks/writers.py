@@ -7,9 +7,11 @@ partial output is never published.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Timestamp text formats with full (microsecond) precision; Spark's JSON/CSV default is
 # milliseconds, which would silently truncate on a round trip.
@@ -80,6 +82,27 @@ def write_json_parts(
     w.json(path)
 
 
+def write_date_folders(df: DataFrame, base: str, day_col: str, fmt: str = "parquet") -> int:
+    """One folder ``yyyy/MM/dd`` per day of the date column ``day_col``, from one partitioned write; returns the number
+    of folders. Rows without a day fail the job. Spark's own folder names (``day=2024-01-11``) are renamed afterwards,
+    one call a day; a day that is there already is replaced."""
+    spark, staging = df.sparkSession, f"{base.rstrip('/')}/_landing-{uuid.uuid4().hex}"
+    no_day = F.raise_error(F.lit(f"a row without {day_col} has no folder")).cast("string")
+    path = F.when(F.col(day_col).isNull(), no_day).otherwise(F.date_format(day_col, "yyyy-MM-dd"))
+    df.withColumn("_day", path).drop(day_col).write.partitionBy("_day").format(fmt).save(staging)
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    days = [s.getPath() for s in fs.listStatus(path_of(staging)) if s.getPath().getName().startswith("_day=")]
+    for day in days:
+        final = path_of(f"{base.rstrip('/')}/{day.getName().removeprefix('_day=').replace('-', '/')}")
+        fs.delete(final, True)
+        fs.mkdirs(final.getParent())
+        if not fs.rename(day, final):
+            raise RuntimeError(f"{day} could not be moved to {final}")
+    fs.delete(path_of(staging), True)
+    return len(days)
+
+
 def write_json_gzip(df: DataFrame, path: str) -> None:
     """Gzip-compressed JSON lines extract."""
     df.write.mode("overwrite").option("compression", "gzip").options(**TEXT_TS_OPTIONS).json(path)

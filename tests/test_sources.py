@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableops.functions import date_path
-from tableops.sinks import unload_partition, write_csv_stamped, write_json_parts
+from tableops.sinks import unload_partition, write_csv_stamped, write_date_folders, write_json_parts
 from tableops.sources import (
     catalog_columns, incremental, next_watermark, read_delimited, read_json_array, read_json_payload, read_matching,
     read_sheets, sheet_layouts, typed_fields, with_lineage,
@@ -169,3 +169,16 @@ def test_clustered_unload_splits_hot_partition(spark, tmp_dir):
     files = [f for f in os.listdir(tmp_dir + "/c/y=2020") if f.endswith(".parquet")]
     assert len(files) > 1
     assert spark.read.parquet(tmp_dir + "/c").count() == 2000
+
+
+def test_date_folders_from_one_write(spark, tmp_dir):
+    base = f"{tmp_dir}/days"
+    df = spark.createDataFrame([(i, dt.date(2024, 1, 30 + i % 2)) for i in range(9)], "id int, day date")
+    assert write_date_folders(df, base, "day") == 2
+    assert sorted(os.listdir(f"{base}/2024/01")) == ["30", "31"] and os.listdir(base) == ["2024"]
+    assert rows(spark.read.parquet(f"{base}/2024/01/31"), "id") == [(1,), (3,), (5,), (7,)]
+    again = spark.createDataFrame([(99, dt.date(2024, 1, 31))], "id int, day date")
+    assert write_date_folders(again, base, "day") == 1
+    assert rows(spark.read.option("recursiveFileLookup", "true").parquet(base), "id") == [(0,), (2,), (4,), (6,), (8,), (99,)]
+    with pytest.raises(Exception, match="has no folder"):
+        write_date_folders(spark.createDataFrame([(1, None)], "id int, day date"), base, "day")
