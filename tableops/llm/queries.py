@@ -21,7 +21,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document, with the owner-specific and the widely copied ones counted."""
-    return secrets.scan(documents(spark, sf_dir)).drop("span_owners", "span_repos")
+    return secrets.scan(documents(spark, sf_dir))
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,37 +195,45 @@ def _centroid_sql(k: int = centroids.K, rounds: int = centroids.ROUNDS) -> str:
 def _secret_sql() -> str:
     """The secret scan for DuckDB, from the operator's patterns."""
     sql = lambda p: p.replace("'", "''")
-    kinds = (
-        ("assign", secrets.ASSIGN, f"regexp_extract(m, '{sql(secrets.ASSIGN)}', 2)", "length(v) >= 6"),
-        ("access", secrets.ACCESS, "m", "length(v) >= 20"),
-        ("hex", secrets.HEX, "m", "true"),
-        ("reuse", secrets.BARE, "m", "regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')"),
-    )
+    kinds = [
+        (0, secrets.ASSIGN, f"regexp_extract(m, '{sql(secrets.ASSIGN)}', 2)", "length(v) >= 6"),
+        (1, secrets.ACCESS, "m", "length(v) >= 20"),
+        (2, secrets.HEX, "m", "true"),
+        *[(secrets.REUSE, p, "m", "true") for p in secrets.BARE],
+    ]
     spans = " UNION ALL ".join(
-        f"""SELECT doc_id, owner, repo, kind, name, start, start + length(m) AS stop, v FROM (
-                SELECT doc_id, owner, repo, {k} AS kind, '{name}' AS name, m, {value} AS v,
-                       (coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0)
-                        + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS start
-                FROM (SELECT *, unnest(ms) AS m, unnest(range(1, len(ms) + 1)) AS i FROM (
-                    SELECT doc_id, owner, repo, string_split_regex(t, '{sql(pattern)}') AS p,
-                           regexp_extract_all(t, '{sql(pattern)}', 0) AS ms FROM d))) WHERE {test}"""
-        for k, (name, pattern, value, test) in enumerate(kinds)
+        f"""SELECT doc_id, owner, repo, kind, start, start + length(m) AS stop, v FROM (
+                SELECT doc_id, owner, repo, {k} AS kind, m, {value} AS v,
+                       sum(length(p) + length(m)) OVER (PARTITION BY r ORDER BY i)::BIGINT - length(m) AS start
+                FROM (SELECT r, doc_id, owner, repo, unnest(string_split_regex(t, '{sql(pattern)}')) AS p, unnest(ms) AS m,
+                             unnest(range(1, len(ms) + 1)) AS i
+                      FROM (SELECT *, regexp_extract_all(t, '{sql(pattern)}', 0) AS ms FROM d WHERE regexp_matches(t, '{sql(pattern)}'))))
+            WHERE m IS NOT NULL AND {test}"""
+        for k, pattern, value, test in kinds
     )
     return f"""
-        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, source AS owner, concat_ws('/', source, lang) AS repo FROM documents),
-        s AS ({spans}),
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, source AS owner, concat_ws('/', source, lang) AS repo
+                   FROM documents),
+        s AS MATERIALIZED ({spans}),
         b AS (SELECT *, length(array_to_string(list_distinct(string_split(v, '')), '')) >= {secrets.LIVE_CHARS} AS live FROM s WHERE kind < 3),
-        f AS (SELECT v, count(DISTINCT coalesce(owner, chr(1))) AS owners, bool_or(live) AS live FROM b GROUP BY v),
-        j AS (SELECT s.*, f.owners = 1 AND f.live AS owned, f.owners >= {secrets.WIDE_OWNERS} AS copied FROM s JOIN f USING (v)
-              WHERE s.kind < 3 OR NOT EXISTS (FROM b WHERE b.doc_id = s.doc_id AND b.start < s.stop AND s.start < b.stop)),
+        c AS (SELECT v, count(DISTINCT coalesce(owner, chr(1))) AS owners, count(DISTINCT (coalesce(owner, chr(1)), coalesce(repo, chr(1)))) AS repos,
+                     bool_or(live) AS live FROM b GROUP BY v),
+        f AS (SELECT *, owners = 1 AND repos < {secrets.WIDE_REPOS} AND live AS owned,
+                     owners >= {secrets.WIDE_OWNERS} OR repos >= {secrets.WIDE_REPOS} AS copied FROM c),
+        j AS (SELECT DISTINCT doc_id, kind, start, stop, owned, copied, owners, repos FROM s JOIN f USING (v)
+              WHERE kind < 3 OR owned AND NOT EXISTS (FROM b WHERE b.doc_id = s.doc_id AND b.start < s.stop AND s.start < b.stop)),
+        n AS (SELECT *, ['assign', 'access', 'hex', 'reuse'][kind + 1] || ':' || start || ':' || stop AS name FROM j),
         g AS (SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS a, count(*) FILTER (WHERE kind = 1) AS k, count(*) FILTER (WHERE kind = 2) AS h,
-                     string_agg(concat_ws(':', name, start, stop), ',' ORDER BY start, kind, stop) FILTER (WHERE kind < 3) AS base,
-                     string_agg(concat_ws(':', name, start, stop), ',' ORDER BY start, kind, stop) FILTER (WHERE kind < 3 OR owned) AS spans,
+                     string_agg(name, ',' ORDER BY start, kind, stop) FILTER (WHERE kind < 3) AS base,
+                     string_agg(name, ',' ORDER BY start, kind, stop) AS spans,
+                     string_agg(owners::VARCHAR, ',' ORDER BY start, kind, stop) AS span_owners,
+                     string_agg(repos::VARCHAR, ',' ORDER BY start, kind, stop) AS span_repos,
                      count(*) FILTER (WHERE kind < 3 AND owned) AS n_owned, count(*) FILTER (WHERE kind < 3 AND copied) AS n_copied
-              FROM j GROUP BY doc_id)
+              FROM n GROUP BY doc_id)
         SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
                sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-               coalesce(n_owned, 0) AS n_owned, coalesce(n_copied, 0) AS n_copied
+               coalesce(n_owned, 0) AS n_owned, coalesce(n_copied, 0) AS n_copied,
+               coalesce(span_owners, '') AS span_owners, coalesce(span_repos, '') AS span_repos
         FROM d LEFT JOIN g USING (doc_id)
     """
 

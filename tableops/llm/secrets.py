@@ -2,17 +2,23 @@
 
 Base patterns give candidate spans. Every candidate's value is hashed, and the hashes are counted over the corpus
 by distinct repositories and owners: a value that many owners or many repositories have is a widely copied example,
-one that a single owner has in few repositories is owner-specific, and live-looking if its characters vary enough. The counts also add spans: a bare
-token whose value was found as an owner-specific live-looking secret elsewhere is a span of kind ``reuse``.
-
-A value found in a third of all documents is pre-aggregated per (value, owner, repository) before it is exchanged,
-and the lookup of the counts is salted by document. Nulls and ties: a null text is empty; a null owner or
-repository is one of its own; repeated rows count as one document and each get the full result.
+one that a single owner has in few repositories is owner-specific, and live-looking if its characters vary enough. The
+counts also add spans: a bare token whose value was found as an owner-specific live-looking secret elsewhere is a span
+of kind ``reuse``. Bare tokens are runs of six or more characters that a value can have, such runs cut at ``=`` and
+``/``, and both without full stops at their end; whether one is a secret is for the join with the owned values to say. A
+bitmap of the owned values' hashes, at most ``BITS`` bits, keeps most tokens out of that join; a false hit costs work
+only.
+
+Places of matches come from the pieces of the text between them: their lengths, one small row a piece, are summed up
+by a window over the document's pieces, so a text with many matches costs in proportion to them. A value found in a
+third of all documents is pre-aggregated per (value, owner, repository) before it is exchanged, and the lookup of the
+counts is salted by document. Nulls and ties: a null text is empty; a null owner or repository is one of its own;
+repeated rows count as one document and each get the full result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Stage, text_of
@@ -29,8 +35,10 @@ ASSIGN = (
 )
 ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]{24,}"
-BARE = "[A-Za-z0-9+/_=-]{16,}"
+#: Bare tokens: runs of a value's characters, the same cut at ``=`` and ``/``, and both up to the last that is no full stop.
+BARE = ("[A-Za-z0-9+/_.=-]{6,}", "[A-Za-z0-9+/_.=-]{5,}[A-Za-z0-9+/_=-]", "[A-Za-z0-9+_.-]{6,}", "[A-Za-z0-9+_.-]{5,}[A-Za-z0-9+_-]")
 KINDS = ("assign", "access", "hex", "reuse")
+REUSE = KINDS.index("reuse")
 
 #: A value with this many distinct owners is a widely copied example.
 WIDE_OWNERS = 3
@@ -39,40 +47,53 @@ WIDE_REPOS = 3
 #: A live-looking value has at least this many different characters.
 LIVE_CHARS = 6
 SALTS = 8
+#: Most bits of the bitmap of owned values; there are 16 a value up to that.
+BITS = 1 << 22
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """``array<struct<start, stop, m>>`` of all matches, in code points, from the text split at the pattern."""
-    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
-    start = F.lit(0).cast("long")
-    none = F.array().cast("array<struct<start:bigint,stop:bigint,m:string>>")
+def _digest(values: Column) -> Column:
+    """A value's two hashes and whether it looks live: ``h`` for counting, ``x`` for the bitmap."""
+    return F.struct(
+        F.sha2(values, 256).alias("h"),
+        F.xxhash64(values).alias("x"),
+        (F.size(F.array_distinct(F.split(values, ""))) >= LIVE_CHARS).alias("live"),
+    )
 
-    def step(acc: Column, x: Column) -> Column:
-        at = acc["pos"] + F.length(x["p"])
-        end = at + F.coalesce(F.length(x["m"]), F.lit(0))
-        found = F.array(F.struct(at.alias("start"), end.alias("stop"), x["m"].alias("m")))
-        return F.struct(
-            end.alias("pos"), F.when(x["m"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], found)).alias("out")
-        )
 
-    spans = F.aggregate(zipped, F.struct(start.alias("pos"), none.alias("out")), step, lambda a: a["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(none)
-
-
-def _candidates(kind: str, pattern: str, value, keep) -> Column:
-    """The matches of one kind as ``array<struct<start, kind, stop, h, live>>``; no value is kept in the clear."""
-    rank = F.lit(KINDS.index(kind))
-    kept = F.filter(matches(F.col("t"), pattern), lambda x: keep(x["m"]))
-    return F.transform(
-        kept,
-        lambda x: F.struct(
-            x["start"].alias("start"),
-            rank.alias("kind"),
-            x["stop"].alias("stop"),
-            F.sha2(value(x["m"]), 256).alias("h"),
-            (F.size(F.array_distinct(F.split(value(x["m"]), ""))) >= LIVE_CHARS).alias("live"),
-        ),
+def _pieces(kind: int, pattern: str, value, keep) -> Column:
+    """A kind's pieces of the text ``t``: what stands before each match, the match, and its digest if it counts; null
+    without a match. No value is kept in the clear."""
+    found = F.arrays_zip(F.split("t", pattern, -1).alias("p"), F.regexp_extract_all("t", F.lit(pattern), F.lit(0)).alias("m"))
+    piece = lambda x, i: F.struct(
+        F.lit(kind).alias("kind"),
+        i.alias("i"),
+        F.length(x["p"]).cast("long").alias("gap"),
+        F.coalesce(F.length(x["m"]), F.lit(0)).cast("long").alias("size"),
+        F.when(keep(x["m"]), _digest(value(x["m"]))).alias("d"),
     )
+    return F.when(F.col("t").rlike(pattern), F.transform(found, piece))
+
+
+def _placed(pieces: DataFrame) -> DataFrame:
+    """``k1, k2, kind, start, stop, d`` of the pieces that count: places by a running sum over a document's pieces."""
+    upto = Window.partitionBy("k1", "k2", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stop = F.sum(F.col("s.gap") + F.col("s.size")).over(upto)
+    rows = pieces.select("k1", "k2", F.col("s.kind").alias("kind"), F.col("s.i").alias("i"), "s").distinct()
+    rows = rows.select("k1", "k2", "kind", stop.alias("stop"), F.col("s.size").alias("size"), F.col("s.d").alias("d"))
+    return rows.where("d IS NOT NULL").select("k1", "k2", "kind", (F.col("stop") - F.col("size")).alias("start"), "stop", "d")
+
+
+def _bitmap(owned: DataFrame) -> tuple[int, Column] | None:
+    """(bits, words of 64 bits) of the owned values' hashes; None without any. The driver holds ``BITS`` bits at most."""
+    n = owned.count()
+    if not n:
+        return None
+    bits = min(BITS, max(1 << 10, 1 << (16 * n - 1).bit_length()))
+    at = F.pmod("x", F.lit(bits))
+    words = owned.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(x, {bits}) & 63 AS int))").alias("bit"))
+    found = dict(words.groupBy("word").agg(F.bit_or("bit")).collect())
+    text = ",".join(str(found.get(w, 0)) for w in range(bits >> 6))
+    return bits, F.split(F.lit(text), ",").cast("array<bigint>")  # folded into one literal
 
 
 def _joined(spans: Column) -> Column:
@@ -87,6 +108,20 @@ def _of_kind(kind: int):
     return lambda s: s["kind"] == kind
 
 
+def _outside(spans: DataFrame) -> DataFrame:
+    """The spans without the bare tokens that meet a base span: a pass over a document's spans in either order."""
+    cols = ("start", "kind", "stop")
+    earlier = Window.partitionBy("k1", "k2").orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
+    # the rows that follow, as those before in falling order: a frame that ends with the last row is worked out anew for each
+    later = Window.partitionBy("k1", "k2").orderBy(*[F.col(c).desc() for c in cols]).rowsBetween(Window.unboundedPreceding, -1)
+    base = F.col("kind") < REUSE
+    before = F.max(F.when(base, F.col("stop"))).over(earlier)
+    after = F.min(F.when(base, F.col("start"))).over(later)
+    judged = spans.withColumns({"_before": before, "_after": after})
+    meets = (F.col("_before") > F.col("start")) | (F.col("_after") < F.col("stop"))
+    return judged.where(base | ~F.coalesce(meets, F.lit(False))).drop("_before", "_after")
+
+
 def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None, owner: Column | None = None
 ) -> DataFrame:
@@ -94,7 +129,7 @@ def scan(
 
     ``n_owned``: base spans whose value is owner-specific and live-looking; ``n_copied``: base spans whose value has
     ``WIDE_OWNERS`` owners or ``WIDE_REPOS`` repositories or more; ``span_owners``, ``span_repos``: in the order of
-    ``spans``, how many distinct owners and repositories have the value.
+    ``spans``, how many distinct owners and repositories have the value, joined by commas.
     """
     owner = F.col("source") if owner is None else owner
     repo = F.concat_ws("/", F.col("source"), F.col("lang")) if repo is None else repo
@@ -104,36 +139,29 @@ def scan(
         text_of(text_col).alias("t"),
         owner.cast("string").alias("owner"),
         repo.cast("string").alias("repo"),
-    )
+    ).withColumns({"k1": F.xxhash64(F.lit(1), "id", "t"), "k2": F.xxhash64(F.lit(2), "id", "t")})
     assign_value = lambda m: F.regexp_extract(m, ASSIGN, 2)
     whole = lambda m: m
-    found = texts.select(
-        "id",
-        F.xxhash64(F.lit(1), "id", "t").alias("k1"),
-        F.xxhash64(F.lit(2), "id", "t").alias("k2"),
-        "owner",
-        "repo",
-        F.array_sort(
-            F.concat(
-                _candidates("assign", ASSIGN, assign_value, lambda m: F.length(assign_value(m)) >= 6),
-                _candidates("access", ACCESS, whole, lambda m: F.length(m) >= 20),
-                _candidates("hex", HEX, whole, lambda m: F.lit(True)),
-            )
-        ).alias("base"),
-        _candidates("reuse", BARE, whole, lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]")).alias("bare"),
+    base_kinds = F.array_compact(
+        F.array(
+            _pieces(0, ASSIGN, assign_value, lambda m: F.length(assign_value(m)) >= 6),
+            _pieces(1, ACCESS, whole, lambda m: F.length(m) >= 20),
+            _pieces(2, HEX, whole, lambda m: m.isNotNull()),
+        )
     )
-    rows = stage.write(found, "rows")
+    base = stage.write(texts.select("k1", "k2", "owner", "repo", F.explode(F.flatten(base_kinds)).alias("s")), "base")
 
     # who has each value: distinct (value, owner, repository) first, so a common value is one row per task
-    seen = rows.where("size(base) > 0").select("owner", "repo", F.explode("base").alias("s"))
-    by_repo = seen.groupBy(F.col("s.h").alias("h"), "owner", "repo").agg(F.max("s.live").alias("live"))
-    by_owner = by_repo.groupBy("h", "owner").agg(F.count(F.lit(1)).alias("repos"), F.max("live").alias("live"))
+    seen = base.where("s.d IS NOT NULL").select("owner", "repo", "s.d.*")
+    by_repo = seen.groupBy("h", "owner", "repo").agg(F.max("live").alias("live"), F.max("x").alias("x"))
+    by_owner = by_repo.groupBy("h", "owner").agg(F.count(F.lit(1)).alias("repos"), F.max("live").alias("live"), F.max("x").alias("x"))
     values = by_owner.groupBy("h").agg(
-        F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"), F.max("live").alias("live")
+        F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"), F.max("live").alias("live"), F.max("x").alias("x")
     )
     values = stage.write(
         values.select(
             "h",
+            "x",
             ((F.col("owners") == 1) & (F.col("repos") < WIDE_REPOS) & F.col("live")).alias("owned"),
             ((F.col("owners") >= WIDE_OWNERS) | (F.col("repos") >= WIDE_REPOS)).alias("copied"),
             "owners",
@@ -142,32 +170,49 @@ def scan(
         "values",
     )
 
-    # a bare token counts where no base span covers it
-    outside = F.filter(
-        "bare", lambda b: ~F.exists("base", lambda s: (s["start"] < b["stop"]) & (b["start"] < s["stop"]))
-    )
-    spans = rows.where("size(base) + size(bare) > 0").select(
-        "k1", "k2", F.pmod("k1", F.lit(SALTS)).alias("salt"), F.explode(F.concat("base", outside)).alias("s")
-    )
-    salted = values.withColumn("salt", F.explode(F.array(*[F.lit(k).cast("long") for k in range(SALTS)])))
+    placed = _placed(base.select("k1", "k2", "s"))
+    found = _bitmap(values.where("owned"))
+    if found is not None:
+        bits, words = found
+
+
+        def hit(x: Column) -> Column:
+            at = F.pmod(x, F.lit(bits)).cast("int")
+            one = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)))
+            return F.get(words, F.shiftright(at, 6)).bitwiseAND(one) != 0
+
+        placed = placed.unionByName(_bare(texts, hit, stage))
+    spans = placed.select("k1", "k2", "kind", "start", "stop", F.col("d.h").alias("h"), F.pmod("k1", F.lit(SALTS)).alias("salt"))
+    salted = values.drop("x").withColumn("salt", F.explode(F.array(*[F.lit(k).cast("long") for k in range(SALTS)])))
     # the table of values grows with the corpus and is smaller on disk than in memory: never broadcast
-    judged = spans.withColumn("h", F.col("s.h")).join(salted.hint("merge"), ["h", "salt"])
-    base = F.col("s.kind") < KINDS.index("reuse")
-    per_doc = (
-        judged.where(base | F.col("owned"))
-        .groupBy("k1", "k2")
-        .agg(F.collect_set(F.struct("s.start", "s.kind", "s.stop", "owned", "copied", "owners", "repos")).alias("spans"))
+    judged = spans.join(salted.hint("merge"), ["h", "salt"]).where((F.col("kind") < REUSE) | F.col("owned")).drop("h", "salt").distinct()
+    per_doc = _outside(judged).groupBy("k1", "k2").agg(
+        F.array_sort(F.collect_list(F.struct("start", "kind", "stop", "owned", "copied", "owners", "repos"))).alias("spans")
     )
-    joined = rows.join(per_doc, ["k1", "k2"], "left")
+    joined = texts.select("id", "k1", "k2").join(per_doc, ["k1", "k2"], "left")
     span = "struct<start:bigint,kind:int,stop:bigint,owned:boolean,copied:boolean,owners:bigint,repos:bigint>"
     spans = F.coalesce("spans", F.array().cast(f"array<{span}>"))
-    count = lambda col, test: F.size(F.filter(col, test)).cast("long")
+    count = lambda test: F.size(F.filter(spans, test)).cast("long")
     return joined.select(
         F.col("id").alias(id_col),
-        *[count("base", _of_kind(k)).alias(f"n_{KINDS[k]}") for k in range(3)],
-        F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
-        _joined(F.array_sort(spans)).alias("spans"),
-        count(spans, lambda s: s["owned"] & (s["kind"] < 3)).alias("n_owned"),
-        count(spans, lambda s: s["copied"] & (s["kind"] < 3)).alias("n_copied"),
-        *[F.transform(F.array_sort(spans), lambda s: s[c]).alias(f"span_{c}") for c in ("owners", "repos")],  # noqa: B023
+        *[count(_of_kind(k)).alias(f"n_{KINDS[k]}") for k in range(3)],
+        F.sha2(_joined(F.filter(spans, lambda s: s["kind"] < REUSE)), 256).alias("base_sha256"),
+        _joined(spans).alias("spans"),
+        count(lambda s: s["owned"] & (s["kind"] < REUSE)).alias("n_owned"),
+        count(lambda s: s["copied"] & (s["kind"] < REUSE)).alias("n_copied"),
+        *[F.array_join(spans.getField(c), ",").alias(f"span_{c}") for c in ("owners", "repos")],
     )
+
+
+def _bare(texts: DataFrame, hit, stage: Stage) -> DataFrame:
+    """Places of the bare tokens whose hash the bitmap has, in texts that have such a token."""
+    kinds = [
+        F.when(
+            F.exists(F.regexp_extract_all("t", F.lit(p), F.lit(0)), lambda m: hit(F.xxhash64(m))),
+            _pieces(REUSE + k, p, lambda m: m, lambda m: F.coalesce(hit(F.xxhash64(m)), F.lit(False))),
+        )
+        for k, p in enumerate(BARE)
+    ]
+    pieces = texts.select("k1", "k2", F.explode(F.flatten(F.array_compact(F.array(*kinds)))).alias("s"))
+    bare = _placed(stage.write(pieces, "bare"))
+    return bare.withColumn("kind", F.lit(REUSE)).distinct()

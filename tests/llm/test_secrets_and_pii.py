@@ -1,8 +1,11 @@
 import hashlib
 import re
+import time
 from collections import defaultdict
 
-from tableops.llm import pii, secrets
+import duckdb
+
+from tableops.llm import pii, queries, secrets
 
 KINDS = {
     "assign": (re.compile("(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A), 2, 6),
@@ -61,11 +64,46 @@ def test_many_repositories_of_one_owner_are_copies(spark):
     rows = [(i, f"password: {wide}", "a", f"l{i}") for i in range(6)] + [(10, f"bare {wide} and {few}", "a", "l1")]
     rows += [(20, f"password: {few}", "a", "l0"), (21, f"password: {few}", "a", "l1")]
     got = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()}
-    assert all((got[i].n_owned, got[i].n_copied, got[i].span_owners, got[i].span_repos) == (0, 1, [1], [6]) for i in range(6))
-    assert (got[20].n_owned, got[20].n_copied, got[20].span_owners, got[20].span_repos) == (1, 0, [1], [2])
+    assert all((got[i].n_owned, got[i].n_copied, got[i].span_owners, got[i].span_repos) == (0, 1, "1", "6") for i in range(6))
+    assert (got[20].n_owned, got[20].n_copied, got[20].span_owners, got[20].span_repos) == (1, 0, "1", "2")
     assert got[10].spans == "reuse:26:42"  # the value in few repositories only
 
 
+def scanned(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    return docs, {r.doc_id: r for r in secrets.scan(docs).collect()}
+
+
+def test_equals_its_sql(spark):
+    """Values in one to three repositories and owners, short ones, ones cut at ``=`` and ``/``, and full stops."""
+    live, short, dotted = "Zx81Qw7vBn55Kd02", "hunter2x9", "ab.cd.ef12.gh34"
+    rows = [(0, f"password: {live}", "a", "en"), (1, f"token={live}", "a", "de"), (2, f"secret: {live} and {live}", "a", "fr")]
+    rows += [(3, f"see {live}", "b", "en"), (4, f"password: {short}", "a", "en"), (5, f"it was {short}. Or AUTH={short}/x, {short}!", "b", None)]
+    rows += [(6, f"api_key={dotted}", None, None), (7, f"é {dotted}. {dotted}= q/{dotted}", "c", "en"), (8, None, None, None), (9, "", "a", "en")]
+    docs, got = scanned(spark, rows)
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    want = con.execute(queries.ORACLE["op2_secret_scan"])
+    names = [d[0] for d in want.description]
+    assert sorted(tuple(got[i][c] for c in names) for i in got) == sorted(want.fetchall())
+    assert (got[2].n_owned, got[2].n_copied, got[2].spans) == (0, 1, "assign:0:24")  # three repositories: an example
+    assert got[3].spans == "" and got[4].n_owned == 1
+    assert got[5].spans == "reuse:7:16,reuse:26:35,reuse:39:48"
+    assert got[7].spans == "reuse:2:17,reuse:19:34,reuse:38:53"
+
+
+def test_many_matches_in_one_text_cost_in_proportion(spark):
+    def seconds(n):
+        rows = [(0, "password: Zx81Qw7vBn55Kd02", "a", "en"), (1, " ".join(f"token: abc{i:06d}x Zx81Qw7vBn55Kd02" for i in range(n)), "b", "en")]
+        start = time.monotonic()
+        _, got = scanned(spark, rows)
+        assert got[1].n_assign == n and got[1].spans.count("reuse") == n
+        return time.monotonic() - start
+
+    seconds(100)
+    assert seconds(32_000) < 4.5 * seconds(8_000)
+
+
 VALUES = [
     "+1 (262) 555-7240", "262-555-7240", "4387513035237269", "4111 1111 1111 1111", "iknkn.07@mail4.example.com", "13.216.148.142",
     "1999-02-28", "2024-02-29", "123-45-6789",
