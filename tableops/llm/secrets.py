@@ -6,11 +6,11 @@ one that a single owner has in few repositories is owner-specific, and live-look
 counts also add spans: a bare token whose value was found as an owner-specific live-looking secret elsewhere is a span
 of kind ``reuse``. Bare tokens are runs of six or more characters that a value can have, such runs cut at ``=`` and
 ``/``, and both without full stops at their end; whether one is a secret is for the join with the owned values to say. A
-bitmap of the owned values' hashes, at most ``BITS`` bits, keeps most tokens out of that join; a false hit costs work
-only.
+filter of two bits a value, ``BITS`` bits at most, keeps most tokens out of that join; a false hit costs work only.
 
-Places of matches come from the pieces of the text between them: their lengths, one small row a piece, are summed up
-by a window over the document's pieces, so a text with many matches costs in proportion to them. A value found in a
+Places of matches come from the pieces of the text between them, in blocks of ``BLOCK``: the blocks' lengths are summed
+up by a window over the document, and the pieces' lengths only in blocks where one counts, so a text with many matches
+costs in proportion to its length. A value found in a
 third of all documents is pre-aggregated per (value, owner, repository) before it is exchanged, and the lookup of the
 counts is salted by document. Nulls and ties: a null text is empty; a null owner or repository is one of its own;
 repeated rows count as one document and each get the full result.
@@ -18,6 +18,8 @@ repeated rows count as one document and each get the full result.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,12 +49,14 @@ WIDE_REPOS = 3
 #: A live-looking value has at least this many different characters.
 LIVE_CHARS = 6
 SALTS = 8
-#: Most bits of the bitmap of owned values; there are 16 a value up to that.
+#: Most bits of the filter of owned values; there are 64 a value up to that.
 BITS = 1 << 22
+#: Pieces of a text that are looked at, and exchanged, together.
+BLOCK = 256
 
 
 def _digest(values: Column) -> Column:
-    """A value's two hashes and whether it looks live: ``h`` for counting, ``x`` for the bitmap."""
+    """A value's two hashes and whether it looks live: ``h`` for counting, ``x`` for the filter."""
     return F.struct(
         F.sha2(values, 256).alias("h"),
         F.xxhash64(values).alias("x"),
@@ -60,40 +64,66 @@ def _digest(values: Column) -> Column:
     )
 
 
-def _pieces(kind: int, pattern: str, value, keep) -> Column:
-    """A kind's pieces of the text ``t``: what stands before each match, the match, and its digest if it counts; null
-    without a match. No value is kept in the clear."""
+def _blocks(kind: int, pattern: str, value, keep) -> Column:
+    """A kind's pieces of the text ``t`` -- what stands before each match, the match, its digest if it counts -- in blocks
+    of ``BLOCK`` pieces: a block's length, and its pieces where one counts. Null without a match. No value is kept in the
+    clear."""
     found = F.arrays_zip(F.split("t", pattern, -1).alias("p"), F.regexp_extract_all("t", F.lit(pattern), F.lit(0)).alias("m"))
-    piece = lambda x, i: F.struct(
-        F.lit(kind).alias("kind"),
-        i.alias("i"),
-        F.length(x["p"]).cast("long").alias("gap"),
-        F.coalesce(F.length(x["m"]), F.lit(0)).cast("long").alias("size"),
-        F.when(keep(x["m"]), _digest(value(x["m"]))).alias("d"),
-    )
-    return F.when(F.col("t").rlike(pattern), F.transform(found, piece))
+    gap = lambda x: F.length(x["p"]).cast("long")
+    size = lambda x: F.coalesce(F.length(x["m"]), F.lit(0)).cast("long")
+    counts = lambda x: x["m"].isNotNull() & keep(x["m"])
+
+    def piece(x: Column, i: Column) -> Column:
+        return F.struct(i.alias("i"), gap(x).alias("gap"), size(x).alias("size"), F.when(counts(x), _digest(value(x["m"]))).alias("d"))
+
+    def block(x: Column, b: Column) -> Column:
+        total = F.aggregate(x, F.lit(0).cast("long"), lambda a, y: a + gap(y) + size(y))
+        return F.struct(
+            F.lit(kind).alias("kind"), b.alias("b"), total.alias("total"), F.when(F.exists(x, counts), F.transform(x, piece)).alias("pieces")
+        )
+
+    def blocks(all_: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int"))
+        return F.transform(numbers, lambda b: F.transform(F.array(F.slice(all_, b * BLOCK + 1, BLOCK)), lambda x: block(x, b))[0])
+
+    # arrays of one element: what the inner function needs more than once is worked out once
+    return F.when(F.col("t").rlike(pattern), F.transform(F.array(found), blocks)[0])
 
 
-def _placed(pieces: DataFrame) -> DataFrame:
-    """``k1, k2, kind, start, stop, d`` of the pieces that count: places by a running sum over a document's pieces."""
-    upto = Window.partitionBy("k1", "k2", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    stop = F.sum(F.col("s.gap") + F.col("s.size")).over(upto)
-    rows = pieces.select("k1", "k2", F.col("s.kind").alias("kind"), F.col("s.i").alias("i"), "s").distinct()
-    rows = rows.select("k1", "k2", "kind", stop.alias("stop"), F.col("s.size").alias("size"), F.col("s.d").alias("d"))
-    return rows.where("d IS NOT NULL").select("k1", "k2", "kind", (F.col("stop") - F.col("size")).alias("start"), "stop", "d")
+def _placed(blocks: DataFrame) -> DataFrame:
+    """``k1, k2, kind, start, stop, d`` of the pieces that count, from ``k1, k2, s``: places by running sums over a
+    document's blocks and over a block's pieces."""
+    key = ["k1", "k2", "kind"]
+    rows = blocks.select("k1", "k2", "s.*").dropDuplicates([*key, "b"])  # repeated rows
+    upto = Window.partitionBy(*key).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("before", F.sum("total").over(upto) - F.col("total")).where("pieces IS NOT NULL")
+    rows = rows.select(*key, "b", "before", F.explode("pieces").alias("x"))
+    upto = Window.partitionBy(*key, "b").orderBy("x.i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stop = F.col("before") + F.sum(F.col("x.gap") + F.col("x.size")).over(upto)
+    rows = rows.select(*key, stop.alias("stop"), F.col("x.size").alias("size"), F.col("x.d").alias("d")).where("d IS NOT NULL")
+    return rows.select(*key, (F.col("stop") - F.col("size")).alias("start"), "stop", "d")
 
 
-def _bitmap(owned: DataFrame) -> tuple[int, Column] | None:
-    """(bits, words of 64 bits) of the owned values' hashes; None without any. The driver holds ``BITS`` bits at most."""
+def _probes(x: Column, bits: int) -> list[Column]:
+    """The two bits of a hash."""
+    return [F.pmod(x, F.lit(bits)).cast("int"), F.pmod(F.shiftright(x, 32), F.lit(bits)).cast("int")]
+
+
+def _filter(owned: DataFrame):
+    """A test of hashes that all owned values pass and few others; None without owned values. The driver holds ``BITS``
+    bits at most."""
     n = owned.count()
     if not n:
         return None
-    bits = min(BITS, max(1 << 10, 1 << (16 * n - 1).bit_length()))
-    at = F.pmod("x", F.lit(bits))
-    words = owned.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(x, {bits}) & 63 AS int))").alias("bit"))
-    found = dict(words.groupBy("word").agg(F.bit_or("bit")).collect())
+    bits = min(BITS, max(1 << 20, 1 << (64 * n - 1).bit_length()))
+    one = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)))
+    words = owned.select(F.explode(F.array(*_probes(F.col("x"), bits))).alias("at"))
+    found = dict(words.groupBy(F.shiftright("at", 6)).agg(F.bit_or(one(F.col("at")))).collect())
     text = ",".join(str(found.get(w, 0)) for w in range(bits >> 6))
-    return bits, F.split(F.lit(text), ",").cast("array<bigint>")  # folded into one literal
+    table = F.split(F.lit(text), ",").cast("array<bigint>")  # folded into one literal
+    return lambda m: functools.reduce(
+        lambda a, b: a & b, [F.get(table, F.shiftright(at, 6)).bitwiseAND(one(at)) != 0 for at in _probes(F.xxhash64(m), bits)]
+    )
 
 
 def _joined(spans: Column) -> Column:
@@ -144,15 +174,16 @@ def scan(
     whole = lambda m: m
     base_kinds = F.array_compact(
         F.array(
-            _pieces(0, ASSIGN, assign_value, lambda m: F.length(assign_value(m)) >= 6),
-            _pieces(1, ACCESS, whole, lambda m: F.length(m) >= 20),
-            _pieces(2, HEX, whole, lambda m: m.isNotNull()),
+            _blocks(0, ASSIGN, assign_value, lambda m: F.length(assign_value(m)) >= 6),
+            _blocks(1, ACCESS, whole, lambda m: F.length(m) >= 20),
+            _blocks(2, HEX, whole, lambda m: F.lit(True)),
         )
     )
     base = stage.write(texts.select("k1", "k2", "owner", "repo", F.explode(F.flatten(base_kinds)).alias("s")), "base")
 
     # who has each value: distinct (value, owner, repository) first, so a common value is one row per task
-    seen = base.where("s.d IS NOT NULL").select("owner", "repo", "s.d.*")
+    seen = base.where("s.pieces IS NOT NULL").select("owner", "repo", F.explode("s.pieces").alias("x"))
+    seen = seen.where("x.d IS NOT NULL").select("owner", "repo", "x.d.*")
     by_repo = seen.groupBy("h", "owner", "repo").agg(F.max("live").alias("live"), F.max("x").alias("x"))
     by_owner = by_repo.groupBy("h", "owner").agg(F.count(F.lit(1)).alias("repos"), F.max("live").alias("live"), F.max("x").alias("x"))
     values = by_owner.groupBy("h").agg(
@@ -171,16 +202,8 @@ def scan(
     )
 
     placed = _placed(base.select("k1", "k2", "s"))
-    found = _bitmap(values.where("owned"))
-    if found is not None:
-        bits, words = found
-
-
-        def hit(x: Column) -> Column:
-            at = F.pmod(x, F.lit(bits)).cast("int")
-            one = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)))
-            return F.get(words, F.shiftright(at, 6)).bitwiseAND(one) != 0
-
+    hit = _filter(values.where("owned"))
+    if hit is not None:
         placed = placed.unionByName(_bare(texts, hit, stage))
     spans = placed.select("k1", "k2", "kind", "start", "stop", F.col("d.h").alias("h"), F.pmod("k1", F.lit(SALTS)).alias("salt"))
     salted = values.drop("x").withColumn("salt", F.explode(F.array(*[F.lit(k).cast("long") for k in range(SALTS)])))
@@ -205,14 +228,10 @@ def scan(
 
 
 def _bare(texts: DataFrame, hit, stage: Stage) -> DataFrame:
-    """Places of the bare tokens whose hash the bitmap has, in texts that have such a token."""
+    """Places of the bare tokens that pass ``hit``, in texts that have such a token."""
     kinds = [
-        F.when(
-            F.exists(F.regexp_extract_all("t", F.lit(p), F.lit(0)), lambda m: hit(F.xxhash64(m))),
-            _pieces(REUSE + k, p, lambda m: m, lambda m: F.coalesce(hit(F.xxhash64(m)), F.lit(False))),
-        )
+        F.when(F.exists(F.regexp_extract_all("t", F.lit(p), F.lit(0)), hit), _blocks(REUSE + k, p, lambda m: m, hit))
         for k, p in enumerate(BARE)
     ]
-    pieces = texts.select("k1", "k2", F.explode(F.flatten(F.array_compact(F.array(*kinds)))).alias("s"))
-    bare = _placed(stage.write(pieces, "bare"))
-    return bare.withColumn("kind", F.lit(REUSE)).distinct()
+    blocks = texts.select("k1", "k2", F.explode(F.flatten(F.array_compact(F.array(*kinds)))).alias("s"))
+    return _placed(stage.write(blocks, "bare")).withColumn("kind", F.lit(REUSE)).distinct()
