@@ -46,9 +46,10 @@ KINDS = {
 #: a whole run of groups of digits, up to one that begins a value of another kind
 KINDS["card"] = rf"(?<![0-9])[0-9](?:(?:[ -](?!{KINDS['date']}|{KINDS['phone']}|{KINDS['ssn']}))?[0-9]){{12,}}+(?![0-9])"
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
-#: Dates from 1800-01-01 to 2199-12-31 are 400 Gregorian years: 27 * 5411 days.
-#: 88497 = 9 * 9833 of them are after the 12th of their month.
-FIRST_DAY, DATE_RADIX, LATE_RADIX = "1800-01-01", (27, 5411), (9, 9833)
+#: Dates from 1800-01-01 to 2199-12-31 are 4800 months: 57600 = 240 * 240 days up to the 12th of a month, 88497 = 9 * 9833
+#: after it. Either class is permuted within itself, whatever the layout: a day that only as a day can stand first
+#: stays one, and a date has one pseudonym in all layouts.
+FIRST_DAY, EARLY_RADIX, LATE_RADIX = "1800-01-01", (240, 240), (9, 9833)
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
@@ -187,13 +188,8 @@ def _fill(m: Column, digits: Column) -> Column:
     return F.when(F.length(text) == F.length(digits), F.array_join(numbered, "")).otherwise(m)
 
 
-def _late(m: Column) -> Column:
-    """Whether only a day after the 12th tells that the day comes first: it has to stay one."""
-    return ~m.rlike("^[0-9]{4}") & (_part(m, 3, 1) != ".") & (_part(m, 1, 2) > "12")
-
-
-def _moved_day(day: Column, key: str, undo: bool, late: Column) -> Column:
-    """The date at the permuted place among all days, or, where ``late``, among those after the 12th of a month."""
+def _moved_day(day: Column, key: str, undo: bool) -> Column:
+    """The date at the permuted place among those up to the 12th of a month, or among those after it."""
     first = F.lit(FIRST_DAY).cast("date")
 
     def moved(at: Column, radix: tuple[int, int], tweak: str) -> Column:
@@ -201,17 +197,20 @@ def _moved_day(day: Column, key: str, undo: bool, late: Column) -> Column:
         pair = _let(at, lambda x: F.array(F.floor(x / b).cast("int"), F.pmod(x, F.lit(b))))
         return _let(feistel(pair, F.array(F.lit(a), F.lit(b)), key, F.lit(tweak), undo), lambda out: out[0] * b + out[1])
 
-    def of_place(place: Column) -> Column:
+    def late(place: Column) -> Column:
         # the last month that has no more late days before it than the place says; about the average
         before = lambda n: F.datediff(F.add_months(first, n), first) - 12 * n
         near = F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda x: F.floor(place * 4800 / (LATE_RADIX[0] * LATE_RADIX[1])).cast("int") + x)
         month = F.array_max(F.filter(near, lambda n: (n >= 0) & (n < 4800) & (before(n) <= place)))
         return _let(month, lambda n: F.date_add(F.add_months(first, n), 12 + place - before(n)))
 
+    def early(place: Column) -> Column:
+        return F.date_add(F.add_months(first, F.floor(place / 12).cast("int")), F.pmod(place, F.lit(12)))
+
     def of_day(d: Column) -> Column:
         months = (F.year(d) - F.lit(int(FIRST_DAY[:4]))) * 12 + F.month(d) - 1
-        return F.when(late, _let(moved(F.datediff(d, first) - 12 * (months + 1), LATE_RADIX, "late"), of_place)).otherwise(
-            F.date_add(first, moved(F.datediff(d, first), DATE_RADIX, "date"))
+        return F.when(F.dayofmonth(d) > 12, _let(moved(F.datediff(d, first) - 12 * (months + 1), LATE_RADIX, "late"), late)).otherwise(
+            _let(moved(months * 12 + F.dayofmonth(d) - 1, EARLY_RADIX, "early"), early)
         )
 
     return _let(day, of_day)
@@ -291,7 +290,7 @@ def pseudonym(m: Column, key: str, undo: bool = False) -> Column:
     )
 
     day = F.try_to_timestamp(_iso(m), F.lit("yyyy-MM-dd")).cast("date")
-    date = _let(_moved_day(day, key, undo, _late(m)), lambda d: _like(m, d))
+    date = _let(_moved_day(day, key, undo), lambda d: _like(m, d))
 
     made = {"email": email, "date": date, "phone": phone, "ssn": ssn, "ip": ip, "card": card}
 

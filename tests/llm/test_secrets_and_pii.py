@@ -1,3 +1,4 @@
+import datetime as dt
 import hashlib
 import re
 import time
@@ -189,3 +190,27 @@ def test_messy_rows(messy, nothing):
     assert got.count() == messy.count() and got.where("text IS NULL").count() == messy.where("text IS NULL").count()
     assert got.where("contains(text, '4111 1111')").count() == 0
     assert pii.pseudonymise(nothing, "key").count() == 0
+
+
+def moved_date(day, key):
+    """The pseudonym of a date, independently: places are looked up in the list of all days of its class."""
+    early = day.day <= 12
+    days = [d for d in (dt.date(1800, 1, 1) + dt.timedelta(k) for k in range(146097)) if (d.day <= 12) == early]
+    radix, tweak = ((240, 240), "early") if early else ((9, 9833), "late")
+    halves = list(divmod(days.index(day), radix[1]))
+    for k in range(8):
+        add = int(hashlib.md5(f"{key}:{tweak}:{k}:{halves[1 - k % 2]}".encode()).hexdigest()[(k % 2 * 5) :][:6], 16)
+        halves[k % 2] = (halves[k % 2] + add) % radix[k % 2]
+    return days[halves[0] * radix[1] + halves[1]]
+
+
+def test_dates_are_linked_in_all_layouts_and_equal_an_independent_version(spark):
+    dates = [dt.date(1990, 12, 25), dt.date(1990, 12, 12), dt.date(2024, 2, 29), dt.date(1800, 1, 1), dt.date(2199, 12, 31), dt.date(2000, 1, 13)]
+    layouts = ["%Y-%m-%d", "%Y/%m/%d", "%d.%m.%Y", "%m/%d/%Y", "%m-%d-%Y"]
+    rows = [(k, " ".join(d.strftime(x) for x in layouts) + (d.strftime(" %d/%m/%Y") if d.day > 12 else "")) for k, d in enumerate(dates)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for key in ("k1", "another"):
+        got = {r.doc_id: r.text.split() for r in pii.pseudonymise(docs, key).collect()}
+        for k, d in enumerate(dates):
+            read = [dt.datetime.strptime(t, x).date() for t, x in zip(got[k], [*layouts, "%d/%m/%Y"])]
+            assert set(read) == {moved_date(d, key)}
