@@ -424,7 +424,8 @@ def q_streaming_upsert(spark, sf_dir) -> DataFrame:
 
 
 def web_sales(t: Tables) -> DataFrame:
-    """One sale message per order; ``Body`` is its JSON in hexadecimal, as captured."""
+    """One sale message per order; ``Body`` is its JSON in hexadecimal, as captured. The message's field names are fixed
+    values (see ``WEB_SALE_FIELDS``)."""
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     s = lambda c: F.col(c).cast("string")
     payer = F.when(
@@ -462,7 +463,8 @@ def web_sales(t: Tables) -> DataFrame:
     return o.select("o_orderkey", text.alias("EVENT_PAYLOAD"), F.hex(F.encode(text, "UTF-8")).alias("Body"))
 
 
-#: Columns read from a sale message: a path, or the club path, infix and id path of a composite code.
+# The table's columns and where a sale message has them: a path, or the club path, infix and id path of a
+# composite code.
 WEB_SALE_FIELDS = {
     "salesperson_externalid": "salesPerson.externalId",
     "sale_type": "saleType",
