@@ -13,11 +13,18 @@ word, each with the node, as features. Tokens that meet in a cell have their smo
 probabilities of all tokens add up to 1. Features are hashed into tables that grow with the root of the number of
 training tokens.
 
-Training counts the tokens of all training documents exactly. The weights start as the unigram model; in each of
-``ROUNDS`` rounds the partitions make gradient updates on their part of that round's training documents and the
-updates are averaged by the number of tokens; every training document is used in one round. Scoring is one pass
-in numpy batches with the weights, the masses of the cells (four bytes a cell) and the counts of the ``HEAD`` most
-frequent tokens broadcast; the counts of the rarer tokens are joined.
+Training counts the tokens of all training documents exactly. The weights start as the unigram model. Every training
+document belongs, by the hash of its id and text, to one of ``ROUNDS`` rounds and to one shard of the round; shards hold
+about ``SHARD`` tokens for every table row factor, however the input is split. In a round each shard makes gradient
+updates from the common weights, in the order of the hashes and in batches that no split of the input moves. Only the
+rows of the tables that a shard touched leave its task; a row's changes are averaged by the number of tokens that had
+it as a feature in each shard, so a rare feature keeps what its few shards learned. The scores do not depend on the
+partitioning.
+
+Scoring is one pass in numpy batches with the weights, the masses of the cells (four bytes a cell) and the counts of
+the ``HEAD`` most frequent tokens broadcast; the counts of the rarer tokens are joined. All that the driver holds or
+broadcasts is bounded: the tables stop growing at ``MOST_GROWTH`` (270 MB), the cells at ``2 ** CELL_BITS`` (64 MB);
+beyond that number of tokens those of a cell share its probability by their counts.
 
 Nulls and ties: a null text is empty and consists of the end token; a null id counts as the empty string when the
 training part is chosen; repeated rows count repeatedly; without training tokens every token has the same
@@ -46,13 +53,21 @@ CLASS_ROWS, SLOT_ROWS, TAIL_ROWS = (1 << 13, 1 << 14, 1 << 13), (1 << 13, 1 << 1
 LEVEL_BITS = 5
 #: Tokens whose counts are broadcast (16 MB); the counts of the others are joined.
 HEAD = 1 << 20
-ROUNDS, STEP, TAIL_STEP, BATCH = 2, 0.2, 0.4, 8192
-#: Weights travel in pieces of this many numbers.
-PIECE = 1 << 14
+ROUNDS, STEP, TAIL_STEP, BATCH = 2, 0.2, 0.4, 4096
+#: Training tokens of a shard, times the factor of the tables
+SHARD = 1 << 21
+MOST_GROWTH, CELL_BITS = 16, 24
+#: Tasks of a round; beyond that a task works through several shards.
+MOST_TASKS = 1 << 14
+#: Weights travel in blocks of this many table rows, masses in blocks of this many cells.
+ROWS_BLOCK, CELLS_BLOCK = 512, 1 << 14
+#: Tokens of a shard are learned in runs of this many, whatever batches they come in.
+RUN = 16 * BATCH
 
 _U = np.uint64
 END = mixed(np.array([0x5EED], _U))[0]
 _OTHER = CLASSES
+_LN10 = math.log(10)
 
 
 def _with_ends(words: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -75,32 +90,33 @@ def _with_ends(words: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.
 def _features(before: np.ndarray, skip: np.ndarray, grow: int = 1) -> tuple[np.ndarray, ...]:
     """Rows of the class table."""
     a, b, c = (rows * grow for rows in CLASS_ROWS)
-    one = mixed(before + _U(11)) % _U(a)
-    two = mixed(before * _U(0x9E3779B97F4A7C15) + skip + _U(12)) % _U(b) + _U(a)
-    gap = mixed(skip + _U(13)) % _U(c) + _U(a + b)
+    one = mixed(before + _U(11)) & _U(a - 1)
+    two = (mixed(before * _U(0x9E3779B97F4A7C15) + skip + _U(12)) & _U(b - 1)) + _U(a)
+    gap = (mixed(skip + _U(13)) & _U(c - 1)) + _U(a + b)
     return one.astype(np.int64), two.astype(np.int64), gap.astype(np.int64)
 
 
 def _slot_features(before: np.ndarray, skip: np.ndarray, kind: np.ndarray, grow: int = 1) -> tuple[np.ndarray, ...]:
     a, b = (rows * grow for rows in SLOT_ROWS)
     spread = kind.astype(_U) * _U(0xC2B2AE3D27D4EB4F)
-    return (mixed(before + spread) % _U(a)).astype(np.int64), (mixed(skip + spread + _U(14)) % _U(b) + _U(a)).astype(np.int64)
+    return (mixed(before + spread) & _U(a - 1)).astype(np.int64), ((mixed(skip + spread + _U(14)) & _U(b - 1)) + _U(a)).astype(np.int64)
 
 
 def _tail_features(before: np.ndarray, skip: np.ndarray, node: np.ndarray, grow: int) -> tuple[np.ndarray, ...]:
-    rows = _U(TAIL_ROWS * grow)
+    last = _U(TAIL_ROWS * grow - 1)
     spread = (node.astype(_U) + _U(1)) * _U(0xC2B2AE3D27D4EB4F)
-    return (mixed(before + spread + _U(15)) % rows).astype(np.int64), (mixed(skip + spread + _U(16)) % rows).astype(np.int64)
+    return (mixed(before + spread + _U(15)) & last).astype(np.int64), (mixed(skip + spread + _U(16)) & last).astype(np.int64)
 
 
 def growth(n: int) -> int:
     """The factor of the feature tables for ``n`` training tokens: a power of two that follows the root of ``n``."""
-    return 1 << max(0, math.ceil(math.log2(max(n, 1)) / 2) - 13)
+    return min(1 << max(0, math.ceil(math.log2(max(n, 1)) / 2) - 13), MOST_GROWTH)
 
 
 def tail_bits(v: int) -> int:
-    """Bits of the cells for ``v`` training tokens: at least one cell a token; none when all tokens have slots."""
-    return max(int(v - 1).bit_length(), 1) if v > CLASSES * SLOTS else 0
+    """Bits of the cells for ``v`` training tokens: at least one cell a token, up to ``CELL_BITS``; none when all tokens
+    have slots."""
+    return min(max(int(v - 1).bit_length(), 1), CELL_BITS) if v > CLASSES * SLOTS else 0
 
 
 def cells_of(tokens: np.ndarray, bits: int) -> np.ndarray:
@@ -125,12 +141,13 @@ class Model:
         mass = self.masses.sum(dtype=np.float64)
         #: log10 of the shares of the unseen and of the counted tokens among those without slots
         self.unseen, self.counted = (math.log10(0.5 / (mass + 0.5)), math.log10(max(mass, 0.5) / (mass + 0.5))) if self.bits else (0.0, 0.0)
-        #: per level of the tail: (bits below it, log masses of each node's children)
+        #: per level of the tail: (bits below it, log shares of each node's children)
         self.levels, below = [], self.bits
         for b in self.level_bits(self.bits):
             below -= b
             sums = self.masses.reshape(-1, 1 << below).sum(1, dtype=np.float64) if below else self.masses
-            self.levels.append((below, np.log(np.maximum(sums, 1e-20)).astype(np.float32).reshape(-1, 1 << b)))
+            sums = np.maximum(sums, 1e-20).reshape(-1, 1 << b)
+            self.levels.append((below, (np.log(sums) - np.log(sums.sum(1, keepdims=True, dtype=np.float64))).astype(np.float32)))
 
     @staticmethod
     def level_bits(bits: int) -> list[int]:
@@ -164,41 +181,46 @@ class Model:
         return np.where(at >= 0, at % CLASSES, _OTHER), np.where(at >= 0, at // CLASSES, -1)
 
     @staticmethod
-    def _softmax(z: np.ndarray) -> np.ndarray:
-        z -= z.max(axis=1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
+    def _sums(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+        """(exp of ``z``, its row sums, what was taken off each row before): nothing unless a sum leaves its range."""
+        ones = np.ones(z.shape[1], np.float32)
+        with np.errstate(over="ignore"):
+            e = np.exp(z)
+            s = e @ ones
+        if len(s) and s.min() > 1e-30 and s.max() < 1e30:
+            return e, s, 0.0
+        top = z.max(axis=1)
+        e = np.exp(z - top[:, None])
+        return e, e @ ones, top
+
+    def _logits(self, table: int, features: tuple, start: np.ndarray) -> np.ndarray:
+        w = self.parts[table]
+        z = np.take(w, features[0], axis=0)
+        for f in features[1:]:
+            z += np.take(w, f, axis=0)
+        z += start
         return z
 
-    def class_probabilities(self, features: tuple) -> np.ndarray:
-        w, bias = self.parts[:2]
-        z = w[features[0]] + bias
-        for f in features[1:]:
-            z += w[f]
-        return self._softmax(z)
+    def _chosen(self, table: int, features: tuple, start: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log probabilities of the targets."""
+        z = self._logits(table, features, start)
+        _, s, top = self._sums(z)
+        return z[np.arange(len(z)), target].astype(np.float64) - top - np.log(s)
 
-    def slot_probabilities(self, features: tuple, kind: np.ndarray) -> np.ndarray:
-        w, bias = self.parts[2:4]
-        z = w[features[0]] + bias[kind]
-        for f in features[1:]:
-            z += w[f]
-        return self._softmax(z)
-
-    def tail_probabilities(self, level: int, features: tuple, node: np.ndarray) -> np.ndarray:
-        w = self.parts[4 + level]
-        z = self.levels[level][1][node]
-        for f in features:
-            z += w[f]
-        return self._softmax(z)
+    def _errors(self, table: int, features: tuple, start: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Probabilities less one for the target: the gradient of the logits."""
+        e, s, _ = self._sums(self._logits(table, features, start))
+        e *= (1 / s)[:, None]
+        e[np.arange(len(e)), target] -= 1
+        return e
 
     def tail_steps(self, tokens: np.ndarray, before: np.ndarray, skip: np.ndarray) -> Iterator[tuple]:
-        """Per level of the tail: (level, its features, the child on the way to each token, probabilities)."""
+        """Per level of the tail: (its table, its features, log shares of the node, the child on the way to each token)."""
         cells = cells_of(tokens, self.bits)
         for level, (below, logs) in enumerate(self.levels):
             path = cells >> below
             node, child = path // logs.shape[1], path % logs.shape[1]
-            features = _tail_features(before, skip, node, self.grow)
-            yield level, features, child, self.tail_probabilities(level, features, node)
+            yield 4 + level, _tail_features(before, skip, node, self.grow), np.take(logs, node, axis=0), child
 
     def log10(self, tokens: np.ndarray, before: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(log10 of class and slot probability, whether the token is one without a slot, taken for unseen)."""
@@ -213,61 +235,78 @@ class Model:
         seen = np.zeros(len(tokens))
         for k in range(0, len(tokens), BATCH):
             part = slice(k, k + BATCH)
-            p = self.class_probabilities(_features(before[part], skip[part], self.grow))
-            out[part] = np.log10(p[np.arange(len(p)), kind[part]])
+            out[part] = self._chosen(0, _features(before[part], skip[part], self.grow), self.parts[1], kind[part])
             own = np.flatnonzero(slot[part] >= 0) + k
             if len(own):
-                q = self.slot_probabilities(_slot_features(before[own], skip[own], kind[own], self.grow), kind[own])
-                out[own] += np.log10(q[np.arange(len(q)), slot[own]])
+                features = _slot_features(before[own], skip[own], kind[own], self.grow)
+                out[own] += self._chosen(2, features, np.take(self.parts[3], kind[own], axis=0), slot[own])
             rest = np.flatnonzero(slot[part] < 0) + k
             if len(rest) and self.bits:
-                log = out[rest] + self.counted - np.log10(np.maximum(self.masses[cells_of(tokens[rest], self.bits)], 0.5))
-                for _, _, child, q in self.tail_steps(tokens[rest], before[rest], skip[rest]):
-                    log += np.log10(np.maximum(q[np.arange(len(q)), child], 1e-30))
-                seen[rest] = log
-                out[rest] += self.unseen
+                log = out[rest] + self.counted * _LN10 - np.log(np.maximum(self.masses[cells_of(tokens[rest], self.bits)], 0.5))
+                for table, features, shares, child in self.tail_steps(tokens[rest], before[rest], skip[rest]):
+                    log += np.maximum(self._chosen(table, features, shares, child), -69)
+                seen[rest] = log / _LN10
+                out[rest] += self.unseen * _LN10
+        out /= _LN10
         return out, seen, slot < 0
 
-    def learn(self, tokens: np.ndarray, before: np.ndarray, skip: np.ndarray, squares: list[np.ndarray]) -> None:
+    def learn(
+        self, tokens: np.ndarray, before: np.ndarray, skip: np.ndarray, squares: list[np.ndarray], uses: list[np.ndarray] | None = None
+    ) -> None:
         """Gradient updates on batches of tokens, with step sizes by each row's squared gradients so far.
 
-        With a tail, every token is one with a count.
+        With a tail, every token is one with a count. ``uses`` gains the tokens that had each row as a feature.
         """
         kind, slot = self.targets(tokens)
+
+        def step(table: int, features: tuple, start: np.ndarray, target: np.ndarray) -> None:
+            g = self._errors(table, features, start, target)
+            for f in features:
+                self._update(table, f, g, squares, uses)
+
         for k in range(0, len(tokens), BATCH):
             part = slice(k, k + BATCH)
-            features = _features(before[part], skip[part], self.grow)
-            g = self.class_probabilities(features)
-            g[np.arange(len(g)), kind[part]] -= 1
-            for f in features:
-                self._update(0, f, g, squares)
+            step(0, _features(before[part], skip[part], self.grow), self.parts[1], kind[part])
             own = np.flatnonzero(slot[part] >= 0) + k
             if len(own):
                 features = _slot_features(before[own], skip[own], kind[own], self.grow)
-                g = self.slot_probabilities(features, kind[own])
-                g[np.arange(len(g)), slot[own]] -= 1
-                for f in features:
-                    self._update(2, f, g, squares)
+                step(2, features, np.take(self.parts[3], kind[own], axis=0), slot[own])
             rest = np.flatnonzero(slot[part] < 0) + k
             if len(rest) and self.bits:
-                for level, features, child, g in self.tail_steps(tokens[rest], before[rest], skip[rest]):
-                    g[np.arange(len(g)), child] -= 1
-                    for f in features:
-                        self._update(4 + level, f, g, squares)
+                for table, features, shares, child in self.tail_steps(tokens[rest], before[rest], skip[rest]):
+                    step(table, features, shares, child)
 
-    def _update(self, table: int, rows: np.ndarray, g: np.ndarray, squares: list[np.ndarray]) -> None:
+    def _update(self, table: int, rows: np.ndarray, g: np.ndarray, squares: list[np.ndarray], uses: list[np.ndarray] | None) -> None:
         order = np.argsort(rows.astype(np.uint16), kind="stable")
         if len(self.parts[table]) > 1 << 16:  # then by the higher bits
             order = order[np.argsort((rows[order] >> 16).astype(np.uint16), kind="stable")]
         ordered = rows[order]
         first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        total = np.add.reduceat(g[order], first, axis=0)
+        sizes = np.diff(np.append(first, len(ordered)))
+        total = _group_sums(g, order, first, sizes)
         rows = ordered[first]
-        squares[table][rows] += np.einsum("ij,ij->i", total, total)
-        total *= ((STEP if table < 4 else TAIL_STEP) / np.sqrt(squares[table][rows] + 1))[:, None]
+        if uses is not None:
+            uses[table][rows] += sizes
+        square = squares[table][rows] + np.einsum("ij,ij->i", total, total)
+        squares[table][rows] = square
+        total *= ((STEP if table < 4 else TAIL_STEP) / np.sqrt(square + 1))[:, None]
         self.parts[table][rows] -= total
 
 
+def _group_sums(g: np.ndarray, order: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``g`` by groups of ``order``: most groups have one row, which is only copied."""
+    total = np.take(g, order[first], axis=0)
+    many = np.flatnonzero(sizes > 1)
+    if len(many):
+        rest = np.ones(len(order), bool)
+        rest[first] = False
+        more, ends = np.take(g, order[rest], axis=0), np.cumsum(sizes[many] - 1)
+        if more.shape[1] % 2 == 0:  # two columns as one complex number: half as many sums
+            more = more.view(np.complex64)
+        total[many] += np.add.reduceat(more, np.append(0, ends[:-1]), axis=0).view(np.float32)
+    return total
+
+
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         got = [_with_ends(words, per_text)[0] for _, _, words, per_text in word_blocks(batch.column("text"))]
@@ -277,55 +316,141 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(h[part].view(np.int64)), pa.array(n[part], pa.int64())], ["h", "c"])
 
 
-_PIECES = "piece int, tokens long, w binary"
+#: Changed rows of one block of a table: their places in the block, their uses, their changes
+_CHANGES = "part int, block int, shard long, rows binary, uses binary, w binary"
+
+
+class _Run:
+    """Tokens with their contexts, put together from arrays of any length and given out in runs of ``RUN``."""
+
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, *arrays: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        self.held.append(arrays)
+        self.size += len(arrays[0])
+        if self.size >= RUN:
+            joined = self.rest()
+            whole = len(joined[0]) // RUN * RUN
+            for k in range(0, whole, RUN):
+                yield tuple(x[k : k + RUN] for x in joined)
+            self.held, self.size = [tuple(x[whole:] for x in joined)], len(joined[0]) - whole
+
+    def rest(self) -> tuple[np.ndarray, ...]:
+        return tuple(map(np.concatenate, zip(*self.held)))
+
+
+class _Shard:
+    """The updates of one shard, from the common weights."""
+
+    def __init__(self, number: int, words: np.ndarray, flat: np.ndarray, masses: np.ndarray, grow: int):
+        self.number, self.start = number, Model(words, flat, masses, grow)
+        self.model = Model(words, flat.copy(), masses, grow)
+        self.squares = [np.zeros(len(p), np.float32) for p in self.model.parts]
+        self.uses = [np.zeros(len(p), np.int32) for p in self.model.parts]
+        self.run = _Run()
+
+    def learn(self, column: pa.Array) -> None:
+        for _, _, words, per_text in word_blocks(column):
+            for run in self.run.add(*_with_ends(words, per_text)[:3]):
+                self.model.learn(*run, self.squares, self.uses)
+
+    def changes(self) -> Iterator[pa.RecordBatch]:
+        """The change of the touched rows, in half precision."""
+        if self.run.size:
+            self.model.learn(*self.run.rest(), self.squares, self.uses)
+        types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        for part, uses in enumerate(self.uses):
+            for block in range(0, len(uses), ROWS_BLOCK):
+                rows = np.flatnonzero(uses[block : block + ROWS_BLOCK])
+                if len(rows):
+                    w = (self.model.parts[part][block + rows] - self.start.parts[part][block + rows]).astype(np.float16)
+                    values = (part, block, self.number, rows.astype(np.int16).tobytes(), uses[block + rows].tobytes(), w.tobytes())
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], _names(_CHANGES))
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
 def _train(state: Broadcast):
-    """One partition's updates: the change of the weights, in pieces of half precision, and its number of tokens."""
+    """The changes of all shards of a partition, whose rows come sorted by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, flat, masses, grow = state.value
-        model = Model(words, flat.copy(), masses, grow)
-        squares = [np.zeros(len(p), np.float32) for p in model.parts]
-        seen = 0
+        shard = None
         for batch in batches:
-            for _, _, words_, per_text in word_blocks(batch.column("text")):
-                tokens, before, skip, _ = _with_ends(words_, per_text)
-                model.learn(tokens, before, skip, squares)
-                seen += len(tokens)
-        if seen:
-            for k in range(0, len(flat), PIECE):
-                piece = (model.flat[k : k + PIECE] - flat[k : k + PIECE]).astype(np.float16).tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k // PIECE], pa.int32()), pa.array([seen], pa.int64()), pa.array([piece], pa.binary())], ["piece", "tokens", "w"]
-                )
+            numbers = batch.column("shard").to_numpy()
+            cuts = np.flatnonzero(np.diff(numbers)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(numbers)]):
+                if a == b:
+                    continue
+                if shard is None or shard.number != numbers[a]:
+                    if shard is not None:
+                        yield from shard.changes()
+                    shard = _Shard(int(numbers[a]), *state.value)
+                shard.learn(batch.column("text").slice(a, b - a))
+        if shard is not None:
+            yield from shard.changes()
 
     return run
 
 
-def _add_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds up the pieces of all partitions, each times its number of tokens; rows come sorted by piece."""
-    current, total, seen = None, None, 0
+def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Averages each row's changes over its shards by their uses; blocks come sorted, their shards in order."""
+    key, total, uses = None, None, None
 
     def done() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([current], pa.int32()), pa.array([seen], pa.int64()), pa.array([total.astype(np.float32).tobytes()], pa.binary())],
-            ["piece", "tokens", "w"],
-        )
+        rows = np.flatnonzero(uses)
+        w = (total[rows] / uses[rows, None]).astype(np.float32)
+        values = (*key, rows.astype(np.int16).tobytes(), w.tobytes())
+        types = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], _names(_AVERAGES))
 
     for batch in batches:
-        for piece, tokens, w in zip(*[batch.column(c).to_pylist() for c in ("piece", "tokens", "w")]):
-            w = np.frombuffer(w, np.float16).astype(np.float64) * tokens
-            if piece != current:
-                if current is not None:
+        for part, block, rows, n, w in zip(*[batch.column(c).to_pylist() for c in ("part", "block", "rows", "uses", "w")]):
+            rows, n = np.frombuffer(rows, np.int16), np.frombuffer(n, np.int32)
+            w = np.frombuffer(w, np.float16).reshape(len(rows), -1).astype(np.float64)
+            if (part, block) != key:
+                if key is not None:
                     yield done()
-                current, total, seen = piece, np.zeros_like(w), 0
-            total += w
-            seen += tokens
-    if current is not None:
+                key, total, uses = (part, block), np.zeros((ROWS_BLOCK, w.shape[1])), np.zeros(ROWS_BLOCK)
+            total[rows] += w * n[:, None]
+            uses[rows] += n
+    if key is not None:
         yield done()
 
 
+_AVERAGES = "part int, block int, rows binary, w binary"
+
+
+def _cell_masses(bits: int):
+    """Smoothed counts a cell, by blocks of cells; rows come sorted by block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, total = None, None
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["block", "m"])
+
+        for batch in batches:
+            cells = cells_of(batch.column("h").to_numpy().view(_U), bits)
+            blocks, counts = cells // CELLS_BLOCK, batch.column("c").to_numpy() + 0.5
+            cuts = np.flatnonzero(np.diff(blocks)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(blocks)]):
+                if a == b:
+                    continue
+                if blocks[a] != block:
+                    if block is not None:
+                        yield done()
+                    block, total = int(blocks[a]), np.zeros(CELLS_BLOCK)
+                total += np.bincount(cells[a:b] - block * CELLS_BLOCK, counts[a:b], CELLS_BLOCK)
+        if block is not None:
+            yield done()
+
+    return run
+
+
 _SCORED = "id {kind}, k long, n_tokens long, n_known long, base double, model double, h long, tf long, seen double, unseen double"
 
 
@@ -407,14 +532,17 @@ class LanguageModel:
         words, c = top.column("h").to_numpy().view(_U), top.column("c").to_numpy()
         self.word_counts, self.grow, self.masses = c, growth(self.n), self.tail_masses(words, c)
         model = Model.start(words, c, 0.5, self.masses, self.grow)
+        shards = max(1, math.ceil(self.n / ROUNDS / (SHARD * self.grow)))
+        place = F.xxhash64("id", "text")
+        placed = training.select(place.alias("o"), F.pmod(F.shiftrightunsigned(place, 8), F.lit(shards)).alias("shard"), "text")
         for r in range(ROUNDS):
-            part = training.where(F.pmod(F.xxhash64("id"), F.lit(ROUNDS)) == r).select("text")
             state = spark.sparkContext.broadcast((words, model.flat, self.masses, self.grow))
-            pieces = part.mapInArrow(_train(state), _PIECES).repartition(partitions(spark), "piece").sortWithinPartitions("piece", "tokens")
-            for row in pieces.mapInArrow(_add_pieces, _PIECES).collect():  # together the size of the weights
-                at = row["piece"] * PIECE
-                change = np.frombuffer(row["w"], np.float32) / np.float32(row["tokens"])
-                model.flat[at : at + len(change)] += change
+            part = placed.where(F.pmod("o", F.lit(ROUNDS)) == r).repartition(min(shards, MOST_TASKS), "shard")
+            changes = part.sortWithinPartitions("shard", "o").select("shard", "text").mapInArrow(_train(state), _CHANGES)
+            changes = changes.repartition(partitions(spark), "part", "block").sortWithinPartitions("part", "block", "shard")
+            for row in changes.mapInArrow(_average, _AVERAGES).collect():  # together the size of the weights
+                rows = row["block"] + np.frombuffer(row["rows"], np.int16)
+                model.parts[row["part"]][rows] += np.frombuffer(row["w"], np.float32).reshape(len(rows), -1)
             state.destroy()
         self.words, self.flat = words, model.flat
 
@@ -423,9 +551,11 @@ class LanguageModel:
         bits = tail_bits(self.v)
         out = np.zeros(1 << bits if bits else 0)
         if bits:
-            cell = F.shiftrightunsigned("h", 64 - bits)
-            sums = self.counts.groupBy(cell.alias("cell")).agg(F.sum(F.col("c") + 0.5).alias("m")).toArrow()
-            out[sums.column("cell").to_numpy()] = sums.column("m").to_numpy()
+            block = F.floor(F.shiftrightunsigned("h", 64 - bits) / CELLS_BLOCK)
+            blocks = self.counts.withColumn("block", block).repartition(partitions(self.counts.sparkSession), "block").sortWithinPartitions("block")
+            for row in blocks.select("h", "c").mapInArrow(_cell_masses(bits), "block long, m binary").toLocalIterator():
+                at = row["block"] * CELLS_BLOCK
+                out[at : at + CELLS_BLOCK] = np.frombuffer(row["m"])[: len(out) - at]
             np.subtract.at(out, cells_of(words, bits), counts + 0.5)
         return out.astype(np.float32)
 

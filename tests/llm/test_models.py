@@ -181,6 +181,105 @@ def test_every_counted_token_has_its_own_score():
         assert p[w] > 10 * p[after[1 - k]]
 
 
+def test_scores_do_not_depend_on_the_partitioning(spark, monkeypatch):
+    monkeypatch.setattr(maxent, "SHARD", 1 << 12)  # several shards a round
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").persist()
+    got = []
+    for n in (1, 8, 64):
+        dealt = docs.repartition(n)
+        model = maxent.LanguageModel(dealt)
+        assert model.n / maxent.ROUNDS / (maxent.SHARD * model.grow) > 2
+        got.append((model.flat.tolist(), {r.doc_id: r.score for r in model.score(dealt).collect()}))
+    for flat, scores in got[1:]:
+        assert flat == got[0][0]
+        assert scores == pytest.approx(got[0][1], rel=1e-9)
+
+
+def test_training_reads_a_shard_in_runs_whatever_its_batches():
+    rng = np.random.default_rng(9)
+    words = maxent.mixed(np.arange(1, 90, dtype=np.uint64))
+    start = maxent.Model.start(words, np.full(89, 50), 0.5)
+    texts = [" ".join(map(str, rng.integers(0, 500, int(n)))) for n in rng.integers(0, 3000, 70)]
+    changes = []
+    for cuts in ([70], [1, 30, 31, 70]):
+        shard = maxent._Shard(0, words, start.flat, start.masses, 1)
+        for a, b in zip([0, *cuts], cuts):
+            shard.learn(pa.array(texts[a:b]))
+        changes.append(pa.Table.from_batches(list(shard.changes())))
+    assert shard.uses[0].sum() == 3 * sum(len(t.split()) + 1 for t in texts)
+    assert changes[0].equals(changes[1]) and changes[0].num_rows > 0
+
+
+def test_changes_of_a_row_are_averaged_by_its_uses():
+    def change(shard, rows, uses, w):
+        binary = (np.array(rows, np.int16), np.array(uses, np.int32), np.array(w, np.float16))
+        return {"part": 2, "block": 512, "shard": shard, **dict(zip(("rows", "uses", "w"), (x.tobytes() for x in binary)))}
+
+    batch = pa.RecordBatch.from_pylist([change(0, [3, 5], [1, 9], [[1, 2], [4, 4]]), change(7, [3, 6], [3, 2], [[5, -2], [0.5, 0]])])
+    (row,) = pa.Table.from_batches(maxent._average(iter([batch]))).to_pylist()
+    assert np.frombuffer(row["rows"], np.int16).tolist() == [3, 5, 6]
+    assert np.frombuffer(row["w"], np.float32).tolist() == [4, -1, 4, 4, 0.5, 0]  # (1 + 3 * 5) / 4, (2 - 3 * 2) / 4
+
+
+def _plain_score(model: maxent.LanguageModel, counts: dict, text: str) -> float:
+    """log10 probability of a text token by token, from the definition, with Python numbers."""
+    mask = (1 << 64) - 1
+
+    def mix(h):
+        for k in range(2):
+            h = ((h ^ (h >> 32)) * 0xD6E8FEB86659FD93) & mask
+        return h ^ (h >> 32)
+
+    def share(logits, target):
+        top = max(logits)
+        return math.exp(logits[target] - top) / sum(math.exp(x - top) for x in logits)
+
+    m = maxent.Model(model.words, model.flat, model.masses, model.grow)
+    classes, biases, slots, slot_biases, *tail = [p.tolist() for p in m.parts]
+    place = {int(w): k for k, w in enumerate(model.words)}
+    mass, bits, grow, spread = model.masses.astype(float), m.bits, model.grow, 0xC2B2AE3D27D4EB4F
+    a, b, c = (r * grow for r in maxent.CLASS_ROWS)
+    d, e = (r * grow for r in maxent.SLOT_ROWS)
+    words = word_hashes(*bytes_of(pa.array([text])))[0].tolist() + [int(maxent.END)]
+    total, context = 0.0, [int(maxent.END)] * 2
+    for w in words:
+        skip, last = context
+        rows = (mix((last + 11) & mask) % a, mix((last * 0x9E3779B97F4A7C15 + skip + 12) & mask) % b + a, mix((skip + 13) & mask) % c + a + b)
+        kind, slot = (place[w] % maxent.CLASSES, place[w] // maxent.CLASSES) if w in place else (maxent.CLASSES, None)
+        p = share([x + sum(classes[r][k] for r in rows) for k, x in enumerate(biases)], kind)
+        if slot is not None:
+            rows = (mix((last + kind * spread) & mask) % d, mix((skip + kind * spread + 14) & mask) % e + d)
+            p *= share([x + sum(slots[r][k] for r in rows) for k, x in enumerate(slot_biases[kind])], slot)
+        elif w not in counts:
+            p *= 0.5 / (mass.sum() + 0.5)
+        else:
+            cell, left, node = w >> (64 - bits), bits, 0
+            p *= mass.sum() / (mass.sum() + 0.5) * (counts[w] + 0.5) / mass[cell]
+            for table, width in zip(tail, m.level_bits(bits)):
+                left -= width
+                path = cell >> left
+                below = [mass[(node << width | k) << left : ((node << width | k) + 1) << left].sum() for k in range(1 << width)]
+                rows = [mix((x + (node + 1) * spread + y) & mask) % (maxent.TAIL_ROWS * grow) for x, y in ((last, 15), (skip, 16))]
+                p *= share([math.log(max(x, 1e-20)) + sum(table[r][k] for r in rows) for k, x in enumerate(below)], path & ((1 << width) - 1))
+                node = path
+        total += math.log10(p)
+        context = [last, w]
+    return total
+
+
+def test_score_by_brute_force(spark):
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    model = maxent.LanguageModel(docs)
+    counts = {r.h & ((1 << 64) - 1): r.c for r in model.counts.collect()}
+    assert model.v > maxent.CLASSES * maxent.SLOTS and len(model.masses)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r for r in model.score(docs).collect()}
+    short = sorted((i for i, t in texts.items() if 5 < len(t.split()) < 200), key=lambda i: (not got[i].held_out, i))[:24]
+    assert any(got[i].n_known < got[i].n_tokens for i in short)
+    for i in short:
+        assert got[i].score == pytest.approx(_plain_score(model, counts, texts[i]), rel=1e-5)
+
+
 def test_contexts_do_not_cross_texts():
     words = np.array([11, 12, 13, 14], np.uint64)
     got = maxent._with_ends(words, np.array([2, 0, 1, 1]))
