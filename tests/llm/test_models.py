@@ -192,7 +192,7 @@ def test_scores_do_not_depend_on_the_partitioning(spark, monkeypatch):
         got.append((model.flat.tolist(), {r.doc_id: r.score for r in model.score(dealt).collect()}))
     for flat, scores in got[1:]:
         assert flat == got[0][0]
-        assert scores == pytest.approx(got[0][1], rel=1e-9)
+        assert scores == pytest.approx(got[0][1], rel=1e-7)  # float32 row sums of batches that are cut elsewhere
 
 
 def test_training_reads_a_shard_in_runs_whatever_its_batches():
