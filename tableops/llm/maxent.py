@@ -57,8 +57,8 @@ ROUNDS, STEP, TAIL_STEP, BATCH = 2, 0.2, 0.4, 4096
 #: Training tokens of a shard, times the factor of the tables
 SHARD = 1 << 21
 MOST_GROWTH, CELL_BITS = 16, 24
-#: Tasks of a round; beyond that a task works through several shards.
-MOST_TASKS = 1 << 14
+#: Shards are dealt to so many times more tasks, that few meet in one; from MOST_TASKS on a task works through several.
+SPREAD, MOST_TASKS = 4, 1 << 14
 #: Weights travel in blocks of this many table rows, masses in blocks of this many cells.
 ROWS_BLOCK, CELLS_BLOCK = 512, 1 << 14
 #: Tokens of a shard are learned in runs of this many, whatever batches they come in.
@@ -537,11 +537,11 @@ class LanguageModel:
         placed = training.select(place.alias("o"), F.pmod(F.shiftrightunsigned(place, 8), F.lit(shards)).alias("shard"), "text")
         for r in range(ROUNDS):
             state = spark.sparkContext.broadcast((words, model.flat, self.masses, self.grow))
-            part = placed.where(F.pmod("o", F.lit(ROUNDS)) == r).repartition(min(shards, MOST_TASKS), "shard")
+            part = placed.where(F.pmod("o", F.lit(ROUNDS)) == r).repartition(min(SPREAD * shards, MOST_TASKS), "shard")
             changes = part.sortWithinPartitions("shard", "o").select("shard", "text").mapInArrow(_train(state), _CHANGES)
             changes = changes.repartition(partitions(spark), "part", "block").sortWithinPartitions("part", "block", "shard")
             for row in changes.mapInArrow(_average, _AVERAGES).collect():  # together the size of the weights
-                rows = row["block"] + np.frombuffer(row["rows"], np.int16)
+                rows = row["block"] + np.frombuffer(row["rows"], np.int16).astype(np.int64)
                 model.parts[row["part"]][rows] += np.frombuffer(row["w"], np.float32).reshape(len(rows), -1)
             state.destroy()
         self.words, self.flat = words, model.flat
@@ -553,7 +553,7 @@ class LanguageModel:
         if bits:
             block = F.floor(F.shiftrightunsigned("h", 64 - bits) / CELLS_BLOCK)
             blocks = self.counts.withColumn("block", block).repartition(partitions(self.counts.sparkSession), "block").sortWithinPartitions("block")
-            for row in blocks.select("h", "c").mapInArrow(_cell_masses(bits), "block long, m binary").toLocalIterator():
+            for row in blocks.select("h", "c").mapInArrow(_cell_masses(bits), "block long, m binary").collect():  # 8 bytes a cell
                 at = row["block"] * CELLS_BLOCK
                 out[at : at + CELLS_BLOCK] = np.frombuffer(row["m"])[: len(out) - at]
             np.subtract.at(out, cells_of(words, bits), counts + 0.5)

@@ -267,7 +267,9 @@ def _plain_score(model: maxent.LanguageModel, counts: dict, text: str) -> float:
     return total
 
 
-def test_score_by_brute_force(spark):
+@pytest.mark.parametrize("grow", [1, 2])
+def test_score_by_brute_force(spark, monkeypatch, grow):
+    monkeypatch.setattr(maxent, "growth", lambda n: grow)
     docs = read_table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
     model = maxent.LanguageModel(docs)
     counts = {r.h & ((1 << 64) - 1): r.c for r in model.counts.collect()}
