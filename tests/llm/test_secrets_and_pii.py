@@ -225,7 +225,7 @@ def test_dates_are_linked_in_all_layouts_and_equal_an_independent_version(spark)
 # -- pseudonyms by plain Python: one value after another, nothing of the operator but its patterns and fixed radices ------
 
 
-def feistel(values, radix, key, tweak):
+def plain_feistel(values, radix, key, tweak):
     values, half = list(values), len(values) // 2
     for k in range(8):
         own, other = (range(half), values[half:]) if k % 2 == 0 else (range(half, len(values)), values[:half])
@@ -236,17 +236,17 @@ def feistel(values, radix, key, tweak):
     return values
 
 
-def spell(text, alphabets, key, tweak):
-    moved = feistel([a.index(c) for c, a in zip(text, alphabets)], [len(a) for a in alphabets], key, tweak)
+def plain_spell(text, alphabets, key, tweak):
+    moved = plain_feistel([a.index(c) for c, a in zip(text, alphabets)], [len(a) for a in alphabets], key, tweak)
     return "".join(a[v] for a, v in zip(alphabets, moved))
 
 
-def refill(text, digits):
+def plain_refill(text, digits):
     left = iter(digits)
     return "".join(next(left) if c in "0123456789" else c for c in text)
 
 
-def luhn(digits):
+def plain_luhn(digits):
     doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
     return sum(doubled) % 10
 
@@ -257,10 +257,10 @@ def plain_cards(run, key):
     while i < len(groups):
         for j in range(min(i + 19, len(groups)), i, -1):
             digits = [int(c) for c in re.sub("[ -]", "", "".join(groups[i:j]))]
-            if 13 <= len(digits) <= 19 and luhn(digits) == 0:
-                moved = feistel(digits[:-1], [10] * (len(digits) - 1), key, "card")
-                check = next(d for d in range(10) if luhn([*moved, d]) == 0)
-                out += refill("".join(groups[i:j]), map(str, [*moved, check]))
+            if 13 <= len(digits) <= 19 and plain_luhn(digits) == 0:
+                moved = plain_feistel(digits[:-1], [10] * (len(digits) - 1), key, "card")
+                check = next(d for d in range(10) if plain_luhn([*moved, d]) == 0)
+                out += plain_refill("".join(groups[i:j]), map(str, [*moved, check]))
                 n, i = n + 1, j
                 break
         else:
@@ -285,7 +285,7 @@ def plain_phone(text, key):
     code = re.match(pii._CODE, digits).group() if text[0] == "+" else ""
     national, planned = digits[len(code) :], text[0] != "+" or code == "1"
     alphabets = [("01" if c in "01" else "23456789") if planned and i in (0, 3) else "0123456789" for i, c in enumerate(national)]
-    return refill(text, code + spell(national, alphabets, key, "phone"))
+    return plain_refill(text, code + plain_spell(national, alphabets, key, "phone"))
 
 
 def plain_value(kind, text, key):
@@ -293,13 +293,13 @@ def plain_value(kind, text, key):
     if kind == "email":
         local, host = text.split("@")
         classes = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
-        return spell(local, [next((a for a in classes if c in a), c) for c in local], key, "email") + "@" + host
+        return plain_spell(local, [next((a for a in classes if c in a), c) for c in local], key, "email") + "@" + host
     if kind == "ssn":
-        group, serial = feistel([int(text[4:6]) - 1, int(text[7:]) - 1], [99, 9999], key, "ssn")
+        group, serial = plain_feistel([int(text[4:6]) - 1, int(text[7:]) - 1], [99, 9999], key, "ssn")
         return f"{text[:3]}-{group + 1:02d}-{serial + 1:04d}"
     if kind == "ip":
         a, b, c, d = map(int, text.split("."))
-        high, low = feistel([a * 256 + b, c * 256 + d], [65536, 65536], key, "ip")
+        high, low = plain_feistel([a * 256 + b, c * 256 + d], [65536, 65536], key, "ip")
         return ".".join(str(x) for h in (high, low) for x in divmod(h, 256)) if max(a, b, c, d) < 256 else None
     return plain_date(text, key) if kind == "date" else plain_phone(text, key)
 
