@@ -637,13 +637,16 @@ def q_batch_commit(spark, sf_dir) -> DataFrame:
 # --- S4 S9 K9 C25: array files, date folders, insert-select ---------------------------------------------
 
 
-def q_json_array_load(spark, sf_dir) -> DataFrame:
-    """Gzip files holding one JSON array each (customers of a nation in groups), read element by element."""
+def q_json_array_load(spark, sf_dir, file_rows: int = 1 << 17) -> DataFrame:
+    """Gzip files holding one JSON array each (customers of a nation in groups), read element by element. A group is
+    what a run of ``file_rows`` customers of the table holds of a nation: however keys and nations are spread, no file
+    holds more, and there are as many files as nations for each run."""
     t = _t(spark, sf_dir)
     element = F.struct("c_custkey", "c_name", F.col("c_acctbal").cast(MONEY).cast("string").alias("balance"))
-    groups = t.customer.groupBy("c_nationkey", F.floor(F.col("c_custkey") / 200).alias("part")).agg(
-        F.to_json(F.collect_list(element)).alias("value")
-    )
+    # the ids count up from a multiple of 2 ** 33 in each task of the scan
+    run = F.floor(F.monotonically_increasing_id() / file_rows)
+    customers = t.customer.select("c_nationkey", run.alias("run"), element.alias("element"))
+    groups = customers.groupBy("c_nationkey", "run").agg(F.to_json(F.collect_list("element")).alias("value"))
     path = scratch_path(spark, "array-files")
     groups.select("value").write.option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
     rows = read_json_array(spark, path, "c_custkey bigint, c_name string, balance string")

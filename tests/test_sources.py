@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableops.functions import date_path
+from tableops.plans.file_jobs import q_json_array_load
 from tableops.sinks import unload_partition, write_csv_stamped, write_date_folders, write_json_parts
 from tableops.sources import (
     catalog_columns, incremental, next_watermark, read_delimited, read_json_array, read_json_payload, read_matching,
@@ -63,6 +64,20 @@ def test_read_json_array_gzip(spark, tmp_dir):
     assert rows(read_json_array(spark, tmp_dir, "a int")) == [(1,), (2,)]
 
 
+def test_array_files_follow_the_rows_not_the_keys(spark, tmp_dir):
+    keys = [None, 7, 7, *range(0, 40_000, 200)]  # far apart, repeated, null
+    data = [(k, f"c{k}", None if i % 50 == 0 else i % 3, i / 4) for i, k in enumerate(keys)]
+    table = spark.createDataFrame(data, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double")
+    table.coalesce(1).write.parquet(tmp_dir + "/customer.parquet")
+    want = sorted([(k, name, balance) for k, name, _, balance in data], key=str)
+    for file_rows, runs in ((1 << 17, 1), (50, 5)):
+        df = q_json_array_load(spark, tmp_dir, file_rows=file_rows)
+        assert sorted([tuple(r) for r in df.collect()], key=str) == want
+        files = df.groupBy(F.input_file_name()).count().collect()
+        assert len(files) <= 4 * runs and max(r["count"] for r in files) <= file_rows
+    assert len(files) > 4
+
+
 def test_read_sheets_one_scan(spark, tmp_dir):
     for wb in ["202108 forecast", "notes"]:
         for sheet in ["NMU", "Drop"]:
