@@ -60,11 +60,15 @@ class Powers:
 
     def __call__(self, n: int) -> np.ndarray:
         if len(self.table) < n:
-            self.table = np.cumprod(np.append(_U(1), np.full(max(n, 1 << 16), self.base)))
+            self.table = np.cumprod(np.append(_U(1), np.full(max(n + n // 8, 1 << 16), self.base)))
         return self.table
 
 
 WORD_POWERS = Powers(0x9E3779B97F4A7C15)
+#: Of the inverse modulo 2 ** 64: takes a word's place in its block off its sum
+WORD_PLACES = Powers(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: What a byte counts in a word's hash: one more than its lower-case letter, white space nothing
+_LETTERS = np.where(_SPACE, _U(0), LOWER.astype(_U) + _U(1))
 
 
 def word_hashes(data: np.ndarray, ends: np.ndarray, punctuation: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -84,16 +88,20 @@ def word_hashes(data: np.ndarray, ends: np.ndarray, punctuation: bool = False) -
     begins = np.concatenate(([0], ends[:-1]))
     begins = begins[begins < len(data)]
     first[begins] = inside[begins]
-    starts = np.flatnonzero(first)
+    last = inside
+    last[:-1] &= ~inside[1:] | first[1:]
+    starts, stops = np.flatnonzero(first), np.flatnonzero(last)
     per_text = np.diff(np.concatenate(([0], np.searchsorted(starts, ends))))
     if not len(starts):
         return np.zeros(0, _U), per_text
-    letters = LOWER[data[inside]].astype(_U) + _U(1)
-    at = np.cumsum(inside)[starts] - 1
-    sizes = np.diff(np.append(at, len(letters)))
-    place = np.arange(len(letters)) - np.repeat(at, sizes)
-    h = np.add.reduceat(letters * WORD_POWERS(int(sizes.max()) + 1)[place], at)
-    return mixed(h + sizes.astype(_U)), per_text
+    # letters times powers of their places in the block, added up; a word is a difference of two sums, moved to place 0
+    sums = np.take(_LETTERS, data)
+    sums *= WORD_POWERS(len(data))[: len(data)]
+    letters = np.take(sums, starts)
+    np.cumsum(sums, out=sums)
+    letters += np.take(sums, stops) - np.take(sums, starts)
+    letters *= np.take(WORD_PLACES(len(data)), starts)
+    return mixed(letters + (stops - starts + 1).astype(_U)), per_text
 
 
 def word_blocks(column: pa.Array, punctuation: bool = False, texts: int = 1 << 16) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -1,5 +1,6 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -301,3 +302,38 @@ def test_scores_of_messy_and_empty_tables(spark, messy, nothing):
     assert maxent.LanguageModel(messy).score(nothing).count() == 0
     unseen = maxent.LanguageModel(nothing).score(messy).collect()  # nothing learned: all tokens alike
     assert len(unseen) == len(rows) and all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in unseen)
+
+
+@pytest.mark.parametrize("punctuation", [False, True])
+def test_word_hashes_by_hand(punctuation):
+    texts = ["", "Ab c", " x,y..z\t", "é Ü", "word" * 9, "end", "start \n", ""]
+    data, ends = bytes_of(pa.array(texts))
+    got, per_text = word_hashes(data, ends, punctuation)
+    kind = rb"[!-/:-@\[-^`{-~]+|[^\x20\x09-\x0D!-/:-@\[-^`{-~]+" if punctuation else rb"[^\x20\x09-\x0D]+"
+    words = [re.findall(kind, t.encode()) for t in texts]
+    assert per_text.tolist() == [len(w) for w in words]
+    sums = [sum((b + 1) * pow(0x9E3779B97F4A7C15, k, 1 << 64) for k, b in enumerate(w.lower())) + len(w) for ws in words for w in ws]
+    assert got.tolist() == maxent.mixed(np.array([s % (1 << 64) for s in sums], np.uint64)).tolist()
+
+
+def test_word_hashes_take_few_passes():
+    data = np.frombuffer((b"x" * 31 + b" ") * (1 << 13), np.uint8)
+    word_hashes(data, np.array([len(data)]))  # the tables of powers stay
+    tracemalloc.start()
+    try:
+        word_hashes(data, np.array([len(data)]))
+        assert tracemalloc.get_traced_memory()[1] < 24 * len(data)  # numbers of eight bytes: the sums and the places
+    finally:
+        tracemalloc.stop()
+
+
+def test_rows_put_as_items_equal_plain_assignment():
+    rng = np.random.default_rng(3)
+    for width in (2, 32, 33):
+        flat = rng.normal(size=7 + 50 * width).astype(np.float32)  # a table is a part of the flat weights
+        table, rows = flat[7:].reshape(50, width), rng.permutation(50)[:20]
+        values = rng.normal(size=(20, width)).astype(np.float32)
+        want = table.copy()
+        want[rows] = values
+        maxent._put_rows(table, rows, values)
+        assert np.array_equal(table, want) and np.shares_memory(table, flat)
